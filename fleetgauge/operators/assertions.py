@@ -153,12 +153,12 @@ def violations(df: DataFrame, check: Check) -> DataFrame:
 def check_table(df: DataFrame, model: str, checks: Iterable[Check]) -> DataFrame:
     """(model, check_name, violation_count) of every check on a table.
 
-    All row-wise checks share one pass over the table; each uniqueness check groups its key.
-    An accepted-values check counts distinct foreign values, as its detail query lists them.
+    All checks that look at one row at a time share one pass and count violating rows; a
+    uniqueness check groups its key and counts repeated keys.
     """
     checks = list(checks)
-    row_wise = [c for c in checks if c.kind == "not_null"]
-    grouped = [c for c in checks if c.kind != "not_null"]
+    row_wise = [c for c in checks if c.kind in ("not_null", "accepted_values")]
+    keyed = [c for c in checks if c.kind in ("unique", "unique_key")]
     results = []
     if row_wise:
         counts = df.agg(*[F.count_if(row_condition(c)).alias(c.name) for c in row_wise])
@@ -173,7 +173,7 @@ def check_table(df: DataFrame, model: str, checks: Iterable[Check]) -> DataFrame
         violations(df, c).agg(F.count(F.lit(1)).alias("violation_count")).select(
             F.lit(c.name).alias("check_name"), "violation_count"
         )
-        for c in grouped
+        for c in keyed
     ]
     return reduce(DataFrame.unionByName, results).select(
         F.lit(model).alias("model"), "check_name", "violation_count"

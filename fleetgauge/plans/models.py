@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from fleetgauge import labels as L
 from fleetgauge.operators import activity, anomaly, delay, evaluation, quality, staging
@@ -18,53 +18,57 @@ from fleetgauge.sources.tables import replace_sink
 class Models:
     """Raw tables in, every model as an attribute.
 
-    ``trip_update_stops`` may hold the stop updates apart from the trip updates; by default the
-    trip updates carry them.
+    ``raw`` maps the names of the raw tables to DataFrames, or to functions that give them when a
+    model asks. ``trip_update_stops`` may hold the stop updates apart from the trip updates; by
+    default the trip updates carry them.
     """
 
-    routes: DataFrame
-    trips: DataFrame
-    stops: DataFrame
-    stop_times: DataFrame
-    vehicle_positions: DataFrame
-    trip_updates: DataFrame
-    trip_update_stops: DataFrame | None = None
+    raw: Mapping[str, DataFrame | Callable[[], DataFrame]]
     max_gap_minutes: float = L.SNAPSHOT_GAP_MINUTES
     service_day: str = "calendar"
     stored: dict[str, DataFrame] = field(default_factory=dict, repr=False)
+    _opened: dict[str, DataFrame] = field(default_factory=dict, repr=False)
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._opened:
+            source = self.raw[name]
+            self._opened[name] = source if isinstance(source, DataFrame) else source()
+        return self._opened[name]
 
     def __getitem__(self, name: str) -> DataFrame:
-        """A model by name; stored ones are read, the others composed."""
+        """A raw table or model by name; stored models are read, the others composed."""
+        if name in self.raw:
+            return self.table(name)
         return self.stored[name] if name in self.stored else getattr(self, name)
 
     @cached_property
     def stg_routes(self) -> DataFrame:
-        return staging.stg_routes(self.routes)
+        return staging.stg_routes(self.table("routes"))
 
     @cached_property
     def stg_trips(self) -> DataFrame:
-        return staging.stg_trips(self.trips)
+        return staging.stg_trips(self.table("trips"))
 
     @cached_property
     def stg_stops(self) -> DataFrame:
-        return staging.stg_stops(self.stops)
+        return staging.stg_stops(self.table("stops"))
 
     @cached_property
     def stg_stop_times(self) -> DataFrame:
-        return staging.stg_stop_times(self.stop_times)
+        return staging.stg_stop_times(self.table("stop_times"))
 
     @cached_property
     def stg_vehicle_positions(self) -> DataFrame:
-        return staging.stg_vehicle_positions(self.vehicle_positions)
+        return staging.stg_vehicle_positions(self.table("vehicle_positions"))
 
     @cached_property
     def stg_trip_updates(self) -> DataFrame:
-        return staging.stg_trip_updates(self.trip_updates)
+        return staging.stg_trip_updates(self.table("trip_updates"))
 
     @property
     def realtime_stop_time_updates(self) -> DataFrame:
-        holder = self.trip_updates if self.trip_update_stops is None else self.trip_update_stops
-        return delay.realtime_stop_time_updates(staging.stg_trip_updates(holder))
+        holder = "trip_update_stops" if "trip_update_stops" in self.raw else "trip_updates"
+        return delay.realtime_stop_time_updates(staging.stg_trip_updates(self.table(holder)))
 
     @property
     def scheduled_stop_times_normalized(self) -> DataFrame:
@@ -222,7 +226,6 @@ def materialize_layers(
     Each written table then stands in for its plan, which later models would else repeat.
     """
     wanted = set(tables)
-    spark: SparkSession = models.routes.sparkSession
     counts: dict[str, int] = {}
     for name in TABLES:
         if name not in wanted:
@@ -232,23 +235,9 @@ def materialize_layers(
             df, partition_by = with_snapshot_date(df), ("snapshot_date",)
         path = f"{folder.rstrip('/')}/{name}"
         counts[name] = replace_sink(df, path, as_path=True, partition_by=partition_by)
-        stored = spark.read.schema(df.schema).parquet(path).drop("snapshot_date")
+        stored = df.sparkSession.read.schema(df.schema).parquet(path).drop("snapshot_date")
         models.stored[name] = stored
     if register_views:
         for name in (*VIEWS, *counts):
             models[name].createOrReplaceTempView(name)
     return counts
-
-
-def from_raw(tables: Mapping[str, DataFrame], **options) -> Models:
-    """Models over loaded raw tables, by their raw names."""
-    pick: Callable[[str], DataFrame] = tables.__getitem__
-    return Models(
-        routes=pick("routes"),
-        trips=pick("trips"),
-        stops=pick("stops"),
-        stop_times=pick("stop_times"),
-        vehicle_positions=pick("vehicle_positions"),
-        trip_updates=pick("trip_updates"),
-        **options,
-    )

@@ -27,7 +27,12 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def build_session(app_name: str = "fleetgauge", master: str | None = None, **conf: str) -> SparkSession:
-    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    builder = (
+        SparkSession.builder.appName(app_name)
+        .config("spark.ui.enabled", "false")
+        # Recording the caller of every column expression doubles the time to build a plan.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+    )
     if master:
         builder = builder.master(master)
     for key, value in {**_SETTINGS, **conf}.items():

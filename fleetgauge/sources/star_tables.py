@@ -1,162 +1,155 @@
 """Feed tables projected out of the star-schema test tables, so the operators can run on them.
 
-Every rule is a plain column expression of ``nation supplier orders lineitem events``; the
-tables grow with those, nothing is sampled and no group is gathered into one row.
+Every rule is a plain column expression over ``region nation supplier orders lineitem events``;
+the tables grow with those, nothing is sampled and no group is gathered into one row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from fleetgauge.functions import snapshot_folder_name
 from fleetgauge.labels import SERVICE_DAY_OFFSET_SECONDS, TRIP_UPDATE_FEED, VEHICLE_FEED
 
-_ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+# Only the columns that are read; a given schema also spares Spark a look into the files.
+_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string",
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_returnflag string"
+    ),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+}
 
 
-def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
-
-
-def _name(prefix: str, value: Column | str) -> Column:
-    value = F.col(value) if isinstance(value, str) else value
-    return F.concat(F.lit(prefix), value.cast("string"))
-
-
-def _schedule_seconds() -> Column:
-    return F.col("l_partkey") * 37 + F.col("l_linenumber") * 600
+def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def raw_routes(spark: SparkSession, folder: str) -> DataFrame:
-    region = _table(spark, folder, "region")
-    nation = _table(spark, folder, "nation")
-    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        F.col("r_name").alias("source_feed"),
-        _name("N", "n_nationkey").alias("route_id"),
-        _name("A", "n_regionkey").alias("agency_id"),
-        F.col("n_name").alias("route_short_name"),
-        F.concat("r_name", F.lit(" "), "n_name").alias("route_long_name"),
-        F.col("n_regionkey").cast("string").alias("route_type"),
+    regions = read_table(spark, folder, "region").withColumnRenamed("r_regionkey", "n_regionkey")
+    nations = read_table(spark, folder, "nation")
+    return nations.join(regions, "n_regionkey").selectExpr(
+        "r_name AS source_feed",
+        "'N' || n_nationkey AS route_id",
+        "'A' || n_regionkey AS agency_id",
+        "n_name AS route_short_name",
+        "r_name || ' ' || n_name AS route_long_name",
+        "string(n_regionkey) AS route_type",
     )
 
 
 def raw_stops(spark: SparkSession, folder: str) -> DataFrame:
-    balance = F.col("s_acctbal")
-    return _table(spark, folder, "supplier").select(
-        _name("F", F.col("s_nationkey") % 6).alias("source_feed"),
-        _name("P", "s_suppkey").alias("stop_id"),
-        F.col("s_name").alias("stop_name"),
-        (F.lit(40.3) + balance / 20_000).alias("stop_lat"),
-        (F.lit(-73.9) - balance / 20_000).alias("stop_lon"),
+    return read_table(spark, folder, "supplier").selectExpr(
+        "'F' || s_nationkey % 6 AS source_feed",
+        "'P' || s_suppkey AS stop_id",
+        "s_name AS stop_name",
+        "40.3D + s_acctbal / 20000D AS stop_lat",
+        "-73.9D - s_acctbal / 20000D AS stop_lon",
     )
 
 
 def raw_trips(spark: SparkSession, folder: str) -> DataFrame:
-    customer = F.col("o_custkey")
     return (
-        _table(spark, folder, "orders")
-        .where(F.col("o_orderkey") % 20 != 0)
-        .select(
-            _name("R", customer % 12).alias("route_id"),
-            F.col("o_orderpriority").alias("service_id"),
-            _name("T", "o_orderkey").alias("trip_id"),
-            F.col("o_orderstatus").alias("trip_headsign"),
-            (customer % 2).cast("string").alias("direction_id"),
-            _name("S", customer % 50).alias("shape_id"),
+        read_table(spark, folder, "orders")
+        .where("o_orderkey % 20 <> 0")
+        .selectExpr(
+            "'R' || o_custkey % 12 AS route_id",
+            "o_orderpriority AS service_id",
+            "'T' || o_orderkey AS trip_id",
+            "o_orderstatus AS trip_headsign",
+            "string(o_custkey % 2) AS direction_id",
+            "'S' || o_custkey % 50 AS shape_id",
         )
     )
 
 
+_SCHEDULED_SECOND = "(l_partkey * 37 + l_linenumber * 600)"
+
+
 def raw_stop_times(spark: SparkSession, folder: str) -> DataFrame:
-    second = _schedule_seconds() % 100_000
-    two = "%02d"
-    clock = F.format_string(
-        f"{two}:{two}:{two}", F.floor(second / 3600), F.floor(second / 60) % 60, second % 60
-    )
-    shown = F.when(F.col("l_quantity") == 13, "bad").otherwise(clock)
+    """Clock texts pass 24 hours, and are unreadable on lines with a quantity of 13."""
+    clock = """IF(l_quantity = 13, 'bad', lpad(string(s div 3600), 2, '0') || ':' ||
+        lpad(string(s div 60 % 60), 2, '0') || ':' || lpad(string(s % 60), 2, '0'))"""
     return (
-        _table(spark, folder, "lineitem")
-        .where(F.col("l_orderkey") % 20 != 0)
-        .select(
-            _name("F", F.col("l_suppkey") % 6).alias("source_feed"),
-            _name("T", "l_orderkey").alias("trip_id"),
-            shown.alias("arrival_time"),
-            shown.alias("departure_time"),
-            _name("P", "l_suppkey").alias("stop_id"),
-            F.col("l_linenumber").cast("string").alias("stop_sequence"),
-            (F.col("l_linenumber") % 4).cast("string").alias("pickup_type"),
-            F.lit("").alias("drop_off_type"),
-            F.when(F.col("l_returnflag") == "R", "1").otherwise("0").alias("timepoint"),
+        read_table(spark, folder, "lineitem")
+        .where("l_orderkey % 20 <> 0")
+        .selectExpr("*", f"{_SCHEDULED_SECOND} % 100000 AS s")
+        .selectExpr(
+            "'F' || l_suppkey % 6 AS source_feed",
+            "'T' || l_orderkey AS trip_id",
+            f"{clock} AS arrival_time",
+            f"{clock} AS departure_time",
+            "'P' || l_suppkey AS stop_id",
+            "string(l_linenumber) AS stop_sequence",
+            "string(l_linenumber % 4) AS pickup_type",
+            "'' AS drop_off_type",
+            "IF(l_returnflag = 'R', '1', '0') AS timepoint",
         )
     )
 
 
 def _reports(spark: SparkSession, folder: str) -> DataFrame:
     """Events with the hourly snapshot that reports them; some hours stay without one."""
-    at = F.col("ts").cast("timestamp")
     return (
-        _table(spark, folder, "events")
-        .withColumns({"at": at, "taken_at": F.date_trunc("hour", at) + F.expr("interval 1 hour")})
-        .where(F.hour("at") % 7 != 3)
+        read_table(spark, folder, "events")
+        .selectExpr("* EXCEPT (ts)", "timestamp(ts) AS at")
+        .where("hour(at) % 7 <> 3")
+        .selectExpr(
+            "*",
+            "unix_seconds(at) AS second",
+            "date_trunc('hour', at) + INTERVAL 1 HOUR AS taken_at",
+        )
     )
 
 
-def _capture_columns(feed: str, iso_text: bool) -> list[Column]:
-    taken_at = F.col("taken_at")
+def _capture_columns(feed: str, iso_text: bool) -> list[str]:
+    time = "date_format(taken_at, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")" if iso_text else "taken_at"
     return [
-        F.lit(feed).alias("feed_type"),
-        (F.date_format(taken_at, _ISO) if iso_text else taken_at).alias("snapshot_timestamp_utc"),
-        snapshot_folder_name(taken_at).alias("snapshot_folder"),
+        f"'{feed}' AS feed_type",
+        f"{time} AS snapshot_timestamp_utc",
+        "date_format(taken_at, \"'snapshot_'yyyyMMdd_HHmmss\") AS snapshot_folder",
     ]
 
 
 def raw_vehicle_positions(spark: SparkSession, folder: str, *, iso_text: bool = False) -> DataFrame:
-    event, value = F.col("event_id"), F.col("value")
-
-    def unless(broken: Column, kept: Column) -> Column:
-        return F.when(~broken, kept)
-
     return (
         _reports(spark, folder)
-        .where((event % 3 != 0) & (F.hour("at") != 20))
-        .select(
+        .where("event_id % 3 <> 0 AND hour(at) <> 20")
+        .selectExpr(
             *_capture_columns(VEHICLE_FEED, iso_text),
-            _name("V", "user_id").alias("entity_id"),
-            _name("BUS_", "user_id").alias("vehicle_id"),
-            unless(event % 10 == 1, _name("T", event)).alias("trip_id"),
-            unless(event % 50 == 2, F.col("event_type")).alias("route_id"),
-            unless(event % 40 == 4, F.lit(40.3) + value / 1000).alias("latitude"),
-            unless(event % 60 == 4, F.lit(-73.9) - value / 500).alias("longitude"),
-            (event % 360).cast("double").alias("bearing"),
-            (value / 2).alias("speed"),
-            (event % 30).alias("current_stop_sequence"),
-            F.when(event % 2 == 0, "STOPPED_AT").otherwise("IN_TRANSIT_TO").alias("current_status"),
-            unless(event % 25 == 7, F.unix_seconds("at")).alias("timestamp"),
+            "'V' || user_id AS entity_id",
+            "'BUS_' || user_id AS vehicle_id",
+            "IF(event_id % 10 = 1, NULL, 'T' || event_id) AS trip_id",
+            "IF(event_id % 50 = 2, NULL, event_type) AS route_id",
+            "IF(event_id % 40 = 4, NULL, 40.3D + value / 1000D) AS latitude",
+            "IF(event_id % 60 = 4, NULL, -73.9D - value / 500D) AS longitude",
+            "double(event_id % 360) AS bearing",
+            "value / 2D AS speed",
+            "event_id % 30 AS current_stop_sequence",
+            "IF(event_id % 2 = 0, 'STOPPED_AT', 'IN_TRANSIT_TO') AS current_status",
+            "IF(event_id % 25 = 7, NULL, second) AS timestamp",
         )
     )
 
 
-def _trip_update_reports(spark: SparkSession, folder: str) -> DataFrame:
-    return _reports(spark, folder).where(F.col("event_id") % 3 == 0)
-
-
-def _trip_update_columns(iso_text: bool) -> list[Column]:
+def _trip_update_columns(iso_text: bool) -> list[str]:
     return [
         *_capture_columns(TRIP_UPDATE_FEED, iso_text),
-        _name("E", F.col("user_id") % 40).alias("entity_id"),
-        _name("T", "event_id").alias("trip_id"),
-        F.col("event_type").alias("route_id"),
-        _name("BUS_", "user_id").alias("vehicle_id"),
-        F.unix_seconds("at").alias("timestamp"),
+        "'E' || user_id % 40 AS entity_id",
+        "'T' || event_id AS trip_id",
+        "event_type AS route_id",
+        "'BUS_' || user_id AS vehicle_id",
+        "second AS timestamp",
     ]
 
 
 def raw_trip_updates(spark: SparkSession, folder: str, *, iso_text: bool = False) -> DataFrame:
     """Trip updates without their stop updates, which ``raw_trip_update_stops`` has."""
-    return _trip_update_reports(spark, folder).select(
-        *_trip_update_columns(iso_text), F.lit(None).cast("string").alias("stop_time_updates")
-    )
+    updates = _reports(spark, folder).where("event_id % 3 = 0")
+    return updates.selectExpr(*_trip_update_columns(iso_text), "string(NULL) AS stop_time_updates")
 
 
 def raw_trip_update_stops(spark: SparkSession, folder: str, *, native: bool = False) -> DataFrame:
@@ -167,105 +160,89 @@ def raw_trip_update_stops(spark: SparkSession, folder: str, *, native: bool = Fa
     the array is empty, or NULL for every other event. Parts keep an order with very many lines
     from becoming one row.
     """
-    lines = _table(spark, folder, "lineitem").where(F.col("l_quantity") != 50)
-    joined = _trip_update_reports(spark, folder).join(
-        lines, F.col("event_id") == F.col("l_orderkey"), "left"
+    lines = (
+        read_table(spark, folder, "lineitem")
+        .where("l_quantity <> 50")
+        .selectExpr("l_orderkey AS event_id", "* EXCEPT (l_orderkey)")
     )
-    stop, sequence = _name("P", "l_suppkey"), F.col("l_linenumber")
-    shift = (F.col("l_suppkey") * 7 + sequence * 11 + F.col("event_id")) % 95 - 20
+    updates = _reports(spark, folder).where("event_id % 3 = 0").join(lines, "event_id", "left")
     offset = SERVICE_DAY_OFFSET_SECONDS
-    midnight = F.unix_seconds("at") - F.pmod(F.unix_seconds("at") - offset, F.lit(86_400))
-    states_delay = F.col("l_quantity") == 17
-    delay = F.when(states_delay, (shift * 60).cast("int"))
-    time = F.when(~states_delay, midnight + _schedule_seconds() % 86_400 + shift * 60)
-    departs = sequence == 1
-
-    def element(sequence: Column, delay: Column) -> Column:
-        return F.struct(
-            stop.alias("stop_id"),
-            sequence.alias("stop_sequence"),
-            F.when(~departs, time).alias("arrival_time"),
-            F.when(~departs, delay).alias("arrival_delay"),
-            F.when(departs, time).alias("departure_time"),
-            F.when(departs, delay).alias("departure_delay"),
-        )
 
-    one = F.array(element(sequence, delay))
-    two = F.array(element(sequence, delay), element(sequence + 50, F.lit(None).cast("int")))
-    updates = F.when(F.col("l_quantity") % 4 == 0, two).otherwise(one)
-    has_line = F.col("l_orderkey").isNotNull()
-    every_other = F.col("event_id") % 2 == 0
-    if native:
-        cell = F.when(has_line, updates).when(every_other, F.slice(one, F.lit(1), F.lit(0)))
-    else:
-        text = F.to_json(updates, {"ignoreNullFields": "false"})
-        cell = F.when(has_line, text).when(every_other, "[]")
-    return joined.select(*_trip_update_columns(False), cell.alias("stop_time_updates"))
+    def element(sequence: str, delay: str) -> str:
+        return f"""named_struct(
+            'stop_id', 'P' || l_suppkey,
+            'stop_sequence', {sequence},
+            'arrival_time', IF(l_linenumber = 1, NULL, time),
+            'arrival_delay', IF(l_linenumber = 1, NULL, {delay}),
+            'departure_time', IF(l_linenumber = 1, time, NULL),
+            'departure_delay', IF(l_linenumber = 1, {delay}, NULL))"""
+
+    one = element("l_linenumber", "delay")
+    two = f"{one}, {element('l_linenumber + 50', 'int(NULL)')}"
+    array = f"IF(l_quantity % 4 = 0, array({two}), array({one}))"
+    text = f"to_json({array}, map('ignoreNullFields', 'false'))"
+    value, empty = (array, f"slice(array({one}), 1, 0)") if native else (text, "'[]'")
+    return (
+        updates.selectExpr(
+            "*",
+            "(l_suppkey * 7 + l_linenumber * 11 + event_id) % 95 - 20 AS shift",
+            f"second - pmod(second - {offset}, 86400) AS day_start",
+        )
+        .selectExpr(
+            "*",
+            "IF(l_quantity = 17, int(shift * 60), NULL) AS delay",
+            f"IF(l_quantity = 17, NULL, day_start + {_SCHEDULED_SECOND} % 86400 + shift * 60) AS time",
+        )
+        .selectExpr(
+            *_trip_update_columns(False),
+            f"CASE WHEN l_linenumber IS NOT NULL THEN {value} WHEN event_id % 2 = 0 THEN {empty} END "
+            "AS stop_time_updates",
+        )
+    )
 
 
 def vehicle_entities(spark: SparkSession, folder: str) -> DataFrame:
-    """Decoded feed entities: some vehicles, some trip updates, unset ids as empty text."""
-    event = F.col("event_id")
-    has_vehicle = event % 3 != 0
-
-    def or_empty(unset: Column, value: Column) -> Column:
-        return F.when(unset, "").otherwise(value)
-
-    vehicle = F.struct(
-        F.struct(
-            or_empty(event % 10 == 1, _name("T", event)).alias("trip_id"),
-            or_empty(event % 50 == 2, F.col("event_type")).alias("route_id"),
-        ).alias("trip"),
-        F.struct(_name("BUS_", "user_id").alias("id")).alias("vehicle"),
-        F.when(
-            event % 40 != 4,
-            F.struct(
-                (F.lit(40.3) + F.col("value") / 1000).alias("latitude"),
-                (F.lit(-73.9) - F.col("value") / 500).alias("longitude"),
-                (event % 360).cast("double").alias("bearing"),
-                (F.col("value") / 2).alias("speed"),
-            ),
-        ).alias("position"),
-        (event % 30).alias("current_stop_sequence"),
-        F.when(event % 4 != 3, (event % 4).cast("int")).alias("current_status"),
-        F.when(event % 25 != 7, F.unix_seconds("at")).alias("timestamp"),
-    )
-    return _reports(spark, folder).select(
-        or_empty(event % 17 == 5, _name("V", "user_id")).alias("id"),
-        F.when(has_vehicle, vehicle).alias("vehicle"),
-        F.date_format("taken_at", _ISO).alias("snapshot_timestamp_utc"),
+    """Decoded feed entities, vehicles and others; unset ids are empty text."""
+    vehicle = """named_struct(
+        'trip', named_struct(
+            'trip_id', IF(event_id % 10 = 1, '', 'T' || event_id),
+            'route_id', IF(event_id % 50 = 2, '', event_type)),
+        'vehicle', named_struct('id', 'BUS_' || user_id),
+        'position', IF(event_id % 40 = 4, NULL, named_struct(
+            'latitude', 40.3D + value / 1000D,
+            'longitude', -73.9D - value / 500D,
+            'bearing', double(event_id % 360),
+            'speed', value / 2D)),
+        'current_stop_sequence', event_id % 30,
+        'current_status', IF(event_id % 4 = 3, NULL, int(event_id % 4)),
+        'timestamp', IF(event_id % 25 = 7, NULL, second))"""
+    return _reports(spark, folder).selectExpr(
+        "IF(event_id % 17 = 5, '', 'V' || user_id) AS id",
+        f"IF(event_id % 3 = 0, NULL, {vehicle}) AS vehicle",
+        _capture_columns(VEHICLE_FEED, True)[1],
     )
 
 
 def trip_update_entities(spark: SparkSession, folder: str) -> DataFrame:
-    event = F.col("event_id")
-    second = F.unix_seconds("at")
-
-    def moment(time: Column, delay: Column) -> Column:
-        return F.struct(time.alias("time"), delay.cast("int").alias("delay"))
-
-    updates = F.array(
-        F.struct(
-            _name("P", event % 100).alias("stop_id"),
-            F.lit(1).cast("bigint").alias("stop_sequence"),
-            moment(second + 60, event % 90).alias("arrival"),
-            moment(second + 90, event % 60).alias("departure"),
-        ),
-        F.struct(
-            F.when(event % 5 == 0, "").otherwise(_name("P", event % 77)).alias("stop_id"),
-            F.lit(2).cast("bigint").alias("stop_sequence"),
-            F.when(event % 6 != 0, moment(second + 300, F.lit(None))).alias("arrival"),
-            F.lit(None).cast("struct<time:bigint,delay:int>").alias("departure"),
-        ),
-    )
-    update = F.struct(
-        F.struct(_name("T", event).alias("trip_id"), F.col("event_type").alias("route_id")).alias("trip"),
-        F.struct(F.when(event % 9 == 0, "").otherwise(_name("BUS_", "user_id")).alias("id")).alias("vehicle"),
-        F.when(event % 21 != 0, updates).alias("stop_time_update"),
-        second.alias("timestamp"),
-    )
-    return _reports(spark, folder).select(
-        _name("E", F.col("user_id") % 40).alias("id"),
-        F.when(event % 3 == 0, update).alias("trip_update"),
-        F.date_format("taken_at", _ISO).alias("snapshot_timestamp_utc"),
+    """Decoded feed entities, trip updates and others."""
+    update = """named_struct(
+        'trip', named_struct('trip_id', 'T' || event_id, 'route_id', event_type),
+        'vehicle', named_struct('id', IF(event_id % 9 = 0, '', 'BUS_' || user_id)),
+        'stop_time_update', IF(event_id % 21 = 0, NULL, array(
+            named_struct(
+                'stop_id', 'P' || event_id % 100,
+                'stop_sequence', 1L,
+                'arrival', named_struct('time', second + 60, 'delay', int(event_id % 90)),
+                'departure', named_struct('time', second + 90, 'delay', int(event_id % 60))),
+            named_struct(
+                'stop_id', IF(event_id % 5 = 0, '', 'P' || event_id % 77),
+                'stop_sequence', 2L,
+                'arrival', IF(event_id % 6 = 0, NULL,
+                    named_struct('time', second + 300, 'delay', int(NULL))),
+                'departure', CAST(NULL AS struct<time:bigint, delay:int>)))),
+        'timestamp', second)"""
+    return _reports(spark, folder).selectExpr(
+        "'E' || user_id % 40 AS id",
+        f"IF(event_id % 3 = 0, {update}, NULL) AS trip_update",
+        _capture_columns(TRIP_UPDATE_FEED, True)[1],
     )

@@ -1,0 +1 @@
+"""The expected results, as plain SQL over the test tables."""
