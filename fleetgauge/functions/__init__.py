@@ -3,14 +3,13 @@
 from fleetgauge.functions.casts import lenient_double, lenient_int, lenient_long, number_from_json
 from fleetgauge.functions.findings import finding_id, ratio_or_zero
 from fleetgauge.functions.times import (
-    clock_seconds,
     late_by_seconds,
     seconds_between,
     snapshot_folder_name,
+    with_clock_seconds,
 )
 
 __all__ = [
-    "clock_seconds",
     "finding_id",
     "late_by_seconds",
     "lenient_double",
@@ -20,4 +19,5 @@ __all__ = [
     "ratio_or_zero",
     "seconds_between",
     "snapshot_folder_name",
+    "with_clock_seconds",
 ]

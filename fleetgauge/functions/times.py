@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetgauge.labels import SERVICE_DAY_OFFSET_SECONDS
@@ -10,14 +12,28 @@ from fleetgauge.labels import SERVICE_DAY_OFFSET_SECONDS
 _DAY = 86_400
 
 
-def clock_seconds(text: Column) -> Column:
-    """``HH:MM:SS`` as seconds after midnight; hours may pass 24, other shapes give NULL."""
-    hour, minute, second = (
-        F.split_part(text, F.lit(":"), F.lit(part)).try_cast("int") for part in (1, 2, 3)
+def with_clock_seconds(df: DataFrame, clocks: Mapping[str, str]) -> DataFrame:
+    """Add, per clock text column, its seconds after midnight under the given name.
+
+    ``HH:MM:SS`` may pass 24 hours; other shapes give NULL. Text is split once per row: the
+    steps are separate projections because one expression would repeat the split for every part.
+    """
+    parts = {alias: f"{alias}__parts" for alias in clocks.values()}
+    split = df.withColumns({parts[alias]: F.split(F.col(text), ":") for text, alias in clocks.items()})
+    numbers = {
+        alias: [F.get(parts[alias], part).try_cast("bigint") for part in range(3)] for alias in parts
+    }
+    stepped = split.withColumns(
+        {f"{alias}__{part}": column for alias, columns in numbers.items() for part, column in enumerate(columns)}
     )
-    readable = hour.isNotNull() & minute.between(0, 59) & second.between(0, 59)
-    total = hour.cast("bigint") * 3600 + minute * 60 + second
-    return F.when(readable, total.try_cast("int"))
+
+    def total(alias: str) -> Column:
+        hour, minute, second = (F.col(f"{alias}__{part}") for part in range(3))
+        readable = minute.between(0, 59) & second.between(0, 59)
+        return F.when(readable, (hour * 3600 + minute * 60 + second).try_cast("int"))
+
+    helpers = [*parts.values(), *[f"{alias}__{part}" for alias in parts for part in range(3)]]
+    return stepped.withColumns({alias: total(alias) for alias in parts}).drop(*helpers)
 
 
 def seconds_between(earlier: Column, later: Column) -> Column:

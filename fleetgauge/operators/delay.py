@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetgauge import labels as L
-from fleetgauge.functions import clock_seconds, late_by_seconds, number_from_json
+from fleetgauge.functions import late_by_seconds, number_from_json, with_clock_seconds
 from fleetgauge.schemas import STOP_UPDATES_TEXT
 
 _TRIP_SNAPSHOT = ["snapshot_folder", "trip_id"]
@@ -69,23 +69,22 @@ def unreadable_stop_updates(trip_updates: DataFrame) -> DataFrame:
     return trip_updates.where(text.isNotNull() & bad)
 
 
-def _with_clock_seconds(stop_times: DataFrame) -> DataFrame:
-    return stop_times.select(
-        "trip_id",
-        "stop_id",
-        "stop_sequence",
-        "arrival_time",
-        "departure_time",
-        clock_seconds(F.col("arrival_time")).alias("arrival_seconds_after_midnight"),
-        clock_seconds(F.col("departure_time")).alias("departure_seconds_after_midnight"),
-    )
+_CLOCKS = {
+    "arrival_time": "arrival_seconds_after_midnight",
+    "departure_time": "departure_seconds_after_midnight",
+}
+
+
+def _normalized(stop_times: DataFrame) -> DataFrame:
+    columns = ["trip_id", "stop_id", "stop_sequence", *_CLOCKS]
+    return with_clock_seconds(stop_times.select(*columns), _CLOCKS)
 
 
 def scheduled_stop_times_normalized(stop_times: DataFrame, stop_updates: DataFrame) -> DataFrame:
     """Schedule of the trips seen in realtime, with clock texts as seconds after midnight."""
     # Distinct before the semi join: one row per trip crosses the network, not one per stop update.
     seen = stop_updates.select("trip_id").where(F.col("trip_id").isNotNull()).distinct()
-    return _with_clock_seconds(stop_times.join(seen, "trip_id", "left_semi"))
+    return _normalized(stop_times.join(seen, "trip_id", "left_semi"))
 
 
 def _estimated_minutes(side: str, **service_day) -> Column:
@@ -112,7 +111,7 @@ def stop_time_schedule_vs_actual(
     """
     key = ["trip_id", "stop_sequence", "stop_id"]
     if "arrival_seconds_after_midnight" not in stop_times.columns:
-        stop_times = _with_clock_seconds(stop_times)
+        stop_times = _normalized(stop_times)
     scheduled = stop_times.where(
         F.col("trip_id").isNotNull() & F.col("stop_sequence").isNotNull() & F.col("stop_id").isNotNull()
     ).select(
@@ -124,7 +123,13 @@ def stop_time_schedule_vs_actual(
     matched = F.col("in_schedule").isNotNull()
     scheduled_at = F.coalesce("arrival_seconds_after_midnight", "departure_seconds_after_midnight")
     service = {"day_offset_seconds": day_offset_seconds, "service_day": service_day}
-    return stop_updates.join(scheduled, key, "left").select(
+    joined = stop_updates.join(scheduled, key, "left").withColumns(
+        {
+            "estimated_arrival_delay_minutes": _estimated_minutes("arrival", **service),
+            "estimated_departure_delay_minutes": _estimated_minutes("departure", **service),
+        }
+    )
+    return joined.select(
         "snapshot_folder",
         "snapshot_timestamp_utc",
         "entity_id",
@@ -139,11 +144,11 @@ def stop_time_schedule_vs_actual(
         "departure_seconds_after_midnight",
         matched.alias("matched_scheduled_stop"),
         (matched & scheduled_at.isNull()).alias("schedule_time_parse_failed"),
-        _estimated_minutes("arrival", **service).alias("estimated_arrival_delay_minutes"),
-        _estimated_minutes("departure", **service).alias("estimated_departure_delay_minutes"),
-        F.coalesce(
-            _estimated_minutes("arrival", **service), _estimated_minutes("departure", **service)
-        ).alias("estimated_delay_minutes"),
+        "estimated_arrival_delay_minutes",
+        "estimated_departure_delay_minutes",
+        F.coalesce("estimated_arrival_delay_minutes", "estimated_departure_delay_minutes").alias(
+            "estimated_delay_minutes"
+        ),
     )
 
 

@@ -24,8 +24,8 @@ def _first_rows(df: DataFrame, order: list[str], rows: int) -> DataFrame:
     return top.withColumn("sample_number", F.row_number().over(Window.orderBy(*keys)))
 
 
-def _labelled(df: DataFrame, label: str, **changes: Column) -> DataFrame:
-    """Rows in the evaluation schema: fields from ``changes``, else from ``df``, else NULL."""
+def _case(df: DataFrame, label: str, **changes: Column) -> list[Column]:
+    """The evaluation columns of a case: from ``changes``, else from ``df``, else NULL."""
     prefix, source_model, record_type, severity, reason = L.EVALUATION_CASES[label]
     fixed = {
         "evaluation_record_id": F.concat(F.lit(prefix), F.col("sample_number").cast("string")),
@@ -43,7 +43,11 @@ def _labelled(df: DataFrame, label: str, **changes: Column) -> DataFrame:
             return fixed[name]
         return F.col(name) if name in df.columns else F.lit(None)
 
-    return df.select(*[value(f.name).cast(f.dataType).alias(f.name) for f in EVALUATION.fields])
+    return [value(f.name).cast(f.dataType).alias(f.name) for f in EVALUATION.fields]
+
+
+def _labelled(df: DataFrame, label: str, **changes: Column) -> DataFrame:
+    return df.select(*_case(df, label, **changes))
 
 
 def _without_delay() -> dict[str, Column]:
@@ -91,12 +95,22 @@ _VEHICLE_ORDER = ["snapshot_folder", "route_id", "vehicle_id", "entity_id"]
 _UPDATE_ORDER = ["snapshot_folder", "route_id", "trip_id", "entity_id"]
 
 
-def _plausible(on_time_performance: DataFrame) -> DataFrame:
-    return on_time_performance.where(F.col("delay_sanity_status") == L.PLAUSIBLE).select(*_TRIP_FIELDS)
+def _plausible(on_time_performance: DataFrame, rows: int) -> DataFrame:
+    plausible = on_time_performance.where(F.col("delay_sanity_status") == L.PLAUSIBLE)
+    return _first_rows(plausible.select(*_TRIP_FIELDS), _TRIP_ORDER, rows)
+
+
+def _extreme_delay(minutes: float) -> dict[str, Column]:
+    return {
+        "estimated_delay_minutes": F.col("estimated_delay_minutes") + minutes,
+        "delay_sanity_status": F.lit(L.EXTREME_LATE),
+        "delay_band": F.lit(L.DELAY_BANDS[-1]),
+        "on_time_flag": F.lit(False),
+    }
 
 
 def sample_normal(on_time_performance: DataFrame, rows: int = L.NORMAL_SAMPLE_ROWS) -> DataFrame:
-    return _labelled(_first_rows(_plausible(on_time_performance), _TRIP_ORDER, rows), "normal")
+    return _labelled(_plausible(on_time_performance, rows), "normal")
 
 
 def inject_stale_timestamp(vehicles: DataFrame, rows: int = L.INJECTED_ROWS, hours: int = 2) -> DataFrame:
@@ -156,28 +170,44 @@ def inject_unmatched_reference(
 def inject_extreme_delay(
     on_time_performance: DataFrame, rows: int = L.INJECTED_ROWS, minutes: float = 90.0
 ) -> DataFrame:
-    timed = _plausible(on_time_performance).where(F.col("estimated_delay_minutes").isNotNull())
-    return _labelled(
-        _first_rows(timed, _TRIP_ORDER, rows),
-        "late_or_extreme_delay_outlier",
-        estimated_delay_minutes=F.col("estimated_delay_minutes") + minutes,
-        delay_sanity_status=F.lit(L.EXTREME_LATE),
-        delay_band=F.lit(L.DELAY_BANDS[-1]),
-        on_time_flag=F.lit(False),
+    first = _plausible(on_time_performance, rows)
+    return _labelled(first, "late_or_extreme_delay_outlier", **_extreme_delay(minutes))
+
+
+def _normal_and_extreme_delay(
+    on_time_performance: DataFrame, normal_rows: int, injected_rows: int, minutes: float = 90.0
+) -> DataFrame:
+    """``sample_normal`` and ``inject_extreme_delay`` from one pass over the mart.
+
+    Both take the first plausible trips in the same order.
+    """
+    first = _plausible(on_time_performance, max(normal_rows, injected_rows))
+    number = F.col("sample_number")
+    extreme = _case(first, "late_or_extreme_delay_outlier", **_extreme_delay(minutes))
+    records = F.array(
+        F.when(number <= normal_rows, F.struct(*_case(first, "normal"))),
+        F.when(number <= injected_rows, F.struct(*extreme)),
     )
+    exploded = first.select(F.explode(records).alias("record"))
+    return exploded.where(F.col("record").isNotNull()).select("record.*")
 
 
 def synthetic_anomaly_evaluation(
-    on_time_performance: DataFrame, vehicles: DataFrame, trip_updates: DataFrame, trips: DataFrame
+    on_time_performance: DataFrame,
+    vehicles: DataFrame,
+    trip_updates: DataFrame,
+    trips: DataFrame,
+    *,
+    normal_rows: int = L.NORMAL_SAMPLE_ROWS,
+    injected_rows: int = L.INJECTED_ROWS,
 ) -> DataFrame:
     """The normal sample and the five injected faults."""
     parts = [
-        sample_normal(on_time_performance),
-        inject_stale_timestamp(vehicles),
-        inject_gps_jump(vehicles),
-        inject_duplicate_label(trip_updates),
-        inject_unmatched_reference(trip_updates, trips),
-        inject_extreme_delay(on_time_performance),
+        _normal_and_extreme_delay(on_time_performance, normal_rows, injected_rows),
+        inject_stale_timestamp(vehicles, injected_rows),
+        inject_gps_jump(vehicles, injected_rows),
+        inject_duplicate_label(trip_updates, injected_rows),
+        inject_unmatched_reference(trip_updates, trips, injected_rows),
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -226,64 +256,79 @@ def anomaly_detection_metrics(predictions: DataFrame) -> DataFrame:
     """Confusion counts, precision, recall and F1: overall, and per label against the rest.
 
     Records are first counted per (flag, label) pair of truth and prediction. Each of the few
-    pairs then counts for the labels it names; the remaining ones are true negatives of a label.
+    pairs then counts for the overall row and for the labels it names; the pairs that do not name
+    a label are its true negatives.
     """
     truth, guess = F.col("is_synthetic_anomaly"), F.col("predicted_is_anomaly")
     actual, predicted = F.col("synthetic_anomaly_type"), F.col("predicted_anomaly_type")
     pairs = predictions.groupBy(truth, guess, actual, predicted).agg(F.count(F.lit(1)).alias("n"))
-    n = F.col("n")
-
-    def total(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, n)), F.lit(0)).cast("bigint")
-
-    overall = pairs.agg(
-        total(truth & guess).alias("true_positive"),
-        total(~truth & guess).alias("false_positive"),
-        total(truth & ~guess).alias("false_negative"),
-        total(~truth & ~guess).alias("true_negative"),
-        F.coalesce(F.sum(n), F.lit(0)).alias("total_records"),
-    ).select(F.lit("overall").alias("metric_scope"), F.lit("all_anomalies").alias("anomaly_type"), "*")
-
-    everything = Window.partitionBy()
-    label = F.col("anomaly_type")
-    named = F.array_compact(F.array_distinct(F.array(actual, predicted)))
-    by_type = (
-        pairs.withColumn("total_records", F.sum(n).over(everything))
-        .withColumn("compared", F.sum(F.when(actual.isNotNull() & predicted.isNotNull(), n)).over(everything))
-        .withColumn("anomaly_type", F.explode(named))
-        .groupBy("anomaly_type")
+    # No record at all still has an overall row, with a recall that is NULL and so fails its check.
+    nothing = [F.lit(None).cast(kind).alias(name) for name, kind in pairs.dtypes if name != "n"]
+    pairs = pairs.unionByName(
+        predictions.sparkSession.range(1).select(*nothing, F.lit(0).cast("bigint").alias("n"))
+    )
+    n, label = F.col("n"), F.col("anomaly_type")
+    overall = F.col("metric_scope") == "overall"
+
+    def row(scope: str, name: Column) -> Column:
+        return F.struct(F.lit(scope).alias("metric_scope"), name.alias("anomaly_type"))
+
+    counted_for = F.array_distinct(
+        F.array(
+            row("overall", F.lit("all_anomalies")),
+            row("by_anomaly_type", actual),
+            row("by_anomaly_type", predicted),
+        )
+    )
+
+    def total(in_overall: Column, in_label: Column) -> Column:
+        counts = F.when(overall, in_overall).otherwise(in_label)
+        return F.coalesce(F.sum(F.when(counts, n)), F.lit(0)).cast("bigint")
+
+    is_actual, is_predicted = actual == label, predicted == label
+    both_named = actual.isNotNull() & predicted.isNotNull()
+    tp, fp, fn = (F.col(name) for name in ("true_positive", "false_positive", "false_negative"))
+
+    def of_overall(name: str) -> Column:
+        # Over the handful of result rows, not over records.
+        return F.max(F.when(overall, F.col(name))).over(Window.partitionBy())
+
+    return (
+        pairs.select("*", F.explode(counted_for).alias("counted_for"))
+        .select("*", "counted_for.*")
+        .groupBy("metric_scope", "anomaly_type")
         .agg(
-            total((actual == label) & (predicted == label)).alias("true_positive"),
-            total((actual != label) & (predicted == label)).alias("false_positive"),
-            total((actual == label) & (predicted != label)).alias("false_negative"),
-            F.max("compared").alias("compared"),
-            F.max("total_records").alias("total_records"),
-            F.max(F.coalesce(truth & (actual == label), F.lit(False))).alias("injected"),
+            total(truth & guess, is_actual & is_predicted).alias("true_positive"),
+            total(~truth & guess, ~is_actual & is_predicted).alias("false_positive"),
+            total(truth & ~guess, is_actual & ~is_predicted).alias("false_negative"),
+            total(~truth & ~guess, F.lit(False)).alias("clear"),
+            total(F.lit(True), F.lit(False)).alias("records"),
+            total(both_named, F.lit(False)).alias("compared"),
+            F.max(overall | F.coalesce(truth & is_actual & (n > 0), F.lit(False))).alias("injected"),
+        )
+        .withColumns(
+            {
+                "total_records": of_overall("records"),
+                "true_negative": F.when(overall, F.col("clear")).otherwise(
+                    of_overall("compared") - tp - fp - fn
+                ),
+            }
         )
         .where("injected")
         .select(
-            F.lit("by_anomaly_type").alias("metric_scope"),
+            "metric_scope",
             "anomaly_type",
-            "true_positive",
-            "false_positive",
-            "false_negative",
-            (
-                F.col("compared")
-                - F.col("true_positive")
-                - F.col("false_positive")
-                - F.col("false_negative")
-            ).alias("true_negative"),
+            tp,
+            fp,
+            fn,
+            "true_negative",
             "total_records",
+            (tp + fn).alias("actual_positive_count"),
+            (tp + fp).alias("predicted_positive_count"),
+            F.when(tp + fp > 0, tp.cast("double") / (tp + fp)).alias("precision"),
+            F.when(tp + fn > 0, tp.cast("double") / (tp + fn)).alias("recall"),
+            F.when(tp == 0, F.lit(0.0))
+            .otherwise(tp.cast("double") * 2 / (tp * 2 + fp + fn).cast("double"))
+            .alias("f1_score"),
         )
     )
-    tp, fp, fn = (F.col(name) for name in ("true_positive", "false_positive", "false_negative"))
-    return overall.unionByName(by_type).select(
-        "*",
-        (tp + fn).alias("actual_positive_count"),
-        (tp + fp).alias("predicted_positive_count"),
-        F.when(tp + fp > 0, tp.cast("double") / (tp + fp)).alias("precision"),
-        F.when(tp + fn > 0, tp.cast("double") / (tp + fn)).alias("recall"),
-        F.when(tp == 0, F.lit(0.0))
-        .otherwise(tp.cast("double") * 2 / (tp * 2 + fp + fn).cast("double"))
-        .alias("f1_score"),
-    )

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from fleetgauge import labels as L
 
-_ROWS = F.lit(1)
+def _rows() -> Column:
+    return F.count(F.lit(1))
 
 
 def _top(df: DataFrame, rows: int, *order: Column, ties: tuple[str, ...]) -> DataFrame:
@@ -16,16 +17,16 @@ def _top(df: DataFrame, rows: int, *order: Column, ties: tuple[str, ...]) -> Dat
 
 
 def _most_frequent(df: DataFrame, keys: list[str], alias: str) -> DataFrame:
-    counted = df.groupBy(*keys).agg(F.count(_ROWS).alias(alias))
+    counted = df.groupBy(*keys).agg(_rows().alias(alias))
     return counted.orderBy(F.col(alias).desc(), *[F.col(key).asc_nulls_last() for key in keys])
 
 
 def kpi_snapshots(feed_quality: DataFrame) -> DataFrame:
-    return feed_quality.agg(F.count(_ROWS).alias("snapshot_count"))
+    return feed_quality.agg(_rows().alias("snapshot_count"))
 
 
 def kpi_findings(findings: DataFrame) -> DataFrame:
-    return findings.agg(F.count(_ROWS).alias("finding_count"))
+    return findings.agg(_rows().alias("finding_count"))
 
 
 def kpi_priority_findings(findings: DataFrame) -> DataFrame:
@@ -40,7 +41,7 @@ def kpi_avg_plausible_delay(on_time_performance: DataFrame) -> DataFrame:
 
 def kpi_match_rate(on_time_performance: DataFrame) -> DataFrame:
     matched = F.count_if(F.col("schedule_match_status") == L.MATCHED).cast("double")
-    return on_time_performance.agg(F.try_divide(matched, F.count(_ROWS)).alias("match_rate"))
+    return on_time_performance.agg(F.try_divide(matched, _rows()).alias("match_rate"))
 
 
 def findings_by_type(findings: DataFrame) -> DataFrame:
@@ -142,7 +143,7 @@ def top_delayed_routes(on_time_performance: DataFrame, rows: int = 25, min_trips
         on_time_performance.where(F.col("delay_sanity_status") == L.PLAUSIBLE)
         .groupBy("route_id")
         .agg(
-            F.count(_ROWS).alias("trip_snapshot_count"),
+            _rows().alias("trip_snapshot_count"),
             F.avg("estimated_delay_minutes").alias("avg_estimated_delay_minutes"),
             F.max("estimated_delay_minutes").alias("max_estimated_delay_minutes"),
         )

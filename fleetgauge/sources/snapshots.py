@@ -41,7 +41,7 @@ def snapshot_range(df: DataFrame, start: str | None = None, end: str | None = No
 
 
 def _read_files(spark: SparkSession, location: str) -> DataFrame:
-    return spark.read.option("wholetext", True).text(location)
+    return spark.read.text(location, wholetext=True)
 
 
 def parse_snapshot_files(files: DataFrame, feed: str) -> DataFrame:
