@@ -12,10 +12,14 @@ _SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Hot trips, NULL trip ids and busy snapshots are split at run time.
+    # File sizes are of compressed columns; only what is small even unpacked is broadcast on that
+    # estimate. Sizes measured at run time are trusted further.
+    "spark.sql.autoBroadcastJoinThreshold": "2m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "16m",
+    # Hot trips, NULL trip ids and busy snapshots are split at run time, even where the rows
+    # then have to be shuffled once more for the grouping that follows.
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # A re-run of some snapshots replaces only the dates it touches.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 

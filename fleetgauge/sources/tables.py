@@ -20,7 +20,13 @@ def replace_sink(
 
     Rows are counted while they are written, not by a second pass. With
     ``only_touched_partitions`` other partitions of an existing table stay.
+
+    A partitioned table is rebalanced by its partition columns first: else every task would write
+    a small file into every partition. Unlike a repartitioning, this splits a partition that holds
+    most of the rows over several tasks.
     """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("row_count"))
     mode = "dynamic" if only_touched_partitions else "static"

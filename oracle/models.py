@@ -269,7 +269,11 @@ MODELS = {
                    count() FILTER (schedule_time_parse_failed) AS unreadable,
                    min(ifnull(arrival_time_utc, departure_time_utc)) AS first_time,
                    max(ifnull(departure_time_utc, arrival_time_utc)) AS last_time,
-                   avg(estimated_delay_minutes) AS mean, max(estimated_delay_minutes) AS most,
+                   -- Whole seconds add up exactly; a sum of fractions of minutes depends on its order,
+                   -- and an average of exactly 5 minutes would fall on either side of the edge.
+                   sum(round(estimated_delay_minutes * 60)::BIGINT)::DOUBLE
+                       / (60 * count(estimated_delay_minutes)) AS mean,
+                   max(estimated_delay_minutes) AS most,
                    min(estimated_delay_minutes) AS least_delay
             FROM stop_time_schedule_vs_actual GROUP BY ALL
         )
