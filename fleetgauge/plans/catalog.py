@@ -13,10 +13,12 @@ from fleetgauge import labels as L
 from fleetgauge.operators import anomaly, assertions, capture, delay, evaluation, reports
 from fleetgauge.plans.checks import check_suite
 from fleetgauge.plans.derived_files import capture_files_folder, schedule_folder
+from fleetgauge.plans.load import load_raw
 from fleetgauge.plans.models import Models, materialize_layers
 from fleetgauge.session import configure, new_scratch_path
 from fleetgauge.sources import entities, schedule, snapshots, star_tables
 from fleetgauge.sources.tables import replace_sink
+from fleetgauge.streaming.snapshot_stream import SnapshotStore, windowed_record_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -193,11 +195,23 @@ def _(spark, folder):
     return spark.read.parquet(target)
 
 
+@_query("load_raw")
+def _(spark, folder):
+    """Schedule and snapshot files into stored raw tables."""
+    counts = load_raw(
+        spark,
+        schedule_folder(spark, folder),
+        capture_files_folder(spark, folder),
+        new_scratch_path(spark, "raw"),
+        patterns={feed: f"{feed}/*/*" for feed in (L.VEHICLE_FEED, L.TRIP_UPDATE_FEED)},
+    )
+    return spark.createDataFrame(list(counts.items()), "table_name string, row_count bigint")
+
+
 @_query("materialize_layers")
 def _(spark, folder):
     models = star_models(spark, folder)
-    wanted = ("dim_route", "dim_stop", "fct_feed_quality", "fct_route_realtime_activity", "fct_headway")
-    counts = materialize_layers(models, new_scratch_path(spark, "layers"), wanted, register_views=False)
+    counts = materialize_layers(models, new_scratch_path(spark, "layers"), register_views=False)
     return spark.createDataFrame(list(counts.items()), "model string, row_count bigint")
 
 
@@ -242,6 +256,37 @@ def _(spark, folder):
     return capture.missing_snapshot_slots(_all_records(spark, folder), interval_minutes=60)
 
 
+# --- Streams ---------------------------------------------------------------------------------
+
+
+@_query("windowed_record_counts")
+def _(spark, folder):
+    """The windowed counts of a stream, here over all records at once."""
+    return windowed_record_counts(_all_records(spark, folder), window="6 hours")
+
+
+@_query("streamed_feed_quality")
+def _(spark, folder):
+    """Feed quality of the daily snapshot files, stored and summed up by a stream over them."""
+    store = SnapshotStore(
+        spark,
+        new_scratch_path(spark, "stream-store"),
+        {
+            "trips": star_tables.raw_trips(spark, folder),
+            "stop_times": star_tables.raw_stop_times(spark, folder),
+        },
+        {"max_gap_minutes": HOURLY_GAP_MINUTES},
+    )
+    stream = store.follow(
+        capture_files_folder(spark, folder),
+        new_scratch_path(spark, "stream-checkpoint"),
+        pattern=f"{{{L.VEHICLE_FEED},{L.TRIP_UPDATE_FEED}}}/*/*",
+        availableNow=True,
+    )
+    stream.awaitTermination()
+    return store.mart("fct_feed_quality").drop("snapshot_date")
+
+
 # --- Staging ---------------------------------------------------------------------------------
 
 for _name in ("stg_routes", "stg_trips", "stg_stops", "stg_stop_times"):
@@ -302,6 +347,11 @@ _over_models(
     "departure_delay_minutes",
     lambda m: m.stop_time_schedule_vs_actual.select(*_STOP_KEY, "estimated_departure_delay_minutes"),
 )
+_over_models(
+    "estimated_delay_minutes",
+    lambda m: m.stop_time_schedule_vs_actual.select(*_STOP_KEY, "estimated_delay_minutes"),
+    rounded=(),
+)
 _over_models(
     "schedule_time_parse_failed",
     lambda m: m.stop_time_schedule_vs_actual.where("schedule_time_parse_failed").select(*_STOP_KEY),

@@ -59,8 +59,9 @@ def capture_files_folder(spark: SparkSession, folder: str) -> str:
     """Snapshot files of both feeds, a snapshot a day: ``<feed>/snapshot_folder=snapshot_x/*``."""
 
     def daily(records: DataFrame) -> DataFrame:
-        day = F.concat(F.substring("snapshot_folder", 1, 17), F.lit("_000000"))
-        return records.withColumn("snapshot_folder", day)
+        midnight = F.concat(F.substring("snapshot_timestamp_utc", 1, 10), F.lit("T00:00:00Z"))
+        folder = F.concat(F.substring("snapshot_folder", 1, 17), F.lit("_000000"))
+        return records.withColumns({"snapshot_timestamp_utc": midnight, "snapshot_folder": folder})
 
     def write(root: str) -> None:
         vehicles = star_tables.raw_vehicle_positions(spark, folder, iso_text=True)

@@ -37,7 +37,7 @@ def union_feeds_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     try:
         return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
@@ -54,10 +54,10 @@ def resolve_feed_layout(spark: SparkSession, root: str) -> dict[str, str]:
     parent, _, last = root.rpartition("/")
     above = parent if last == "extracted" else root
     feeds = {feed: f"{above}/{feed}/extracted" for feed in SCHEDULE_FEEDS}
-    found = {feed: folder for feed, folder in feeds.items() if _exists(spark, folder)}
+    found = {feed: folder for feed, folder in feeds.items() if path_exists(spark, folder)}
     if found:
         return found
-    return {SINGLE_FEED: root} if _exists(spark, root) else {}
+    return {SINGLE_FEED: root} if path_exists(spark, root) else {}
 
 
 def list_schedule_files(spark: SparkSession, layout: Mapping[str, str]) -> DataFrame:
@@ -66,7 +66,7 @@ def list_schedule_files(spark: SparkSession, layout: Mapping[str, str]) -> DataF
         (feed, table, f"{folder}/{table}.txt")
         for feed, folder in layout.items()
         for table in REQUIRED_TABLES + OPTIONAL_TABLES
-        if _exists(spark, f"{folder}/{table}.txt")
+        if path_exists(spark, f"{folder}/{table}.txt")
     ]
     return spark.createDataFrame(rows, "source_feed string, table_name string, path string")
 
@@ -85,7 +85,7 @@ def missing_required_tables(
 def check_required_tables(spark: SparkSession, layout: Mapping[str, str]) -> None:
     """Raise if a feed lacks a required file, naming the feed and the files."""
     for feed, folder in layout.items():
-        missing = [t for t in REQUIRED_TABLES if not _exists(spark, f"{folder}/{t}.txt")]
+        missing = [t for t in REQUIRED_TABLES if not path_exists(spark, f"{folder}/{t}.txt")]
         if missing:
             files = ", ".join(f"{table}.txt" for table in missing)
             raise FileNotFoundError(f"Static feed '{feed}' is missing required GTFS files: {files}")
@@ -103,7 +103,7 @@ def load_schedule(spark: SparkSession, root: str) -> dict[str, DataFrame]:
         frames = [
             tag_source_feed(scan_static_csv(spark, f"{folder}/{table}.txt"), feed)
             for feed, folder in layout.items()
-            if table in REQUIRED_TABLES or _exists(spark, f"{folder}/{table}.txt")
+            if table in REQUIRED_TABLES or path_exists(spark, f"{folder}/{table}.txt")
         ]
         if frames:
             tables[table] = with_schedule_columns(union_feeds_by_name(frames), table)

@@ -34,10 +34,15 @@ def replace_sink(
         writer = counted.write.mode("overwrite").option("partitionOverwriteMode", mode)
         writer.partitionBy(*partition_by).parquet(target)
     elif only_touched_partitions and df.sparkSession.catalog.tableExists(target):
-        stored = df.sparkSession.table(target)
-        counted.select(*stored.columns).write.option("partitionOverwriteMode", mode).insertInto(
-            target, overwrite=True
-        )
+        # Inserting into a table heeds only the session setting, not a write option.
+        spark = df.sparkSession
+        setting = "spark.sql.sources.partitionOverwriteMode"
+        before = spark.conf.get(setting)
+        spark.conf.set(setting, mode)
+        try:
+            counted.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
+        finally:
+            spark.conf.set(setting, before)
     else:
         counted.write.mode("overwrite").partitionBy(*partition_by).saveAsTable(target)
     return seen.get["row_count"]

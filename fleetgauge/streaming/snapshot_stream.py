@@ -16,13 +16,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetgauge import labels as L
+from fleetgauge.plans.load import with_date
 from fleetgauge.plans.models import Models
-from fleetgauge.schemas import RAW_TRIP_UPDATES, RAW_VEHICLE_POSITIONS
-from fleetgauge.sources.snapshots import empty_source_schema, parse_snapshot_files, with_snapshot_date
+from fleetgauge.sources.snapshots import (
+    RAW_SCHEMAS,
+    empty_source_schema,
+    parse_snapshot_files,
+    with_snapshot_date,
+)
 from fleetgauge.sources.tables import replace_sink
 
-_SCHEMAS = {L.VEHICLE_FEED: RAW_VEHICLE_POSITIONS, L.TRIP_UPDATE_FEED: RAW_TRIP_UPDATES}
-
 # Findings read the two marts before them.
 STREAMED_MARTS = (
     "fct_feed_quality",
@@ -33,20 +36,27 @@ STREAMED_MARTS = (
 )
 
 
-def snapshot_files(spark: SparkSession, root: str, *, max_files: int = 200) -> DataFrame:
+# Both feeds of a snapshot as the capture leaves them.
+CAPTURE_PATTERN = f"{L.SNAPSHOT_PREFIX}*/{{{L.VEHICLE_FEED},{L.TRIP_UPDATE_FEED}}}.json"
+
+
+def snapshot_files(
+    spark: SparkSession, root: str, *, pattern: str = CAPTURE_PATTERN, max_files: int = 200
+) -> DataFrame:
     """Stream of the snapshot files of both feeds, each as one text."""
-    pattern = f"{root.rstrip('/')}/{L.SNAPSHOT_PREFIX}*/{{{L.VEHICLE_FEED},{L.TRIP_UPDATE_FEED}}}.json"
     reader = spark.readStream.option("maxFilesPerTrigger", max_files)
-    return reader.text(pattern, wholetext=True).select("value", "_metadata")
+    files = reader.text(f"{root.rstrip('/')}/{pattern}", wholetext=True)
+    return files.select("value", "_metadata")
 
 
-def stream_records(spark: SparkSession, root: str, feed: str, *, max_files: int = 200) -> DataFrame:
+def stream_records(spark: SparkSession, root: str, feed: str, **options) -> DataFrame:
     """Stream of the raw records of one feed."""
-    return parse_snapshot_files(_of_feed(snapshot_files(spark, root, max_files=max_files), feed), feed)
+    return parse_snapshot_files(_of_feed(snapshot_files(spark, root, **options), feed), feed)
 
 
 def _of_feed(files: DataFrame, feed: str) -> DataFrame:
-    return files.where(F.col("_metadata.file_name") == f"{feed}.json")
+    # .../<feed>.json, or any file of a folder <feed>
+    return files.where(F.col("_metadata.file_path").rlike(rf"/{feed}(\.json$|/)"))
 
 
 def windowed_record_counts(
@@ -85,8 +95,7 @@ class SnapshotStore:
 
     def records(self, feed: str) -> DataFrame:
         """Stored raw records with their ``snapshot_date``."""
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _SCHEMAS[feed].fields)
-        schema = f"{columns}, snapshot_date string, batch_id bigint"
+        schema = with_date(RAW_SCHEMAS[feed]).add("batch_id", "long")
         try:
             return self.spark.read.schema(schema).parquet(self._path(feed)).drop("batch_id")
         except AnalysisException as error:
@@ -102,7 +111,7 @@ class SnapshotStore:
     def add(self, files: DataFrame, batch_id: int) -> None:
         """Store one batch of snapshot files and refresh the days it touches."""
         touched: set[str] = set()
-        for feed in _SCHEMAS:
+        for feed in RAW_SCHEMAS:
             records = with_snapshot_date(parse_snapshot_files(_of_feed(files, feed), feed))
             numbered = records.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
             path = self._path(feed)
@@ -139,7 +148,7 @@ class SnapshotStore:
         rebuilt = {stored[i] for day in days for i in (position[day], position[day] + 1) if i < len(stored)}
         read = rebuilt | {stored[position[day] - 1] for day in rebuilt if position[day] > 0}
 
-        raw = {feed: self.records(feed).where(F.col("snapshot_date").isin(*read)) for feed in _SCHEMAS}
+        raw = {feed: self.records(feed).where(F.col("snapshot_date").isin(*read)) for feed in RAW_SCHEMAS}
         models = Models({**self.schedule, **raw}, **self.options)
         for name in STREAMED_MARTS:
             rows = with_snapshot_date(models[name]).where(F.col("snapshot_date").isin(*rebuilt))
@@ -152,11 +161,19 @@ class SnapshotStore:
             )
             models.stored[name] = self.mart(name).where(F.col("snapshot_date").isin(*rebuilt))
 
-    def follow(self, root: str, checkpoint: str, *, max_files: int = 200, **trigger) -> StreamingQuery:
+    def follow(
+        self,
+        root: str,
+        checkpoint: str,
+        *,
+        pattern: str = CAPTURE_PATTERN,
+        max_files: int = 200,
+        **trigger,
+    ) -> StreamingQuery:
         """Start following a capture folder; ``trigger`` as for a stream writer."""
-        writer = snapshot_files(self.spark, root, max_files=max_files).writeStream
+        files = snapshot_files(self.spark, root, pattern=pattern, max_files=max_files)
         return (
-            writer.foreachBatch(lambda files, batch_id: self.add(files, batch_id))
+            files.writeStream.foreachBatch(lambda files, batch_id: self.add(files, batch_id))
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True}))
             .start()

@@ -86,12 +86,14 @@ FEEDS = {
             WHERE event_id % 3 = 0
         )
     """,
-    # The files written for the file scans: three feeds by the digits of an id, daily snapshots.
+    # The schedule files written for the file scans: three feeds by the digits of an id.
     "feed_names": "SELECT unnest(['busco', 'brooklyn', 'bronx']) AS feed, unnest([0, 1, 2]) AS residue",
-    "daily_vehicles": """
-        SELECT * REPLACE (snapshot_folder[1:17] || '_000000' AS snapshot_folder) FROM raw_vehicle_positions
-    """,
-    "daily_updates": """
-        SELECT * REPLACE (snapshot_folder[1:17] || '_000000' AS snapshot_folder) FROM raw_trip_updates
-    """,
+}
+
+# Snapshots of a day instead of an hour, as the written snapshot files have them.
+DAILY = {
+    "reports": FEEDS["reports"].replace(
+        "date_trunc('hour', ts) + INTERVAL 1 HOUR AS taken_at",
+        "date_trunc('day', date_trunc('hour', ts) + INTERVAL 1 HOUR)::TIMESTAMP AS taken_at",
+    )
 }

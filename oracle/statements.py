@@ -6,7 +6,8 @@ import re
 
 from fleetgauge import labels as L
 from fleetgauge.plans.checks import CHECKS
-from oracle.feeds import FEEDS
+from fleetgauge.plans.models import TABLES
+from oracle.feeds import DAILY, FEEDS
 from oracle.models import MODELS, text
 
 _TABLES = {**FEEDS, **MODELS}
@@ -14,17 +15,18 @@ _NAME = re.compile(r"\b(" + "|".join(sorted(_TABLES, key=len, reverse=True)) + r
 _QUOTED = re.compile(r"'(?:[^']|'')*'")
 
 
-def _needed(sql: str, found: dict[str, None]) -> None:
+def _needed(sql: str, tables: dict[str, str], found: dict[str, None]) -> None:
     for name in _NAME.findall(_QUOTED.sub("''", sql)):
         if name not in found:
-            _needed(_TABLES[name], found)
+            _needed(tables[name], tables, found)
             found[name] = None
 
 
-def with_tables(sql: str) -> str:
+def with_tables(sql: str, replaced: dict[str, str] | None = None) -> str:
+    tables = {**_TABLES, **(replaced or {})}
     needed: dict[str, None] = {}
-    _needed(sql, needed)
-    parts = ",\n".join(f"{name} AS ({_TABLES[name]})" for name in needed)
+    _needed(sql, tables, needed)
+    parts = ",\n".join(f"{name} AS ({tables[name]})" for name in needed)
     return f"WITH {parts}\n{sql}" if parts else sql
 
 
@@ -116,8 +118,6 @@ def _statements() -> dict[str, str]:
         "optional_tables": f"""
             SELECT source_feed, table_name, count() AS row_count FROM ({_SCHEDULE_FILES})
             WHERE table_name <> 'calendar' GROUP BY ALL UNION ALL {_CALENDAR_ROWS}""",
-        "scan_snapshots": "FROM daily_vehicles",
-        "snapshot_lineage": "SELECT snapshot_folder, entity_id, trip_id FROM daily_updates",
         "snapshot_range": """
             FROM raw_vehicle_positions
             WHERE snapshot_timestamp_utc BETWEEN '2024-01-08T00:00:00Z' AND '2024-01-21T23:00:00Z'""",
@@ -127,9 +127,12 @@ def _statements() -> dict[str, str]:
         "replace_sink": "SELECT snapshot_folder, entity_id FROM stg_trip_updates",
         "materialize_layers": " UNION ALL ".join(
             f"SELECT '{model}' AS model, count() AS row_count FROM {model}"
-            for model in ("dim_route", "dim_stop", "fct_feed_quality", "fct_route_realtime_activity",
-                          "fct_headway")
+            for model in TABLES
         ),
+        "load_raw": " UNION ALL ".join(
+            f"SELECT 'raw_{table}' AS table_name, count() AS row_count FROM raw_{table}"
+            for table in (*L.REQUIRED_TABLES, L.VEHICLE_FEED, L.TRIP_UPDATE_FEED)
+        ) + " UNION ALL SELECT 'raw_calendar', count(DISTINCT service_id) FROM raw_trips",
         "flatten_vehicle_entity": """
             SELECT 'vehicle_positions' AS feed_type, taken_text AS snapshot_timestamp_utc,
                    if(event_id % 17 = 5, NULL, 'V' || user_id) AS entity_id, 'BUS_' || user_id AS vehicle_id,
@@ -172,10 +175,18 @@ def _statements() -> dict[str, str]:
             FROM (SELECT unnest(generate_series(min(snapshot_timestamp_utc), max(snapshot_timestamp_utc),
                                                 INTERVAL 1 HOUR)) AS slot FROM both_feeds)
             WHERE slot NOT IN (SELECT snapshot_timestamp_utc FROM both_feeds)""",
+        "windowed_record_counts": """
+            SELECT make_timestamp(first_second * 1000000) AS window_start,
+                   window_start + INTERVAL 6 HOUR AS window_end, feed_type, count() AS record_count
+            FROM (SELECT realtime_source AS feed_type,
+                         epoch_us(snapshot_timestamp_utc) // 1000000 // 21600 * 21600 AS first_second
+                  FROM both_feeds)
+            GROUP BY first_second, feed_type""",
         "realtime_stop_time_updates_native": "FROM realtime_stop_time_updates",
         "arrival_delay_minutes": f"{_DELAYED}, estimated_arrival_delay_minutes FROM stop_time_schedule_vs_actual",
         "departure_delay_minutes":
             f"{_DELAYED}, estimated_departure_delay_minutes FROM stop_time_schedule_vs_actual",
+        "estimated_delay_minutes": f"{_DELAYED}, estimated_delay_minutes FROM stop_time_schedule_vs_actual",
         "schedule_time_parse_failed":
             f"{_DELAYED} FROM stop_time_schedule_vs_actual WHERE schedule_time_parse_failed",
         "nearest_service_day_delay": _NEAREST,
@@ -277,5 +288,14 @@ def _statements() -> dict[str, str]:
     return plain | found
 
 
+_OVER_DAILY_FILES = {
+    "scan_snapshots": "FROM raw_vehicle_positions",
+    "snapshot_lineage": "SELECT snapshot_folder, entity_id, trip_id FROM raw_trip_updates",
+    "streamed_feed_quality": "FROM fct_feed_quality",
+}
+
+
 def statements() -> dict[str, str]:
-    return {name: with_tables(sql) for name, sql in _statements().items()}
+    return {name: with_tables(sql) for name, sql in _statements().items()} | {
+        name: with_tables(sql, DAILY) for name, sql in _OVER_DAILY_FILES.items()
+    }

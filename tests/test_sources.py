@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from fleetgauge import labels as L
 from fleetgauge.operators.capture import capture_audit, capture_files, capture_status_summary
+from fleetgauge.plans.load import load_raw, open_raw
 from fleetgauge.plans.models import Models, materialize_layers
 from fleetgauge.schemas import TRIP_UPDATE_ENTITY, VEHICLE_ENTITY
 from fleetgauge.sources.entities import flatten_trip_update_entity, flatten_vehicle_entity
@@ -26,10 +27,10 @@ from fleetgauge.sources.snapshots import (
 from fleetgauge.sources.tables import replace_sink
 
 FILES = {
-    "routes": "route_id,route_short_name\nM20,M20\n",
-    "trips": "route_id,service_id,trip_id\nM20,weekday,trip-1\n",
-    "stops": "stop_id,stop_name\n400001,Example Stop\n",
-    "stop_times": "trip_id,stop_id,stop_sequence\ntrip-1,400001,1\n",
+    "routes": "route_id,route_short_name\nQ7,Q7\n",
+    "trips": "route_id,service_id,trip_id\nQ7,wkd,T-11\n",
+    "stops": "stop_id,stop_name\nS-81,Harbour Rd\n",
+    "stop_times": "trip_id,stop_id,stop_sequence\nT-11,S-81,1\n",
 }
 
 
@@ -56,9 +57,9 @@ def test_flat_layout_is_one_feed(spark, tmp_path):
     assert set(tables) == set(L.REQUIRED_TABLES)
     assert {name: df.count() for name, df in tables.items()} == dict.fromkeys(L.REQUIRED_TABLES, 1)
     assert tables["trips"].first().asDict() == {
-        "route_id": "M20",
-        "service_id": "weekday",
-        "trip_id": "trip-1",
+        "route_id": "Q7",
+        "service_id": "wkd",
+        "trip_id": "T-11",
         "source_feed": "single_feed",
         "trip_headsign": None,
         "direction_id": None,
@@ -68,12 +69,12 @@ def test_flat_layout_is_one_feed(spark, tmp_path):
 
 def test_feeds_win_over_the_flat_folder_and_keep_their_order(spark, tmp_path):
     write_feed(tmp_path / "extracted")
-    write_feed(tmp_path / "brooklyn" / "extracted", routes="route_id,route_color\nB1,red\n")
-    write_feed(tmp_path / "busco" / "extracted", routes="route_id\nB100\n", calendar="service_id\nweekday\n")
+    write_feed(tmp_path / "brooklyn" / "extracted", routes="route_id,route_color\nK1,red\n")
+    write_feed(tmp_path / "busco" / "extracted", routes="route_id\nK100\n", calendar="service_id\nwkd\n")
     assert list(resolve_feed_layout(spark, str(tmp_path / "extracted"))) == ["busco", "brooklyn"]
     tables = load_schedule(spark, str(tmp_path))
     routes = tables["routes"].select("source_feed", "route_id", "route_color").collect()
-    assert sorted(map(tuple, routes)) == [("brooklyn", "B1", "red"), ("busco", "B100", None)]
+    assert sorted(map(tuple, routes)) == [("brooklyn", "K1", "red"), ("busco", "K100", None)]
     assert tables["calendar"].count() == 1 and "calendar_dates" not in tables
 
 
@@ -93,36 +94,36 @@ def test_missing_required_file_names_feed_and_file(spark, tmp_path):
 
 
 def test_scan_adds_folder_and_compacts_stop_updates(spark, tmp_path, write_snapshot):
-    record = {"entity_id": "trip-1", "trip_id": "trip-1", "stop_time_updates": [{"stop_id": "400001"}]}
-    write_snapshot(tmp_path, "snapshot_20260902_234000", trip_updates=[record, {"entity_id": "t2"}])
+    record = {"entity_id": "T-11", "trip_id": "T-11", "stop_time_updates": [{"stop_id": "S-81"}]}
+    write_snapshot(tmp_path, "snapshot_20231114_221000", trip_updates=[record, {"entity_id": "t2"}])
     found = scan_snapshots(spark, str(tmp_path), L.TRIP_UPDATE_FEED).orderBy("entity_id").collect()
-    assert found[1]["snapshot_folder"] == "snapshot_20260902_234000"
-    assert found[1]["stop_time_updates"] == '[{"stop_id":"400001"}]'
-    assert found[0]["stop_time_updates"] is None and found[0]["route_id"] is None
+    assert found[0]["snapshot_folder"] == "snapshot_20231114_221000"
+    assert found[0]["stop_time_updates"] == '[{"stop_id":"S-81"}]'
+    assert found[1]["stop_time_updates"] is None and found[1]["route_id"] is None
 
 
 def test_scan_reads_odd_numbers_one_by_one(spark, tmp_path, write_snapshot):
     records = [
-        {"entity_id": "a", "latitude": "40.5", "speed": "fast", "timestamp": 1788392700, "extra": {"x": 1}},
-        {"entity_id": "b", "latitude": 40, "speed": 7.5, "timestamp": 1788392700.0},
+        {"entity_id": "a", "latitude": "40.5", "speed": "fast", "timestamp": 1700000300, "extra": {"x": 1}},
+        {"entity_id": "b", "latitude": 40, "speed": 7.5, "timestamp": 1700000300.0},
     ]
-    write_snapshot(tmp_path, "snapshot_20260902_234000", vehicle_positions=records)
+    write_snapshot(tmp_path, "snapshot_20231114_221000", vehicle_positions=records)
     found = scan_snapshots(spark, str(tmp_path), L.VEHICLE_FEED).orderBy("entity_id")
     values = [tuple(r) for r in found.select("latitude", "speed", "timestamp").collect()]
-    assert values == [(40.5, None, 1788392700), (40.0, 7.5, 1788392700)]
+    assert values == [(40.5, None, 1700000300), (40.0, 7.5, 1700000300)]
 
 
 def test_range_is_inclusive_and_optional(spark, tmp_path, write_snapshot):
-    folders = ["0905_044000", "0905_044611", "0905_045111", "0906_004555", "0906_005000"]
+    folders = ["0301_101500", "0301_102000", "0301_102501", "0302_000010", "0302_000511"]
     for folder in folders:
-        record = {"entity_id": folder, "snapshot_timestamp_utc": "2026-09-05T00:00:00Z"}
+        record = {"entity_id": folder, "snapshot_timestamp_utc": "2026-03-01T00:00:00Z"}
         write_snapshot(tmp_path, f"snapshot_2026{folder}", vehicle_positions=[record])
     write_snapshot(tmp_path, "other_folder", vehicle_positions=[{"entity_id": "no"}])
 
     def entities(df):
         return sorted(row["entity_id"] for row in df.select("entity_id").collect())
 
-    start, end = "snapshot_20260905_044611", "snapshot_20260906_004555"
+    start, end = "snapshot_20260301_102000", "snapshot_20260302_000010"
     scan = scan_snapshots(spark, str(tmp_path), L.VEHICLE_FEED, start=start, end=end)
     assert entities(scan) == folders[1:4]
     everything = scan_snapshots(spark, str(tmp_path), L.VEHICLE_FEED)
@@ -133,14 +134,14 @@ def test_range_is_inclusive_and_optional(spark, tmp_path, write_snapshot):
     stored = str(tmp_path / "stored")
     replace_sink(with_snapshot_date(everything), stored, as_path=True, partition_by=["snapshot_date"])
     table = spark.read.schema(with_snapshot_date(everything).schema).parquet(stored)
-    ranged = snapshot_range(table, start="snapshot_20260906_000000")
+    ranged = snapshot_range(table, start="snapshot_20260302_000000")
     assert entities(ranged) == folders[3:]
     plan = ranged._jdf.queryExecution().toString()
-    assert "PartitionFilters: [isnotnull(snapshot_date" in plan and ">= 20260906" in plan
+    assert "PartitionFilters: [isnotnull(snapshot_date" in plan and ">= 20260302" in plan
 
 
 def test_missing_file_of_one_feed_is_empty(spark, tmp_path, write_snapshot):
-    write_snapshot(tmp_path, "snapshot_20260902_234000", vehicle_positions=[{"entity_id": "v"}])
+    write_snapshot(tmp_path, "snapshot_20231114_221000", vehicle_positions=[{"entity_id": "v"}])
     assert scan_snapshots(spark, str(tmp_path), L.VEHICLE_FEED).count() == 1
     empty = scan_snapshots(spark, str(tmp_path), L.TRIP_UPDATE_FEED)
     assert empty.count() == 0 and empty.schema == empty_source_schema(spark, L.TRIP_UPDATE_FEED).schema
@@ -148,13 +149,13 @@ def test_missing_file_of_one_feed_is_empty(spark, tmp_path, write_snapshot):
 
 @pytest.mark.parametrize("content", ['{"entity_id": "v"}', "[{", "null"])
 def test_a_file_that_is_no_array_fails(spark, tmp_path, write_snapshot, content):
-    write_snapshot(tmp_path, "snapshot_20260902_234000", vehicle_positions=content)
+    write_snapshot(tmp_path, "snapshot_20231114_221000", vehicle_positions=content)
     with pytest.raises(Exception, match="Expected a list of records|MALFORMED|FAILFAST"):
         scan_snapshots(spark, str(tmp_path), L.VEHICLE_FEED).collect()
 
 
 def test_empty_array_has_no_records(spark, tmp_path, write_snapshot):
-    write_snapshot(tmp_path, "snapshot_20260902_234000", vehicle_positions=" \n[]")
+    write_snapshot(tmp_path, "snapshot_20231114_221000", vehicle_positions=" \n[]")
     assert scan_snapshots(spark, str(tmp_path), L.VEHICLE_FEED).count() == 0
 
 
@@ -184,54 +185,54 @@ def test_nested_to_json(spark):
 def test_vehicle_entity(spark):
     entities = spark.createDataFrame(
         [
-            ("vehicle-entity-1", (("trip-123", "B63"), ("bus-456",), (40.6782, -73.9442, 90.0, 7.5), 12, 1, 1788392700),
-             "2026-09-02T23:45:00Z"),
-            ("", (("", ""), None, None, None, None, None), "2026-09-02T23:45:00Z"),
-            ("no vehicle", None, "2026-09-02T23:45:00Z"),
+            ("ent-9", (("T-1123", "X4"), ("veh-77",), (40.81, -73.77, 181.5, 6.25), 8, 1, 1700000300),
+             "2023-11-14T22:15:00Z"),
+            ("", (("", ""), None, None, None, None, None), "2023-11-14T22:15:00Z"),
+            ("no vehicle", None, "2023-11-14T22:15:00Z"),
         ],
         VEHICLE_ENTITY,
     )
     first, second = flatten_vehicle_entity(entities).collect()
     assert first.asDict() == {
         "feed_type": "vehicle_positions",
-        "snapshot_timestamp_utc": "2026-09-02T23:45:00Z",
-        "entity_id": "vehicle-entity-1",
-        "vehicle_id": "bus-456",
-        "trip_id": "trip-123",
-        "route_id": "B63",
-        "latitude": 40.6782,
-        "longitude": -73.9442,
-        "bearing": 90.0,
-        "speed": 7.5,
-        "current_stop_sequence": 12,
+        "snapshot_timestamp_utc": "2023-11-14T22:15:00Z",
+        "entity_id": "ent-9",
+        "vehicle_id": "veh-77",
+        "trip_id": "T-1123",
+        "route_id": "X4",
+        "latitude": 40.81,
+        "longitude": -73.77,
+        "bearing": 181.5,
+        "speed": 6.25,
+        "current_stop_sequence": 8,
         "current_status": "STOPPED_AT",
-        "timestamp": 1788392700,
+        "timestamp": 1700000300,
     }
     assert [v for k, v in second.asDict().items() if v is not None] == [
         "vehicle_positions",
-        "2026-09-02T23:45:00Z",
+        "2023-11-14T22:15:00Z",
     ]
 
 
 def test_trip_update_entity(spark):
-    stop = ("stop-1", 4, (1788393000, 120), (1788393060, 180))
+    stop = ("S-5", 4, (1700000600, 120), (1700000640, 180))
     entities = spark.createDataFrame(
         [
-            ("trip-entity-1", (("trip-789", "Q10"), ("bus-111",), [stop, ("", None, None, None)], 1788392800), "s"),
-            ("trip-entity-2", (("trip-790", "Q10"), None, None, None), "s"),
+            ("upd-1", (("T-610", "X9"), ("veh-12",), [stop, ("", None, None, None)], 1700000500), "s"),
+            ("upd-2", (("T-611", "X9"), None, None, None), "s"),
             ("vehicle", None, "s"),
         ],
         TRIP_UPDATE_ENTITY,
     )
     first, second = flatten_trip_update_entity(entities).collect()
     assert (first.trip_id, first.route_id, first.vehicle_id, first.timestamp) == (
-        "trip-789", "Q10", "bus-111", 1788392800)
+        "T-610", "X9", "veh-12", 1700000500)
     assert first.stop_time_updates[0].asDict() == {
-        "stop_id": "stop-1",
+        "stop_id": "S-5",
         "stop_sequence": 4,
-        "arrival_time": 1788393000,
+        "arrival_time": 1700000600,
         "arrival_delay": 120,
-        "departure_time": 1788393060,
+        "departure_time": 1700000640,
         "departure_delay": 180,
     }
     assert set(first.stop_time_updates[1]) == {None}
@@ -272,18 +273,35 @@ def test_capture_reports(rows):
     assert tuple(capture_status_summary(runs).first()) == (4, 2, 2)
 
 
+def test_stored_raw_tables_are_replaced_day_by_day(spark, tmp_path, write_snapshot):
+    write_feed(tmp_path / "static" / "extracted")
+    for folder in ("snapshot_20231114_221000", "snapshot_20231115_000000", "snapshot_20231115_001000"):
+        record = {"entity_id": folder[-6:], "snapshot_timestamp_utc": "2023-11-14T22:10:00Z"}
+        write_snapshot(tmp_path / "realtime", folder, vehicle_positions=[record])
+    roots = str(tmp_path / "static" / "extracted"), str(tmp_path / "realtime"), str(tmp_path / "raw")
+    first = load_raw(spark, *roots, end="snapshot_20231114_999999")
+    assert first["raw_vehicle_positions"] == 1 and first["raw_trip_updates"] == 0
+    second = load_raw(spark, *roots, start="snapshot_20231115", only_touched_days=True)
+    assert second["raw_vehicle_positions"] == 2 and second["raw_routes"] == 1
+    raw = open_raw(spark, roots[2])
+    assert raw[L.VEHICLE_FEED].count() == 3 and raw[L.TRIP_UPDATE_FEED].count() == 0
+    assert open_raw(spark, roots[2], start="snapshot_20231115_000500")[L.VEHICLE_FEED].count() == 1
+    quality = Models(raw)["fct_feed_quality"]
+    assert {r.feed_quality_status for r in quality.collect()} == {"critical"}
+
+
 def test_load_to_marts_end_to_end(spark, tmp_path, write_snapshot):
     write_feed(tmp_path / "static" / "extracted")
-    captured = {"snapshot_timestamp_utc": "2026-09-02T23:40:00.250000Z", "route_id": "M20"}
+    captured = {"snapshot_timestamp_utc": "2023-11-14T22:10:00.250000Z", "route_id": "Q7"}
     update = {
-        "entity_id": "trip-1",
-        "trip_id": "trip-1",
-        "stop_time_updates": [{"stop_id": "400001", "stop_sequence": 1, "arrival_delay": 90}],
+        "entity_id": "T-11",
+        "trip_id": "T-11",
+        "stop_time_updates": [{"stop_id": "S-81", "stop_sequence": 1, "arrival_delay": 90}],
     }
     write_snapshot(
         tmp_path / "realtime",
-        "snapshot_20260902_234000",
-        vehicle_positions=[{**captured, "entity_id": "vehicle-1"}],
+        "snapshot_20231114_221000",
+        vehicle_positions=[{**captured, "entity_id": "bus-3"}],
         trip_updates=[{**captured, **update}],
     )
     raw = load_schedule(spark, str(tmp_path / "static" / "extracted"))
@@ -296,4 +314,4 @@ def test_load_to_marts_end_to_end(spark, tmp_path, write_snapshot):
     assert (mart.estimated_delay_minutes, mart.delay_band, mart.on_time_flag) == (1.5, "on_time", True)
     assert spark.table("quality_null_gps").count() == 1
     partitions = [p.name for p in (tmp_path / "marts" / "fct_feed_quality").iterdir() if p.is_dir()]
-    assert partitions == ["snapshot_date=20260902"]
+    assert partitions == ["snapshot_date=20231114"]
