@@ -12,10 +12,12 @@ _SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Exploding and parsing cost more than their few input bytes suggest: keep smaller tasks.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     # File sizes are of compressed columns; only what is small even unpacked is broadcast on that
     # estimate. Sizes measured at run time are trusted further.
     "spark.sql.autoBroadcastJoinThreshold": "2m",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "16m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "4m",
     # Hot trips, NULL trip ids and busy snapshots are split at run time, even where the rows
     # then have to be shuffled once more for the grouping that follows.
     "spark.sql.adaptive.skewJoin.enabled": "true",

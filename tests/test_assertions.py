@@ -54,7 +54,7 @@ def test_source_freshness(rows, minutes, state):
     assert A.source_freshness(df.where("false"), as_of).first().freshness_state == "error"
 
 
-@pytest.mark.parametrize(("interval", "duration", "expected"), [(5, 15, 3), (5, 16, 4), (10, 5, 1)])
+@pytest.mark.parametrize(("interval", "duration", "expected"), [(4, 12, 3), (4, 13, 4), (30, 5, 1)])
 def test_planned_snapshots(rows, interval, duration, expected):
     df = rows("snapshot_folder string, snapshot_timestamp_utc timestamp", ("s", datetime(2024, 1, 1)))
     found = capture.expected_snapshots(df, interval_minutes=interval, duration_minutes=duration).first()

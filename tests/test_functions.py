@@ -105,5 +105,5 @@ def test_ratio_or_zero(rows):
 
 
 def test_snapshot_folder_name(rows):
-    df = rows("t timestamp", (datetime(2026, 9, 2, 23, 45, 7),))
-    assert column(df, snapshot_folder_name(F.col("t"))) == ["snapshot_20260902_234507"]
+    df = rows("t timestamp", (datetime(2025, 2, 3, 4, 5, 6),))
+    assert column(df, snapshot_folder_name(F.col("t"))) == ["snapshot_20250203_040506"]
