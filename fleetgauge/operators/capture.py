@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetgauge import labels as L
@@ -19,10 +19,12 @@ def capture_audit(records: DataFrame) -> DataFrame:
     )
 
 
-def capture_files(files: DataFrame) -> DataFrame:
-    """(snapshot_folder, path) of the files a capture wrote; ``files`` comes from a file scan."""
-    path = F.col("_metadata.file_path")
-    return files.select(snapshot_lineage(path).alias("snapshot_folder"), path.alias("path")).distinct()
+def capture_files(spark: SparkSession, location: str) -> DataFrame:
+    """(snapshot_folder, path, byte_count) of the files a capture wrote; contents are not read."""
+    files = spark.read.format("binaryFile").load(location)
+    return files.select(
+        snapshot_lineage(F.col("path")).alias("snapshot_folder"), "path", F.col("length").alias("byte_count")
+    )
 
 
 def capture_status_summary(runs: DataFrame, succeeded: Column | None = None) -> DataFrame:

@@ -237,6 +237,13 @@ def _(spark, folder):
     return capture.capture_audit(_all_records(spark, folder))
 
 
+@_query("capture_files")
+def _(spark, folder):
+    """Snapshots for which files of some feed are there."""
+    files = capture.capture_files(spark, f"{capture_files_folder(spark, folder)}/*/*/*")
+    return files.where("byte_count > 2").select("snapshot_folder").distinct()
+
+
 @_query("capture_status_summary")
 def _(spark, folder):
     """A snapshot counts as a success if it got records of both feeds."""

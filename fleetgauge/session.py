@@ -10,6 +10,8 @@ from pyspark.sql import SparkSession
 _SETTINGS = {
     # Every timestamp in the feeds is UTC; a zone-dependent session would move service days.
     "spark.sql.session.timeZone": "UTC",
+    # Strict casts fail; the lenient ones say so with try_cast.
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Exploding and parsing cost more than their few input bytes suggest: keep smaller tasks.

@@ -291,6 +291,7 @@ def _statements() -> dict[str, str]:
 _OVER_DAILY_FILES = {
     "scan_snapshots": "FROM raw_vehicle_positions",
     "snapshot_lineage": "SELECT snapshot_folder, entity_id, trip_id FROM raw_trip_updates",
+    "capture_files": "SELECT DISTINCT snapshot_folder FROM both_feeds",
     "streamed_feed_quality": "FROM fct_feed_quality",
 }
 
