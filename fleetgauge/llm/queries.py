@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetgauge.llm.batches import table
+from fleetgauge.llm.bpe_stream import round_trip
+from fleetgauge.llm.jaccard_join import near_duplicates
 from fleetgauge.llm.packing import pack
 from fleetgauge.llm.token_files import read_token_files, write_token_files
 from fleetgauge.session import new_scratch_path
@@ -22,19 +24,65 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_scratch_path(spark, "token-files")
     write_token_files(table(spark, sf_dir, "documents"), folder, vocabulary("word_bpe_49k.json"), END_ID)
     return read_token_files(spark, folder)
 
 
+def op6_grouped_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), 0, SEQUENCE_TOKENS)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_bpe_round_trip": op2_bpe_round_trip,
     "op4_token_files": op4_token_files,
+    "op6_grouped_prefix_join": op6_grouped_prefix_join,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
 
-ORACLES: dict[str, str] = {}
+_SHINGLES = """
+    words as (
+        select doc_id, row_number() over () as row_id,
+            list_filter(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[ \\t-\\r]+'), lambda x: x <> '') as w
+        from documents
+    ),
+    sets as (
+        select doc_id, row_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+            else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) end as s
+        from words
+    )"""
+
+_NEAR_DUPLICATES = f"""
+with recursive {_SHINGLES},
+    shingles as (select row_id, unnest(s) as shingle from sets),
+    common as (
+        select x.row_id as a, y.row_id as b, count(*) as n
+        from shingles x join shingles y on x.shingle = y.shingle and x.row_id <> y.row_id group by 1, 2
+    ),
+    links as (
+        select a, b from common join sets x on x.row_id = a join sets y on y.row_id = b
+        where 100 * n >= 75 * (len(x.s) + len(y.s) - n)
+    ),
+    reached as (
+        select row_id as a, row_id as b from sets
+        union
+        select reached.a, links.b from reached join links on links.a = reached.b
+    )
+select doc_id, len(s)::bigint as n_shingles,
+    (select count(*) from links where links.a = row_id) as n_links,
+    (select min(d.doc_id) from reached join sets d on d.row_id = reached.b where reached.a = sets.row_id) as component_id
+from sets
+"""
+
+ORACLES: dict[str, str] = {"op6_grouped_prefix_join": _NEAR_DUPLICATES}
