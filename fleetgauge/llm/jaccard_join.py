@@ -80,13 +80,13 @@ def _key(shingles: np.ndarray) -> bytes | None:
 
 # --- first pass: sets and sketch -------------------------------------------------------------
 
-_SETS = "doc_id long, n_shingles long, set_key binary, part int, counts binary"
+_SETS = "doc_id long, text_hash long, n_shingles long, set_key binary, part int, counts binary"
 
 
 def _sets_and_sketch(docs: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow = pa.schema(
-            [("doc_id", "int64"), ("n_shingles", "int64"), ("set_key", "binary"), ("part", "int32"), ("counts", "binary")]
+            [("doc_id", "int64"), ("text_hash", "int64"), ("n_shingles", "int64"), ("set_key", "binary"), ("part", "int32"), ("counts", "binary")]
         )
         sketch = np.zeros(SKETCH_COUNTERS, np.uint32)
         for batch in text_slices(batches):
@@ -97,6 +97,7 @@ def _sets_and_sketch(docs: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("text_hash"),
                     pa.array(map(len, sets), "int64"),
                     pa.array(map(_key, sets), "binary"),
                     nothing.cast("int32"),
@@ -107,11 +108,11 @@ def _sets_and_sketch(docs: DataFrame, words: int) -> DataFrame:
         parts = [zlib.compress(part.tobytes(), 1) for part in np.split(sketch, SKETCH_PARTS)]
         empty = pa.nulls(SKETCH_PARTS)
         yield pa.RecordBatch.from_arrays(
-            [empty.cast("int64"), empty.cast("int64"), empty.cast("binary"),
+            [empty.cast("int64"), empty.cast("int64"), empty.cast("int64"), empty.cast("binary"),
              pa.array(range(SKETCH_PARTS), "int32"), pa.array(parts, "binary")], schema=arrow
         )
 
-    return map_batches(docs, run, _SETS)
+    return map_batches(docs.withColumn("text_hash", F.xxhash64("text")), run, _SETS)
 
 
 def _merge_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -387,21 +388,14 @@ def _shingles_of(docs: DataFrame, words: int) -> DataFrame:
     return map_batches(docs, run, "set_key binary, component binary, copies long, shingles binary")
 
 
-def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, n_links, component_id.
-
-    Two rows link when ``100 * intersection >= percent * union`` of their sets of distinct word shingles.
-    ``n_links`` counts the rows a row links with, copies included; ``component_id`` is the smallest
-    doc_id that can be reached over links. NULL, empty and blank texts have no shingles and
-    link with nothing. Rows that repeat a doc_id are kept and judged by their own texts; a NULL doc_id
-    takes part and is no candidate for the smallest. Other columns are ignored.
-    """
+def _judged(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The columns of ``near_duplicates``, with text_hash and a key of the component (NULL without shingles)."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     path = new_scratch_path(spark, "shingle-sets")
     _sets_and_sketch(docs, words).write.parquet(path)
     written = spark.read.parquet(path)
-    rows = written.where("part is null").select("doc_id", "n_shingles", "set_key")
+    rows = written.where("part is null").select("doc_id", "text_hash", "n_shingles", "set_key")
     sketch = np.zeros(SKETCH_COUNTERS, np.uint32)
     parts = written.where("part is not null").select("part", "counts").repartition("part")
     for part, counts in map_batches(parts, _merge_sketch, "part int, counts binary").collect():
@@ -456,6 +450,7 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
             "set_key",
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
             F.coalesce("component_id", "least_doc").alias("component_id"),
+            F.coalesce("root", "set_key").alias("component"),
         )
     )
     return rows.join(of_set, "set_key", "left").select(
@@ -463,4 +458,45 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
         "n_shingles",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        "text_hash",
+        "component",
     )
+
+
+def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, n_links, component_id.
+
+    Two rows link when ``100 * intersection >= percent * union`` of their sets of distinct word shingles.
+    ``n_links`` counts the rows a row links with, copies included; ``component_id`` is the smallest
+    doc_id that can be reached over links. NULL, empty and blank texts have no shingles and
+    link with nothing. Rows that repeat a doc_id are kept and judged by their own texts; a NULL doc_id
+    takes part and is no candidate for the smallest. Other columns are ignored.
+    """
+    columns = ["doc_id", "n_shingles", "n_links", "component_id"]
+    return _judged(docs, words, percent).select(*columns)
+
+
+def keep_one_of_each(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
+    """One row of each component of ``near_duplicates``, with all columns: that with the smallest doc_id.
+
+    Rows without shingles are no duplicates and stay. NULL ids come last; rows that repeat an id are told
+    apart by their texts, and of rows that repeat both one stays.
+    """
+    spark = docs.sparkSession
+    path = new_scratch_path(spark, "judged")
+    found = _judged(docs, words, percent).where("component is not null").select("doc_id", "text_hash", "component")
+    found.write.parquet(path)
+    found = spark.read.parquet(path)
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    first = found.groupBy("component").agg(F.min(place).alias("first"), F.count("*").alias("rows")).where("rows > 1")
+    members = found.join(first, "component").withColumn("stays", place.eqNullSafe(F.col("first")))
+    path = new_scratch_path(spark, "verdicts")
+    verdicts = members.groupBy(F.col("doc_id").alias("judged_id"), F.col("text_hash").alias("judged_hash"))
+    verdicts.agg(F.max("stays").alias("stays"), F.count("*").alias("rows")).where("not stays or rows > 1").write.parquet(path)
+    verdicts = spark.read.parquet(path)
+    same = F.col("doc_id").eqNullSafe(F.col("judged_id")) & (F.xxhash64("text") == F.col("judged_hash"))
+    kept = docs.join(verdicts, same, "left_anti")
+    repeated = verdicts.where("stays")
+    if repeated.isEmpty():
+        return kept
+    return kept.union(docs.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -10,7 +10,9 @@ from fleetgauge.llm.batches import table
 from fleetgauge.llm.bpe_stream import round_trip
 from fleetgauge.llm.jaccard_join import near_duplicates
 from fleetgauge.llm.packing import pack
+from fleetgauge.llm.quality_trees import fit_quality, score_quality
 from fleetgauge.llm.token_files import read_token_files, write_token_files
+from fleetgauge.llm.toxicity import fit_toxicity, score_toxicity
 from fleetgauge.session import new_scratch_path
 
 END_ID = 2
@@ -24,6 +26,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -38,14 +45,21 @@ def op6_grouped_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), 0, SEQUENCE_TOKENS)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_bpe_round_trip": op2_bpe_round_trip,
     "op4_token_files": op4_token_files,
     "op6_grouped_prefix_join": op6_grouped_prefix_join,
+    "op7_quality_trees": op7_quality_trees,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
 
