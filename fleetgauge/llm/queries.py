@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fleetgauge.llm.batches import table
 from fleetgauge.llm.bpe_stream import round_trip
+from fleetgauge.llm.fingerprints import fingerprint_documents
 from fleetgauge.llm.jaccard_join import near_duplicates
 from fleetgauge.llm.packing import pack
 from fleetgauge.llm.quality_trees import fit_quality, score_quality
+from fleetgauge.llm.token_counts import count_tokens
 from fleetgauge.llm.token_files import read_token_files, write_token_files
 from fleetgauge.llm.toxicity import fit_toxicity, score_toxicity
 from fleetgauge.session import new_scratch_path
@@ -50,17 +52,27 @@ def op7_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
 
 
+def op8_prefix_hash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), 0, SEQUENCE_TOKENS)
 
 
+def op10_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_bpe_round_trip": op2_bpe_round_trip,
     "op4_token_files": op4_token_files,
     "op6_grouped_prefix_join": op6_grouped_prefix_join,
     "op7_quality_trees": op7_quality_trees,
+    "op8_prefix_hash_fingerprints": op8_prefix_hash_fingerprints,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_trie_token_counts": op10_trie_token_counts,
 }
 
 _SHINGLES = """
