@@ -15,6 +15,7 @@ from fleetgauge.llm.quality_trees import fit_quality, score_quality
 from fleetgauge.llm.token_counts import count_tokens
 from fleetgauge.llm.token_files import read_token_files, write_token_files
 from fleetgauge.llm.toxicity import fit_toxicity, score_toxicity
+from fleetgauge.llm.warc import read_archives, write_archives
 from fleetgauge.session import new_scratch_path
 
 END_ID = 2
@@ -37,6 +38,12 @@ def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op3_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_scratch_path(spark, "archives")
+    write_archives(table(spark, sf_dir, "pages"), folder)
+    return read_archives(spark, folder)
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_scratch_path(spark, "token-files")
     write_token_files(table(spark, sf_dir, "documents"), folder, vocabulary("word_bpe_49k.json"), END_ID)
@@ -67,6 +74,7 @@ def op10_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_bpe_round_trip": op2_bpe_round_trip,
+    "op3_warc_archives": op3_warc_archives,
     "op4_token_files": op4_token_files,
     "op6_grouped_prefix_join": op6_grouped_prefix_join,
     "op7_quality_trees": op7_quality_trees,
@@ -111,4 +119,29 @@ select doc_id, len(s)::bigint as n_shingles,
 from sets
 """
 
-ORACLES: dict[str, str] = {"op6_grouped_prefix_join": _NEAR_DUPLICATES}
+#: Groups of five bits, from the hexadecimal digest's 40 digits, as letters and digits of base 32.
+_ARCHIVES = """
+with hashed as (
+    select page_id, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as hex from pages
+),
+lettered as (
+    select page_id, payload_bytes, hex, (
+        select string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
+            ((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::bigint) // (1 << (5 * (3 - i % 4)))) % 32)::int, 1), '' order by i)
+        from range(32) t(i)
+    ) as payload_digest
+    from hashed
+),
+firsts as (
+    select *, min(page_id) over (partition by hex, payload_bytes) as first from lettered
+)
+select page_id, payload_bytes, payload_digest,
+    case when page_id = first then 'response' else 'revisit' end as record_type,
+    case when page_id <> first then first end as refers_to
+from firsts
+"""
+
+ORACLES: dict[str, str] = {
+    "op3_warc_archives": _ARCHIVES,
+    "op6_grouped_prefix_join": _NEAR_DUPLICATES,
+}
