@@ -9,11 +9,14 @@ from __future__ import annotations
 
 import os
 import re
+from unicodedata import is_normalized
 
 import numpy as np
 
+from fleetgauge.llm.bpe_stream import LATIN, byte_characters
+
 #: Chunks a task remembers at most; then it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 
 _ODD_SPACE = re.compile(r"[^\S \n]")
 _SPACED_CHUNK = re.compile(r" ?[^ \n]+|[ \n]+(?![^ \n])|\n")
@@ -32,46 +35,69 @@ class LibraryEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
         self.dtype = dtype
         self.remembered = remembered
-        self.ids: dict[str, bytes] = {}
         added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
-        self.marked = re.compile("|".join(map(re.escape, added)) or r"(?!)")
-        self.chunks_of = self._chunker(any(re.search(r"\s", mark) for mark in added))
-
-    def _chunker(self, spaced_marks: bool):
+        self.marked = re.compile("|".join(map(re.escape, added)) or r"(?!)", re.IGNORECASE)
+        self.bytes_as = byte_characters()
         normalizer, splitter = repr(self.tokenizer.normalizer), repr(self.tokenizer.pre_tokenizer)
-        if splitter.startswith("ByteLevel(") and "use_regex=True" in splitter and normalizer == "None":
-            return self._keep_spaces
-        if not spaced_marks and r'Regex("\s+"), content=" "' in normalizer and "behavior=Removed, invert=True" in splitter:
-            return self._drop_spaces
-        return lambda text: [text]
-
-    @staticmethod
-    def _drop_spaces(text: str) -> list[str]:
-        # White space parts words and is dropped, so any of it may be cut out.
-        return text.replace("\n", " ").split(" ")
-
-    def _keep_spaces(self, text: str) -> list[str]:
+        self.keeps_spaces = (
+            splitter.startswith("ByteLevel(") and "use_regex=True" in splitter and normalizer == "None"
+        )
+        self.drops_spaces = (
+            r'Regex("\s+"), content=" "), Lowercase()' in normalizer
+            and r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+" in splitter
+            and "behavior=Removed, invert=True" in splitter
+            and not any(re.search(r"\s", mark) for mark in added)
+        )
+        self.ids = _Remembered(self._ids_of)
+
+    def _chunks(self, text: str) -> list[str]:
+        if self.drops_spaces:
+            # White space parts words and is dropped, so any of it may be cut out.
+            return text.replace("\n", " ").split(" ")
         # One space goes with the word that follows it, other white space stands alone. Marked
         # tokens and other white space change what stands beside them: such texts go whole.
-        if self.marked.search(text) or _ODD_SPACE.search(text):
-            return [text]
-        return _SPACED_CHUNK.findall(text)
+        if self.keeps_spaces and not self.marked.search(text) and not _ODD_SPACE.search(text):
+            return _SPACED_CHUNK.findall(text)
+        return [text]
+
+    def _ids_of(self, chunk: str) -> bytes:
+        if not chunk:
+            return b""
+        if (self.drops_spaces or self.keeps_spaces) and max(chunk) <= LATIN and not self.marked.search(chunk):
+            if len(chunk) > 1 and chunk[-1] in ".," and chunk[-2].lower().isalpha():
+                return self.ids[chunk[:-1]] + self.ids[chunk[-1]]
+            if self.drops_spaces and chunk.isascii() and not chunk.islower():
+                lower = chunk.lower()
+                if lower != chunk:
+                    return self.ids[lower]
+            word = chunk.removeprefix(" ") if self.keeps_spaces else chunk
+            if word.isalpha() and (self.keeps_spaces or word.islower() and is_normalized("NFC", word)):
+                # A run of letters is one pre-token, so the model can be asked at once.
+                pre_token = "".join(map(self.bytes_as.__getitem__, chunk.encode()))
+                return np.array([token.id for token in self.model.tokenize(pre_token)], self.dtype).tobytes()
+        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        known = self.ids
-        if len(known) > self.remembered:
-            known.clear()
-        chunked = [self.chunks_of(text) for text in texts]
-        unknown = list(set().union(*chunked).difference(known)) if chunked else []
-        for start in range(0, len(unknown), 4096):
-            part = unknown[start : start + 4096]
-            found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            known.update(
-                (chunk, np.array(one.ids, self.dtype).tobytes()) for chunk, one in zip(part, found, strict=True)
-            )
-        return [b"".join(map(known.__getitem__, chunks)) for chunks in chunked]
+        if len(self.ids) > self.remembered:
+            self.ids.clear()
+        ids_of = self.ids.__getitem__
+        if self.drops_spaces or self.keeps_spaces:
+            return [b"".join(map(ids_of, self._chunks(text))) for text in texts]
+        return [self._ids_of(text) for text in texts]
+
+
+class _Remembered(dict):
+    """Ids of chunks; those of a chunk that is met first are found by ``find``."""
+
+    def __init__(self, find):
+        self.find = find
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self[chunk] = self.find(chunk)
+        return ids
 
 
 _encoders: dict[tuple[str, str], LibraryEncoder] = {}
