@@ -10,6 +10,7 @@ from fleetgauge.llm.batches import table
 from fleetgauge.llm.bpe_stream import round_trip
 from fleetgauge.llm.fingerprints import fingerprint_documents
 from fleetgauge.llm.jaccard_join import near_duplicates
+from fleetgauge.llm.lattice import score_documents
 from fleetgauge.llm.packing import pack
 from fleetgauge.llm.quality_trees import fit_quality, score_quality
 from fleetgauge.llm.token_counts import count_tokens
@@ -50,6 +51,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, folder)
 
 
+def op5_lattice_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 def op6_grouped_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -76,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe_round_trip": op2_bpe_round_trip,
     "op3_warc_archives": op3_warc_archives,
     "op4_token_files": op4_token_files,
+    "op5_lattice_scores": op5_lattice_scores,
     "op6_grouped_prefix_join": op6_grouped_prefix_join,
     "op7_quality_trees": op7_quality_trees,
     "op8_prefix_hash_fingerprints": op8_prefix_hash_fingerprints,
