@@ -119,8 +119,8 @@ def fct_headway(
         return F.when(comparable, seconds.cast("double") / 60)
 
     # n * sum of squares - square of sum, in exact decimals: no cancellation for even spacing.
-    wide = "decimal(19,0)"
-    spread = gap_count.cast(wide) * F.col("gap_square_sum").cast(wide) - span.cast(wide) * span.cast(wide)
+    spans = span.cast("decimal(19,0)") * span.cast("decimal(19,0)")
+    spread = gap_count.cast("decimal(19,0)") * F.col("gap_square_sum").cast("decimal(38,0)") - spans
     pairs = gap_count.cast("double") * (gap_count - 1).cast("double")
     deviation = F.when(gap_count > 1, F.sqrt(spread.cast("double") / pairs)).otherwise(F.lit(0.0))
     status = (

@@ -7,6 +7,12 @@ from pyspark.sql import functions as F
 
 # Rows without a time come last, after every dated bucket.
 _NO_TIME = 1 << 40
+# Seconds that a timestamp can hold have 14 digits, and so their squares fit with any count.
+_WIDE = "decimal(38,0)"
+
+
+def _square(seconds: Column) -> Column:
+    return (seconds.cast("decimal(19,0)") * seconds.cast("decimal(19,0)")).cast(_WIDE)
 
 
 def previous_time(
@@ -92,8 +98,8 @@ def gap_statistics(df: DataFrame, keys: list[str], time: str, *, bucket_seconds:
             (F.sum("times") - 1).alias("gap_count"),
             F.min(F.least(F.col("min_step"), F.col("bridge"), tie)).alias("min_gap"),
             F.max(F.greatest(F.col("max_step"), F.col("bridge"), tie)).alias("max_gap"),
-            # Squares of gaps add up to at most the square of the whole span, so 64 bits do.
-            F.sum(F.col("step_squares") + F.coalesce(F.col("bridge") * F.col("bridge"), F.lit(0))).alias(
+            # One timestamp in another unit makes a gap of millennia, whose square passes 64 bits.
+            F.sum(F.col("step_squares").cast(_WIDE) + F.coalesce(_square(F.col("bridge")), F.lit(0).cast(_WIDE))).alias(
                 "gap_square_sum"
             ),
         )

@@ -130,11 +130,11 @@ def _rows_per_feed(tables: dict[str, DataFrame]) -> DataFrame:
 
 @_query("check_required_tables")
 def _(spark, folder):
-    """Feeds without rows for a required table; calendar is asked for here, which only one has."""
-    root = schedule_folder(spark, folder)
-    present = _rows_per_feed(schedule.load_schedule(spark, root)).select("source_feed", "table_name")
-    feeds = list(schedule.resolve_feed_layout(spark, root))
-    return schedule.missing_required_tables(present, feeds, (*L.REQUIRED_TABLES, "calendar"))
+    """Files that a feed lacks; calendar is asked for here, which only one has."""
+    layout = schedule.resolve_feed_layout(spark, schedule_folder(spark, folder))
+    schedule.check_required_tables(spark, layout)
+    present = schedule.list_schedule_files(spark, layout)
+    return schedule.missing_required_tables(present, list(layout), (*L.REQUIRED_TABLES, "calendar"))
 
 
 @_query("optional_tables")
@@ -272,9 +272,8 @@ def _(spark, folder):
     return windowed_record_counts(_all_records(spark, folder), window="6 hours")
 
 
-@_query("streamed_feed_quality")
-def _(spark, folder):
-    """Feed quality of the daily snapshot files, stored and summed up by a stream over them."""
+def _streamed(spark: SparkSession, folder: str, **options) -> SnapshotStore:
+    """The daily snapshot files, stored and summed up by a stream over them."""
     store = SnapshotStore(
         spark,
         new_scratch_path(spark, "stream-store"),
@@ -289,9 +288,34 @@ def _(spark, folder):
         new_scratch_path(spark, "stream-checkpoint"),
         pattern=f"{{{L.VEHICLE_FEED},{L.TRIP_UPDATE_FEED}}}/*/*",
         availableNow=True,
+        **options,
     )
     stream.awaitTermination()
-    return store.mart("fct_feed_quality").drop("snapshot_date")
+    return store
+
+
+@_query("streamed_feed_quality")
+def _(spark, folder):
+    return _streamed(spark, folder).mart("fct_feed_quality").drop("snapshot_date")
+
+
+@_query("streamed_findings")
+def _(spark, folder):
+    """Findings of the same stream, its files taken in several batches."""
+    store = _streamed(spark, folder, max_files=100)
+    return store.mart("fct_anomaly_findings").drop("snapshot_date")
+
+
+@_query("unreadable_stop_updates")
+def _(spark, folder):
+    """Updates whose text is cut off, or no array."""
+    updates = star_tables.raw_trip_updates(spark, folder).selectExpr(
+        "* EXCEPT (stop_time_updates)",
+        """CASE right(trip_id, 1) WHEN '2' THEN '{"stop_id": "P1"}' WHEN '4' THEN '[{"stop_id": "P1"'
+        WHEN '6' THEN '[{"stop_id": "P1"}]' WHEN '8' THEN '[]' END AS stop_time_updates""",
+    )
+    bad = delay.unreadable_stop_updates(updates)
+    return bad.select("snapshot_folder", "trip_id", "stop_time_updates")
 
 
 # --- Staging ---------------------------------------------------------------------------------

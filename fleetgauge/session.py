@@ -7,19 +7,24 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-_SETTINGS = {
+# What results depend on.
+_MEANING = {
     # Every timestamp in the feeds is UTC; a zone-dependent session would move service days.
     "spark.sql.session.timeZone": "UTC",
     # Strict casts fail; the lenient ones say so with try_cast.
     "spark.sql.ansi.enabled": "true",
+}
+
+# What only plans depend on: defaults of a session built here, the caller's own business elsewhere.
+_PLANNING = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Exploding and parsing cost more than their few input bytes suggest: keep smaller tasks.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     # File sizes are of compressed columns; only what is small even unpacked is broadcast on that
-    # estimate. Sizes measured at run time are trusted further.
+    # estimate. Sizes measured at run time are trusted further: a city's trip ids are tens of MB.
     "spark.sql.autoBroadcastJoinThreshold": "2m",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "4m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     # Hot trips, NULL trip ids and busy snapshots are split at run time, even where the rows
     # then have to be shuffled once more for the grouping that follows.
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -28,8 +33,8 @@ _SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime SQL settings to a session somebody else created."""
-    for key, value in _SETTINGS.items():
+    """Apply the settings that results depend on to a session somebody else created."""
+    for key, value in _MEANING.items():
         spark.conf.set(key, value)
     return spark
 
@@ -43,7 +48,7 @@ def build_session(app_name: str = "fleetgauge", master: str | None = None, **con
     )
     if master:
         builder = builder.master(master)
-    for key, value in {**_SETTINGS, **conf}.items():
+    for key, value in {**_MEANING, **_PLANNING, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -6,7 +6,6 @@ import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,11 +18,16 @@ def scan_static_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFram
     """One schedule table as text columns; blank cells stay ``''``.
 
     Column names come from the header line, so a file's extra or reordered columns are read
-    by name. All files in ``paths`` must share that header.
+    by name. All files in ``paths`` must share that header; one that does not fails the scan, and
+    ``union_feeds_by_name`` over scans of their own reads such files. Quoted cells may hold line breaks,
+    but for stop times, whose files are large and stay splittable: there a row with too few or too many
+    cells fails the scan.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
+    splittable = all(path.rstrip("/").endswith("/stop_times.txt") for path in paths)
     reader = spark.read.option("header", True).option("inferSchema", False).option("escape", '"')
-    return reader.option("multiLine", False).csv(paths).na.fill("")
+    reader = reader.option("enforceSchema", False).option("multiLine", not splittable)
+    return reader.option("mode", "FAILFAST" if splittable else "PERMISSIVE").csv(paths).na.fill("")
 
 
 def tag_source_feed(df: DataFrame, feed: str | Column) -> DataFrame:
@@ -38,23 +42,34 @@ def union_feeds_by_name(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there; a file system that cannot be reached raises."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    try:
-        return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
-    except Py4JJavaError:
-        return False
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
-def resolve_feed_layout(spark: SparkSession, root: str) -> dict[str, str]:
+def feeds_beside(spark: SparkSession, above: str) -> list[str]:
+    """Names of the folders below ``above`` that have an ``extracted`` folder."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{above}/*/extracted")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    return sorted(status.getPath().getParent().getName() for status in found or [])
+
+
+def resolve_feed_layout(
+    spark: SparkSession, root: str, *, feeds: Sequence[str] = SCHEDULE_FEEDS
+) -> dict[str, str]:
     """Feed name -> folder. Per-feed folders win over the one flat folder; neither gives {}.
 
-    ``root`` is either the folder above the feeds or the flat ``extracted`` folder itself.
+    ``root`` is either the folder above the feeds or the flat ``extracted`` folder itself. A feed folder
+    that ``feeds`` does not list is an error, so that no feed is left out unseen.
     """
     root = root.rstrip("/")
     parent, _, last = root.rpartition("/")
     above = parent if last == "extracted" else root
-    feeds = {feed: f"{above}/{feed}/extracted" for feed in SCHEDULE_FEEDS}
-    found = {feed: folder for feed, folder in feeds.items() if path_exists(spark, folder)}
+    present = feeds_beside(spark, above)
+    unlisted = sorted(set(present) - set(feeds))
+    if unlisted:
+        raise ValueError(f"feed folders that are not listed below {above}: {', '.join(unlisted)}")
+    found = {feed: f"{above}/{feed}/extracted" for feed in feeds if feed in present}
     if found:
         return found
     return {SINGLE_FEED: root} if path_exists(spark, root) else {}
@@ -88,15 +103,17 @@ def check_required_tables(spark: SparkSession, layout: Mapping[str, str]) -> Non
         missing = [t for t in REQUIRED_TABLES if not path_exists(spark, f"{folder}/{t}.txt")]
         if missing:
             files = ", ".join(f"{table}.txt" for table in missing)
-            raise FileNotFoundError(f"Static feed '{feed}' is missing required GTFS files: {files}")
+            raise FileNotFoundError(f"schedule of feed {feed!r} lacks {files} below {folder}")
 
 
-def load_schedule(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+def load_schedule(
+    spark: SparkSession, root: str, *, feeds: Sequence[str] = SCHEDULE_FEEDS
+) -> dict[str, DataFrame]:
     """All schedule tables under ``root``, tagged with their feed; absent optional ones are left out.
 
     Feeds are stacked by name. The number of feeds is fixed and small; each scan is distributed.
     """
-    layout = resolve_feed_layout(spark, root)
+    layout = resolve_feed_layout(spark, root, feeds=feeds)
     check_required_tables(spark, layout)
     tables: dict[str, DataFrame] = {}
     for table in REQUIRED_TABLES + OPTIONAL_TABLES:

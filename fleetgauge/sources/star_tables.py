@@ -52,13 +52,13 @@ def raw_stops(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_trips(spark: SparkSession, folder: str) -> DataFrame:
+    """Every twentieth order is a trip that realtime never names."""
     return (
         read_table(spark, folder, "orders")
-        .where("o_orderkey % 20 <> 0")
         .selectExpr(
             "'R' || o_custkey % 12 AS route_id",
             "o_orderpriority AS service_id",
-            "'T' || o_orderkey AS trip_id",
+            "IF(o_orderkey % 20 = 0, 'X', 'T') || o_orderkey AS trip_id",
             "o_orderstatus AS trip_headsign",
             "string(o_custkey % 2) AS direction_id",
             "'S' || o_custkey % 50 AS shape_id",
@@ -75,11 +75,10 @@ def raw_stop_times(spark: SparkSession, folder: str) -> DataFrame:
         lpad(string(s div 60 % 60), 2, '0') || ':' || lpad(string(s % 60), 2, '0'))"""
     return (
         read_table(spark, folder, "lineitem")
-        .where("l_orderkey % 20 <> 0")
         .selectExpr("*", f"{_SCHEDULED_SECOND} % 100000 AS s")
         .selectExpr(
             "'F' || l_suppkey % 6 AS source_feed",
-            "'T' || l_orderkey AS trip_id",
+            "IF(l_orderkey % 20 = 0, 'X', 'T') || l_orderkey AS trip_id",
             f"{clock} AS arrival_time",
             f"{clock} AS departure_time",
             "'P' || l_suppkey AS stop_id",
@@ -92,15 +91,14 @@ def raw_stop_times(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _reports(spark: SparkSession, folder: str) -> DataFrame:
-    """Events with the hourly snapshot that reports them; some hours stay without one."""
+    """Events with the hourly snapshot that reports them; some hours have none, and wait for the next."""
     return (
         read_table(spark, folder, "events")
         .selectExpr("* EXCEPT (ts)", "timestamp(ts) AS at")
-        .where("hour(at) % 7 <> 3")
         .selectExpr(
             "*",
             "unix_seconds(at) AS second",
-            "date_trunc('hour', at) + INTERVAL 1 HOUR AS taken_at",
+            "date_trunc('hour', at) + INTERVAL 1 HOUR * IF(hour(at) % 7 = 3, 2, 1) AS taken_at",
         )
     )
 
@@ -117,7 +115,9 @@ def _capture_columns(feed: str, iso_text: bool) -> list[str]:
 def raw_vehicle_positions(spark: SparkSession, folder: str, *, iso_text: bool = False) -> DataFrame:
     return (
         _reports(spark, folder)
-        .where("event_id % 3 <> 0 AND hour(at) <> 20")
+        .where("event_id % 3 <> 0")
+        # A snapshot without vehicles: those of hour 20 come an hour later.
+        .selectExpr("* EXCEPT (taken_at)", "taken_at + INTERVAL 1 HOUR * IF(hour(at) = 20, 1, 0) AS taken_at")
         .selectExpr(
             *_capture_columns(VEHICLE_FEED, iso_text),
             "'V' || user_id AS entity_id",
@@ -156,13 +156,13 @@ def raw_trip_update_stops(spark: SparkSession, folder: str, *, native: bool = Fa
     """Trip updates in parts, each with the JSON (or native) array of one or two stop updates.
 
     One part per line of the order with the event's number. The first element can match the
-    schedule; a second one, on some lines, names a stop the schedule does not have. Without lines
+    schedule, unless its quantity of 50 stands for an unknown stop; a second one, on some lines, names a
+    stop the schedule does not have. Without lines
     the array is empty, or NULL for every other event. Parts keep an order with very many lines
     from becoming one row.
     """
     lines = (
         read_table(spark, folder, "lineitem")
-        .where("l_quantity <> 50")
         .selectExpr("l_orderkey AS event_id", "* EXCEPT (l_orderkey)")
     )
     updates = _reports(spark, folder).where("event_id % 3 = 0").join(lines, "event_id", "left")
@@ -170,7 +170,7 @@ def raw_trip_update_stops(spark: SparkSession, folder: str, *, native: bool = Fa
 
     def element(sequence: str, delay: str) -> str:
         return f"""named_struct(
-            'stop_id', 'P' || l_suppkey,
+            'stop_id', IF(l_quantity = 50, 'Q', 'P') || l_suppkey,
             'stop_sequence', {sequence},
             'arrival_time', IF(l_linenumber = 1, NULL, time),
             'arrival_delay', IF(l_linenumber = 1, NULL, {delay}),

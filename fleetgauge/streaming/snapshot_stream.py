@@ -7,12 +7,15 @@ deduplicated: repeated entities are a signal the marts count.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetgauge import labels as L
@@ -96,17 +99,33 @@ class SnapshotStore:
     def records(self, feed: str) -> DataFrame:
         """Stored raw records with their ``snapshot_date``."""
         schema = with_date(RAW_SCHEMAS[feed]).add("batch_id", "long")
+        stored = self._read(feed, schema)
+        return with_snapshot_date(empty_source_schema(self.spark, feed)) if stored is None else stored.drop("batch_id")
+
+    def mart(self, name: str) -> DataFrame:
+        """A mart as far as it is built; without any row, or any batch yet, an empty table."""
+        columns = Models({**self.schedule, **{feed: self.records(feed) for feed in RAW_SCHEMAS}}, **self.options)
+        fields = [f for f in columns[name].schema.fields if f.name != "snapshot_date"]
+        schema = T.StructType(fields).add("snapshot_date", "string")
+        stored = self._read(name, schema)
+        return self.spark.createDataFrame([], schema) if stored is None else stored
+
+    def _read(self, name: str, schema: T.StructType) -> DataFrame | None:
         try:
-            return self.spark.read.schema(schema).parquet(self._path(feed)).drop("batch_id")
+            return self.spark.read.schema(schema).parquet(self._path(name))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return with_snapshot_date(empty_source_schema(self.spark, feed))
+            return None
 
-    def mart(self, name: str) -> DataFrame:
-        return self.spark.read.option("mergeSchema", False).parquet(self._path(name)).withColumn(
-            "snapshot_date", F.col("snapshot_date").cast("string")
-        )
+    def _stored_days(self, name: str, batch_id: int | None = None) -> set[str]:
+        """Days that have files, by the names of the folders: no file is opened."""
+        schema = T.StructType().add("snapshot_date", "string").add("batch_id", "long")
+        stored = self._read(name, schema if name in RAW_SCHEMAS else schema[:1])
+        files = [] if stored is None else stored.inputFiles()
+        if batch_id is not None:
+            files = [file for file in files if f"/batch_id={batch_id}/" in file]
+        return {unquote(m[1]) for file in files if (m := re.search(r"/snapshot_date=([^/]+)/", file))}
 
     def add(self, files: DataFrame, batch_id: int) -> None:
         """Store one batch of snapshot files and refresh the days it touches."""
@@ -122,20 +141,10 @@ class SnapshotStore:
                 partition_by=("snapshot_date", "batch_id"),
                 only_touched_partitions=True,
             )
-            if self._written(feed):
-                stored = self.spark.read.parquet(path).where(F.col("batch_id") == batch_id)
-                touched |= self._days(stored)
+            touched |= self._stored_days(feed, batch_id)
         if touched:
             self.refresh(touched)
 
-    def _written(self, feed: str) -> bool:
-        return not self.records(feed).isEmpty()
-
-    @staticmethod
-    def _days(df: DataFrame) -> set[str]:
-        """Partition values only: as many as there are days."""
-        return {str(row[0]) for row in df.select("snapshot_date").distinct().collect()}
-
     def refresh(self, days: Iterable[str]) -> None:
         """Rebuild the marts of ``days`` and of the next stored day after each.
 
@@ -143,7 +152,7 @@ class SnapshotStore:
         that arrives late changes the day after its own; for the same reason the day before is
         read along, though not rebuilt.
         """
-        stored = sorted(self._days(self.records(L.VEHICLE_FEED)) | self._days(self.records(L.TRIP_UPDATE_FEED)))
+        stored = sorted(set().union(*map(self._stored_days, RAW_SCHEMAS)))
         position = {day: i for i, day in enumerate(stored)}
         rebuilt = {stored[i] for day in days for i in (position[day], position[day] + 1) if i < len(stored)}
         read = rebuilt | {stored[position[day] - 1] for day in rebuilt if position[day] > 0}
@@ -152,13 +161,21 @@ class SnapshotStore:
         models = Models({**self.schedule, **raw}, **self.options)
         for name in STREAMED_MARTS:
             rows = with_snapshot_date(models[name]).where(F.col("snapshot_date").isin(*rebuilt))
+            before = self._stored_days(name)
+            has_rows = Observation()
+            days = {day: F.max(F.col("snapshot_date") == day).alias(day) for day in sorted(rebuilt)}
             replace_sink(
-                rows,
+                rows.observe(has_rows, *days.values()),
                 self._path(name),
                 as_path=True,
                 partition_by=("snapshot_date",),
                 only_touched_partitions=True,
             )
+            # A day that lost its last row has no partition to replace the old one with.
+            for day in sorted(before & rebuilt):
+                if not has_rows.get[day]:
+                    nothing = self.spark.createDataFrame([], rows.drop("snapshot_date").schema)
+                    nothing.write.mode("overwrite").parquet(f"{self._path(name)}/snapshot_date={day}")
             models.stored[name] = self.mart(name).where(F.col("snapshot_date").isin(*rebuilt))
 
     def follow(

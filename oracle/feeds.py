@@ -16,12 +16,13 @@ FEEDS = {
     """,
     "raw_trips": """
         SELECT 'R' || (o_custkey % 12) AS route_id, o_orderpriority AS service_id,
-               'T' || o_orderkey AS trip_id, o_orderstatus AS trip_headsign,
+               if(o_orderkey % 20 = 0, 'X', 'T') || o_orderkey AS trip_id, o_orderstatus AS trip_headsign,
                (o_custkey % 2)::VARCHAR AS direction_id, 'S' || (o_custkey % 50) AS shape_id
-        FROM orders WHERE o_orderkey % 20 <> 0
+        FROM orders
     """,
     "raw_stop_times": """
-        SELECT 'F' || (l_suppkey % 6) AS source_feed, 'T' || l_orderkey AS trip_id,
+        SELECT 'F' || (l_suppkey % 6) AS source_feed,
+               if(l_orderkey % 20 = 0, 'X', 'T') || l_orderkey AS trip_id,
                clock AS arrival_time, clock AS departure_time, 'P' || l_suppkey AS stop_id,
                l_linenumber::VARCHAR AS stop_sequence, (l_linenumber % 4)::VARCHAR AS pickup_type,
                '' AS drop_off_type, if(l_returnflag = 'R', '1', '0') AS timepoint
@@ -29,18 +30,21 @@ FEEDS = {
             SELECT *, (l_partkey * 37 + l_linenumber * 600) % 100000 AS s,
                    if(l_quantity = 13, 'bad', format('{:02d}:{:02d}:{:02d}', s // 3600, s // 60 % 60, s % 60))
                        AS clock
-            FROM lineitem WHERE l_orderkey % 20 <> 0
+            FROM lineitem
         )
     """,
     "reports": """
         SELECT * EXCLUDE (ts), ts AS reported_at, epoch_us(ts) // 1000000 AS s,
-               date_trunc('hour', ts) + INTERVAL 1 HOUR AS taken_at,
+               date_trunc('hour', ts) + to_hours(if(hour(ts) % 7 = 3, 2, 1)) AS taken_at,
                strftime(taken_at, 'snapshot_%Y%m%d_%H%M%S') AS folder,
-               strftime(taken_at, '%Y-%m-%dT%H:%M:%SZ') AS taken_text
-        FROM events WHERE hour(ts) % 7 <> 3
+               strftime(taken_at, '%Y-%m-%dT%H:%M:%SZ') AS taken_text,
+               taken_at + to_hours(if(hour(ts) = 20, 1, 0)) AS late_at,
+               strftime(late_at, 'snapshot_%Y%m%d_%H%M%S') AS late_folder,
+               strftime(late_at, '%Y-%m-%dT%H:%M:%SZ') AS late_text
+        FROM events
     """,
     "raw_vehicle_positions": """
-        SELECT 'vehicle_positions' AS feed_type, taken_text AS snapshot_timestamp_utc,
+        SELECT 'vehicle_positions' AS feed_type, late_text AS snapshot_timestamp_utc,
                'V' || user_id AS entity_id, 'BUS_' || user_id AS vehicle_id,
                if(event_id % 10 = 1, NULL, 'T' || event_id) AS trip_id,
                if(event_id % 50 = 2, NULL, event_type) AS route_id,
@@ -49,8 +53,8 @@ FEEDS = {
                (event_id % 360)::DOUBLE AS bearing, value / 2 AS speed,
                event_id % 30 AS current_stop_sequence,
                if(event_id % 2 = 0, 'STOPPED_AT', 'IN_TRANSIT_TO') AS current_status,
-               if(event_id % 25 = 7, NULL, s) AS "timestamp", folder AS snapshot_folder
-        FROM reports WHERE event_id % 3 <> 0 AND hour(reported_at) <> 20
+               if(event_id % 25 = 7, NULL, s) AS "timestamp", late_folder AS snapshot_folder
+        FROM reports WHERE event_id % 3 <> 0
     """,
     "raw_trip_updates": """
         SELECT 'trip_updates' AS feed_type, taken_text AS snapshot_timestamp_utc,
@@ -73,16 +77,18 @@ FEEDS = {
                       epoch_us(date_trunc('day', reported_at - to_seconds({OFFSET}))) // 1000000 + {OFFSET}
                       + (l_partkey * 37 + l_linenumber * 600) % 86400 + shift * 60) AS at_s,
                    l_linenumber = 1 AS leaves,
-                   json_object('stop_id', 'P' || l_suppkey, 'stop_sequence', l_linenumber,
+                   json_object('stop_id', if(l_quantity = 50, 'Q', 'P') || l_suppkey,
+                       'stop_sequence', l_linenumber,
                        'arrival_time', if(leaves, NULL, at_s), 'arrival_delay', if(leaves, NULL, lag_s),
                        'departure_time', if(leaves, at_s, NULL), 'departure_delay', if(leaves, lag_s, NULL)
                    )::VARCHAR AS first_stop,
-                   json_object('stop_id', 'P' || l_suppkey, 'stop_sequence', l_linenumber + 50,
+                   json_object('stop_id', if(l_quantity = 50, 'Q', 'P') || l_suppkey,
+                       'stop_sequence', l_linenumber + 50,
                        'arrival_time', if(leaves, NULL, at_s), 'arrival_delay', NULL,
                        'departure_time', if(leaves, at_s, NULL), 'departure_delay', NULL
                    )::VARCHAR AS second_stop
             FROM reports
-            LEFT JOIN (FROM lineitem WHERE l_quantity <> 50) ON l_orderkey = event_id
+            LEFT JOIN lineitem ON l_orderkey = event_id
             WHERE event_id % 3 = 0
         )
     """,
@@ -92,8 +98,13 @@ FEEDS = {
 
 # Snapshots of a day instead of an hour, as the written snapshot files have them.
 DAILY = {
-    "reports": FEEDS["reports"].replace(
-        "date_trunc('hour', ts) + INTERVAL 1 HOUR AS taken_at",
-        "date_trunc('day', date_trunc('hour', ts) + INTERVAL 1 HOUR)::TIMESTAMP AS taken_at",
-    )
+    "reports": f"""
+        SELECT * EXCLUDE (taken_at, late_at, folder, taken_text, late_folder, late_text),
+               date_trunc('day', taken_at)::TIMESTAMP AS taken_at, date_trunc('day', late_at)::TIMESTAMP AS late_at,
+               strftime(date_trunc('day', taken_at), 'snapshot_%Y%m%d_%H%M%S') AS folder,
+               strftime(date_trunc('day', late_at), 'snapshot_%Y%m%d_%H%M%S') AS late_folder,
+               strftime(date_trunc('day', taken_at), '%Y-%m-%dT%H:%M:%SZ') AS taken_text,
+               strftime(date_trunc('day', late_at), '%Y-%m-%dT%H:%M:%SZ') AS late_text
+        FROM ({FEEDS["reports"]})
+    """
 }

@@ -190,6 +190,11 @@ def _statements() -> dict[str, str]:
         "schedule_time_parse_failed":
             f"{_DELAYED} FROM stop_time_schedule_vs_actual WHERE schedule_time_parse_failed",
         "nearest_service_day_delay": _NEAREST,
+        "unreadable_stop_updates": """
+            SELECT folder AS snapshot_folder, 'T' || event_id AS trip_id,
+                   CASE event_id % 10 WHEN 2 THEN '{"stop_id": "P1"}' ELSE '[{"stop_id": "P1"' END
+                       AS stop_time_updates
+            FROM reports WHERE event_id % 3 = 0 AND event_id % 10 IN (2, 4)""",
         "assert_not_null": "FROM stg_vehicle_positions WHERE trip_id IS NULL",
         "assert_unique": """SELECT entity_id AS unique_field, count() AS n_records FROM stg_vehicle_positions
             WHERE entity_id IS NOT NULL GROUP BY 1 HAVING n_records > 1""",
@@ -293,6 +298,7 @@ _OVER_DAILY_FILES = {
     "snapshot_lineage": "SELECT snapshot_folder, entity_id, trip_id FROM raw_trip_updates",
     "capture_files": "SELECT DISTINCT snapshot_folder FROM both_feeds",
     "streamed_feed_quality": "FROM fct_feed_quality",
+    "streamed_findings": "FROM fct_anomaly_findings",
 }
 
 

@@ -3,6 +3,7 @@ from collections import defaultdict
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -81,6 +82,26 @@ def test_headway_cases(rows):
     assert tied.headway_variance_minutes == pytest.approx(statistics.stdev([0, 20]))
 
 
+@pytest.mark.parametrize("odd", [0, 1_704_103_200_000, 9_000_000_000_000 // 1000, 253_402_300_799])
+def test_headway_survives_timestamps_of_another_unit(rows, odd):
+    usual = [seen("usual", f"v{i}", 1_704_103_200 + i * 600) for i in range(3)]
+    times = [1_704_103_200, odd, 1_704_103_800]
+    wide = rows(VEHICLES, *usual)
+    alone = activity.fct_headway(wide).collect()
+    extra = rows("at bigint", *[(at,) for at in times]).selectExpr("timestamp_seconds(at) AS at")
+    first = rows(VEHICLES, seen("broken", "v0", 0))
+    moved = first.crossJoin(extra).select(
+        *[extra["at"].alias(c) if c == "vehicle_timestamp_utc" else
+          (F.expr("'b' || uuid()").alias(c) if c == "vehicle_id" else first[c]) for c in first.columns]
+    )
+    found = {r.route_id: r for r in activity.fct_headway(wide.union(moved)).collect()}
+    assert found["usual"] == alone[0]
+    assert found["broken"].headway_reliability_status == "highly_variable"
+    seconds = sorted(times)
+    gaps = [(b - a) / 60 for a, b in zip(seconds, seconds[1:])]  # noqa: B905
+    assert found["broken"].headway_variance_minutes == pytest.approx(statistics.stdev(gaps))
+
+
 @pytest.mark.parametrize(
     ("gaps", "status"), [((0, 0, 0), "stable"), ((10, 20), "variable"), ((0, 30), "highly_variable")]
 )

@@ -7,6 +7,7 @@ from fleetgauge.plans.load import load_raw, open_raw
 from fleetgauge.plans.models import Models, materialize_layers
 from fleetgauge.schemas import TRIP_UPDATE_ENTITY, VEHICLE_ENTITY
 from fleetgauge.sources.entities import flatten_trip_update_entity, flatten_vehicle_entity
+from fleetgauge.session import configure
 from fleetgauge.sources.schedule import (
     check_required_tables,
     empty_schedule_table,
@@ -15,6 +16,7 @@ from fleetgauge.sources.schedule import (
     missing_required_tables,
     resolve_feed_layout,
     scan_static_csv,
+    union_feeds_by_name,
 )
 from fleetgauge.sources.snapshots import (
     empty_source_schema,
@@ -84,6 +86,50 @@ def test_no_feed(spark, tmp_path):
     assert empty_schedule_table(spark, "routes").count() == 0
 
 
+def test_an_unlisted_feed_folder_is_an_error_and_can_be_listed(spark, tmp_path):
+    write_feed(tmp_path / "busco" / "extracted")
+    write_feed(tmp_path / "hoboken" / "extracted")
+    with pytest.raises(ValueError, match="hoboken"):
+        load_schedule(spark, str(tmp_path))
+    tables = load_schedule(spark, str(tmp_path), feeds=("hoboken", "busco"))
+    assert {r.source_feed for r in tables["trips"].collect()} == {"hoboken", "busco"}
+
+
+def test_an_unknown_file_system_is_no_empty_schedule(spark):
+    with pytest.raises(Exception, match="nosuchfs"):
+        load_schedule(spark, "nosuchfs://somewhere/feeds")
+
+
+def test_quoted_line_breaks_stay_in_their_cell(spark, tmp_path):
+    path = tmp_path / "stops.txt"
+    path.write_text('stop_id,stop_name\n1,"Main\nStreet"\n2,"x\n\ny"\n', encoding="utf-8")
+    found = scan_static_csv(spark, str(path)).orderBy("stop_id").collect()
+    assert [tuple(r) for r in found] == [("1", "Main\nStreet"), ("2", "x\n\ny")]
+
+
+def test_files_with_swapped_columns_are_not_mixed_up(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "b").mkdir()
+    (tmp_path / "a" / "stops.txt").write_text("stop_id,stop_name\n1,One\n", encoding="utf-8")
+    (tmp_path / "b" / "stops.txt").write_text("stop_name,stop_id\nTwo,2\n", encoding="utf-8")
+    paths = [str(tmp_path / folder / "stops.txt") for folder in "ab"]
+    with pytest.raises(Exception, match="(?i)header"):
+        scan_static_csv(spark, paths).collect()
+    both = union_feeds_by_name([scan_static_csv(spark, path) for path in paths])
+    assert sorted((r.stop_id, r.stop_name) for r in both.collect()) == [("1", "One"), ("2", "Two")]
+
+
+def test_a_caller_keeps_its_plan_settings(spark):
+    key = "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "77m")
+        configure(spark)
+        assert spark.conf.get(key) == "77m"
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_missing_required_file_names_feed_and_file(spark, tmp_path):
     write_feed(tmp_path / "busco" / "extracted", trips=None, stop_times=None)
     layout = resolve_feed_layout(spark, str(tmp_path))

@@ -86,6 +86,37 @@ def test_a_batch_run_again_replaces_itself(spark, rows, tmp_path, write_snapshot
     assert store.mart("fct_feed_quality").first().vehicle_record_count == 2
 
 
+def test_one_file_a_batch_equals_batch(spark, rows, tmp_path, write_snapshot):
+    root, static = tmp_path / "capture", schedule(rows)
+    for day in (1, 2):
+        snapshot(write_snapshot, root, day, "120000")
+    store = SnapshotStore(spark, str(tmp_path / "store"), static)
+    query = store.follow(str(root), str(tmp_path / "checkpoint"), max_files=1)
+    query.awaitTermination(300)
+    assert query.exception() is None
+    batch = Models({**static, **{feed: scan_snapshots(spark, str(root), feed) for feed in
+                                 (L.VEHICLE_FEED, L.TRIP_UPDATE_FEED)}})
+    for name in STREAMED_MARTS:
+        assert same(store.mart(name), batch[name]), name
+
+
+def test_a_finding_that_no_longer_holds_goes_away(spark, rows, tmp_path, write_snapshot):
+    root, static = tmp_path / "capture", schedule(rows)
+    store = SnapshotStore(spark, str(tmp_path / "store"), static)
+    assert store.mart("fct_anomaly_findings").isEmpty()
+    snapshot(write_snapshot, root, 1, "120000", feeds=[L.TRIP_UPDATE_FEED])
+    for batch_id, feeds in enumerate(([], [L.VEHICLE_FEED])):
+        if feeds:
+            snapshot(write_snapshot, root, 1, "120000", feeds=feeds)
+        pattern = f"{root}/snapshot_*/{feeds[0] if feeds else L.TRIP_UPDATE_FEED}.json"
+        files = spark.read.text(pattern, wholetext=True).select("value", "_metadata")
+        store.add(files, batch_id)
+        batch = Models({**static, **{feed: scan_snapshots(spark, str(root), feed) for feed in
+                                     (L.VEHICLE_FEED, L.TRIP_UPDATE_FEED)}})
+        for name in STREAMED_MARTS:
+            assert same(store.mart(name), batch[name]), (batch_id, name)
+
+
 def test_nothing_stored_yet(spark, rows, tmp_path):
     store = SnapshotStore(spark, str(tmp_path / "store"), schedule(rows))
     records = store.records(L.TRIP_UPDATE_FEED)
