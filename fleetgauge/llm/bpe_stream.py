@@ -16,7 +16,8 @@ import codecs
 import hashlib
 import json
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import chain, islice
+from unicodedata import is_normalized
 
 import pyarrow as pa
 import regex
@@ -27,7 +28,7 @@ from tokenizers import Tokenizer
 from fleetgauge.llm.batches import map_batches, text_slices, texts_of
 
 #: Chunks of text a task remembers the ids of.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 
 #: Last character that all Unicode versions class alike, with all before it.
 LATIN = chr(0x24F)
@@ -95,7 +96,12 @@ class BpeTransducer:
         self.byte_decoder = (spec.get("decoder") or {}).get("type") == "ByteLevel"
         self.token_bytes = self._token_bytes() if self.byte_decoder else {}
         self.remembered = remembered
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known = _Remembered(self._find)
+        self.mark_in_any_case = regex.compile(self.mark.pattern, regex.IGNORECASE)
+        # Runs of letters are one pre-token, and lower-casing A to Z first changes nothing.
+        self.plain_words = (
+            self.drops_space and "Lowercase()" in repr(self.normalizer) and r"[\p{L}]+" in self.splitter.pattern
+        )
 
     def _read_splitter(self, splitter: dict) -> None:
         steps = splitter["pretokenizers"] if splitter["type"] == "Sequence" else [splitter]
@@ -141,16 +147,15 @@ class BpeTransducer:
     def transduce(self, symbols: Iterable[str]) -> Iterator[str]:
         """Tokens of a symbol stream of any length, each emitted once it is stable."""
         held: list[str] = []
-        for symbol in symbols:
-            held.append(symbol)
-            if len(held) >= self.window + self.lookahead:
-                stable = len(held) - self.lookahead
+        symbols = iter(symbols)
+        while len(held) < (fill := self.window + self.lookahead) and (more := list(islice(symbols, fill - len(held)))):
+            held += more
+            if len(held) == fill:
                 read = 0
                 for token in self.merge(held.copy()):
-                    read += len(token)
-                    if read > stable:
-                        read -= len(token)
+                    if read + len(token) > self.window:
                         break
+                    read += len(token)
                     yield token
                 del held[:read]
         yield from self.merge(held)
@@ -172,16 +177,37 @@ class BpeTransducer:
         # Where white space is dropped, any of it parts pre-tokens whatever stands around.
         return text.replace("\n", " ").split(" ") if self.drops_space else [text]
 
+    def _find(self, chunk: str) -> tuple[tuple[int, ...], str]:
+        """Ids of a chunk, as numbers and as decimal text; common shapes go by way of shorter chunks."""
+        known = self.known
+        if self.plain_words and chunk and max(chunk) <= LATIN and not self.mark_in_any_case.search(chunk):
+            if len(chunk) > 1 and chunk[-1] in ".," and chunk[-2].lower().isalpha():
+                word, stop = known[chunk[:-1]], known[chunk[-1]]
+                return word[0] + stop[0], f"{word[1]} {stop[1]}"
+            if chunk.isascii() and (lower := chunk.lower()) != chunk:
+                return known[lower]
+            if chunk.isalpha() and chunk.islower() and is_normalized("NFC", chunk):
+                symbols = self.symbols("".join(map(self.bytes_as.__getitem__, chunk.encode())))
+                ids = tuple(map(self.vocabulary.__getitem__, self.transduce(symbols)))
+                return ids, " ".join(map(str, ids))
+        ids = self.encode_chunk(chunk)
+        return ids, " ".join(map(str, ids))
+
+    def _found(self, text: str) -> list[tuple[tuple[int, ...], str]]:
+        if not self.drops_space:
+            return [self._find(text)]
+        if len(self.known) > self.remembered:
+            self.known.clear()
+        return list(map(self.known.__getitem__, self.chunks(text)))
+
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text, without the ids that some tokenizers add around it."""
-        known, chunks = self.known, self.chunks(text)
-        if not self.drops_space:
-            return list(self.encode_chunk(text))
-        if len(known) > self.remembered:
-            known.clear()
-        for chunk in set(chunks).difference(known):
-            known[chunk] = self.encode_chunk(chunk)
-        return list(chain.from_iterable(map(known.__getitem__, chunks)))
+        return list(chain.from_iterable([ids for ids, _ in self._found(text)]))
+
+    def encode_with_text(self, text: str) -> tuple[list[int], str]:
+        """Ids of a whole text, and the same in decimal, joined by one space."""
+        found = self._found(text)
+        return list(chain.from_iterable([ids for ids, _ in found])), " ".join([shown for _, shown in found if shown])
 
     def encode_stream(self, blocks: Iterable[str]) -> Iterator[int]:
         """Ids of a text that arrives in blocks; only an unfinished run without white space is held."""
@@ -219,7 +245,21 @@ class BpeTransducer:
     def decode(self, ids: list[int]) -> str:
         if self.byte_decoder:
             return "".join(self.decode_stream(ids))
-        return " ".join(filter(None, map(self.tokens.get, ids)))
+        try:
+            return " ".join(map(self.tokens.__getitem__, ids))
+        except KeyError:
+            return "".join(self.decode_stream(ids))
+
+
+class _Remembered(dict):
+    """What is known of chunks; a chunk that is met first is looked into by ``find``."""
+
+    def __init__(self, find):
+        self.find = find
+
+    def __missing__(self, chunk: str):
+        found = self[chunk] = self.find(chunk)
+        return found
 
 
 _transducers: dict[str, BpeTransducer] = {}
@@ -273,13 +313,12 @@ def round_trip(docs: DataFrame, tokenizer_path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = transducer(tokenizer_path)
-        decimal = {i: str(i) for i in bpe.tokens}
         for batch in text_slices(batches):
             counts, encoded, decoded = [], [], []
             for text in texts_of(batch):
-                ids = bpe.encode(text)
+                ids, shown = bpe.encode_with_text(text)
                 counts.append(len(ids))
-                encoded.append(hashlib.sha256(" ".join(map(decimal.__getitem__, ids)).encode()).hexdigest())
+                encoded.append(hashlib.sha256(shown.encode()).hexdigest())
                 decoded.append(hashlib.sha256(bpe.decode(ids).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts, "int64"), pa.array(encoded), pa.array(decoded)],
