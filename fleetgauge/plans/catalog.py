@@ -13,11 +13,11 @@ from fleetgauge import labels as L
 from fleetgauge.operators import anomaly, assertions, capture, delay, evaluation, reports
 from fleetgauge.plans.checks import check_suite
 from fleetgauge.plans.derived_files import capture_files_folder, schedule_folder
-from fleetgauge.plans.load import load_raw
+from fleetgauge.plans.load import load_raw, open_days
 from fleetgauge.plans.models import Models, materialize_layers
 from fleetgauge.session import configure, new_scratch_path
 from fleetgauge.sources import entities, schedule, snapshots, star_tables
-from fleetgauge.sources.tables import replace_sink
+from fleetgauge.sources.tables import replace_sink, stored_days
 from fleetgauge.streaming.snapshot_stream import SnapshotStore, windowed_record_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -272,6 +272,21 @@ def _(spark, folder):
     return windowed_record_counts(_all_records(spark, folder), window="6 hours")
 
 
+@_query("marts_by_day")
+def _(spark, folder):
+    """Raw snapshots loaded at once, feed quality built in two halves of the days, the later one first."""
+    root, marts = new_scratch_path(spark, "raw"), new_scratch_path(spark, "marts")
+    captured = capture_files_folder(spark, folder)
+    patterns = {feed: f"{feed}/*/*" for feed in (L.VEHICLE_FEED, L.TRIP_UPDATE_FEED)}
+    load_raw(spark, schedule_folder(spark, folder), captured, root, patterns=patterns)
+    days = sorted(stored_days(spark, f"{root}/raw_{L.VEHICLE_FEED}") | stored_days(spark, f"{root}/raw_{L.TRIP_UPDATE_FEED}"))
+    for half in (days[len(days) // 2 :], days[: len(days) // 2]):
+        models = Models(open_days(spark, root, half), max_gap_minutes=HOURLY_GAP_MINUTES)
+        materialize_layers(models, marts, ["fct_feed_quality"], days=half, register_views=False)
+    schema = models["fct_feed_quality"].schema
+    return spark.read.schema(schema).parquet(f"{marts}/fct_feed_quality").drop("snapshot_date")
+
+
 def _streamed(spark: SparkSession, folder: str, **options) -> SnapshotStore:
     """The daily snapshot files, stored and summed up by a stream over them."""
     store = SnapshotStore(

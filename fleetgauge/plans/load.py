@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from fleetgauge.labels import OPTIONAL_TABLES, REQUIRED_TABLES
 from fleetgauge.sources.schedule import load_schedule, path_exists
 from fleetgauge.sources.snapshots import RAW_SCHEMAS, scan_snapshots, snapshot_range, with_snapshot_date
-from fleetgauge.sources.tables import replace_sink
+from fleetgauge.sources.tables import replace_sink, stored_days
 
 
 def _path(folder: str, table: str) -> str:
@@ -62,6 +65,21 @@ def open_raw(
     return tables
 
 
+def open_days(spark: SparkSession, folder: str, days: Iterable[str]) -> dict[str, DataFrame]:
+    """The stored raw tables, snapshots cut to the days and to the last stored day before each of them.
+
+    What ``materialize_layers(..., days=days)`` builds from: the day before is read for its last snapshot.
+    """
+    days = set(days)
+    stored = sorted(set().union(*(stored_days(spark, _path(folder, feed)) for feed in RAW_SCHEMAS)))
+    read = days | {before for before, day in zip(stored, stored[1:], strict=False) if day in days}
+    tables = open_raw(spark, folder)
+    for feed, schema in RAW_SCHEMAS.items():
+        raw = spark.read.schema(with_date(schema)).parquet(_path(folder, feed))
+        tables[feed] = raw.where(F.col("snapshot_date").isin(*read)).drop("snapshot_date")
+    return tables
+
+
 def with_date(schema: StructType) -> StructType:
     """A raw schema with the partition column of its stored table."""
     return StructType(list(schema.fields)).add("snapshot_date", "string")

@@ -7,11 +7,12 @@ from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from fleetgauge import labels as L
 from fleetgauge.operators import activity, anomaly, delay, evaluation, quality, staging
 from fleetgauge.sources.snapshots import with_snapshot_date
-from fleetgauge.sources.tables import replace_sink
+from fleetgauge.sources.tables import replace_days, replace_sink
 
 
 @dataclass
@@ -218,14 +219,25 @@ _WITHOUT_SNAPSHOT = (
 
 
 def materialize_layers(
-    models: Models, folder: str, tables: Iterable[str] = TABLES, *, register_views: bool = True
+    models: Models,
+    folder: str,
+    tables: Iterable[str] = TABLES,
+    *,
+    days: Iterable[str] | None = None,
+    register_views: bool = True,
 ) -> dict[str, int]:
     """Write the tables as parquet below ``folder`` and return their row counts.
 
     Snapshot tables are partitioned by day, so that a range of snapshots opens only its days.
     Each written table then stands in for its plan, which later models would else repeat.
+
+    With ``days`` only these days of the snapshot tables are replaced and all others stay, so that a
+    long capture is built piece by piece. The gap of a day's first snapshot ends at the last one of the day
+    before: let ``models`` cover that day too, as ``open_days`` reads it. Tables without snapshots
+    are replaced by what ``models`` has.
     """
     wanted = set(tables)
+    days = None if days is None else set(days)
     counts: dict[str, int] = {}
     for name in TABLES:
         if name not in wanted:
@@ -234,9 +246,14 @@ def materialize_layers(
         if name not in _WITHOUT_SNAPSHOT:
             df, partition_by = with_snapshot_date(df), ("snapshot_date",)
         path = f"{folder.rstrip('/')}/{name}"
-        counts[name] = replace_sink(df, path, as_path=True, partition_by=partition_by)
-        stored = df.sparkSession.read.schema(df.schema).parquet(path).drop("snapshot_date")
-        models.stored[name] = stored
+        if partition_by and days is not None:
+            counts[name] = replace_days(df, path, days)
+        else:
+            counts[name] = replace_sink(df, path, as_path=True, partition_by=partition_by)
+        stored = df.sparkSession.read.schema(df.schema).parquet(path)
+        if partition_by and days is not None:
+            stored = stored.where(F.col("snapshot_date").isin(*days))
+        models.stored[name] = stored.drop("snapshot_date")
     if register_views:
         for name in (*VIEWS, *counts):
             models[name].createOrReplaceTempView(name)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterable, Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -46,3 +49,43 @@ def replace_sink(
     else:
         counted.write.mode("overwrite").partitionBy(*partition_by).saveAsTable(target)
     return seen.get["row_count"]
+
+
+def stored_days(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Files of each ``snapshot_date`` folder below ``path``, by their names: no file is opened."""
+    try:
+        # Any column will do: the names of the files are all that is asked for.
+        files = spark.read.schema("snapshot_date string").parquet(path).inputFiles()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    days: dict[str, list[str]] = {}
+    for file in files:
+        if found := re.search(r"/snapshot_date=([^/]+)/", file):
+            days.setdefault(unquote(found[1]), []).append(file)
+    return days
+
+
+def replace_days(df: DataFrame, path: str, days: Iterable[str]) -> int:
+    """Replace the given days of a table stored by ``snapshot_date``; a day without rows is emptied.
+
+    Rows of other days are not written, other stored days stay. Returns the rows written.
+    """
+    days = sorted(set(days))
+    before = stored_days(df.sparkSession, path)
+    has_rows = Observation()
+    chosen = df.where(F.col("snapshot_date").isin(*days))
+    marks = [F.max(F.col("snapshot_date") == day).alias(day) for day in days] or [F.count("*").alias("none")]
+    written = replace_sink(
+        chosen.observe(has_rows, *marks),
+        path,
+        as_path=True,
+        partition_by=("snapshot_date",),
+        only_touched_partitions=True,
+    )
+    # A day that lost its last row has no partition to replace the old one with.
+    for day in (day for day in days if day in before and not has_rows.get[day]):
+        nothing = df.sparkSession.createDataFrame([], df.drop("snapshot_date").schema)
+        nothing.write.mode("overwrite").parquet(f"{path}/snapshot_date={day}")
+    return written

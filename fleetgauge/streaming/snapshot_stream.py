@@ -7,13 +7,11 @@ deduplicated: repeated entities are a signal the marts count.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -27,7 +25,7 @@ from fleetgauge.sources.snapshots import (
     parse_snapshot_files,
     with_snapshot_date,
 )
-from fleetgauge.sources.tables import replace_sink
+from fleetgauge.sources.tables import replace_days, replace_sink, stored_days
 
 # Findings read the two marts before them.
 STREAMED_MARTS = (
@@ -119,13 +117,10 @@ class SnapshotStore:
             return None
 
     def _stored_days(self, name: str, batch_id: int | None = None) -> set[str]:
-        """Days that have files, by the names of the folders: no file is opened."""
-        schema = T.StructType().add("snapshot_date", "string").add("batch_id", "long")
-        stored = self._read(name, schema if name in RAW_SCHEMAS else schema[:1])
-        files = [] if stored is None else stored.inputFiles()
-        if batch_id is not None:
-            files = [file for file in files if f"/batch_id={batch_id}/" in file]
-        return {unquote(m[1]) for file in files if (m := re.search(r"/snapshot_date=([^/]+)/", file))}
+        """Days that have files, of one batch if it is given."""
+        days = stored_days(self.spark, self._path(name))
+        mark = "" if batch_id is None else f"/batch_id={batch_id}/"
+        return {day for day, files in days.items() if any(mark in file for file in files)}
 
     def add(self, files: DataFrame, batch_id: int) -> None:
         """Store one batch of snapshot files and refresh the days it touches."""
@@ -160,22 +155,8 @@ class SnapshotStore:
         raw = {feed: self.records(feed).where(F.col("snapshot_date").isin(*read)) for feed in RAW_SCHEMAS}
         models = Models({**self.schedule, **raw}, **self.options)
         for name in STREAMED_MARTS:
-            rows = with_snapshot_date(models[name]).where(F.col("snapshot_date").isin(*rebuilt))
-            before = self._stored_days(name)
-            has_rows = Observation()
-            days = {day: F.max(F.col("snapshot_date") == day).alias(day) for day in sorted(rebuilt)}
-            replace_sink(
-                rows.observe(has_rows, *days.values()),
-                self._path(name),
-                as_path=True,
-                partition_by=("snapshot_date",),
-                only_touched_partitions=True,
-            )
-            # A day that lost its last row has no partition to replace the old one with.
-            for day in sorted(before & rebuilt):
-                if not has_rows.get[day]:
-                    nothing = self.spark.createDataFrame([], rows.drop("snapshot_date").schema)
-                    nothing.write.mode("overwrite").parquet(f"{self._path(name)}/snapshot_date={day}")
+            rows = with_snapshot_date(models[name])
+            replace_days(rows, self._path(name), rebuilt)
             models.stored[name] = self.mart(name).where(F.col("snapshot_date").isin(*rebuilt))
 
     def follow(

@@ -280,7 +280,9 @@ def _statements() -> dict[str, str]:
         "headway_status_counts":
             _counted("fct_headway", "headway_reliability_status", "route_snapshot_count"),
         "kpi_avg_spacing": """
-            SELECT round(avg(avg_vehicle_spacing_minutes), 6) AS avg_vehicle_spacing_minutes FROM fct_headway""",
+            SELECT round(sum(avg_vehicle_spacing_minutes::DECIMAL(28, 6))::DOUBLE
+                         / nullif(count(avg_vehicle_spacing_minutes), 0), 6) AS avg_vehicle_spacing_minutes
+            FROM fct_headway""",
         "top_variable_routes": """
             SELECT route_id, snapshot_folder, distinct_vehicle_count, avg_vehicle_spacing_minutes,
                    headway_variance_minutes, headway_reliability_status
@@ -298,7 +300,9 @@ _OVER_DAILY_FILES = {
     "snapshot_lineage": "SELECT snapshot_folder, entity_id, trip_id FROM raw_trip_updates",
     "capture_files": "SELECT DISTINCT snapshot_folder FROM both_feeds",
     "streamed_feed_quality": "FROM fct_feed_quality",
-    "streamed_findings": "FROM fct_anomaly_findings",
+    "marts_by_day": "FROM fct_feed_quality",
+    # The written files carry no stop updates.
+    "streamed_findings": "FROM fct_anomaly_findings WHERE detector_rule_id <> 'rule_extreme_delay'",
 }
 
 

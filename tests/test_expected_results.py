@@ -35,7 +35,7 @@ def physical_plan(df):
 
 
 # These write files while the query is put together, or list fixed labels or feeds.
-EAGER = {"materialize_layers", "check_suite", "replace_sink", "snapshot_range", "streamed_feed_quality", "streamed_findings",
+EAGER = {"materialize_layers", "check_suite", "replace_sink", "snapshot_range", "streamed_feed_quality", "streamed_findings", "marts_by_day",
          "load_raw"}
 
 
