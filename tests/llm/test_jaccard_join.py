@@ -58,9 +58,9 @@ def corpus(seed, n):
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize("blocks", [200, 7])
-def test_equals_all_pairs(spark, monkeypatch, blocks):
-    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", blocks)
+@pytest.mark.parametrize("shingles_of_a_block", [1 << 20, 300])
+def test_equals_all_pairs(spark, monkeypatch, shingles_of_a_block):
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", shingles_of_a_block)
     rows = corpus(3, 250)
     table = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     found = sorted((tuple(r) for r in near_duplicates(table).collect()), key=str)
