@@ -17,6 +17,7 @@ prefix, in any order that is common to all; rare shingles come first. The work g
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetgauge.llm.batches import map_batches, text_slices, texts_of
@@ -37,9 +38,11 @@ PERCENT = 75
 SKETCH_COUNTERS = 1 << 22
 SKETCH_PARTS = 64
 #: Prefix shingles that a task of the second pass takes, about.
-PART_POSTINGS = 1 << 20
-#: Sets in a block of the third pass, about.
-BLOCK_SETS = 200
+PART_POSTINGS = 1 << 19
+#: Bits of the map that says which sets the third pass may need; the map is broadcast.
+MAP_BITS = 1 << 25
+#: Shingles in all sets of a block of the third pass, about.
+BLOCK_SHINGLES = 1 << 21
 #: Words whose hashes a task remembers.
 REMEMBERED = 500_000
 
@@ -105,7 +108,7 @@ def _sets_and_sketch(docs: DataFrame, words: int) -> DataFrame:
                 ],
                 schema=arrow,
             )
-        parts = [zlib.compress(part.tobytes(), 1) for part in np.split(sketch, SKETCH_PARTS)]
+        parts = _packed_parts(sketch)
         empty = pa.nulls(SKETCH_PARTS)
         yield pa.RecordBatch.from_arrays(
             [empty.cast("int64"), empty.cast("int64"), empty.cast("int64"), empty.cast("binary"),
@@ -115,16 +118,29 @@ def _sets_and_sketch(docs: DataFrame, words: int) -> DataFrame:
     return map_batches(docs.withColumn("text_hash", F.xxhash64("text")), run, _SETS)
 
 
-def _merge_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums: dict[int, np.ndarray] = {}
+def _merge_parts(batches: Iterator[pa.RecordBatch], combine: np.ufunc, dtype: type) -> Iterator[pa.RecordBatch]:
+    merged: dict[int, np.ndarray] = {}
     for batch in batches:
-        for part, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            found = np.frombuffer(zlib.decompress(counts), np.uint32)
-            held = sums.setdefault(part, np.zeros(len(found), np.uint64))
-            held += found
-    if sums:
-        packed = [np.minimum(s, 2**32 - 1).astype(np.uint32).tobytes() for s in sums.values()]
-        yield pa.RecordBatch.from_arrays([pa.array(sums, "int32"), pa.array(packed, "binary")], ["part", "counts"])
+        for part, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            found = np.frombuffer(zlib.decompress(packed), dtype)
+            merged[part] = combine(merged[part], found) if part in merged else found.copy()
+    if merged:
+        values = [values.tobytes() for values in merged.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(merged, "int32"), pa.array(values, "binary")], ["part", "counts"])
+
+
+def _merged(parts: DataFrame, length: int, combine: np.ufunc, dtype: type) -> np.ndarray:
+    """An array of fixed length, merged from tasks' parts (part, counts); zero where there are none."""
+    whole = np.zeros((SKETCH_PARTS, length // SKETCH_PARTS), dtype)
+    dealt = parts.select("part", "counts").repartition("part")
+    rows = map_batches(dealt, lambda batches: _merge_parts(batches, combine, dtype), "part int, counts binary").collect()
+    for part, values in rows:
+        whole[part] = np.frombuffer(values, dtype)
+    return whole.reshape(-1)
+
+
+def _packed_parts(values: np.ndarray) -> list[bytes]:
+    return [zlib.compress(part.tobytes(), 1) for part in np.split(values, SKETCH_PARTS)]
 
 
 # --- second pass: chains of sets that share a prefix shingle ----------------------------------
@@ -163,7 +179,7 @@ _POSTINGS = "part int, tokens binary, low binary, high binary, owners binary, ke
 
 
 def _prefixes(docs: DataFrame, words: int, percent: int, counts, parts: int) -> DataFrame:
-    """Rows of two kinds: a task's prefix entries for one part, and pairs linked within the task."""
+    """Rows of two kinds: a task's prefix entries for one part, and pairs linked within the task (a, b)."""
 
     def flush(owners: list[bytes], entries: list[np.ndarray], sizes: list[int]) -> Iterator[pa.RecordBatch]:
         lengths = [len(tokens) for tokens in entries]
@@ -175,20 +191,24 @@ def _prefixes(docs: DataFrame, words: int, percent: int, counts, parts: int) ->
         first = np.flatnonzero(~goes_on)
         last = np.r_[first[1:], len(order)] - 1
         tokens, low, high, owner = tokens[order[first]], size[order[first]], size[order[last]], owner[order[first]]
-        part = (tokens >> np.uint64(20)) % np.uint64(parts)
-        by_part = np.argsort(part, kind="stable")
+        part = (tokens >> np.uint64(24)) % np.uint64(parts)
+        by_part = np.lexsort((owner, part))
         rows = []
         for chosen in np.split(by_part, np.flatnonzero(np.diff(part[by_part])) + 1):
             held, local = np.unique(owner[chosen], return_inverse=True)
             rows.append({
                 "part": int(part[chosen[0]]),
-                "tokens": tokens[chosen].tobytes(),
+                # Six bytes tell shingles apart well enough: a clash here only adds a candidate.
+                "tokens": tokens[chosen].view(np.uint8).reshape(-1, 8)[:, :6].tobytes(),
                 "low": low[chosen].astype(np.uint32).tobytes(),
                 "high": high[chosen].astype(np.uint32).tobytes(),
                 "owners": local.astype(np.uint32).tobytes(),
                 "keys": b"".join(owners[at] for at in held),
             })
-        rows += [{"a": owners[a], "b": owners[b]} for a, b in pairs.tolist()]
+        by_place = np.array_split(pairs, max(1, min(parts, len(pairs) // 1000)))
+        for at, some in enumerate(by_place if len(pairs) else []):
+            ends = [b"".join(owners[end] for end in column) for column in some.T.tolist()]
+            rows.append({"part": at, "a": ends[0], "b": ends[1]})
         yield pa.RecordBatch.from_pylist(rows, _POSTINGS_ARROW)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,7 +247,7 @@ _POSTINGS_ARROW = pa.schema(
 
 
 def _link_parts(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Link the entries of each part; rows come ordered by part."""
+    """Link the entries of each part, rows coming ordered by part, and pass on the pairs linked already."""
 
     def linked(rows: list[dict]) -> pa.RecordBatch:
         keys, owners, before = [], [], 0
@@ -236,10 +256,10 @@ def _link_parts(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.
             owners.append(np.frombuffer(row["owners"], np.uint32).astype(np.int64) + before)
             keys.append(own)
             before += len(own)
-        tokens, low, high = (
-            np.concatenate([np.frombuffer(row[name], kind) for row in rows])
-            for name, kind in (("tokens", np.uint64), ("low", np.uint32), ("high", np.uint32))
-        )
+        low, high = (np.concatenate([np.frombuffer(row[name], np.uint32) for row in rows]) for name in ("low", "high"))
+        tokens = np.zeros((len(low), 8), np.uint8)
+        tokens[:, :6] = np.concatenate([np.frombuffer(row["tokens"], np.uint8) for row in rows]).reshape(-1, 6)
+        tokens = tokens.view(np.uint64)[:, 0]
         keys, owners = np.concatenate(keys), np.concatenate(owners)
         # A set may come from several tasks, or in several entries of one: its first number stands for all.
         _, first, same = np.unique(keys, return_index=True, return_inverse=True)
@@ -252,6 +272,10 @@ def _link_parts(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.
     held: list[dict] = []
     for batch in batches:
         for row in batch.to_pylist():
+            if row["a"] is not None:
+                ends = [[row[name][at : at + 16] for at in range(0, len(row[name]), 16)] for name in ("a", "b")]
+                yield pa.RecordBatch.from_arrays([pa.array(end, "binary") for end in ends], ["a", "b"])
+                continue
             if held and row["part"] != held[0]["part"]:
                 yield linked(held)
                 held = []
@@ -333,7 +357,7 @@ _LINKS = "set_key binary, links long, other binary"
 
 
 def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Links of each pair of blocks; rows come ordered by (component, left, right).
+    """Links of each pair of blocks; rows come ordered by (component, left, right, set_key).
 
     Gives each linked set the copies it links with in this pair of blocks, and a forest of links.
     """
@@ -369,23 +393,55 @@ def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
             if held and any(row[k] != held[0][k] for k in ("component", "left", "right")):
                 yield linked(held)
                 held = []
-            held.append(row)
+            if not held or row["set_key"] != held[-1]["set_key"]:  # rows that repeat id and text
+                held.append(row)
     if held:
         yield linked(held)
 
 
-def _shingles_of(docs: DataFrame, words: int) -> DataFrame:
+def _slots(keys: list[bytes]) -> np.ndarray:
+    return (np.frombuffer(b"".join(key[:8] for key in keys), np.uint64) & np.uint64(MAP_BITS - 1)).astype(np.int64)
+
+
+def _map_of(wanted: DataFrame) -> np.ndarray:
+    """Packed bits, set at the slots of the sets in ``wanted``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(MAP_BITS, bool)
+        for batch in batches:
+            bits[_slots(batch.column(0).to_pylist())] = True
+        if bits.any():
+            parts = _packed_parts(np.packbits(bits))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(SKETCH_PARTS), "int32"), pa.array(parts, "binary")], ["part", "counts"]
+            )
+
+    parts = map_batches(wanted.select("set_key"), run, "part int, counts binary")
+    return _merged(parts, MAP_BITS // 8, np.bitwise_or, np.uint8)
+
+
+def _mapped_sets(docs: DataFrame, words: int, packed) -> DataFrame:
+    """doc_id, set_key and shingles of the rows whose set the map may hold."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = packed.value
         for batch in text_slices(batches):
-            sets = [shingle_set(text, words) for text in texts_of(batch)]
-            rest = [batch.column(name) for name in ("set_key", "component", "copies")]
-            same = [_key(found) == key for found, key in zip(sets, rest[0].to_pylist(), strict=True)]
-            found = pa.RecordBatch.from_arrays(
-                [*rest, pa.array([s.tobytes() for s in sets], "binary")], ["set_key", "component", "copies", "shingles"]
+            docs, keys, found = [], [], []
+            for doc, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch), strict=True):
+                shingles = shingle_set(text, words)
+                key = _key(shingles)
+                if key is not None:
+                    slot = int(_slots([key])[0])
+                    if bits[slot >> 3] >> (7 - (slot & 7)) & 1:
+                        docs.append(doc)
+                        keys.append(key)
+                        found.append(shingles.tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(docs, "int64"), pa.array(keys, "binary"), pa.array(found, "binary")],
+                ["doc_id", "set_key", "shingles"],
             )
-            yield found.filter(pa.array(same, "bool"))
 
-    return map_batches(docs, run, "set_key binary, component binary, copies long, shingles binary")
+    return map_batches(docs, run, "doc_id long, set_key binary, shingles binary")
 
 
 def _judged(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -396,44 +452,58 @@ def _judged(docs: DataFrame, words: int, percent: int) -> DataFrame:
     _sets_and_sketch(docs, words).write.parquet(path)
     written = spark.read.parquet(path)
     rows = written.where("part is null").select("doc_id", "text_hash", "n_shingles", "set_key")
-    sketch = np.zeros(SKETCH_COUNTERS, np.uint32)
-    parts = written.where("part is not null").select("part", "counts").repartition("part")
-    for part, counts in map_batches(parts, _merge_sketch, "part int, counts binary").collect():
-        width = SKETCH_COUNTERS // SKETCH_PARTS
-        sketch[part * width : (part + 1) * width] = np.frombuffer(counts, np.uint32)
+    sketch = _merged(written.where("part is not null"), SKETCH_COUNTERS, np.add, np.uint32)
     sent = spark.sparkContext.broadcast(sketch)
 
     total = rows.agg(F.sum("n_shingles")).first()[0] or 0
     n_parts = max(16, total * (100 - percent) // 100 // PART_POSTINGS * 2)
-    path = new_scratch_path(spark, "prefixes")
-    _prefixes(docs, words, percent, sent, n_parts).write.parquet(path)
-    prefixes = spark.read.parquet(path)
-    within = prefixes.where("a is not null").select("a", "b")
-    dealt = prefixes.where("part is not null").drop("a", "b")
-    dealt = dealt.repartition(n_parts, "part").sortWithinPartitions("part")
-    across = map_batches(dealt, lambda batches: _link_parts(batches, percent), "a binary, b binary")
-    candidates = connected(within.union(across))
+    dealt = _prefixes(docs, words, percent, sent, n_parts).repartition(n_parts, "part").sortWithinPartitions("part")
+    candidates = connected(map_batches(dealt, lambda batches: _link_parts(batches, percent), "a binary, b binary"))
 
     sets = rows.where("set_key is not null").groupBy("set_key").agg(
-        F.count("*").alias("copies"), F.min("doc_id").alias("least_doc")
+        F.count("*").alias("copies"), F.min("doc_id").alias("least_doc"), F.max("n_shingles").alias("size")
     )
+    candidates = candidates.withColumnsRenamed({"node": "set_key", "root": "component"})
+    candidates = candidates.join(sets, "set_key")
+    total = candidates.groupBy("component").agg(F.sum("size").alias("total"))
+    # A large component is cut up by size first: similar sets are in one class or in neighbouring ones.
+    step = 1.0001 * max(math.log(100 / percent), 1e-6)
+    size_class = F.when(F.col("total") <= BLOCK_SHINGLES, 0).otherwise(F.floor(F.log("size") / step)).cast("int")
+    candidates = candidates.join(total, "component").withColumn("size_class", size_class)
+    in_class = candidates.groupBy("component", "size_class").agg(
+        F.ceil(F.sum("size") / BLOCK_SHINGLES).cast("int").alias("blocks")
+    )
+    blocks = in_class.groupBy("component").agg(
+        F.map_from_entries(F.collect_list(F.struct("size_class", "blocks"))).alias("blocks")
+    )
     path = new_scratch_path(spark, "candidates")
-    candidates.select(F.col("node").alias("set_key"), F.col("root").alias("component")).join(sets, "set_key").write.parquet(path)
+    candidates.join(blocks, "component").write.parquet(path)
     wanted = spark.read.parquet(path)
-    texts = docs.alias("d").join(wanted.alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.least_doc")))
-    shingles = _shingles_of(texts.select("d.text", "w.set_key", "w.component", "w.copies"), words)
-    blocks = wanted.groupBy("component").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("blocks"))
-    shingles = shingles.dropDuplicates(["set_key"]).join(blocks, "component")
-    block = F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int")
+    packed = spark.sparkContext.broadcast(_map_of(wanted))
+
+    def numbered(size_class: Column, block: Column) -> Column:
+        return F.shiftleft(size_class.cast("long"), 32) + block
+
+    def blocks_of(size_class: Column) -> Column:
+        many = F.coalesce(F.try_element_at("blocks", size_class), F.lit(0))
+        places = F.transform(F.sequence(F.lit(1), F.greatest(many, F.lit(1))), lambda nth: numbered(size_class, nth - 1))
+        return F.slice(places, 1, many)
+
+    own_class = F.col("size_class")
+    block = numbered(own_class, F.pmod(F.xxhash64("set_key"), F.try_element_at("blocks", own_class)))
+    others = F.flatten(F.array(blocks_of(own_class - 1), blocks_of(own_class), blocks_of(own_class + 1)))
     met = (
-        shingles.withColumn("block", block)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        _mapped_sets(docs, words, packed)
+        .join(wanted, "set_key")
+        .where(F.col("doc_id").eqNullSafe(F.col("least_doc")))  # one row stands for all copies
+        .withColumn("block", block)
+        .withColumn("other", F.explode(others))
         .select(
             "component", "set_key", "copies", "shingles", "block",
             F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"),
         )
         .repartition("component", "left", "right")
-        .sortWithinPartitions("component", "left", "right")
+        .sortWithinPartitions("component", "left", "right", "set_key")
     )
     path = new_scratch_path(spark, "links")
     map_batches(met, lambda batches: _verify(batches, percent), _LINKS).write.parquet(path)
