@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from fleetgauge.llm.batches import held_out, map_batches, text_slices, texts_of
 
 #: Labelled documents of each class that the model is trained on at most.
-SAMPLE_PER_CLASS = {0: 2_500, 1: 1_500}
+SAMPLE_PER_CLASS = {0: 1_200, 1: 800}
 BUCKETS = 1 << 18
 DIMENSIONS = 4
 N_GRAMS = (3, 4, 5, 6, 7)
@@ -114,18 +114,18 @@ def _segment_sums(values: np.ndarray, owners: np.ndarray, n: int) -> np.ndarray:
     return sums
 
 
-def _shares(bags: list[tuple[list[str], list[int]]]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each bag of words its distinct buckets and their shares of all its n-grams."""
-    vocabulary = sorted(set().union(*(words for words, _ in bags)))
+def gram_shares(bags: list[Counter]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each bag of words, none of them empty, its distinct buckets and their shares of all its n-grams."""
+    vocabulary = sorted(set().union(*bags))
     number = {word: at for at, word in enumerate(vocabulary)}
     buckets, owners = subwords(vocabulary)
     buckets = buckets[np.argsort(owners, kind="stable")].astype(np.int32)
     ends = np.cumsum(np.bincount(owners, minlength=len(vocabulary)))
     spans = np.split(buckets, ends[:-1])
     shares = []
-    for words, counts in bags:
-        own = [spans[number[word]] for word in words]
-        weights = np.repeat(np.array(counts, np.float64), [len(span) for span in own])
+    for bag in bags:
+        own = [spans[number[word]] for word in bag]
+        weights = np.repeat(np.array([*bag.values()], np.float64), [len(span) for span in own])
         found, inverse = np.unique(np.concatenate(own), return_inverse=True)
         sums = np.bincount(inverse, weights)
         shares.append((found, (sums / (sums.sum() + FEW_GRAMS)).astype(np.float32)))
@@ -133,7 +133,7 @@ def _shares(bags: list[tuple[list[str], list[int]]]) -> list[tuple[np.ndarray, n
 
 
 def train(
-    bags: list[tuple[list[str], list[int]]],
+    shares: list[tuple[np.ndarray, np.ndarray]],
     targets: np.ndarray,
     epochs: int = 12,
     rate: float = 0.5,
@@ -142,33 +142,34 @@ def train(
     toxic_weight: float = 0.3,
     seed: int = 7,
 ) -> SubwordModel:
-    """Train embeddings and softmax together on word counts of whole documents, none of them empty.
+    """Train embeddings and softmax together on the n-gram shares of whole documents (see ``gram_shares``).
 
     An n-gram's share of a document is divided by the root of its mean share, so that chance puts the
     same noise on rare and on frequent n-grams. Together, toxic documents weigh ``toxic_weight``.
     """
     random = np.random.default_rng(seed)
-    order = random.permutation(len(bags))
-    shares = _shares([bags[at] for at in order])
-    targets = targets[order]
+    order = random.permutation(len(shares))
+    shares, targets = [shares[at] for at in order], targets[order]
+    n_docs = len(shares)
     often, total = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS)
     for found, share in shares:
         often[found] += 1
         total[found] += share
-    learnt = often >= min(LEAST_DOCUMENTS, max(1, len(bags) // 50))
+    learnt = often >= min(LEAST_DOCUMENTS, max(1, n_docs // 50))
     compact = (np.cumsum(learnt) - 1).astype(np.int32)
     width = int(learnt.sum())
-    spread = np.sqrt(total[learnt] / len(bags) + 1e-7).astype(np.float32)
+    spread = np.sqrt(total[learnt] / n_docs + 1e-7).astype(np.float32)
     weight = np.where(targets == 1, toxic_weight / (targets == 1).sum(), (1 - toxic_weight) / (targets == 0).sum())
-    weight = weight * len(bags)
+    weight = weight * n_docs
     wanted = np.stack([targets == 0, targets == 1], axis=1).astype(np.float32)
     batches = []
-    for start in range(0, len(bags), batch):
+    for start in range(0, n_docs, batch):
         part = shares[start : start + batch]
         part = [(compact[found[learnt[found]]], share[learnt[found]]) for found, share in part]
         row = np.repeat(np.arange(len(part), dtype=np.int32), [len(found) for found, _ in part])
         column = np.concatenate([found for found, _ in part])
         cell = np.concatenate([share for _, share in part]) / spread[column]
+        shares[start : start + batch] = [None] * len(part)
         batches.append((slice(start, start + len(part)), row, column, cell, np.argsort(column, kind="stable").astype(np.int32)))
     embedding = np.zeros((width, DIMENSIONS), np.float32)
     softmax = random.normal(0, 1, (DIMENSIONS, 2)).astype(np.float32)
@@ -202,20 +203,20 @@ def train(
 def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: dict[int, int] = SAMPLE_PER_CLASS) -> SubwordModel | None:
     """Train on ``labels`` (doc_id, toxic) whose crc32 of the id modulo 4 is not 2.
 
-    At most ``per_class[toxic]`` documents of a class, picked by a hash of the id, are reduced to
-    counts of their words and sent to the driver. None without examples of both classes.
+    At most ``per_class[toxic]`` documents of a class, picked by a hash of the id, are reduced to their
+    n-gram shares, which the driver trains on. None without examples of both classes.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
-            bags = [Counter(words_of(text)) for text in texts_of(batch)]
+            found = zip(batch.column("toxic").to_pylist(), texts_of(batch), strict=True)
+            bags = [(toxic, bag) for toxic, text in found if (bag := Counter(words_of(text)))]
+            shares = gram_shares([bag for _, bag in bags]) if bags else []
+            columns = [[toxic for toxic, _ in bags], *([values.tobytes() for values in side] for side in zip(*shares, strict=True))]
+            kinds = ("int32", "binary", "binary")
+            columns = columns if bags else [[], [], []]
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("toxic"),
-                    pa.array([list(bag) for bag in bags], pa.list_(pa.string())),
-                    pa.array([list(bag.values()) for bag in bags], pa.list_(pa.int32())),
-                ],
-                ["toxic", "words", "counts"],
+                [pa.array(values, kind) for values, kind in zip(columns, kinds, strict=True)], ["toxic", "buckets", "shares"]
             )
 
     chosen = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"), 4))
@@ -226,12 +227,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: dict[int, int] =
     ]
     sample = classes[0].union(classes[1])
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("label_id"))
-    rows = map_batches(texts.select("text", "toxic"), run, "toxic int, words array<string>, counts array<int>").collect()
-    rows = sorted((row.toxic, row.words, row.counts) for row in rows if row.words)
-    targets = np.array([row[0] for row in rows])
+    rows = map_batches(texts.select("text", "toxic"), run, "toxic int, buckets binary, shares binary").collect()
+    rows.sort()
+    targets = np.array([row.toxic for row in rows])
     if len(np.unique(targets)) < 2:
         return None
-    return train([(words, counts) for _, words, counts in rows], targets)
+    return train([(np.frombuffer(row.buckets, np.int32), np.frombuffer(row.shares, np.float32)) for row in rows], targets)
 
 
 def _score(texts: list[str], model: SubwordModel | None) -> np.ndarray:
