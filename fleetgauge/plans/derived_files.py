@@ -65,7 +65,7 @@ def capture_files_folder(spark: SparkSession, folder: str) -> str:
 
     def write(root: str) -> None:
         vehicles = star_tables.raw_vehicle_positions(spark, folder, iso_text=True)
-        updates = star_tables.raw_trip_updates(spark, folder, iso_text=True)
+        updates = star_tables.raw_trip_updates_with_stops(spark, folder, iso_text=True)
         write_snapshot_arrays(daily(vehicles), f"{root}/{VEHICLE_FEED}")
         write_snapshot_arrays(daily(updates), f"{root}/{TRIP_UPDATE_FEED}")
 

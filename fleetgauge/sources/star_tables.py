@@ -1,12 +1,14 @@
 """Feed tables projected out of the star-schema test tables, so the operators can run on them.
 
 Every rule is a plain column expression over ``region nation supplier orders lineitem events``;
-the tables grow with those, nothing is sampled and no group is gathered into one row.
+the tables grow with those and nothing is sampled. Only a trip update as the capture files have it
+gathers a group, the lines of its order, into one row.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fleetgauge.labels import SERVICE_DAY_OFFSET_SECONDS, TRIP_UPDATE_FEED, VEHICLE_FEED
 
@@ -147,25 +149,18 @@ def _trip_update_columns(iso_text: bool) -> list[str]:
 
 
 def raw_trip_updates(spark: SparkSession, folder: str, *, iso_text: bool = False) -> DataFrame:
-    """Trip updates without their stop updates, which ``raw_trip_update_stops`` has."""
+    """Trip updates without their stop updates; ``raw_trip_updates_with_stops`` has both."""
     updates = _reports(spark, folder).where("event_id % 3 = 0")
     return updates.selectExpr(*_trip_update_columns(iso_text), "string(NULL) AS stop_time_updates")
 
 
-def raw_trip_update_stops(spark: SparkSession, folder: str, *, native: bool = False) -> DataFrame:
-    """Trip updates in parts, each with the JSON (or native) array of one or two stop updates.
-
-    One part per line of the order with the event's number. The first element can match the
-    schedule, unless its quantity of 50 stands for an unknown stop; a second one, on some lines, names a
-    stop the schedule does not have. Without lines
-    the array is empty, or NULL for every other event. Parts keep an order with very many lines
-    from becoming one row.
-    """
+def _stop_parts(spark: SparkSession, folder: str, updates: DataFrame, *, native: bool) -> DataFrame:
+    """``updates`` with the ``stop_time_updates`` of one line of the order with the event's number a row."""
     lines = (
         read_table(spark, folder, "lineitem")
         .selectExpr("l_orderkey AS event_id", "* EXCEPT (l_orderkey)")
     )
-    updates = _reports(spark, folder).where("event_id % 3 = 0").join(lines, "event_id", "left")
+    columns, updates = updates.columns, updates.join(lines, "event_id", "left")
     offset = SERVICE_DAY_OFFSET_SECONDS
 
     def element(sequence: str, delay: str) -> str:
@@ -194,13 +189,44 @@ def raw_trip_update_stops(spark: SparkSession, folder: str, *, native: bool = Fa
             f"IF(l_quantity = 17, NULL, day_start + {_SCHEDULED_SECOND} % 86400 + shift * 60) AS time",
         )
         .selectExpr(
-            *_trip_update_columns(False),
+            *columns,
             f"CASE WHEN l_linenumber IS NOT NULL THEN {value} WHEN event_id % 2 = 0 THEN {empty} END "
             "AS stop_time_updates",
         )
     )
 
 
+def raw_trip_update_stops(spark: SparkSession, folder: str, *, native: bool = False) -> DataFrame:
+    """Trip updates in parts, each with the JSON (or native) array of one or two stop updates.
+
+    One part per line of the order with the event's number. The first element can match the
+    schedule, unless its quantity of 50 stands for an unknown stop; a second one, on some lines, names a
+    stop the schedule does not have. Without lines
+    the array is empty, or NULL for every other event. Parts keep an order with very many lines
+    from becoming one row.
+    """
+    updates = _reports(spark, folder).where("event_id % 3 = 0")
+    parts = _stop_parts(spark, folder, updates, native=native)
+    return parts.selectExpr(*_trip_update_columns(False), "stop_time_updates")
+
+
+def raw_trip_updates_with_stops(spark: SparkSession, folder: str, *, iso_text: bool = False) -> DataFrame:
+    """The rows of ``raw_trip_updates``, each with all its stop updates in one native array.
+
+    A captured trip update is one record of a file, so the lines of an order do become one row here.
+    """
+    event = ["event_id", "event_type", "user_id", "second", "taken_at"]
+    updates = _reports(spark, folder).where("event_id % 3 = 0").groupBy(*event).agg(F.count("*").alias("copies"))
+    stops = F.sort_array(F.flatten(F.collect_list("stop_time_updates")))
+    whole = (
+        _stop_parts(spark, folder, updates, native=True)
+        .groupBy(*event, "copies")
+        .agg(F.when(F.count("stop_time_updates") > 0, stops).alias("stop_time_updates"))
+        .selectExpr("*", "explode(sequence(1L, copies)) AS copy")
+    )
+    return whole.selectExpr(*_trip_update_columns(iso_text), "stop_time_updates")
+
+
 def vehicle_entities(spark: SparkSession, folder: str) -> DataFrame:
     """Decoded feed entities, vehicles and others; unset ids are empty text."""
     vehicle = """named_struct(
