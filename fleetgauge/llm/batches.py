@@ -62,6 +62,15 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [text or "" for text in batch.column(column).to_pylist()]
 
 
+def one_text_each(docs: DataFrame, sample: DataFrame, label: str) -> DataFrame:
+    """``text`` and ``label`` of each document of ``sample`` (label_id, label), a row an id.
+
+    Rows that repeat an id are reduced to the least text, on the map side first; a NULL text counts only alone.
+    """
+    found = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("label_id"))
+    return found.groupBy("label_id", label).agg(F.min("text").alias("text")).select("text", label)
+
+
 def ascii_words(text: str) -> list[bytes]:
     """Maximal runs of UTF-8 bytes outside 0x20 and 0x09 to 0x0D."""
     return text.encode().split()

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetgauge.llm.batches import map_batches, text_slices, texts_of
+from fleetgauge.llm.batches import map_batches, one_text_each, text_slices, texts_of
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
@@ -213,14 +213,15 @@ _STATISTICS = "quality int, inputs array<double>"
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int, where=None) -> DataFrame:
     """``text`` and ``label`` of at most ``limit`` labelled documents, picked by a hash of their ids.
 
-    The ids are broadcast; ``limit`` bounds them. Repeated labels of a document count once.
+    The ids are broadcast; ``limit`` bounds them. Repeated labels of a document count once; of rows that
+    repeat an id that with the least text counts.
     """
     chosen = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
     if where is not None:
         chosen = chosen.where(where)
     chosen = chosen.groupBy(F.col("doc_id").alias("label_id")).agg(F.max(label).cast("int").alias(label))
     chosen = chosen.orderBy(F.xxhash64("label_id"), "label_id").limit(limit)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select("text", label)
+    return one_text_each(docs, chosen, label)
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees | None:

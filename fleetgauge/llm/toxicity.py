@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetgauge.llm.batches import held_out, map_batches, text_slices, texts_of
+from fleetgauge.llm.batches import held_out, map_batches, one_text_each, text_slices, texts_of
 
 #: Labelled documents of each class that the model is trained on at most.
 SAMPLE_PER_CLASS = {0: 1_200, 1: 800}
@@ -204,7 +204,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: dict[int, int] =
     """Train on ``labels`` (doc_id, toxic) whose crc32 of the id modulo 4 is not 2.
 
     At most ``per_class[toxic]`` documents of a class, picked by a hash of the id, are reduced to their
-    n-gram shares, which the driver trains on. None without examples of both classes.
+    n-gram shares, which the driver trains on; of rows that repeat an id one counts, that with the least text.
+    None without examples of both classes.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,8 +227,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: dict[int, int] =
         for kind in (0, 1)
     ]
     sample = classes[0].union(classes[1])
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("label_id"))
-    rows = map_batches(texts.select("text", "toxic"), run, "toxic int, buckets binary, shares binary").collect()
+    rows = map_batches(one_text_each(docs, sample, "toxic"), run, "toxic int, buckets binary, shares binary").collect()
     rows.sort()
     targets = np.array([row.toxic for row in rows])
     if len(np.unique(targets)) < 2:
