@@ -287,10 +287,13 @@ def _link_parts(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.
 # --- third pass: the grouped join within blocks ------------------------------------------------
 
 
-def grouped_join(sets: list[np.ndarray], sides: np.ndarray, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+def grouped_join(
+    sets: list[np.ndarray], sides: np.ndarray, percent: int, crossing: bool | None = None
+) -> Iterator[tuple[int, np.ndarray]]:
     """(place, places of later sets that it links with) among ``sets``, sorted distinct hashes.
 
-    Sets of one side meet only those of the other, unless all are on side 0. Sets with equal size and
+    If ``crossing``, sets of one side meet only those of the other, so one side alone gives nothing;
+    left out, it holds unless all are on side 0. Sets with equal size and
     equal prefix are a group; a pair of groups is looked into if their sizes allow the similarity
     and their prefixes share a shingle, and then each pair of members is counted out.
     """
@@ -325,7 +328,7 @@ def grouped_join(sets: list[np.ndarray], sides: np.ndarray, percent: int) -> Ite
     run_at = np.searchsorted(held[by_value], np.arange(len(values) + 1))
     group_size = np.array([key[0] for key in keys])
     met = np.zeros(len(keys), bool)
-    crossing = bool(sides.any())
+    crossing = bool(sides.any()) if crossing is None else crossing
     shared_of = [index[start : start + size][shared[start : start + size]] for start, size in zip(starts, sizes, strict=True)]
     marked = np.zeros(len(values), np.int64)
     for number, key in enumerate(keys):
@@ -372,7 +375,7 @@ def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
             while parent[at] != at:
                 parent[at] = at = parent[parent[at]]
             return at
-        for at, others in grouped_join(sets, sides, percent):
+        for at, others in grouped_join(sets, sides, percent, rows[0]["left"] != rows[0]["right"]):
             links[at] += copies[others].sum()
             links[others] += copies[at]
             for other in others.tolist():
