@@ -27,8 +27,12 @@ from tokenizers import Tokenizer
 
 from fleetgauge.llm.batches import map_batches, text_slices, texts_of
 
-#: Chunks of text a task remembers the ids of.
+#: Chunks of text a task remembers the ids of, and the characters of the longest one it remembers.
 REMEMBERED = 600_000
+LONGEST_REMEMBERED = 256
+
+#: Characters of text, or ids of a run without white space, that are encoded and decoded at once.
+BLOCK = 1 << 16
 
 #: Last character that all Unicode versions class alike, with all before it.
 LATIN = chr(0x24F)
@@ -160,18 +164,20 @@ class BpeTransducer:
                 del held[:read]
         yield from self.merge(held)
 
-    def encode_chunk(self, chunk: str) -> tuple[int, ...]:
-        """Ids of a text without splitting it at white space first."""
-        ids: list[int] = []
+    def chunk_ids(self, chunk: str) -> Iterator[int]:
+        """Ids of a text without splitting it at white space first, each once it is stable."""
         at = 0
         for match in chain(self.mark.finditer(chunk), [None]):
             plain = self.normalize(chunk[at : match.start() if match else len(chunk)])
             for pre_token in self.pre_tokens(plain):
-                ids += [self.vocabulary[token] for token in self.transduce(self.symbols(pre_token))]
+                for token in self.transduce(self.symbols(pre_token)):
+                    yield self.vocabulary[token]
             if match:
-                ids.append(self.marks[match[0]])
+                yield self.marks[match[0]]
                 at = match.end()
-        return tuple(ids)
+
+    def encode_chunk(self, chunk: str) -> tuple[int, ...]:
+        return tuple(self.chunk_ids(chunk))
 
     def chunks(self, text: str) -> list[str]:
         # Where white space is dropped, any of it parts pre-tokens whatever stands around.
@@ -209,6 +215,30 @@ class BpeTransducer:
         found = self._found(text)
         return list(chain.from_iterable([ids for ids, _ in found])), " ".join([shown for _, shown in found if shown])
 
+    def _blocks(self, text: str) -> Iterator[str]:
+        """The text in blocks, cut at white space that is dropped; a longer one is a run without any."""
+        at = 0
+        while self.drops_space and len(text) - at > BLOCK:
+            end = max(text.rfind(space, at, at + BLOCK) for space in " \n")
+            if end < 0:
+                end = min((found for space in " \n" if (found := text.find(space, at)) >= 0), default=len(text))
+            yield text[at:end]
+            at = end + 1
+        if at <= len(text):
+            yield text[at:]
+
+    def encode_pieces(self, text: str) -> Iterator[tuple[list[int], str]]:
+        """Ids of a whole text and the same in decimal, in pieces of bounded size, none of them empty."""
+        for block in self._blocks(text):
+            if len(block) <= BLOCK:
+                piece = self.encode_with_text(block)
+                if piece[0]:
+                    yield piece
+                continue
+            ids = self.chunk_ids(block)
+            while piece := list(islice(ids, BLOCK)):
+                yield piece, " ".join(map(str, piece))
+
     def encode_stream(self, blocks: Iterable[str]) -> Iterator[int]:
         """Ids of a text that arrives in blocks; only an unfinished run without white space is held."""
         if not self.drops_space:
@@ -228,37 +258,60 @@ class BpeTransducer:
             for i, token in self.tokens.items()
         }
 
-    def decode_stream(self, ids: Iterable[int]) -> Iterator[str]:
-        """Text of a stream of ids, piece by piece; ids outside the vocabulary are passed over."""
+    def decode_pieces(self, pieces: Iterable[list[int]]) -> Iterator[str]:
+        """Text of each piece of a stream of ids; ids outside the vocabulary are passed over.
+
+        A file without a byte-level decoder means by decoding the tokens' texts joined by spaces.
+        """
         if self.byte_decoder:
             decoder = codecs.getincrementaldecoder("utf-8")("replace")
-            for i in ids:
-                yield decoder.decode(self.token_bytes.get(i, b""))
+            for ids in pieces:
+                yield decoder.decode(b"".join([self.token_bytes.get(i, b"") for i in ids]))
             yield decoder.decode(b"", True)
         else:
             space = ""
-            for i in ids:
-                if i in self.tokens:
-                    yield space + self.tokens[i]
+            for ids in pieces:
+                try:
+                    tokens = list(map(self.tokens.__getitem__, ids))
+                except KeyError:
+                    tokens = [self.tokens[i] for i in ids if i in self.tokens]
+                if tokens:
+                    yield space + " ".join(tokens)
                     space = " "
 
+    def decode_stream(self, ids: Iterable[int]) -> Iterator[str]:
+        """Text of a stream of ids, id by id."""
+        return self.decode_pieces([i] for i in ids)
+
     def decode(self, ids: list[int]) -> str:
-        if self.byte_decoder:
-            return "".join(self.decode_stream(ids))
-        try:
-            return " ".join(map(self.tokens.__getitem__, ids))
-        except KeyError:
-            return "".join(self.decode_stream(ids))
+        return "".join(self.decode_pieces([ids]))
+
+    def digests(self, text: str) -> tuple[int, str, str]:
+        """Number of ids, and SHA-256 of the decimal ids and of the decoded text, both fed piece by piece."""
+        count, encoded, decoded = 0, hashlib.sha256(), hashlib.sha256()
+
+        def pieces() -> Iterator[list[int]]:
+            nonlocal count
+            for ids, shown in self.encode_pieces(text):
+                encoded.update(f" {shown}".encode() if count else shown.encode())
+                count += len(ids)
+                yield ids
+
+        for part in self.decode_pieces(pieces()):
+            decoded.update(part.encode())
+        return count, encoded.hexdigest(), decoded.hexdigest()
 
 
 class _Remembered(dict):
-    """What is known of chunks; a chunk that is met first is looked into by ``find``."""
+    """What is known of chunks, but long ones; a chunk that is met first is looked into by ``find``."""
 
     def __init__(self, find):
         self.find = find
 
     def __missing__(self, chunk: str):
-        found = self[chunk] = self.find(chunk)
+        found = self.find(chunk)
+        if len(chunk) <= LONGEST_REMEMBERED:
+            self[chunk] = found
         return found
 
 
@@ -314,12 +367,8 @@ def round_trip(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = transducer(tokenizer_path)
         for batch in text_slices(batches):
-            counts, encoded, decoded = [], [], []
-            for text in texts_of(batch):
-                ids, shown = bpe.encode_with_text(text)
-                counts.append(len(ids))
-                encoded.append(hashlib.sha256(shown.encode()).hexdigest())
-                decoded.append(hashlib.sha256(bpe.decode(ids).encode()).hexdigest())
+            found = [bpe.digests(text) for text in texts_of(batch)]
+            counts, encoded, decoded = zip(*found, strict=True) if found else ([], [], [])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts, "int64"), pa.array(encoded), pa.array(decoded)],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
