@@ -14,12 +14,14 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,8 +29,11 @@ from fleetgauge.llm.batches import map_batches, text_slices, texts_of
 from fleetgauge.llm.library_tokens import encoder
 
 _SHARD = "first_doc_id long, n_docs long, n_ids long, name string"
+_PLACED = _SHARD + ", place int"
 _MANIFEST = _SHARD + ", docs_before long, ids_before long, dtype string"
 _MISSING_ID = -(1 << 63)
+#: Characters of a text by which rows that repeat an id are dealt into ranges.
+DEALT_BY = 256
 
 
 def _file_system(uri: str) -> tuple[fs.FileSystem, str]:
@@ -42,26 +47,26 @@ def _write_shard(
     name = uuid.uuid4().hex
     end = np.array([end_id], dtype).tobytes()
     encode = encoder(tokenizer_path, dtype).encode
-    offsets, docs = [0], []
+    offsets, docs, first = array("Q", [0]), array("q"), None
     width = np.dtype(dtype).itemsize
     with store.open_output_stream(f"{path}/{name}.ids") as out:
         for batch in text_slices(batches):
-            docs.extend(batch.column("doc_id").to_pylist())
+            ids_of_docs = batch.column("doc_id").to_pylist()
+            first = first if docs else ids_of_docs[0]
+            docs.extend(_MISSING_ID if doc is None else doc for doc in ids_of_docs)
             for ids in encode(texts_of(batch)):
                 out.write(ids + end)
                 offsets.append(offsets[-1] + len(ids) // width + 1)
     if not docs:
         store.delete_file(f"{path}/{name}.ids")
         return
-    for suffix, values, kind in (
-        ("offsets", offsets, "<u8"),
-        ("docs", [_MISSING_ID if doc is None else doc for doc in docs], "<i8"),
-    ):
+    for suffix, values, kind in (("offsets", offsets, "<u8"), ("docs", docs, "<i8")):
         with store.open_output_stream(f"{path}/{name}.{suffix}") as out:
             out.write(np.array(values, kind).tobytes())
     yield pa.RecordBatch.from_pylist(
-        [{"first_doc_id": docs[0], "n_docs": len(docs), "n_ids": offsets[-1], "name": name}],
-        pa.schema([("first_doc_id", "int64"), ("n_docs", "int64"), ("n_ids", "int64"), ("name", "string")]),
+        [{"first_doc_id": first, "n_docs": len(docs), "n_ids": offsets[-1], "name": name,
+          "place": TaskContext.get().partitionId()}],
+        pa.schema([("first_doc_id", "int64"), ("n_docs", "int64"), ("n_ids", "int64"), ("name", "string"), ("place", "int32")]),
     )
 
 
@@ -71,22 +76,25 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
     ``folder`` must be on storage that all executors reach. Other columns are ignored. A NULL text is
     empty, an empty text has only the end id. A NULL doc_id stands before all others; rows that
     repeat a doc_id are all kept, in the order of their texts. An empty table gives an empty store.
-    One row per shard passes the driver, nothing that grows with a shard.
+    Ranges are cut by id and the start of the text, so the rows of one id go to several shards if they are many
+    and their texts start differently. One row per shard passes the driver, nothing that grows with a shard.
     """
     spark = docs.sparkSession
     store, path = _file_system(folder)
     store.create_dir(path, recursive=True)
     ordered = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .repartitionByRange(F.col("doc_id").asc_nulls_first())
+        .repartitionByRange(F.col("doc_id").asc_nulls_first(), F.substring("text", 1, DEALT_BY).asc_nulls_first())
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
     )
     shards = map_batches(
-        ordered, lambda batches: _write_shard(batches, folder, tokenizer_path, end_id, dtype), _SHARD
+        ordered, lambda batches: _write_shard(batches, folder, tokenizer_path, end_id, dtype), _PLACED
     ).collect()
-    shards.sort(key=lambda shard: (shard.first_doc_id is not None, shard.first_doc_id or 0))
-    docs_before = accumulate((shard.n_docs for shard in shards), initial=0)
-    ids_before = accumulate((shard.n_ids for shard in shards), initial=0)
+    # Ranges are numbered in their order; several shards may start with the same id.
+    shards.sort(key=lambda shard: shard.place)
+    shards = [shard[:-1] for shard in shards]
+    docs_before = accumulate((shard[1] for shard in shards), initial=0)
+    ids_before = accumulate((shard[2] for shard in shards), initial=0)
     rows = [(*shard, d, i, dtype) for shard, d, i in zip(shards, docs_before, ids_before)]  # noqa: B905
     manifest = spark.createDataFrame(rows, _MANIFEST)
     manifest.coalesce(1).write.mode("overwrite").parquet(f"{folder}/manifest")
