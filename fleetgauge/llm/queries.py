@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fleetgauge.llm.batches import table
 from fleetgauge.llm.bpe_stream import round_trip
+from fleetgauge.llm.conversation_trie import conversation_trie
 from fleetgauge.llm.fingerprints import fingerprint_documents
 from fleetgauge.llm.jaccard_join import near_duplicates
+from fleetgauge.llm.language_codes import fit_languages, predict_languages
 from fleetgauge.llm.lattice import score_documents
+from fleetgauge.llm.lexical_search import rank_documents
 from fleetgauge.llm.packing import pack
 from fleetgauge.llm.quality_trees import fit_quality, score_quality
 from fleetgauge.llm.token_counts import count_tokens
@@ -76,6 +79,19 @@ def op10_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def op11_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return predict_languages(docs, fit_languages(docs))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_pipelined_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_bpe_round_trip": op2_bpe_round_trip,
@@ -87,6 +103,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_prefix_hash_fingerprints": op8_prefix_hash_fingerprints,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_trie_token_counts": op10_trie_token_counts,
+    "op11_language_codes": op11_language_codes,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_pipelined_search": op13_pipelined_search,
 }
 
 _SHINGLES = """
@@ -147,7 +166,96 @@ select page_id, payload_bytes, payload_digest,
 from firsts
 """
 
+#: The checksum goes bit by bit: after each byte come eight steps, marked by -1.
+_TRIE = """
+with turns as (
+    select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+        row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''),
+            left(coalesce(text, ''), 16), sha1(coalesce(text, ''))) as position
+    from conversations where conv_id is not null
+),
+heads as (
+    select conv_id, xor(list_reduce(
+        list_concat([4294967295::bigint], flatten(list_transform(string_split(conv_id::varchar, ''),
+            lambda x: [ascii(x)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+        lambda a, b: case when b >= 0 then xor(a, b) else xor(a >> 1, 3988292384 * (a & 1)) end
+    ), 4294967295) % 6 as h
+    from (select distinct conv_id from turns)
+),
+rebuilt as (
+    select heads.conv_id, 0 as part, position, role, text
+    from heads join turns on turns.conv_id = heads.conv_id - heads.conv_id % 100 and position <= h
+    union all
+    select heads.conv_id, 1, position, role, text from heads join turns on turns.conv_id = heads.conv_id and position > h
+),
+numbered as (
+    select *, row_number() over (partition by conv_id order by part, position) as depth from rebuilt
+),
+prefixes as (
+    select conv_id, 0 as depth, '' as node, null as above, 0 as chars from heads
+    union all
+    select conv_id, depth, array_to_string(own[:depth], ''), array_to_string(own[:depth - 1], ''), length(text)
+    from numbered join (
+        select conv_id, list(sha256(sha256(role) || sha256(text)) order by depth) as own from numbered group by conv_id
+    ) using (conv_id)
+),
+nodes as (
+    select depth, node, any_value(above) as above, min(conv_id) as conv_id, count(*) as n_convs, any_value(chars) as chars
+    from prefixes group by depth, node
+),
+children as (select above as node, depth - 1 as depth, count(*) as n from nodes where depth > 0 group by 1, 2),
+lengths as (select conv_id, max(depth) as whole from prefixes group by conv_id),
+ends as (
+    select depth, node, string_agg(conv_id::varchar, ',' order by conv_id) as ids
+    from prefixes join lengths using (conv_id) where depth = whole group by 1, 2
+),
+below as (
+    select up.depth, up.node, count(*) filter (where children.n is null) as n_leaves,
+        sum((nodes.n_convs - 1) * nodes.chars)::bigint as saved
+    from nodes left join children using (depth, node)
+    join prefixes up on up.conv_id = nodes.conv_id and up.depth <= nodes.depth group by 1, 2
+)
+select nodes.conv_id, nodes.depth::bigint as depth, parents.conv_id as parent_conv_id, nodes.n_convs,
+    coalesce(children.n, 0) as n_children, n_leaves, saved as saved_tokens, sha256(coalesce(ids, '')) as ends_sha256
+from nodes join below using (depth, node) left join children using (depth, node) left join ends using (depth, node)
+left join nodes parents on parents.depth = nodes.depth - 1 and parents.node = nodes.above
+"""
+
+_SEARCH = """
+with terms as (
+    select d, doc_id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term
+    from (select row_number() over () as d, * from documents)
+),
+asked as (
+    select item_id, term, count(*) as repeats from (
+        select item_id, unnest(regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term from benchmark
+    ) group by 1, 2
+),
+lengths as (select d, count(*) as n from terms group by 1),
+totals as (select count(*) as n_docs, sum(n)::bigint as n_terms from lengths),
+factors as (select d, 75 + (25 * n * n_docs) // n_terms as m from lengths, totals),
+postings as (select d, doc_id, term, count(*) as tf from terms group by 1, 2, 3),
+weights as (
+    select term, floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)::double))::bigint as w
+    from (select term, count(*) as df from postings group by 1), totals
+),
+scores as (
+    select item_id, d, doc_id, sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::bigint as score
+    from asked join postings using (term) join weights using (term) join factors using (d)
+    group by 1, 2, 3
+)
+select item_id, rank, doc_id, score from (
+    select *, row_number() over (partition by item_id order by score desc, doc_id)::int as rank from scores where score > 0
+) where rank <= 20
+"""
+
 ORACLES: dict[str, str] = {
+    "op12_conversation_trie": _TRIE,
+    "op13_pipelined_search": _SEARCH,
     "op3_warc_archives": _ARCHIVES,
     "op6_grouped_prefix_join": _NEAR_DUPLICATES,
 }
