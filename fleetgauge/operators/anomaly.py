@@ -204,7 +204,15 @@ def fct_anomaly_findings(
     longitudes: tuple[float, float] = L.LONGITUDE_RANGE,
     severe_minutes: float = L.SEVERE_DELAY_MINUTES,
 ) -> DataFrame:
-    """All findings of the eight rules in one schema; each input is read once."""
+    """All findings of the eight rules in one schema; each input is read once.
+
+    Repeated entities and unmatched trips may come as one and the same table, see ``quality.key_issues``.
+    """
+    duplicate, unmatched = rule_duplicate_trip_update_entity(), rule_unmatched_schedule_reference()
+    if duplicate_trip_updates is unmatched_trips:
+        on_keys = [evaluate_rules(duplicate_trip_updates, [duplicate, unmatched])]
+    else:
+        on_keys = [evaluate_rules(duplicate_trip_updates, [duplicate]), evaluate_rules(unmatched_trips, [unmatched])]
     parts = [
         evaluate_rules(
             vehicles,
@@ -214,8 +222,7 @@ def fct_anomaly_findings(
                 rule_implausible_gps_or_speed(max_speed, latitudes, longitudes),
             ],
         ),
-        evaluate_rules(duplicate_trip_updates, [rule_duplicate_trip_update_entity()]),
-        evaluate_rules(unmatched_trips, [rule_unmatched_schedule_reference()]),
+        *on_keys,
         evaluate_rules(on_time_performance, [rule_extreme_delay(severe_minutes)]),
         evaluate_rules(feed_quality, [rule_feed_quality_warning(), rule_feed_freshness()]),
     ]

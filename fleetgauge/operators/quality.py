@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetgauge import labels as L
@@ -107,11 +107,13 @@ def snapshot_gaps(snapshots: DataFrame, *, max_gap_minutes: float = L.SNAPSHOT_G
     )
 
 
-def _snapshot_counts(vehicles: DataFrame, trip_updates: DataFrame) -> DataFrame:
-    """Record, missing-position and duplicate counts per snapshot in one pass over both feeds.
+def snapshot_keys(vehicles: DataFrame, trip_updates: DataFrame, trips: DataFrame) -> DataFrame:
+    """What the snapshot summary and the findings on keys need, from one pass over each feed.
 
-    The first grouping is by entity, so even a snapshot that holds most of the data is spread;
-    the second one adds up a few partial rows per snapshot.
+    Every record becomes three tagged keys: its entity, its trip if it names one, and its capture time. A
+    row is a distinct one of them in a feed's snapshot with its number of records; of trips only those stay
+    that the schedule lacks. Groupings combine on the map side, so neither a snapshot, an entity nor a
+    trip with most of the records is gathered; distinct keys alone look up the schedule.
     """
     missing = F.col("latitude").isNull() | F.col("longitude").isNull()
     records = _by_feed(
@@ -120,24 +122,54 @@ def _snapshot_counts(vehicles: DataFrame, trip_updates: DataFrame) -> DataFrame:
         "snapshot_folder",
         "snapshot_timestamp_utc",
         "entity_id",
+        "trip_id",
         "no_position",
     )
-    entities = records.groupBy("realtime_source", "snapshot_folder", "entity_id").agg(
-        F.count(F.lit(1)).alias("records"),
-        F.min("snapshot_timestamp_utc").alias("taken_at"),
-        F.sum("no_position").alias("no_position"),
+    no_time = F.lit(None).cast("timestamp")
+
+    def tagged(kind: str, key: Column, time: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), key.alias("key"), time.alias("time"))
+
+    keys = F.array(
+        tagged("entity", F.col("entity_id"), no_time),
+        tagged("time", F.lit(None).cast("string"), F.col("snapshot_timestamp_utc")),
+        F.when(F.col("trip_id").isNotNull(), tagged("trip", F.col("trip_id"), no_time)),
     )
-    vehicle = F.col("realtime_source") == L.VEHICLE_FEED
-    update = ~vehicle
-    repeated = F.col("records") > 1
-    return entities.groupBy("snapshot_folder").agg(
-        F.sum(F.when(vehicle, F.col("records")).otherwise(0)).alias("vehicle_record_count"),
-        F.sum(F.when(update, F.col("records")).otherwise(0)).alias("trip_update_record_count"),
-        F.sum("no_position").alias("null_gps_count"),
-        F.count_if(vehicle & repeated).alias("duplicate_vehicle_entity_count"),
-        F.count_if(update & repeated).alias("duplicate_trip_update_entity_count"),
-        F.min(F.when(vehicle, F.col("taken_at"))).alias("vehicles_taken_at"),
-        F.min(F.when(update, F.col("taken_at"))).alias("updates_taken_at"),
+    source = ["realtime_source", "snapshot_folder"]
+    tags = records.select(*source, "snapshot_timestamp_utc", "no_position", F.explode(keys).alias("tag"))
+    distinct = (
+        tags.where(F.col("tag").isNotNull())
+        .groupBy(*source, F.col("tag.kind").alias("kind"), F.col("tag.key").alias("key"), F.col("tag.time").alias("time"))
+        .agg(
+            F.count(F.lit(1)).alias("records"),
+            F.min("snapshot_timestamp_utc").alias("first_time"),
+            F.sum("no_position").alias("no_position"),
+        )
+    )
+    scheduled = trips.select(F.col("trip_id").alias("scheduled_trip")).distinct()
+    # Entities meet the schedule by their ids too, which spreads them; the kind keeps them from matching.
+    met = distinct.join(scheduled, (F.col("key") == F.col("scheduled_trip")) & (F.col("kind") == "trip"), "left")
+    return met.where((F.col("kind") != "trip") | F.col("scheduled_trip").isNull()).drop("scheduled_trip")
+
+
+def key_issues(keys: DataFrame) -> DataFrame:
+    """Repeated trip update entities and unmatched trips among ``snapshot_keys``, in one table.
+
+    Columns as in ``quality_duplicate_entities`` and ``quality_realtime_trip_referential_integrity``; those of the
+    other kind are NULL.
+    """
+    entity, trip = F.col("kind") == "entity", F.col("kind") == "trip"
+    repeated = entity & (F.col("realtime_source") == L.TRIP_UPDATE_FEED) & (F.col("records") > 1)
+    # Asking for the missing positions as well keeps the columns those of the summary, so that both share one pass.
+    found = keys.where((repeated | trip) & (F.col("no_position") >= 0))
+    return found.select(
+        "realtime_source",
+        "snapshot_folder",
+        F.when(entity, F.col("key")).alias("entity_id"),
+        F.when(trip, F.col("key")).alias("trip_id"),
+        F.when(entity, F.col("records")).alias("duplicate_record_count"),
+        F.when(entity, F.col("first_time")).alias("first_snapshot_timestamp_utc"),
+        F.when(trip, F.lit(L.MISSING_FROM_TRIPS)).alias("quality_issue"),
     )
 
 
@@ -148,30 +180,33 @@ def feed_quality_summary(
     *,
     max_gap_minutes: float = L.SNAPSHOT_GAP_MINUTES,
 ) -> DataFrame:
-    """Per snapshot: counts of records and issues, gap, freshness and overall status.
+    """Per snapshot: counts of records and issues, gap, freshness and overall status."""
+    return summarize_keys(snapshot_keys(vehicles, trip_updates, trips), max_gap_minutes=max_gap_minutes)
+
+
+def summarize_keys(keys: DataFrame, *, max_gap_minutes: float = L.SNAPSHOT_GAP_MINUTES) -> DataFrame:
+    """The snapshot summary out of ``snapshot_keys``.
 
     Both feeds of a snapshot share one capture time. Should they differ, the snapshot has a row
     for each time, as the set union of the two feeds' snapshots has.
     """
-    freshness = quality_snapshot_freshness(vehicles, trip_updates, max_gap_minutes=max_gap_minutes)
-    unmatched = quality_realtime_trip_referential_integrity(vehicles, trip_updates, trips)
-    return summarize_snapshots(
-        _snapshot_counts(vehicles, trip_updates),
-        unmatched.groupBy("snapshot_folder").agg(
-            F.count(F.lit(1)).alias("unmatched_realtime_trip_count")
-        ),
-        freshness,
-    )
+    vehicle = F.col("realtime_source") == L.VEHICLE_FEED
+    entity, trip, time = (F.col("kind") == kind for kind in ("entity", "trip", "time"))
 
+    def total(when: Column, value: Column) -> Column:
+        return F.coalesce(F.sum(F.when(when, value)), F.lit(0))
 
-def summarize_snapshots(counts: DataFrame, unmatched: DataFrame, freshness: DataFrame) -> DataFrame:
-    """Join the per-snapshot counts; all three inputs are already at snapshot grain."""
-    fresh = freshness.select(
-        "snapshot_folder",
-        F.col("gap_minutes").alias("snapshot_gap_minutes"),
-        F.when(F.col("freshness_status") == L.GAP_EXCEEDED, L.LATE)
-        .otherwise(F.col("freshness_status"))
-        .alias("freshness_status"),
+    counts = keys.groupBy("snapshot_folder").agg(
+        total(entity & vehicle, F.col("records")).alias("vehicle_record_count"),
+        total(entity & ~vehicle, F.col("records")).alias("trip_update_record_count"),
+        total(entity, F.col("no_position")).alias("null_gps_count"),
+        F.count_if(entity & vehicle & (F.col("records") > 1)).alias("duplicate_vehicle_entity_count"),
+        F.count_if(entity & ~vehicle & (F.col("records") > 1)).alias("duplicate_trip_update_entity_count"),
+        F.count_if(trip).alias("unmatched_realtime_trip_count"),
+        F.min(F.when(entity & vehicle, F.col("first_time"))).alias("vehicles_taken_at"),
+        F.min(F.when(entity & ~vehicle, F.col("first_time"))).alias("updates_taken_at"),
+        # As a rule one time; an unknown one is a time of its own.
+        F.collect_set(F.when(time, F.struct("time"))).alias("times"),
     )
     taken_at = F.array_distinct(
         F.concat(
@@ -179,6 +214,13 @@ def summarize_snapshots(counts: DataFrame, unmatched: DataFrame, freshness: Data
             F.when(F.col("trip_update_record_count") > 0, F.array("updates_taken_at")).otherwise(F.array()),
         )
     )
+    timed = counts.select("*", F.explode("times.time").alias("snapshot_time"))
+    previous = F.col("previous_time")
+    gap = seconds_between(previous, F.col("snapshot_time")) / F.lit(60.0).cast("double")
+    late = F.col("snapshot_gap_minutes") > max_gap_minutes
+    freshness = F.when(previous.isNull(), L.FIRST_SNAPSHOT).when(late, L.LATE).otherwise(L.WITHIN_INTERVAL)
+    fresh = previous_time(timed, "snapshot_time", "previous_time", tie_break="snapshot_folder")
+    fresh = fresh.withColumn("snapshot_gap_minutes", gap).withColumn("freshness_status", freshness)
     issues = (
         "null_gps_count",
         "duplicate_vehicle_entity_count",
@@ -192,21 +234,15 @@ def summarize_snapshots(counts: DataFrame, unmatched: DataFrame, freshness: Data
         .when(flawed | (F.col("freshness_status") == L.LATE), L.WARNING)
         .otherwise(L.HEALTHY)
     )
-    return (
-        counts.withColumn("snapshot_timestamp_utc", F.explode(taken_at))
-        .join(unmatched, "snapshot_folder", "left")
-        .join(fresh, "snapshot_folder", "left")
-        .na.fill(0, ["unmatched_realtime_trip_count"])
-        .select(
-            "snapshot_folder",
-            "snapshot_timestamp_utc",
-            "vehicle_record_count",
-            "trip_update_record_count",
-            *issues,
-            "snapshot_gap_minutes",
-            "freshness_status",
-            status.alias("feed_quality_status"),
-        )
+    return fresh.withColumn("snapshot_timestamp_utc", F.explode(taken_at)).select(
+        "snapshot_folder",
+        "snapshot_timestamp_utc",
+        "vehicle_record_count",
+        "trip_update_record_count",
+        *issues,
+        "snapshot_gap_minutes",
+        "freshness_status",
+        status.alias("feed_quality_status"),
     )
 
 

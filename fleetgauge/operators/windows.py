@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # Rows without a time come last, after every dated bucket.
 _NO_TIME = 1 << 40
+# No bucket of a timestamp, nor that of the rows without one.
+_FIRST_ROWS = 1 << 41
 # Seconds that a timestamp can hold have 14 digits, and so their squares fit with any count.
 _WIDE = "decimal(38,0)"
 
@@ -21,25 +23,28 @@ def previous_time(
     """Time of the preceding row in (time, tie_break) order over the whole table, NULLs last.
 
     A window without partitions would put the table into one task. Here each time bucket is
-    ordered by itself; only the bucket ends, one row per bucket, are ordered together.
+    ordered by itself; only the first rows of the buckets, one a bucket, are then ordered together, each
+    with the end of its bucket. ``df`` is read once.
     """
     # Before 1970 buckets are negative and still in order.
     bucket = F.coalesce(F.floor(F.unix_seconds(time) / bucket_seconds), F.lit(_NO_TIME))
-    bucketed = df.withColumn("time_bucket", bucket)
-    ends = bucketed.groupBy("time_bucket").agg(F.max(time).alias("bucket_end"))
-    carried = ends.select(
-        "time_bucket",
-        F.lag("bucket_end").over(Window.orderBy("time_bucket")).alias("carried"),
-    )
-    inside = Window.partitionBy("time_bucket").orderBy(
-        F.col(time).asc_nulls_last(), F.col(tie_break).asc_nulls_last()
-    )
+    whole = Window.partitionBy("time_bucket")
+    inside = whole.orderBy(F.col(time).asc_nulls_last(), F.col(tie_break).asc_nulls_last())
+    # First rows share a partition; every other row stays with its bucket.
+    lead = F.when(F.col("is_first"), F.lit(_FIRST_ROWS)).otherwise(F.col("time_bucket"))
+    carried = F.lag("bucket_end").over(Window.partitionBy(lead).orderBy("time_bucket"))
     return (
-        bucketed.withColumn("within", F.lag(time).over(inside))
-        .withColumn("is_first", F.row_number().over(inside) == 1)
-        .join(carried, "time_bucket", "left")
+        df.withColumn("time_bucket", bucket)
+        .withColumns(
+            {
+                "within": F.lag(time).over(inside),
+                "is_first": F.row_number().over(inside) == 1,
+                "bucket_end": F.max(time).over(whole),
+            }
+        )
+        .withColumn("carried", carried)
         .withColumn(alias, F.when(F.col("is_first"), F.col("carried")).otherwise(F.col("within")))
-        .drop("time_bucket", "within", "is_first", "carried")
+        .drop("time_bucket", "within", "is_first", "bucket_end", "carried")
     )
 
 

@@ -112,14 +112,13 @@ class Models:
             self.stg_vehicle_positions, self.stg_trip_updates, max_gap_minutes=self.max_gap_minutes
         )
 
+    @cached_property
+    def _snapshot_keys(self) -> DataFrame:
+        return quality.snapshot_keys(self.stg_vehicle_positions, self.stg_trip_updates, self.stg_trips)
+
     @property
     def feed_quality_summary(self) -> DataFrame:
-        return quality.feed_quality_summary(
-            self.stg_vehicle_positions,
-            self.stg_trip_updates,
-            self.stg_trips,
-            max_gap_minutes=self.max_gap_minutes,
-        )
+        return quality.summarize_keys(self._snapshot_keys, max_gap_minutes=self.max_gap_minutes)
 
     @property
     def dim_route(self) -> DataFrame:
@@ -149,10 +148,11 @@ class Models:
 
     @property
     def fct_anomaly_findings(self) -> DataFrame:
+        on_keys = quality.key_issues(self._snapshot_keys)
         return anomaly.fct_anomaly_findings(
             self.stg_vehicle_positions,
-            self.quality_duplicate_trip_update_entities,
-            self.quality_realtime_trip_referential_integrity,
+            on_keys,
+            on_keys,
             self["fct_on_time_performance"],
             self["fct_feed_quality"],
         )
