@@ -33,8 +33,8 @@ LANES = range(len(BASES))
 #: A conversation takes its first turns, fewer than ``HEADS``, from the first conversation of its family.
 HEADS = 6
 FAMILY = 100
-#: Characters of a piece of a list of ends, about.
-ENDS_PIECE = 1 << 16
+#: Ids of a piece of a list of ends at most.
+ENDS_PIECE = 1 << 12
 _STEP = 1 << 12
 
 
@@ -167,40 +167,47 @@ def _ends(members: DataFrame) -> DataFrame:
     keys = ["depth", "k1", "k2"]
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, ids, length = None, [], 0
+        held, ids, rows = None, [], []
 
-        def piece() -> pa.RecordBatch:
-            row = dict(zip(keys, held, strict=True)) | {"first": ids[0], "ids": ",".join(map(str, ids))}
-            return pa.RecordBatch.from_pylist([row])
+        def done() -> None:
+            if ids:
+                rows.append(dict(zip(keys, held, strict=True)) | {"first": ids[0], "ids": ",".join(map(str, ids))})
+                ids.clear()
 
         for batch in batches:
             for *key, conv in zip(*(batch.column(name).to_pylist() for name in (*keys, "conv_id")), strict=True):
-                if ids and (key != held or length >= ENDS_PIECE):
-                    yield piece()
-                    ids, length = [], 0
+                if key != held or len(ids) >= ENDS_PIECE:
+                    done()
                 held = key
                 ids.append(conv)
-                length += 20
-        if ids:
-            yield piece()
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows)
+                rows.clear()
+        done()
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows)
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, digest = None, None
+        held, digest, rows = None, None, []
 
-        def row() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pylist([dict(zip(keys, held, strict=True)) | {"ends_sha256": digest.hexdigest()}])
+        def done() -> None:
+            if held:
+                rows.append(dict(zip(keys, held, strict=True)) | {"ends_sha256": digest.hexdigest()})
 
         for batch in batches:
             for *key, ids in zip(*(batch.column(name).to_pylist() for name in (*keys, "ids")), strict=True):
                 if key == held:
                     digest.update(b",")
                 else:
-                    if held:
-                        yield row()
+                    done()
                     held, digest = key, hashlib.sha256()
                 digest.update(ids.encode())
-        if held:
-            yield row()
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows)
+                rows.clear()
+        done()
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows)
 
     dealt = members.select(*keys, "conv_id").repartitionByRange(*keys, "conv_id").sortWithinPartitions(*keys, "conv_id")
     found = map_batches(dealt, pieces, "depth long, k1 long, k2 long, first long, ids string")

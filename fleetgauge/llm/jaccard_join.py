@@ -1,17 +1,20 @@
 """Near-duplicate documents by a grouped prefix join on word shingles.
 
 Two sets whose Jaccard similarity reaches the threshold share a shingle among the first few of each, the
-prefix, in any order that is common to all; rare shingles come first. The work goes in four passes:
-
-1. Every text is reduced to a digest of its shingle set, and shingles are counted in a sketch of fixed
-   size, which serves for the common order only. Equal sets are one from here on.
-2. Prefix shingles are dealt out by value. Sets that share one and are of comparable size are linked in
-   a chain, first within a task and then across tasks, so a shingle that a third of all sets hold
+prefix, in any order that is common to all; rare shingles come first. The work goes in five passes:
+
+1. Every text is reduced to a digest of its shingle set, and the first shingles by hash of every set, more than a
+   prefix, are dealt out by value. A set that can be similar to another shares a certain share of them with some set;
+   those that do not are done with. Nothing in this pass depends on a sketch or on the corpus's size.
+2. The other sets are made again, one row for all copies, and all their shingles are counted by value. Each set learns
+   how often its shared shingles occur, and so its prefix in the order of frequency. Sets of equal size
+   and prefix become one group.
+3. Groups' prefix shingles are dealt out by value. Groups that share one and are of comparable size are
+   linked in a chain, first within a task and then across tasks, so a shingle that a third of all groups hold
    sends one row per task and size range. The chains' components hold every pair that can be similar.
-3. Within a component, blocks of bounded size meet in pairs. There sets with equal size and
-   prefix form a group, group pairs are filtered by size and shared prefix, and the members of the
-   remaining ones are expanded and verified exactly.
-4. The components of the verified links are the answer.
+4. Within a component, blocks of bounded size meet in pairs. There group pairs are filtered by size and shared
+   prefix, and the members of the remaining ones are expanded and verified exactly.
+5. The components of the verified links are the answer.
 """
 
 from __future__ import annotations
@@ -24,7 +27,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,24 +39,32 @@ from fleetgauge.session import new_scratch_path
 
 SHINGLE_WORDS = 5
 PERCENT = 75
-#: Counters of the shingle sketch; it is the only thing broadcast, four bytes for each.
-SKETCH_COUNTERS = 1 << 22
-SKETCH_PARTS = 64
-#: Prefix shingles that a task of the second pass takes, about.
-PART_POSTINGS = 1 << 19
-#: Bits of the map that says which sets the third pass may need; the map is broadcast.
-MAP_BITS = 1 << 25
-#: Shingles in all sets of a block of the third pass, about.
-BLOCK_SHINGLES = 1 << 21
-#: Words whose hashes a task remembers.
-REMEMBERED = 500_000
+#: Percent of a set that the first pass deals out beyond what may be missing in a similar one.
+BEYOND = 15
+#: Shingles, or sets, that a task gathers to a chunk before it deals them out.
+CHUNK_SHINGLES = 1 << 20
+CHUNK_SETS = 60_000
+#: Shingles dealt to a part, about.
+PART_SHINGLES = 1 << 19
+#: Bits for each set that is made again, in the broadcast map that says which rows these come from. Beyond the
+#: most bits (64 MB; some 50 million such sets) the map passes more rows, which the join after it drops.
+MAP_BITS_A_SET = 16
+MOST_MAP_BITS = 1 << 29
+MAP_PARTS = 64
+#: Shingles in all sets of a block of the fourth pass, about.
+BLOCK_SHINGLES = 1 << 20
+#: Words whose hashes a task remembers, and the bytes of the longest of them.
+REMEMBERED = 400_000
+LONGEST_REMEMBERED = 64
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= LONGEST_REMEMBERED:
+            self[word] = value
         return value
 
 
@@ -81,69 +94,229 @@ def _key(shingles: np.ndarray) -> bytes | None:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None
 
 
-# --- first pass: sets and sketch -------------------------------------------------------------
+# --- dealing shingles out by value ------------------------------------------------------------
+
+_DEALT = (
+    "doc_id long, text_hash long, n_shingles long, set_key binary, "  # a document
+    "part int, chunk long, keys binary, sizes binary, "  # a chunk's sets
+    "owners binary, tokens binary, counts binary"  # shingles of a part, by set of the chunk; counts in answers
+)
+_DEALT_ARROW = pa.schema(
+    [("doc_id", "int64"), ("text_hash", "int64"), ("n_shingles", "int64"), ("set_key", "binary"), ("part", "int32"),
+     ("chunk", "int64"), *((name, "binary") for name in ("keys", "sizes", "owners", "tokens", "counts"))]
+)
+
+
+class _Chunk:
+    """Sets of a task, gathered until their shingles are dealt out as one row for each part.
+
+    A part keeps 32 bits of a shingle: a clash there makes two shingles look like one, which can add a candidate
+    and never loses one.
+    """
+
+    def __init__(self, parts: int):
+        self.parts, self.number = parts, TaskContext.get().partitionId() << 32
+        self._clear()
+
+    def _clear(self) -> None:
+        self.keys, self.sizes, self.tokens, self.held = [], [], [], 0
+
+    def add(self, key: bytes, size: int, tokens: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.keys.append(key)
+        self.sizes.append(size)
+        self.tokens.append(tokens)
+        self.held += len(tokens)
+        if self.held >= CHUNK_SHINGLES or len(self.keys) >= CHUNK_SETS:
+            yield from self.deal()
+
+    def deal(self) -> Iterator[pa.RecordBatch]:
+        if not self.keys:
+            return
+        tokens = np.concatenate(self.tokens)
+        owner = np.repeat(np.arange(len(self.keys), dtype=np.uint16), [len(part) for part in self.tokens])
+        part = ((tokens >> np.uint64(32)) % np.uint64(self.parts)).astype(np.uint16 if self.parts <= 1 << 16 else np.int64)
+        order = np.argsort(part, kind="stable")  # owners ascend within a part
+        part, owner, low = part[order], owner[order], tokens[order].astype(np.uint32)
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+        rows = [
+            {
+                "part": int(part[start]), "chunk": self.number,
+                "owners": owner[start:stop].tobytes(), "tokens": low[start:stop].tobytes(),
+            }
+            for start, stop in zip(cuts[:-1], cuts[1:], strict=True) if stop > start
+        ]
+        sizes = np.array(self.sizes, np.uint32).tobytes()
+        rows.append({"part": self.number % self.parts, "chunk": self.number, "keys": b"".join(self.keys), "sizes": sizes})
+        yield pa.RecordBatch.from_pylist(rows, _DEALT_ARROW)
+        self.number += 1
+        self._clear()
+
+
+def _answers(batches: Iterator[pa.RecordBatch], with_tokens: bool) -> Iterator[pa.RecordBatch]:
+    """What the chunks' sets share with others, part by part; rows come ordered by part, other rows go on as they are.
+
+    An answer holds the shared shingles of a chunk's sets with their numbers of sets, or for each set how many of its
+    shingles are shared.
+    """
+
+    def answer(rows: list[dict]) -> pa.RecordBatch:
+        tokens = [np.frombuffer(row["tokens"], np.uint32) for row in rows]
+        _, inverse, often = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)
+        counts = np.split(often[inverse], np.cumsum([len(part) for part in tokens])[:-1])
+        found = []
+        for row, own, count in zip(rows, tokens, counts, strict=True):
+            shared = count > 1
+            if shared.any():
+                owners = np.frombuffer(row["owners"], np.uint16)[shared]
+                if with_tokens:
+                    told = {"owners": owners, "tokens": own[shared], "counts": count[shared].astype(np.uint32)}
+                else:
+                    owners, count = np.unique(owners, return_counts=True)
+                    told = {"owners": owners, "counts": count.astype(np.uint32)}
+                found.append({"part": row["part"], "chunk": row["chunk"]} | {k: v.tobytes() for k, v in told.items()})
+        return pa.RecordBatch.from_pylist(found, _DEALT_ARROW)
+
+    held: list[dict] = []
+    for batch in batches:
+        posted = pc.is_valid(batch.column("tokens"))
+        yield batch.filter(pc.invert(posted))
+        for row in batch.filter(posted).select(["part", "chunk", "owners", "tokens"]).to_pylist():
+            if held and row["part"] != held[0]["part"]:
+                yield answer(held)
+                held = []
+            held.append(row)
+    if held:
+        yield answer(held)
+
+
+def _answered(dealt: DataFrame, parts: int, with_tokens: bool) -> DataFrame:
+    rows = dealt.repartition(parts, "part").sortWithinPartitions("part")
+    return map_batches(rows, lambda batches: _answers(batches, with_tokens), _DEALT)
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
+    """The rows of each chunk, which come together."""
+    held: list[dict] = []
+    for batch in batches:
+        for row in batch.select(["part", "chunk", "keys", "sizes", "owners", "tokens", "counts"]).to_pylist():
+            if held and row["chunk"] != held[0]["chunk"]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
+# --- first pass: sets that may be similar to another ---------------------------------------------
 
-_SETS = "doc_id long, text_hash long, n_shingles long, set_key binary, part int, counts binary"
 
+def _dealt_documents(docs: DataFrame, words: int, percent: int, parts: int) -> DataFrame:
+    """Documents with their sets' digests, and the first shingles of every set by hash, dealt out."""
+    percent_dealt = min(100, 100 - percent + BEYOND)
 
-def _sets_and_sketch(docs: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrow = pa.schema(
-            [("doc_id", "int64"), ("text_hash", "int64"), ("n_shingles", "int64"), ("set_key", "binary"), ("part", "int32"), ("counts", "binary")]
-        )
-        sketch = np.zeros(SKETCH_COUNTERS, np.uint32)
+        chunk, seen = _Chunk(parts), set()
         for batch in text_slices(batches):
             sets = [shingle_set(text, words) for text in texts_of(batch)]
-            slots, counts = np.unique(np.concatenate(sets) & np.uint64(SKETCH_COUNTERS - 1), return_counts=True)
-            sketch[slots.astype(np.int64)] += counts.astype(np.uint32)
-            nothing = pa.nulls(len(sets))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    batch.column("text_hash"),
-                    pa.array(map(len, sets), "int64"),
-                    pa.array(map(_key, sets), "binary"),
-                    nothing.cast("int32"),
-                    nothing.cast("binary"),
-                ],
-                schema=arrow,
-            )
-        parts = _packed_parts(sketch)
-        empty = pa.nulls(SKETCH_PARTS)
-        yield pa.RecordBatch.from_arrays(
-            [empty.cast("int64"), empty.cast("int64"), empty.cast("int64"), empty.cast("binary"),
-             pa.array(range(SKETCH_PARTS), "int32"), pa.array(parts, "binary")], schema=arrow
-        )
-
-    return map_batches(docs.withColumn("text_hash", F.xxhash64("text")), run, _SETS)
-
-
-def _merge_parts(batches: Iterator[pa.RecordBatch], combine: np.ufunc, dtype: type) -> Iterator[pa.RecordBatch]:
+            keys = list(map(_key, sets))
+            hashes = batch.column("text_hash")
+            columns = {
+                "doc_id": batch.column("doc_id"),
+                "text_hash": hashes,
+                "n_shingles": pa.array(map(len, sets), "int64"),
+                "set_key": pa.array(keys, "binary"),
+                "part": pa.array([at % parts for at in hashes.to_pylist()], "int32"),
+            }
+            columns = [columns.get(field.name, pa.nulls(len(sets), field.type)) for field in _DEALT_ARROW]
+            yield pa.RecordBatch.from_arrays(columns, schema=_DEALT_ARROW)
+            for key, shingles in zip(keys, sets, strict=True):
+                if key is not None and key not in seen:
+                    if len(seen) >= REMEMBERED:
+                        seen.clear()
+                    seen.add(key)
+                    # Sets are sorted by hash, the order that is common to all.
+                    yield from chunk.add(key, len(shingles), shingles[: -(-percent_dealt * len(shingles) // 100)].copy())
+        yield from chunk.deal()
+
+    return map_batches(docs.withColumn("text_hash", F.xxhash64("text")), run, _DEALT)
+
+
+def _hopeful(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """set_key of the sets that share enough of what was dealt out.
+
+    Of two similar sets, take the one whose dealt shingles end first: but for the share that may be missing in the
+    other, all of them are common, and these were dealt out of the other too, so both have ``BEYOND`` percent shared.
+    """
+    enough = min(100, 100 - percent + BEYOND) + percent - 100
+    for rows in _chunks(batches):
+        head = next(row for row in rows if row["keys"] is not None)
+        sizes = np.frombuffer(head["sizes"], np.uint32).astype(np.int64)
+        shared = np.zeros(len(sizes), np.int64)
+        for row in rows:
+            if row["owners"] is not None:
+                shared[np.frombuffer(row["owners"], np.uint16)] += np.frombuffer(row["counts"], np.uint32)
+        found = np.flatnonzero(shared >= np.maximum(1, enough * sizes // 100))
+        keys = [head["keys"][16 * at : 16 * at + 16] for at in found.tolist()]
+        yield pa.RecordBatch.from_arrays([pa.array(keys, "binary")], ["set_key"])
+
+
+# --- making sets again ------------------------------------------------------------------------------
+
+
+def _merge_maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     merged: dict[int, np.ndarray] = {}
     for batch in batches:
         for part, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            found = np.frombuffer(zlib.decompress(packed), dtype)
-            merged[part] = combine(merged[part], found) if part in merged else found.copy()
+            found = np.frombuffer(zlib.decompress(packed), np.uint8)
+            merged[part] = merged[part] | found if part in merged else found
     if merged:
         values = [values.tobytes() for values in merged.values()]
-        yield pa.RecordBatch.from_arrays([pa.array(merged, "int32"), pa.array(values, "binary")], ["part", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.array(merged, "int32"), pa.array(values, "binary")], ["part", "bits"])
+
 
+def _map_of(wanted: DataFrame, n_bits: int) -> np.ndarray:
+    """Packed bits, set at the slots of the hashes in column ``row_hash``; merged by parts before the driver has them."""
 
-def _merged(parts: DataFrame, length: int, combine: np.ufunc, dtype: type) -> np.ndarray:
-    """An array of fixed length, merged from tasks' parts (part, counts); zero where there are none."""
-    whole = np.zeros((SKETCH_PARTS, length // SKETCH_PARTS), dtype)
-    dealt = parts.select("part", "counts").repartition("part")
-    rows = map_batches(dealt, lambda batches: _merge_parts(batches, combine, dtype), "part int, counts binary").collect()
-    for part, values in rows:
-        whole[part] = np.frombuffer(values, dtype)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(n_bits >> 3, np.uint8)
+        for batch in batches:
+            slots = batch.column(0).to_numpy() & (n_bits - 1)
+            np.bitwise_or.at(bits, slots >> 3, (128 >> (slots & 7)).astype(np.uint8))
+        if bits.any():
+            parts = [zlib.compress(part.tobytes(), 1) for part in np.split(bits, MAP_PARTS)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(MAP_PARTS), "int32"), pa.array(parts, "binary")], ["part", "bits"])
+
+    parts = map_batches(wanted.select("row_hash"), run, "part int, bits binary").repartition("part")
+    whole = np.zeros((MAP_PARTS, n_bits // 8 // MAP_PARTS), np.uint8)
+    for part, values in map_batches(parts, _merge_maps, "part int, bits binary").collect():
+        whole[part] = np.frombuffer(values, np.uint8)
     return whole.reshape(-1)
 
 
-def _packed_parts(values: np.ndarray) -> list[bytes]:
-    return [zlib.compress(part.tobytes(), 1) for part in np.split(values, SKETCH_PARTS)]
+def _made_again(docs: DataFrame, words: int, packed, n_bits: int) -> DataFrame:
+    """row_hash, set_key and shingles of the rows that the map may hold; other texts are not looked into."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = packed.value
+        for batch in batches:
+            slots = batch.column("row_hash").to_numpy() & (n_bits - 1)
+            held = pa.array((bits[slots >> 3] >> (7 - (slots & 7)) & 1).astype(bool))
+            for part in text_slices(iter([batch.filter(held)])):
+                sets = [shingle_set(text, words) for text in texts_of(part)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("row_hash"),
+                        pa.array(map(_key, sets), "binary"),
+                        pa.array([shingles.tobytes() for shingles in sets], "binary"),
+                    ],
+                    ["row_hash", "set_key", "shingles"],
+                )
 
+    rows = docs.select(F.xxhash64("doc_id", F.xxhash64("text")).alias("row_hash"), "text")
+    return map_batches(rows, run, "row_hash long, set_key binary, shingles binary").where("set_key is not null")
 
-# --- second pass: chains of sets that share a prefix shingle ----------------------------------
+
+# --- second and third pass: groups, and chains of those that share a prefix shingle ------------
 
 
 def prefix_length(size: int, percent: int) -> int:
@@ -175,75 +348,100 @@ def _linked(order: np.ndarray, goes_on: np.ndarray, owners: np.ndarray) -> np.nd
     return np.unique(pairs, axis=0) if len(pairs) else pairs.astype(np.int64).reshape(0, 2)
 
 
-_POSTINGS = "part int, tokens binary, low binary, high binary, owners binary, keys binary, a binary, b binary"
-
-
-def _prefixes(docs: DataFrame, words: int, percent: int, counts, parts: int) -> DataFrame:
-    """Rows of two kinds: a task's prefix entries for one part, and pairs linked within the task (a, b)."""
-
-    def flush(owners: list[bytes], entries: list[np.ndarray], sizes: list[int]) -> Iterator[pa.RecordBatch]:
-        lengths = [len(tokens) for tokens in entries]
-        tokens = np.concatenate(entries)
-        owner = np.repeat(np.arange(len(owners)), lengths)
-        size = np.repeat(np.array(sizes, np.int64), lengths)
-        order, goes_on = _chain(tokens, size, size, percent)
-        pairs = _linked(order, goes_on, owner)
-        first = np.flatnonzero(~goes_on)
-        last = np.r_[first[1:], len(order)] - 1
-        tokens, low, high, owner = tokens[order[first]], size[order[first]], size[order[last]], owner[order[first]]
-        part = (tokens >> np.uint64(24)) % np.uint64(parts)
-        by_part = np.lexsort((owner, part))
-        rows = []
-        for chosen in np.split(by_part, np.flatnonzero(np.diff(part[by_part])) + 1):
-            held, local = np.unique(owner[chosen], return_inverse=True)
-            rows.append({
-                "part": int(part[chosen[0]]),
-                # Six bytes tell shingles apart well enough: a clash here only adds a candidate.
-                "tokens": tokens[chosen].view(np.uint8).reshape(-1, 8)[:, :6].tobytes(),
-                "low": low[chosen].astype(np.uint32).tobytes(),
-                "high": high[chosen].astype(np.uint32).tobytes(),
-                "owners": local.astype(np.uint32).tobytes(),
-                "keys": b"".join(owners[at] for at in held),
-            })
-        by_place = np.array_split(pairs, max(1, min(parts, len(pairs) // 1000)))
-        for at, some in enumerate(by_place if len(pairs) else []):
-            ends = [b"".join(owners[end] for end in column) for column in some.T.tolist()]
-            rows.append({"part": at, "a": ends[0], "b": ends[1]})
-        yield pa.RecordBatch.from_pylist(rows, _POSTINGS_ARROW)
+_POSTINGS = "part int, tokens binary, low binary, high binary, owners binary, keys binary, a binary, b binary, set_key binary, group_key binary"
+_POSTINGS_ARROW = pa.schema(
+    [(name, "int32" if name == "part" else "binary") for name in
+     ("part", "tokens", "low", "high", "owners", "keys", "a", "b", "set_key", "group_key")]
+)
+
+
+def _dealt_sets(sets: DataFrame, parts: int) -> DataFrame:
+    """All shingles of sets (set_key, shingles), dealt out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = counts.value
-        seen: set[bytes] = set()
-        owners, entries, sizes, held = [], [], [], 0
-        for batch in text_slices(batches):
-            for text in texts_of(batch):
-                shingles = shingle_set(text, words)
-                key = _key(shingles)
-                if key is None or key in seen:
-                    continue
-                seen.add(key)
-                seen_often = sketch[(shingles & np.uint64(SKETCH_COUNTERS - 1)).astype(np.int64)]
-                length = prefix_length(len(shingles), percent)
-                if length < len(shingles):
-                    # The rarest come first; hashes settle ties, and the sets are sorted by them.
-                    shingles = shingles[np.argsort(seen_often, kind="stable")[:length]]
-                owners.append(key)
-                entries.append(shingles)
-                sizes.append(len(seen_often))
-                held += len(shingles)
-            if held >= PART_POSTINGS:
-                yield from flush(owners, entries, sizes)
-                owners, entries, sizes, held = [], [], [], 0
-        if owners:
-            yield from flush(owners, entries, sizes)
-
-    return map_batches(docs, run, _POSTINGS)
+        chunk = _Chunk(parts)
+        for batch in batches:
+            for key, values in zip(batch.column("set_key").to_pylist(), batch.column("shingles").to_pylist(), strict=True):
+                shingles = np.frombuffer(values, np.uint64)
+                yield from chunk.add(key, len(shingles), shingles)
+        yield from chunk.deal()
 
+    return map_batches(sets.select("set_key", "shingles"), run, _DEALT)
 
-_POSTINGS_ARROW = pa.schema(
-    [(name, "int32" if name == "part" else "binary") for name in
-     ("part", "tokens", "low", "high", "owners", "keys", "a", "b")]
-)
+
+def _group(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Of each chunk of sets: members (set_key, group_key), groups' prefix shingles by part, and groups linked already.
+
+    Shingles that no other set has are the rarest and cannot be shared; a set with a whole prefix of them drops out.
+    """
+    for rows in _chunks(batches):
+        head = next(row for row in rows if row["keys"] is not None)
+        sizes = np.frombuffer(head["sizes"], np.uint32).astype(np.int64)
+        rows = [row for row in rows if row["owners"] is not None]
+        if not rows:
+            continue
+        owner, tokens, often = (
+            np.concatenate([np.frombuffer(row[name], kind) for row in rows]).astype(np.int64)
+            for name, kind in (("owners", np.uint16), ("tokens", np.uint32), ("counts", np.uint32))
+        )
+        part = np.repeat([row["part"] for row in rows], [len(row["tokens"]) // 4 for row in rows])
+        order = np.lexsort((tokens, part, often, owner))
+        owner, tokens, often, part = owner[order], tokens[order], often[order], part[order]
+        shared = np.bincount(owner, minlength=len(sizes))
+        left = sizes - -(-percent * sizes // 100) + 1 - (sizes - shared)
+        place = np.arange(len(owner)) - (np.cumsum(shared) - shared)[owner]
+        again = np.r_[False, (owner[1:] == owner[:-1]) & (tokens[1:] == tokens[:-1]) & (part[1:] == part[:-1])]
+        # Shingles of one set that clash are in the prefix together.
+        within = place < left[owner]
+        for at in np.flatnonzero(again & ~within):
+            within[at] = within[at - 1]
+        owner, tokens, part = owner[within], tokens[within], part[within]
+        cuts = [0, *(np.flatnonzero(np.diff(owner)) + 1).tolist(), len(owner)]
+        groups: dict[bytes, tuple[int, slice]] = {}
+        members = []
+        for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
+            if start == stop:
+                continue
+            at, span = int(owner[start]), slice(start, stop)
+            prefix = hashlib.blake2b(sizes[at].tobytes(), digest_size=16)
+            prefix.update(part[span].tobytes() + tokens[span].tobytes())
+            key = prefix.digest()
+            groups.setdefault(key, (int(sizes[at]), span))
+            members.append({"set_key": head["keys"][16 * at : 16 * at + 16], "group_key": key})
+        yield pa.RecordBatch.from_pylist(members, _POSTINGS_ARROW)
+        if groups:
+            yield from _postings_of(groups, tokens, part, percent)
+
+
+def _postings_of(groups: dict, tokens: np.ndarray, part: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
+    keys = list(groups)
+    spans = [np.arange(span.start, span.stop) for _, span in groups.values()]
+    at = np.concatenate(spans)
+    owner = np.repeat(np.arange(len(keys)), [len(span) for span in spans])
+    size = np.array([size for size, _ in groups.values()], np.int64)[owner]
+    tokens, part = tokens[at], part[at]
+    order, goes_on = _chain(part << 32 | tokens, size, size, percent)
+    pairs = _linked(order, goes_on, owner)
+    first = np.flatnonzero(~goes_on)
+    last = np.r_[first[1:], len(order)] - 1
+    tokens, part, low, high = tokens[order[first]], part[order[first]], size[order[first]], size[order[last]]
+    owner = owner[order[first]]
+    rows = []
+    by_part = np.lexsort((owner, part))
+    for chosen in np.split(by_part, np.flatnonzero(np.diff(part[by_part])) + 1):
+        held, local = np.unique(owner[chosen], return_inverse=True)
+        rows.append({
+            "part": int(part[chosen[0]]),
+            "tokens": tokens[chosen].astype(np.uint32).tobytes(),
+            "low": low[chosen].astype(np.uint32).tobytes(),
+            "high": high[chosen].astype(np.uint32).tobytes(),
+            "owners": local.astype(np.uint32).tobytes(),
+            "keys": b"".join(keys[at] for at in held),
+        })
+    for start in range(0, len(pairs), 10_000):
+        ends = [b"".join(keys[end] for end in column) for column in pairs[start : start + 10_000].T.tolist()]
+        rows.append({"part": start // 10_000, "a": ends[0], "b": ends[1]})
+    yield pa.RecordBatch.from_pylist(rows, _POSTINGS_ARROW)
 
 
 def _link_parts(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -256,12 +454,11 @@ def _link_parts(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.
             owners.append(np.frombuffer(row["owners"], np.uint32).astype(np.int64) + before)
             keys.append(own)
             before += len(own)
-        low, high = (np.concatenate([np.frombuffer(row[name], np.uint32) for row in rows]) for name in ("low", "high"))
-        tokens = np.zeros((len(low), 8), np.uint8)
-        tokens[:, :6] = np.concatenate([np.frombuffer(row["tokens"], np.uint8) for row in rows]).reshape(-1, 6)
-        tokens = tokens.view(np.uint64)[:, 0]
+        tokens, low, high = (
+            np.concatenate([np.frombuffer(row[name], np.uint32) for row in rows]) for name in ("tokens", "low", "high")
+        )
         keys, owners = np.concatenate(keys), np.concatenate(owners)
-        # A set may come from several tasks, or in several entries of one: its first number stands for all.
+        # A group may come from several chunks, or in several entries of one: its first number stands for all.
         _, first, same = np.unique(keys, return_index=True, return_inverse=True)
         owners = first[same][owners]
         order, goes_on = _chain(tokens, low, high, percent)
@@ -284,7 +481,7 @@ def _link_parts(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.
         yield linked(held)
 
 
-# --- third pass: the grouped join within blocks ------------------------------------------------
+# --- fourth pass: the grouped join within blocks -----------------------------------------------
 
 
 def grouped_join(
@@ -402,105 +599,87 @@ def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
         yield linked(held)
 
 
-def _slots(keys: list[bytes]) -> np.ndarray:
-    return (np.frombuffer(b"".join(key[:8] for key in keys), np.uint64) & np.uint64(MAP_BITS - 1)).astype(np.int64)
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    path = new_scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
-def _map_of(wanted: DataFrame) -> np.ndarray:
-    """Packed bits, set at the slots of the sets in ``wanted``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(MAP_BITS, bool)
-        for batch in batches:
-            bits[_slots(batch.column(0).to_pylist())] = True
-        if bits.any():
-            parts = _packed_parts(np.packbits(bits))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(SKETCH_PARTS), "int32"), pa.array(parts, "binary")], ["part", "counts"]
-            )
-
-    parts = map_batches(wanted.select("set_key"), run, "part int, counts binary")
-    return _merged(parts, MAP_BITS // 8, np.bitwise_or, np.uint8)
+def _parts_for(shingles: int) -> int:
+    return max(16, shingles // PART_SHINGLES)
 
 
-def _mapped_sets(docs: DataFrame, words: int, packed) -> DataFrame:
-    """doc_id, set_key and shingles of the rows whose set the map may hold."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = packed.value
-        for batch in text_slices(batches):
-            docs, keys, found = [], [], []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch), strict=True):
-                shingles = shingle_set(text, words)
-                key = _key(shingles)
-                if key is not None:
-                    slot = int(_slots([key])[0])
-                    if bits[slot >> 3] >> (7 - (slot & 7)) & 1:
-                        docs.append(doc)
-                        keys.append(key)
-                        found.append(shingles.tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(docs, "int64"), pa.array(keys, "binary"), pa.array(found, "binary")],
-                ["doc_id", "set_key", "shingles"],
-            )
-
-    return map_batches(docs, run, "doc_id long, set_key binary, shingles binary")
-
-
-def _judged(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The columns of ``near_duplicates``, with text_hash and a key of the component (NULL without shingles)."""
+def _sets_to_compare(docs: DataFrame, rows: DataFrame, hopeful: DataFrame, words: int) -> DataFrame:
+    """set_key, copies, size and shingles of every hopeful set, one row for all its copies."""
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    path = new_scratch_path(spark, "shingle-sets")
-    _sets_and_sketch(docs, words).write.parquet(path)
-    written = spark.read.parquet(path)
-    rows = written.where("part is null").select("doc_id", "text_hash", "n_shingles", "set_key")
-    sketch = _merged(written.where("part is not null"), SKETCH_COUNTERS, np.add, np.uint32)
-    sent = spark.sparkContext.broadcast(sketch)
-
-    total = rows.agg(F.sum("n_shingles")).first()[0] or 0
-    n_parts = max(16, total * (100 - percent) // 100 // PART_POSTINGS * 2)
-    dealt = _prefixes(docs, words, percent, sent, n_parts).repartition(n_parts, "part").sortWithinPartitions("part")
-    candidates = connected(map_batches(dealt, lambda batches: _link_parts(batches, percent), "a binary, b binary"))
-
-    sets = rows.where("set_key is not null").groupBy("set_key").agg(
-        F.count("*").alias("copies"), F.min("doc_id").alias("least_doc"), F.max("n_shingles").alias("size")
-    )
-    candidates = candidates.withColumnsRenamed({"node": "set_key", "root": "component"})
-    candidates = candidates.join(sets, "set_key")
-    total = candidates.groupBy("component").agg(F.sum("size").alias("total"))
+    one = F.min(F.struct("doc_id", "text_hash"))
+    sets = rows.where("set_key is not null").groupBy("set_key")
+    sets = sets.agg(F.count("*").alias("copies"), F.max("n_shingles").alias("size"), one.alias("one"))
+    wanted = sets.join(hopeful.distinct(), "set_key", "left_semi").select(
+        "set_key", "copies", "size", F.xxhash64("one.doc_id", "one.text_hash").alias("row_hash")
+    )
+    wanted = _stored(wanted, "wanted-sets")
+    n_bits = min(MOST_MAP_BITS, max(1 << 16, 1 << (MAP_BITS_A_SET * wanted.count()).bit_length()))
+    packed = spark.sparkContext.broadcast(_map_of(wanted, n_bits))
+    made = _made_again(docs, words, packed, n_bits)
+    # Rows that repeat id and text give a set more than once.
+    met = made.join(wanted, ["set_key", "row_hash"]).dropDuplicates(["set_key"])
+    return _stored(met.select("set_key", "copies", "size", "shingles"), "sets")
+
+
+def _components_of_candidates(sets: DataFrame, percent: int) -> DataFrame:
+    """set_key and component of the sets whose groups are linked through shared prefix shingles."""
+    n_parts = _parts_for(sets.agg(F.sum("size")).first()[0] or 0)
+    answered = _answered(_dealt_sets(sets, n_parts), n_parts, with_tokens=True).where("chunk is not null")
+    grouped = map_batches(
+        answered.repartition("chunk").sortWithinPartitions("chunk"), lambda batches: _group(batches, percent), _POSTINGS
+    )
+    grouped = _stored(grouped, "groups")
+    members = grouped.where("group_key is not null").select("set_key", "group_key")
+    postings = grouped.where("part is not null").drop("set_key", "group_key")
+    postings = postings.repartition(n_parts, "part").sortWithinPartitions("part")
+    linked = map_batches(postings, lambda batches: _link_parts(batches, percent), "a binary, b binary")
+    found = connected(linked).withColumnsRenamed({"node": "group_key", "root": "component"})
+    found = members.join(found, "group_key", "left")
+    return found.select("set_key", F.coalesce("component", "group_key").alias("component"))
+
+
+def _block_pairs(sets: DataFrame, components: DataFrame, percent: int) -> DataFrame:
+    """Rows of sets for each pair of blocks of a component that meets, ordered for ``_verify``."""
+    placed = _stored(components.join(sets.select("set_key", "size"), "set_key"), "candidates")
+    total = placed.groupBy("component").agg(F.sum("size").alias("total")).where(F.col("total") > BLOCK_SHINGLES)
     # A large component is cut up by size first: similar sets are in one class or in neighbouring ones.
     step = 1.0001 * max(math.log(100 / percent), 1e-6)
-    size_class = F.when(F.col("total") <= BLOCK_SHINGLES, 0).otherwise(F.floor(F.log("size") / step)).cast("int")
-    candidates = candidates.join(total, "component").withColumn("size_class", size_class)
-    in_class = candidates.groupBy("component", "size_class").agg(
+    in_class = placed.join(total, "component").withColumn("size_class", F.floor(F.log("size") / step).cast("int"))
+    in_class = in_class.groupBy("component", "size_class").agg(
         F.ceil(F.sum("size") / BLOCK_SHINGLES).cast("int").alias("blocks")
     )
     blocks = in_class.groupBy("component").agg(
         F.map_from_entries(F.collect_list(F.struct("size_class", "blocks"))).alias("blocks")
     )
-    path = new_scratch_path(spark, "candidates")
-    candidates.join(blocks, "component").write.parquet(path)
-    wanted = spark.read.parquet(path)
-    packed = spark.sparkContext.broadcast(_map_of(wanted))
+    placed = placed.join(blocks, "component", "left")
+    own_class = F.when(F.col("blocks").isNull(), 0).otherwise(F.floor(F.log("size") / step)).cast("int")
 
     def numbered(size_class: Column, block: Column) -> Column:
         return F.shiftleft(size_class.cast("long"), 32) + block
 
     def blocks_of(size_class: Column) -> Column:
-        many = F.coalesce(F.try_element_at("blocks", size_class), F.lit(0))
+        many = F.when(F.col("blocks").isNull(), (size_class == 0).cast("int")).otherwise(
+            F.coalesce(F.try_element_at("blocks", size_class), F.lit(0))
+        )
         places = F.transform(F.sequence(F.lit(1), F.greatest(many, F.lit(1))), lambda nth: numbered(size_class, nth - 1))
         return F.slice(places, 1, many)
 
-    own_class = F.col("size_class")
-    block = numbered(own_class, F.pmod(F.xxhash64("set_key"), F.try_element_at("blocks", own_class)))
-    others = F.flatten(F.array(blocks_of(own_class - 1), blocks_of(own_class), blocks_of(own_class + 1)))
-    met = (
-        _mapped_sets(docs, words, packed)
-        .join(wanted, "set_key")
-        .where(F.col("doc_id").eqNullSafe(F.col("least_doc")))  # one row stands for all copies
-        .withColumn("block", block)
-        .withColumn("other", F.explode(others))
+    many = F.coalesce(F.try_element_at("blocks", F.col("size_class")), F.lit(1))
+    others = F.flatten(F.array(*(blocks_of(F.col("size_class") + by) for by in (-1, 0, 1))))
+    placed = placed.withColumn("size_class", own_class).select(
+        "set_key", "component", numbered(F.col("size_class"), F.pmod(F.xxhash64("set_key"), many)).alias("block"),
+        others.alias("others"),
+    )
+    return (
+        sets.select("set_key", "copies", "shingles")
+        .join(placed, "set_key")
+        .withColumn("other", F.explode("others"))
         .select(
             "component", "set_key", "copies", "shingles", "block",
             F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"),
@@ -508,11 +687,25 @@ def _judged(docs: DataFrame, words: int, percent: int) -> DataFrame:
         .repartition("component", "left", "right")
         .sortWithinPartitions("component", "left", "right", "set_key")
     )
-    path = new_scratch_path(spark, "links")
-    map_batches(met, lambda batches: _verify(batches, percent), _LINKS).write.parquet(path)
-    links = spark.read.parquet(path)
+
+
+def _judged(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The columns of ``near_duplicates``, with text_hash and a key of the component (NULL without shingles)."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # Six bytes a word, of which each starts a shingle, are enough to say how many parts there should be.
+    n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_parts = _parts_for(n_bytes // 6 * min(100, 100 - percent + BEYOND) // 100)
+    written = _stored(_answered(_dealt_documents(docs, words, percent, n_parts), n_parts, with_tokens=False), "documents")
+    rows = written.where("chunk is null").select("doc_id", "text_hash", "n_shingles", "set_key")
+    chunks = written.where("chunk is not null").repartition("chunk").sortWithinPartitions("chunk")
+    hopeful = map_batches(chunks, lambda batches: _hopeful(batches, percent), "set_key binary")
+    compared = _sets_to_compare(docs, rows, hopeful, words)
+    met = _block_pairs(compared, _components_of_candidates(compared, percent), percent)
+    links = _stored(map_batches(met, lambda batches: _verify(batches, percent), _LINKS), "links")
 
     found = connected(links.select(F.col("set_key").alias("a"), F.col("other").alias("b")))
+    sets = rows.where("set_key is not null").groupBy("set_key")
+    sets = sets.agg(F.count("*").alias("copies"), F.min("doc_id").alias("least_doc"))
     of_set = sets.join(found.withColumnRenamed("node", "set_key"), "set_key", "left")
     least = of_set.where("root is not null").groupBy("root").agg(F.min("least_doc").alias("component_id"))
     counted = links.groupBy("set_key").agg(F.sum("links").alias("links"))
@@ -555,21 +748,22 @@ def keep_one_of_each(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     Rows without shingles are no duplicates and stay. NULL ids come last; rows that repeat an id are told
     apart by their texts, and of rows that repeat both one stays.
     """
-    spark = docs.sparkSession
-    path = new_scratch_path(spark, "judged")
     found = _judged(docs, words, percent).where("component is not null").select("doc_id", "text_hash", "component")
-    found.write.parquet(path)
-    found = spark.read.parquet(path)
+    found = _stored(found, "judged")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     first = found.groupBy("component").agg(F.min(place).alias("first"), F.count("*").alias("rows")).where("rows > 1")
     members = found.join(first, "component").withColumn("stays", place.eqNullSafe(F.col("first")))
-    path = new_scratch_path(spark, "verdicts")
     verdicts = members.groupBy(F.col("doc_id").alias("judged_id"), F.col("text_hash").alias("judged_hash"))
-    verdicts.agg(F.max("stays").alias("stays"), F.count("*").alias("rows")).where("not stays or rows > 1").write.parquet(path)
-    verdicts = spark.read.parquet(path)
-    same = F.col("doc_id").eqNullSafe(F.col("judged_id")) & (F.xxhash64("text") == F.col("judged_hash"))
-    kept = docs.join(verdicts, same, "left_anti")
+    verdicts = verdicts.agg(F.max("stays").alias("stays"), F.count("*").alias("rows")).where("not stays or rows > 1")
+    # Columns of the documents may have any name.
+    verdicts = _stored(verdicts, "verdicts").alias("fleetgauge_verdicts")
+    judged_id, judged_hash = F.col("fleetgauge_verdicts.judged_id"), F.col("fleetgauge_verdicts.judged_hash")
+    own = docs.alias("fleetgauge_documents")
+    same = F.col("fleetgauge_documents.doc_id").cast("long").eqNullSafe(judged_id) & (
+        F.xxhash64("fleetgauge_documents.text") == judged_hash
+    )
+    kept = own.join(verdicts, same, "left_anti")
     repeated = verdicts.where("stays")
     if repeated.isEmpty():
         return kept
-    return kept.union(docs.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))
+    return kept.union(own.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))
