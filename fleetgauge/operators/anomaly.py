@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from fleetgauge import labels as L
 from fleetgauge.functions import finding_id
+from fleetgauge.operators.windows import occurrence_number
 from fleetgauge.schemas import FINDING_COLUMNS
 
 _TEXT_COLUMNS = ("route_id", "trip_id", "entity_id", "vehicle_id")
@@ -227,3 +228,14 @@ def fct_anomaly_findings(
         evaluate_rules(feed_quality, [rule_feed_quality_warning(), rule_feed_freshness()]),
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+def with_unique_ids(findings: DataFrame) -> DataFrame:
+    """Findings whose ids occur once: from the second one of an id on, its number is added.
+
+    An id names the rule and the reported thing, which a snapshot may report more than once. A NULL id stays NULL.
+    """
+    numbered = occurrence_number(findings, "anomaly_id", "occurrence")
+    further = F.concat("anomaly_id", F.lit("#"), F.col("occurrence").cast("string"))
+    unique = F.when(F.col("occurrence") > 1, further).otherwise(F.col("anomaly_id"))
+    return numbered.withColumn("anomaly_id", unique).drop("occurrence")

@@ -13,12 +13,17 @@ from fleetgauge.schemas import STOP_UPDATES_TEXT
 _TRIP_SNAPSHOT = ["snapshot_folder", "trip_id"]
 
 
+def _is_native(trip_updates: DataFrame) -> bool:
+    return isinstance(trip_updates.schema["stop_time_updates"].dataType, T.ArrayType)
+
+
 def _stop_update_array(trip_updates: DataFrame) -> Column:
-    """The stop updates as an array of text fields, whichever way they are stored."""
+    """The stop updates as an array of text fields, whichever way they are stored; NULL for a text that is no array."""
     column = F.col("stop_time_updates")
-    if isinstance(trip_updates.schema["stop_time_updates"].dataType, T.ArrayType):
+    if _is_native(trip_updates):
         return column
-    return F.from_json(column, STOP_UPDATES_TEXT)
+    # A lone object would pass for an array of one.
+    return F.when(F.ltrim(column).startswith("["), F.from_json(column, STOP_UPDATES_TEXT))
 
 
 def _whole(value: Column, stored: T.DataType, target: str) -> Column:
@@ -27,32 +32,25 @@ def _whole(value: Column, stored: T.DataType, target: str) -> Column:
     return value.try_cast(target)
 
 
-def realtime_stop_time_updates(trip_updates: DataFrame) -> DataFrame:
-    """One row per stop update. A trip update without any, or with NULL, yields no row."""
-    array = _stop_update_array(trip_updates)
-    stored = trip_updates.select(array.alias("a")).schema["a"].dataType.elementType
-    exploded = trip_updates.select(
-        "snapshot_folder",
-        "snapshot_timestamp_utc",
-        "entity_id",
-        "trip_id",
-        "route_id",
-        "vehicle_id",
-        F.explode(array).alias("update"),
-    )
+_UPDATE_COLUMNS = ("snapshot_folder", "snapshot_timestamp_utc", "entity_id", "trip_id", "route_id", "vehicle_id")
+
+
+def _typed_updates(exploded: DataFrame, stored: T.StructType, *kept: str) -> DataFrame:
+    """Columns of the struct ``update`` with their types and presence flags."""
 
     def field(name: str, target: str) -> Column:
         return _whole(F.col("update")[name], stored[name].dataType, target)
 
     typed = exploded.select(
-        "*",
+        *_UPDATE_COLUMNS,
         F.col("update.stop_id").cast("string").alias("stop_id"),
         field("stop_sequence", "int").alias("stop_sequence"),
         F.timestamp_seconds(field("arrival_time", "bigint")).alias("arrival_time_utc"),
         field("arrival_delay", "int").alias("arrival_delay_seconds"),
         F.timestamp_seconds(field("departure_time", "bigint")).alias("departure_time_utc"),
         field("departure_delay", "int").alias("departure_delay_seconds"),
-    ).drop("update")
+        *kept,
+    )
     presence = {
         "stop_update_has_arrival_time": "arrival_time_utc",
         "stop_update_has_departure_time": "departure_time_utc",
@@ -62,11 +60,42 @@ def realtime_stop_time_updates(trip_updates: DataFrame) -> DataFrame:
     return typed.withColumns({flag: F.col(name).isNotNull() for flag, name in presence.items()})
 
 
+def _element_type(trip_updates: DataFrame) -> T.StructType:
+    return trip_updates.select(_stop_update_array(trip_updates).alias("a")).schema["a"].dataType.elementType
+
+
+def realtime_stop_time_updates(trip_updates: DataFrame) -> DataFrame:
+    """One row per stop update. A trip update without any, or with NULL, yields no row."""
+    exploded = trip_updates.select(*_UPDATE_COLUMNS, F.explode(_stop_update_array(trip_updates)).alias("update"))
+    return _typed_updates(exploded, _element_type(trip_updates))
+
+
 def unreadable_stop_updates(trip_updates: DataFrame) -> DataFrame:
     """Trip updates whose stop update text is no JSON array; the unnest drops these silently."""
-    text = F.col("stop_time_updates")
-    bad = ~F.ltrim(text).startswith("[") | F.from_json(text, STOP_UPDATES_TEXT).isNull()
-    return trip_updates.where(text.isNotNull() & bad)
+    unreadable = F.col("stop_time_updates").isNotNull() & _stop_update_array(trip_updates).isNull()
+    return trip_updates.where(unreadable)
+
+
+def tagged_stop_updates(trip_updates: DataFrame) -> DataFrame:
+    """``realtime_stop_time_updates`` and the unreadable trip updates, from one parse of each text.
+
+    ``is_rejected`` tells them apart: a rejected row has the text in ``rejected_text`` and no stop. NULL and
+    empty arrays give no row of either kind; natively stored arrays are never rejected.
+    """
+    element = _element_type(trip_updates)
+    text = F.lit(None).cast("string") if _is_native(trip_updates) else F.col("stop_time_updates")
+    no_update, no_text = F.lit(None).cast(element), F.lit(None).cast("string")
+    entries = F.when(
+        F.col("parsed").isNotNull(),
+        F.transform("parsed", lambda update: F.struct(update.alias("update"), no_text.alias("rejected_text"))),
+    ).when(text.isNotNull(), F.array(F.struct(no_update.alias("update"), text.alias("rejected_text"))))
+    exploded = (
+        trip_updates.withColumn("parsed", _stop_update_array(trip_updates))
+        .select(*_UPDATE_COLUMNS, F.explode(entries).alias("entry"))
+        .select(*_UPDATE_COLUMNS, "entry.update", "entry.rejected_text")
+    )
+    typed = _typed_updates(exploded, element, "rejected_text")
+    return typed.withColumn("is_rejected", F.col("rejected_text").isNotNull())
 
 
 _CLOCKS = {

@@ -24,6 +24,28 @@ def _first_rows(df: DataFrame, order: list[str], rows: int) -> DataFrame:
     return top.withColumn("sample_number", F.row_number().over(Window.orderBy(*keys)))
 
 
+#: Groups of each case that its first rows are taken of before they are merged.
+_GROUPS = 32
+
+
+def _first_rows_by_case(df: DataFrame, order: list[str], cases: dict[str, Column], rows: int) -> DataFrame:
+    """The first ``rows`` rows in ``order`` of each case, numbered from 1, all cases from one pass over ``df``.
+
+    ``cases`` says by label which rows a case may take; a row may serve several. The limit is taken in every
+    task, then in groups of each case, and then of the case, so that no task sees more than ``rows`` rows
+    of each task or group. Numbers and ties are those of ``_first_rows``.
+    """
+    ties = [name for name, kind in df.dtypes if name not in order and not kind.startswith("array")]
+    keys = [F.col(name).asc_nulls_last() for name in order + ties]
+    labels = F.array(*[F.when(holds, F.lit(label)) for label, holds in cases.items()])
+    found = df.select("*", F.explode(labels).alias("case")).where(F.col("case").isNotNull())
+    found = found.withColumn("case_group", F.pmod(F.xxhash64(*order), F.lit(_GROUPS)))
+    for groups in (["case", "case_group"], ["case"]):
+        number = F.row_number().over(Window.partitionBy(*groups).orderBy(*keys))
+        found = found.withColumn("sample_number", number).where(F.col("sample_number") <= rows)
+    return found.drop("case_group")
+
+
 def _case(df: DataFrame, label: str, **changes: Column) -> list[Column]:
     """The evaluation columns of a case: from ``changes``, else from ``df``, else NULL."""
     prefix, source_model, record_type, severity, reason = L.EVALUATION_CASES[label]
@@ -113,38 +135,68 @@ def sample_normal(on_time_performance: DataFrame, rows: int = L.NORMAL_SAMPLE_RO
     return _labelled(_plausible(on_time_performance, rows), "normal")
 
 
-def inject_stale_timestamp(vehicles: DataFrame, rows: int = L.INJECTED_ROWS, hours: int = 2) -> DataFrame:
-    timed = vehicles.where(F.col("vehicle_timestamp_utc").isNotNull()).select(*_VEHICLE_FIELDS)
+def _stale(hours: int) -> dict[str, Column]:
     earlier = F.col("vehicle_timestamp_utc") - F.make_dt_interval(hours=F.lit(hours))
-    return _labelled(
-        _first_rows(timed, _VEHICLE_ORDER, rows),
-        "stale_vehicle_position_timestamp",
-        vehicle_timestamp_utc=earlier,
+    return {"vehicle_timestamp_utc": earlier, **_without_delay()}
+
+
+def _moved(degrees: float, speed: float) -> dict[str, Column]:
+    return {
+        "latitude": F.col("latitude") + degrees,
+        "longitude": F.col("longitude") - degrees,
+        "speed": F.lit(speed),
         **_without_delay(),
-    )
+    }
+
+
+def _is_timed() -> Column:
+    return F.col("vehicle_timestamp_utc").isNotNull()
+
+
+def _is_located() -> Column:
+    return F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+
+
+def inject_stale_timestamp(vehicles: DataFrame, rows: int = L.INJECTED_ROWS, hours: int = 2) -> DataFrame:
+    timed = vehicles.where(_is_timed()).select(*_VEHICLE_FIELDS)
+    return _labelled(_first_rows(timed, _VEHICLE_ORDER, rows), "stale_vehicle_position_timestamp", **_stale(hours))
 
 
 def inject_gps_jump(
     vehicles: DataFrame, rows: int = L.INJECTED_ROWS, degrees: float = 1.0, speed: float = 250.0
 ) -> DataFrame:
-    located = vehicles.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+    located = vehicles.where(_is_located()).select(*_VEHICLE_FIELDS)
     return _labelled(
-        _first_rows(located.select(*_VEHICLE_FIELDS), _VEHICLE_ORDER, rows),
-        "gps_jump_or_implausible_speed",
-        latitude=F.col("latitude") + degrees,
-        longitude=F.col("longitude") - degrees,
-        speed=F.lit(speed),
-        **_without_delay(),
+        _first_rows(located, _VEHICLE_ORDER, rows), "gps_jump_or_implausible_speed", **_moved(degrees, speed)
     )
 
 
-def inject_duplicate_label(trip_updates: DataFrame, rows: int = L.INJECTED_ROWS) -> DataFrame:
-    return _labelled(
-        _first_rows(trip_updates.select(*_UPDATE_FIELDS), _UPDATE_ORDER, rows),
-        "duplicate_trip_update_entity",
-        schedule_match_status=F.lit(L.MATCHED),
-        **_without_delay(),
+def _vehicle_faults(vehicles: DataFrame, rows: int, hours: int = 2, degrees: float = 1.0, speed: float = 250.0) -> DataFrame:
+    """``inject_stale_timestamp`` and ``inject_gps_jump`` from one pass over the vehicles."""
+    stale, moved = "stale_vehicle_position_timestamp", "gps_jump_or_implausible_speed"
+    cases = {stale: _is_timed(), moved: _is_located()}
+    first = _first_rows_by_case(vehicles.select(*_VEHICLE_FIELDS), _VEHICLE_ORDER, cases, rows)
+    record = F.when(F.col("case") == stale, F.struct(*_case(first, stale, **_stale(hours)))).otherwise(
+        F.struct(*_case(first, moved, **_moved(degrees, speed)))
     )
+    return first.select(record.alias("record")).select("record.*")
+
+
+def _repeated() -> dict[str, Column]:
+    return {"schedule_match_status": F.lit(L.MATCHED), **_without_delay()}
+
+
+def _unmatched() -> dict[str, Column]:
+    return {
+        "trip_id": F.concat("trip_id", F.lit(L.UNMATCHED_TRIP_SUFFIX)),
+        "schedule_match_status": F.lit(L.UNMATCHED),
+        **_without_delay(),
+    }
+
+
+def inject_duplicate_label(trip_updates: DataFrame, rows: int = L.INJECTED_ROWS) -> DataFrame:
+    first = _first_rows(trip_updates.select(*_UPDATE_FIELDS), _UPDATE_ORDER, rows)
+    return _labelled(first, "duplicate_trip_update_entity", **_repeated())
 
 
 def inject_unmatched_reference(
@@ -158,13 +210,33 @@ def inject_unmatched_reference(
     """
     first = _first_rows(trip_updates.select(*_UPDATE_FIELDS), _UPDATE_ORDER, rows).drop("sample_number")
     pairs = first.join(trips.select("trip_id"), "trip_id", "left")
-    return _labelled(
-        _first_rows(pairs, _UPDATE_ORDER, rows),
-        "missing_or_unmatched_schedule_reference",
-        trip_id=F.concat("trip_id", F.lit(L.UNMATCHED_TRIP_SUFFIX)),
-        schedule_match_status=F.lit(L.UNMATCHED),
-        **_without_delay(),
+    return _labelled(_first_rows(pairs, _UPDATE_ORDER, rows), "missing_or_unmatched_schedule_reference", **_unmatched())
+
+
+def _trip_update_faults(trip_updates: DataFrame, trips: DataFrame, rows: int) -> DataFrame:
+    """``inject_duplicate_label`` and ``inject_unmatched_reference`` from one pass over the trip updates.
+
+    Both start from the same first rows. Of these, some may meet several scheduled trips: the first fault
+    takes each once, the second the first pairs.
+    """
+    repeated, unmatched = "duplicate_trip_update_entity", "missing_or_unmatched_schedule_reference"
+    updates = trip_updates.select(*_UPDATE_FIELDS)
+    first = _first_rows_by_case(updates, _UPDATE_ORDER, {repeated: F.lit(True)}, rows)
+    first = first.withColumnRenamed("sample_number", "own_number")
+    pairs = first.join(trips.select("trip_id"), "trip_id", "left")
+    pair_number = F.row_number().over(Window.partitionBy("case").orderBy("own_number"))
+    copy_number = F.row_number().over(Window.partitionBy("case", "own_number").orderBy("own_number"))
+    pairs = pairs.withColumns({"pair_number": pair_number, "copy_number": copy_number})
+    as_first = pairs.withColumn("sample_number", F.col("own_number"))
+    pair_id = F.concat(F.lit(L.EVALUATION_CASES[unmatched][0]), F.col("pair_number").cast("string"))
+    records = F.array(
+        F.when(F.col("copy_number") == 1, F.struct(*_case(as_first, repeated, **_repeated()))),
+        F.when(
+            F.col("pair_number") <= rows,
+            F.struct(*_case(as_first, unmatched, evaluation_record_id=pair_id, **_unmatched())),
+        ),
     )
+    return as_first.select(F.explode(records).alias("record")).where(F.col("record").isNotNull()).select("record.*")
 
 
 def inject_extreme_delay(
@@ -201,13 +273,11 @@ def synthetic_anomaly_evaluation(
     normal_rows: int = L.NORMAL_SAMPLE_ROWS,
     injected_rows: int = L.INJECTED_ROWS,
 ) -> DataFrame:
-    """The normal sample and the five injected faults."""
+    """The normal sample and the five injected faults, each input read once."""
     parts = [
         _normal_and_extreme_delay(on_time_performance, normal_rows, injected_rows),
-        inject_stale_timestamp(vehicles, injected_rows),
-        inject_gps_jump(vehicles, injected_rows),
-        inject_duplicate_label(trip_updates, injected_rows),
-        inject_unmatched_reference(trip_updates, trips, injected_rows),
+        _vehicle_faults(vehicles, injected_rows),
+        _trip_update_faults(trip_updates, trips, injected_rows),
     ]
     return reduce(DataFrame.unionByName, parts)
 

@@ -48,6 +48,28 @@ def previous_time(
     )
 
 
+def occurrence_number(df: DataFrame, key: str, alias: str, *, groups: int = 64) -> DataFrame:
+    """Number the rows of each ``key`` from 1, in an order that depends on the rows alone.
+
+    A window over the key would hold a key with most rows in one task. Here a key's rows are dealt into ``groups``
+    by their content and numbered there; the groups' sizes, one row each, are summed up in order and
+    added. Equal rows are interchangeable; a NULL key is a key.
+    """
+    content = F.xxhash64(*df.columns)
+    own = [key, "row_group"]
+    inside = Window.partitionBy(*own).orderBy("row_content")
+    grouped = df.withColumn("row_content", content).withColumn("row_group", F.pmod("row_content", F.lit(groups)))
+    grouped = grouped.withColumns(
+        {"within": F.row_number().over(inside), "group_rows": F.count(F.lit(1)).over(Window.partitionBy(*own))}
+    )
+    # The first rows of a key's groups share a partition; every other row stays with its group.
+    lead = F.when(F.col("within") == 1, F.lit(-1)).otherwise(F.col("row_group"))
+    earlier = Window.partitionBy(key, lead).orderBy("row_group").rowsBetween(Window.unboundedPreceding, -1)
+    summed = grouped.withColumn("earlier_rows", F.when(F.col("within") == 1, F.coalesce(F.sum("group_rows").over(earlier), F.lit(0))))
+    number = F.col("within") + F.max("earlier_rows").over(Window.partitionBy(*own))
+    return summed.withColumn(alias, number).select(*df.columns, alias)
+
+
 def gap_statistics(df: DataFrame, keys: list[str], time: str, *, bucket_seconds: int = 3_600) -> DataFrame:
     """Gaps between successive whole-second times of each group, as exact seconds.
 

@@ -11,9 +11,9 @@ from pyspark.sql import types as T
 
 from fleetgauge import labels as L
 from fleetgauge.operators import anomaly, assertions, capture, delay, evaluation, reports
-from fleetgauge.plans.checks import check_suite
-from fleetgauge.plans.derived_files import capture_files_folder, schedule_folder
-from fleetgauge.plans.load import load_raw, open_days
+from fleetgauge.plans.checks import CHECKS, check_suite
+from fleetgauge.plans.derived_files import capture_files_folder, quoted_stop_times, schedule_folder
+from fleetgauge.plans.load import load_raw, open_days, open_rejects, open_stop_updates, store_stop_updates
 from fleetgauge.plans.models import Models, materialize_layers
 from fleetgauge.session import configure, new_scratch_path
 from fleetgauge.sources import entities, schedule, snapshots, star_tables
@@ -91,6 +91,12 @@ def _(spark, folder):
     return schedule.scan_static_csv(spark, [f"{path}/stop_times.txt" for path in layout.values()])
 
 
+@_query("scan_quoted_csv")
+def _(spark, folder):
+    """Stop times whose headsigns go over several lines."""
+    return schedule.scan_static_csv(spark, quoted_stop_times(spark, folder))
+
+
 @_query("tag_source_feed")
 def _(spark, folder):
     layout = schedule.resolve_feed_layout(spark, schedule_folder(spark, folder))
@@ -321,18 +327,32 @@ def _(spark, folder):
     return store.mart("fct_anomaly_findings").drop("snapshot_date")
 
 
-@_query("unreadable_stop_updates")
-def _(spark, folder):
-    """Updates whose text is cut off, or no array."""
-    updates = star_tables.raw_trip_updates(spark, folder).selectExpr(
+def _partly_unreadable(spark: SparkSession, folder: str) -> DataFrame:
+    """Trip updates some of whose texts are cut off, or no array."""
+    return star_tables.raw_trip_updates(spark, folder).selectExpr(
         "* EXCEPT (stop_time_updates)",
         """CASE right(trip_id, 1) WHEN '2' THEN '{"stop_id": "P1"}' WHEN '4' THEN '[{"stop_id": "P1"'
         WHEN '6' THEN '[{"stop_id": "P1"}]' WHEN '8' THEN '[]' END AS stop_time_updates""",
     )
-    bad = delay.unreadable_stop_updates(updates)
+
+
+@_query("unreadable_stop_updates")
+def _(spark, folder):
+    bad = delay.unreadable_stop_updates(_partly_unreadable(spark, folder))
     return bad.select("snapshot_folder", "trip_id", "stop_time_updates")
 
 
+@_query("stop_updates_with_rejects")
+def _(spark, folder):
+    """Stop updates and rejected trip updates as stored in one pass, read back apart."""
+    stored = new_scratch_path(spark, "stop-updates")
+    store_stop_updates(star_models(spark, folder, trip_updates=_partly_unreadable(spark, folder)).stg_trip_updates, stored)
+    columns = ["snapshot_folder", "trip_id"]
+    accepted = open_stop_updates(spark, stored).select(*columns, "stop_id", F.lit(None).cast("string").alias("rejected_text"))
+    rejected = open_rejects(spark, stored).select(*columns, F.lit(None).cast("string").alias("stop_id"), "rejected_text")
+    return accepted.union(rejected)
+
+
 # --- Staging ---------------------------------------------------------------------------------
 
 for _name in ("stg_routes", "stg_trips", "stg_stops", "stg_stop_times"):
@@ -495,6 +515,20 @@ def _(spark, folder):
     return check_suite(models)
 
 
+@_query("checks_while_writing")
+def _(spark, folder):
+    """The same checks, those on rows counted by the tasks that write the layers."""
+    models = star_models(spark, folder)
+    materialize_layers(models, new_scratch_path(spark, "checked"), register_views=False, checks=CHECKS)
+    return check_suite(models)
+
+
+@_query("unique_finding_ids")
+def _(spark, folder):
+    """Findings whose ids are told apart where an entity is reported more than once."""
+    return anomaly.with_unique_ids(star_models(spark, folder).fct_anomaly_findings).select("anomaly_id", "detector_rule_id")
+
+
 # --- Reports ---------------------------------------------------------------------------------
 
 for _report, _input in (

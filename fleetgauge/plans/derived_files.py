@@ -23,7 +23,9 @@ FEEDS = ("busco", "brooklyn", "bronx")
 def _once(spark: SparkSession, folder: str, label: str, write: Callable[[str], None]) -> str:
     key = (spark.sparkContext.applicationId, folder, label)
     if key not in _written:
-        path = new_scratch_path(spark, label)
+        # A label may end in the name that the file should have.
+        label, _, name = label.partition("/")
+        path = "/".join(filter(None, (new_scratch_path(spark, label), name)))
         write(path)
         _written[key] = path
     return _written[key]
@@ -36,11 +38,11 @@ def _feed_number(table: str) -> str:
 
 
 def _write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
+    df.write.mode("overwrite").option("header", True).option("emptyValue", "").option("escape", '"').csv(path)
 
 
 def schedule_folder(spark: SparkSession, folder: str) -> str:
-    """Per-feed folders, one of them with a calendar, beside a flat folder they take precedence over."""
+    """Per-feed folders, two of them with a calendar table, beside a flat folder they take precedence over."""
 
     def write(root: str) -> None:
         for table in REQUIRED_TABLES:
@@ -50,11 +52,29 @@ def schedule_folder(spark: SparkSession, folder: str) -> str:
                 _write_csv(part, f"{root}/{feed}/extracted/{table}.txt")
         services = star_tables.raw_trips(spark, folder).select("service_id").distinct()
         _write_csv(services, f"{root}/{FEEDS[0]}/extracted/calendar.txt")
+        exceptions = star_tables.raw_trips(spark, folder).selectExpr(
+            "service_id", "IF(direction_id = '0', '20240101', '20240704') AS date", "1 + direction_id AS exception_type"
+        )
+        _write_csv(exceptions.distinct(), f"{root}/{FEEDS[1]}/extracted/calendar_dates.txt")
         _write_csv(star_tables.raw_stops(spark, folder), f"{root}/extracted/stops.txt")
 
     return _once(spark, folder, "schedule", write)
 
 
+def quoted_stop_times(spark: SparkSession, folder: str) -> str:
+    """Stop times with headsigns that hold quotes and line breaks, some several."""
+
+    def write(path: str) -> None:
+        rows = star_tables.raw_stop_times(spark, folder).drop("source_feed").selectExpr(
+            "*",
+            """CASE stop_sequence % 3 WHEN 0 THEN concat('To "', stop_id, '"', chr(10), chr(10), trip_id)
+            WHEN 1 THEN concat('Line,', chr(10), stop_id) ELSE concat('"', stop_id, '" only') END AS stop_headsign""",
+        )
+        _write_csv(rows, path)
+
+    return _once(spark, folder, "quoted/stop_times.txt", write)
+
+
 def capture_files_folder(spark: SparkSession, folder: str) -> str:
     """Snapshot files of both feeds, a snapshot a day: ``<feed>/snapshot_folder=snapshot_x/*``."""
 

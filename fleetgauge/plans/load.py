@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from fleetgauge.labels import OPTIONAL_TABLES, REQUIRED_TABLES
+from fleetgauge.labels import OPTIONAL_TABLES, REQUIRED_TABLES, TRIP_UPDATE_FEED
+from fleetgauge.operators.delay import tagged_stop_updates
+from fleetgauge.operators.staging import stg_trip_updates
 from fleetgauge.sources.schedule import load_schedule, path_exists
 from fleetgauge.sources.snapshots import RAW_SCHEMAS, scan_snapshots, snapshot_range, with_snapshot_date
-from fleetgauge.sources.tables import replace_sink, stored_days
+from fleetgauge.sources.tables import replace_sink, split_side, split_sink, stored_days
 
 
 def _path(folder: str, table: str) -> str:
@@ -28,11 +30,15 @@ def load_raw(
     end: str | None = None,
     patterns: dict[str, str] | None = None,
     only_touched_days: bool = False,
+    with_stop_updates: bool = False,
 ) -> dict[str, int]:
     """Replace the raw tables below ``folder``; returns the rows written per table.
 
     Snapshots from ``start`` to ``end`` are loaded. With ``only_touched_days`` the other days of
-    the stored snapshots stay, so that a long capture is loaded piece by piece.
+    the stored snapshots stay, so that a long capture is loaded piece by piece. With
+    ``with_stop_updates`` the stored trip updates are unnested once: ``stop_updates`` counts the stop
+    updates and ``stop_updates_rejected`` the trip updates whose text is no array; ``open_stop_updates`` and
+    ``open_rejects`` read the two.
     """
     counts = {}
     for table, df in load_schedule(spark, schedule_root).items():
@@ -47,9 +53,37 @@ def load_raw(
             partition_by=("snapshot_date",),
             only_touched_partitions=only_touched_days,
         )
+    if with_stop_updates:
+        stored = stg_trip_updates(open_raw(spark, folder)[TRIP_UPDATE_FEED])
+        written = store_stop_updates(stored, folder)
+        counts |= {"stop_updates": written[False], "stop_updates_rejected": written[True]}
     return counts
 
 
+def store_stop_updates(trip_updates: DataFrame, folder: str) -> dict[bool, int]:
+    """Unnest staged trip updates below ``folder``; the rows written, rejected ones under True. One scan, one parse."""
+    tagged = with_snapshot_date(tagged_stop_updates(trip_updates))
+    return split_sink(tagged, _path(folder, "stop_updates"), "is_rejected", partition_by=("snapshot_date",))
+
+
+def _stop_updates(spark: SparkSession, folder: str, rejected: bool) -> DataFrame:
+    nothing = spark.createDataFrame([], RAW_SCHEMAS[TRIP_UPDATE_FEED])
+    schema = with_snapshot_date(tagged_stop_updates(stg_trip_updates(nothing))).schema
+    return split_side(spark, schema, _path(folder, "stop_updates"), "is_rejected", rejected)
+
+
+def open_stop_updates(spark: SparkSession, folder: str) -> DataFrame:
+    """The stop updates that ``store_stop_updates`` wrote."""
+    return _stop_updates(spark, folder, False).drop("rejected_text", "snapshot_date")
+
+
+def open_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """The trip updates whose stop updates could not be read, with their text."""
+    return _stop_updates(spark, folder, True).select(
+        "snapshot_folder", "snapshot_timestamp_utc", "entity_id", "trip_id", "route_id", "vehicle_id", "rejected_text"
+    )
+
+
 def open_raw(
     spark: SparkSession, folder: str, *, start: str | None = None, end: str | None = None
 ) -> dict[str, DataFrame]:

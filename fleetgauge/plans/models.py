@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from fleetgauge import labels as L
 from fleetgauge.operators import activity, anomaly, delay, evaluation, quality, staging
+from fleetgauge.operators.assertions import Check, row_metrics
 from fleetgauge.sources.snapshots import with_snapshot_date
 from fleetgauge.sources.tables import replace_days, replace_sink
 
@@ -28,6 +29,7 @@ class Models:
     max_gap_minutes: float = L.SNAPSHOT_GAP_MINUTES
     service_day: str = "calendar"
     stored: dict[str, DataFrame] = field(default_factory=dict, repr=False)
+    measured: dict[str, dict[str, int]] = field(default_factory=dict, repr=False)
     _opened: dict[str, DataFrame] = field(default_factory=dict, repr=False)
 
     def table(self, name: str) -> DataFrame:
@@ -225,6 +227,7 @@ def materialize_layers(
     *,
     days: Iterable[str] | None = None,
     register_views: bool = True,
+    checks: Mapping[str, Iterable[Check]] | None = None,
 ) -> dict[str, int]:
     """Write the tables as parquet below ``folder`` and return their row counts.
 
@@ -235,6 +238,9 @@ def materialize_layers(
     long capture is built piece by piece. The gap of a day's first snapshot ends at the last one of the day
     before: let ``models`` cover that day too, as ``open_days`` reads it. Tables without snapshots
     are replaced by what ``models`` has.
+
+    ``checks`` by table: those that look at one row at a time are counted by the writing tasks, into
+    ``models.measured``, so ``check_suite`` need not read the tables for them.
     """
     wanted = set(tables)
     days = None if days is None else set(days)
@@ -246,10 +252,12 @@ def materialize_layers(
         if name not in _WITHOUT_SNAPSHOT:
             df, partition_by = with_snapshot_date(df), ("snapshot_date",)
         path = f"{folder.rstrip('/')}/{name}"
+        metrics = row_metrics((checks or {}).get(name, ()))
+        observed = {"metrics": metrics, "measured": models.measured.setdefault(name, {})} if metrics else {}
         if partition_by and days is not None:
-            counts[name] = replace_days(df, path, days)
+            counts[name] = replace_days(df, path, days, **observed)
         else:
-            counts[name] = replace_sink(df, path, as_path=True, partition_by=partition_by)
+            counts[name] = replace_sink(df, path, as_path=True, partition_by=partition_by, **observed)
         stored = df.sparkSession.read.schema(df.schema).parquet(path)
         if partition_by and days is not None:
             stored = stored.where(F.col("snapshot_date").isin(*days))

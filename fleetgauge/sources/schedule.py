@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from fleetgauge.labels import OPTIONAL_TABLES, REQUIRED_TABLES, SCHEDULE_FEEDS, SINGLE_FEED
 from fleetgauge.schemas import SCHEDULE_COLUMNS
+from fleetgauge.sources.quoted_csv import has_quoted_breaks, scan_quoted_csv
 
 
 def scan_static_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -19,12 +20,14 @@ def scan_static_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFram
 
     Column names come from the header line, so a file's extra or reordered columns are read
     by name. All files in ``paths`` must share that header; one that does not fails the scan, and
-    ``union_feeds_by_name`` over scans of their own reads such files. Quoted cells may hold line breaks,
-    but for stop times, whose files are large and stay splittable: there a row with too few or too many
-    cells fails the scan.
+    ``union_feeds_by_name`` over scans of their own reads such files. Quoted cells may hold line breaks. Files of
+    stop times are large and stay splittable: they are looked through for such breaks first, and with
+    them are read by ``scan_quoted_csv``. There a row with too few or too many cells fails the scan.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     splittable = all(path.rstrip("/").endswith("/stop_times.txt") for path in paths)
+    if splittable and has_quoted_breaks(spark, paths):
+        return scan_quoted_csv(spark, paths)
     reader = spark.read.option("header", True).option("inferSchema", False).option("escape", '"')
     reader = reader.option("enforceSchema", False).option("multiLine", not splittable)
     return reader.option("mode", "FAILFAST" if splittable else "PERMISSIVE").csv(paths).na.fill("")

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def replace_sink(
@@ -18,11 +19,14 @@ def replace_sink(
     as_path: bool = False,
     partition_by: Sequence[str] = (),
     only_touched_partitions: bool = False,
+    metrics: Mapping[str, Column] | None = None,
+    measured: dict[str, int] | None = None,
 ) -> int:
     """Create or replace ``target`` (a table name, or a parquet folder) and return its new rows.
 
-    Rows are counted while they are written, not by a second pass. With
-    ``only_touched_partitions`` other partitions of an existing table stay.
+    Rows are counted while they are written, not by a second pass, and so is what ``metrics`` aggregates; its
+    values go into ``measured``. Both are taken in the tasks that write, each of which counts once however
+    often an executor is lost. With ``only_touched_partitions`` other partitions of an existing table stay.
 
     A partitioned table is rebalanced by its partition columns first: else every task would write
     a small file into every partition. Unlike a repartitioning, this splits a partition that holds
@@ -31,7 +35,10 @@ def replace_sink(
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("row_count"))
+    # Names of metrics may be any text, so they go by number.
+    names = list(metrics or {})
+    numbered = [metrics[name].alias(f"m{at}") for at, name in enumerate(names)]
+    counted = df.observe(seen, F.count(F.lit(1)).alias("row_count"), *numbered)
     mode = "dynamic" if only_touched_partitions else "static"
     if as_path:
         writer = counted.write.mode("overwrite").option("partitionOverwriteMode", mode)
@@ -48,7 +55,26 @@ def replace_sink(
             spark.conf.set(setting, before)
     else:
         counted.write.mode("overwrite").partitionBy(*partition_by).saveAsTable(target)
-    return seen.get["row_count"]
+    found = seen.get
+    if measured is not None:
+        measured.update({name: found[f"m{at}"] for at, name in enumerate(names)})
+    return found["row_count"]
+
+
+def split_sink(df: DataFrame, target: str, tag: str, *, partition_by: Sequence[str] = ()) -> dict[bool, int]:
+    """Replace the parquet folder ``target``, split by the boolean column ``tag``, and return the rows of each side.
+
+    Both sides are written and counted in one pass; ``split_side`` reads one of them.
+    """
+    sides: dict[str, int] = {}
+    rejected = {"true": F.count_if(tag)}
+    total = replace_sink(df, target, as_path=True, partition_by=(tag, *partition_by), metrics=rejected, measured=sides)
+    return {True: sides["true"], False: total - sides["true"]}
+
+
+def split_side(spark: SparkSession, schema: StructType, target: str, tag: str, side: bool) -> DataFrame:
+    """One side of what ``split_sink`` wrote; only its files are opened."""
+    return spark.read.schema(schema).parquet(target).where(F.col(tag) == side).drop(tag)
 
 
 def stored_days(spark: SparkSession, path: str) -> dict[str, list[str]]:
@@ -67,10 +93,11 @@ def stored_days(spark: SparkSession, path: str) -> dict[str, list[str]]:
     return days
 
 
-def replace_days(df: DataFrame, path: str, days: Iterable[str]) -> int:
+def replace_days(df: DataFrame, path: str, days: Iterable[str], **options) -> int:
     """Replace the given days of a table stored by ``snapshot_date``; a day without rows is emptied.
 
-    Rows of other days are not written, other stored days stay. Returns the rows written.
+    Rows of other days are not written, other stored days stay. Returns the rows written; ``options`` are those of
+    ``replace_sink``.
     """
     days = sorted(set(days))
     before = stored_days(df.sparkSession, path)
@@ -83,6 +110,7 @@ def replace_days(df: DataFrame, path: str, days: Iterable[str]) -> int:
         as_path=True,
         partition_by=("snapshot_date",),
         only_touched_partitions=True,
+        **options,
     )
     # A day that lost its last row has no partition to replace the old one with.
     for day in (day for day in days if day in before and not has_rows.get[day]):

@@ -41,7 +41,9 @@ _SCHEDULE_FILES = f"""
     UNION ALL SELECT feed, 'stop_times' FROM raw_stop_times JOIN feed_names ON {_residue('trip_id')}
     UNION ALL SELECT DISTINCT 'busco', 'calendar' FROM raw_trips
 """
-_CALENDAR_ROWS = "SELECT 'busco', 'calendar', count(DISTINCT service_id) FROM raw_trips"
+_CALENDAR_ROWS = """
+    SELECT 'busco', 'calendar', count(DISTINCT service_id) FROM raw_trips
+    UNION ALL SELECT 'brooklyn', 'calendar_dates', count(DISTINCT (service_id, direction_id)) FROM raw_trips"""
 
 _DELAYED = "SELECT snapshot_folder, trip_id, stop_sequence, stop_id"
 
@@ -102,6 +104,11 @@ def _statements() -> dict[str, str]:
     plain = {name: f"FROM {name}" for name in MODELS if name != "both_feeds"}
     found = {
         "scan_static_csv": "SELECT * EXCLUDE (source_feed) FROM raw_stop_times",
+        "scan_quoted_csv": """
+            SELECT * EXCLUDE (source_feed), CASE stop_sequence::INTEGER % 3
+                WHEN 0 THEN 'To "' || stop_id || '"' || chr(10) || chr(10) || trip_id
+                WHEN 1 THEN 'Line,' || chr(10) || stop_id ELSE '"' || stop_id || '" only' END AS stop_headsign
+            FROM raw_stop_times""",
         "tag_source_feed": f"SELECT raw_trips.*, feed AS source_feed FROM raw_trips JOIN feed_names "
                            f"ON {_residue('trip_id')}",
         "union_feeds_by_name": f"""
@@ -132,7 +139,9 @@ def _statements() -> dict[str, str]:
         "load_raw": " UNION ALL ".join(
             f"SELECT 'raw_{table}' AS table_name, count() AS row_count FROM raw_{table}"
             for table in (*L.REQUIRED_TABLES, L.VEHICLE_FEED, L.TRIP_UPDATE_FEED)
-        ) + " UNION ALL SELECT 'raw_calendar', count(DISTINCT service_id) FROM raw_trips",
+        ) + """
+            UNION ALL SELECT 'raw_calendar', count(DISTINCT service_id) FROM raw_trips
+            UNION ALL SELECT 'raw_calendar_dates', count(DISTINCT (service_id, direction_id)) FROM raw_trips""",
         "flatten_vehicle_entity": """
             SELECT 'vehicle_positions' AS feed_type, taken_text AS snapshot_timestamp_utc,
                    if(event_id % 17 = 5, NULL, 'V' || user_id) AS entity_id, 'BUS_' || user_id AS vehicle_id,
@@ -195,6 +204,11 @@ def _statements() -> dict[str, str]:
                    CASE event_id % 10 WHEN 2 THEN '{"stop_id": "P1"}' ELSE '[{"stop_id": "P1"' END
                        AS stop_time_updates
             FROM reports WHERE event_id % 3 = 0 AND event_id % 10 IN (2, 4)""",
+        "stop_updates_with_rejects": """
+            SELECT folder AS snapshot_folder, 'T' || event_id AS trip_id,
+                   if(event_id % 10 = 6, 'P1', NULL) AS stop_id,
+                   CASE event_id % 10 WHEN 2 THEN '{"stop_id": "P1"}' WHEN 4 THEN '[{"stop_id": "P1"' END AS rejected_text
+            FROM reports WHERE event_id % 3 = 0 AND event_id % 10 IN (2, 4, 6)""",
         "assert_not_null": "FROM stg_vehicle_positions WHERE trip_id IS NULL",
         "assert_unique": """SELECT entity_id AS unique_field, count() AS n_records FROM stg_vehicle_positions
             WHERE entity_id IS NOT NULL GROUP BY 1 HAVING n_records > 1""",
@@ -223,6 +237,10 @@ def _statements() -> dict[str, str]:
             FROM both_feeds, (SELECT date_trunc('second', max(ts)) + INTERVAL 30 MINUTE AS as_of FROM events)
             GROUP BY realtime_source""",
         "check_suite": _check_sql(),
+        "checks_while_writing": _check_sql(),
+        "unique_finding_ids": """
+            SELECT anomaly_id || CASE WHEN n > 1 THEN '#' || n ELSE '' END AS anomaly_id, detector_rule_id
+            FROM (SELECT *, row_number() OVER (PARTITION BY anomaly_id) AS n FROM fct_anomaly_findings)""",
         "kpi_snapshots": "SELECT count() AS snapshot_count FROM fct_feed_quality",
         "kpi_findings": "SELECT count() AS finding_count FROM fct_anomaly_findings",
         "kpi_priority_findings": """SELECT count() FILTER (anomaly_severity <> 'medium')

@@ -171,3 +171,32 @@ def test_samples_number_from_one_and_sort_nulls_last(rows):
     assert (found[0].latitude, found[0].longitude, found[0].speed) == (41.5, -75.0, 250.0)
     stale = evaluation.inject_stale_timestamp(df).agg(F.max("vehicle_timestamp_utc"), F.count("*")).first()
     assert tuple(stale) == (T0 - timedelta(hours=2), 4)
+
+
+def test_repeated_ids_are_told_apart(spark):
+    from fleetgauge.operators.anomaly import with_unique_ids
+    from fleetgauge.operators.assertions import assert_unique
+
+    rows = [("hot", f"r{i % 40}") for i in range(3_000)] + [("two", "a"), ("two", "b"), ("one", "c"), (None, "d"), (None, "d")]
+    table = spark.createDataFrame(rows, "anomaly_id string, route_id string").repartition(5)
+    found = with_unique_ids(table)
+    assert assert_unique(found, "anomaly_id").isEmpty() and not assert_unique(table, "anomaly_id").isEmpty()
+    ids = [r.anomaly_id for r in found.collect()]
+    assert len(ids) == len(rows) and ids.count(None) == 2
+    assert {i for i in ids if i} == {"hot", "two", "two#2", "one", *(f"hot#{n}" for n in range(2, 3_001))}
+    again = with_unique_ids(table.repartition(3))
+    assert sorted(map(str, again.collect())) == sorted(map(str, found.collect()))
+
+
+def test_no_task_holds_a_repeated_id(spark):
+    from fleetgauge.operators.windows import occurrence_number
+
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = spark.range(20_000).selectExpr("'hot' AS k", "id AS v")
+        found = occurrence_number(rows, "k", "n")
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) < 12_000 and found.agg(F.count_distinct("n"), F.max("n")).first() == (20_000, 20_000)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)

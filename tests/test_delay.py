@@ -171,3 +171,27 @@ def test_trip_schedule_match(rows):
     found = delay.trip_schedule_vs_actual(updates, rows(TRIPS, ("a", "R1", "N", 0, "S"), (None, "R2", "N", 0, "S")))
     status = {r.trip_id: (r.schedule_match_status, r.scheduled_route_id) for r in found.collect()}
     assert status == {"a": (L.MATCHED, "R1"), "b": (L.UNMATCHED, None), None: (L.UNMATCHED, None)}
+
+
+def test_stop_updates_and_rejects_come_from_one_parse(spark, rows, tmp_path):
+    from fleetgauge.plans.load import open_rejects, open_stop_updates, store_stop_updates
+
+    texts = ['[{"stop_id": "s", "stop_sequence": "2"}, {"stop_id": "t"}]', None, "[]", '{"stop_id": "u"}', '[{"stop_id"', " [{}]", ""]
+    schema = (
+        "snapshot_folder string, snapshot_timestamp_utc timestamp, entity_id string, trip_id string, route_id string, "
+        "vehicle_id string, stop_time_updates string"
+    )
+    updates = spark.createDataFrame(
+        [("snapshot_20240105_000000", None, f"e{i}", f"t{i}", "r", "v", text) for i, text in enumerate(texts)], schema
+    )
+    tagged = delay.tagged_stop_updates(updates)
+    assert tagged._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+    assert store_stop_updates(updates, str(tmp_path)) == {False: 3, True: 3}
+    accepted = open_stop_updates(spark, str(tmp_path))
+    plain = delay.realtime_stop_time_updates(updates)
+    assert accepted.columns == plain.columns
+    assert sorted(map(str, accepted.collect())) == sorted(map(str, plain.collect()))
+    rejects = {r.trip_id: r.rejected_text for r in open_rejects(spark, str(tmp_path)).collect()}
+    assert rejects == {"t3": texts[3], "t4": texts[4], "t6": ""}
+    unreadable = delay.unreadable_stop_updates(updates).collect()
+    assert {r.trip_id for r in unreadable} == set(rejects)

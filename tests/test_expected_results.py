@@ -36,7 +36,7 @@ def physical_plan(df):
 
 # These write files while the query is put together, or list fixed labels or feeds.
 EAGER = {"materialize_layers", "check_suite", "replace_sink", "snapshot_range", "streamed_feed_quality", "streamed_findings", "marts_by_day",
-         "load_raw"}
+         "load_raw", "checks_while_writing"}
 
 
 @pytest.mark.parametrize("name", sorted(set(CATALOG) - EAGER))
@@ -70,3 +70,24 @@ def test_scans_read_only_what_a_query_needs(spark):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint>" in plan
     plan = physical_plan(CATALOG["assert_match_rate"](spark, FOLDER))
     assert "value" not in plan and "o_orderstatus" not in plan
+
+
+def scans(df, table):
+    """Scans of a table in the plan that was run, each reused exchange counted once."""
+    df.collect()
+    return physical_plan(df).partition("== Initial Plan ==")[0].count(f"/{table}.parquet")
+
+
+# Both feeds come from events; the marts on stops read events and lineitem once more.
+@pytest.mark.parametrize(
+    ("name", "most"),
+    [
+        ("quality_snapshot_freshness", 2),
+        ("feed_quality_summary", 2),
+        ("fct_feed_quality", 2),
+        ("fct_anomaly_findings", 5),
+        ("synthetic_anomaly_evaluation", 4),
+    ],
+)
+def test_inputs_are_read_once(spark, name, most):
+    assert 0 < scans(CATALOG[name](spark, FOLDER), "events") <= most
