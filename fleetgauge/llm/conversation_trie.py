@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -47,16 +48,16 @@ def _stored(df: DataFrame, label: str) -> DataFrame:
 # --- running sums over ranges ----------------------------------------------------------------
 
 
-def _powers(base: int, exponents: np.ndarray) -> np.ndarray:
-    """``base`` to each exponent modulo the prime; exponents ascend within few runs."""
-    if base == 1:
-        return np.ones(len(exponents), np.int64)
-    low = np.ones(_STEP, np.int64)
-    for at in range(1, _STEP):
-        low[at] = int(low[at - 1]) * base % PRIME
+@lru_cache
+def _first_powers(base: int, modulus: int) -> np.ndarray:
+    return np.array([pow(base, at, modulus) for at in range(_STEP)], np.int64)
+
+
+def _powers(base: int, exponents: np.ndarray, modulus: int) -> np.ndarray:
+    """``base`` to each exponent; the modulus has 31 bits at most."""
     steps, which = np.unique(exponents // _STEP, return_inverse=True)
-    high = np.array([pow(base, _STEP * int(step), PRIME) for step in steps], np.int64)
-    return low[exponents % _STEP] * high[which] % PRIME
+    high = np.array([pow(base, _STEP * int(step), modulus) for step in steps], np.int64)
+    return _first_powers(base, modulus)[exponents % _STEP] * high[which] % modulus
 
 
 def running_sums(
@@ -90,7 +91,7 @@ def running_sums(
             for lane in lanes:
                 terms = batch.column(values[lane]).to_numpy().astype(np.int64)
                 if modulus:
-                    terms = terms * _powers(bases[lane], position) % modulus
+                    terms = terms * _powers(bases[lane], position, modulus) % modulus
                 sums = np.cumsum(terms)
                 sums = sums - np.where(goes_on, 0, (sums - terms)[first]) + np.where(goes_on, held_before[lane], 0)
                 sums = sums % modulus if modulus else sums

@@ -25,9 +25,10 @@ from fleetgauge.llm.batches import map_batches, ship_package, text_slices
 
 #: Characters in a window of the sketch.
 WINDOW = 24
-#: Characters in a window of the other sketch, which counts where either text has fewer than ``SHORT``.
+#: Characters in a window of the other sketch. The longer the shorter text, the more the wide windows count: half
+#: at ``EVEN`` characters.
 FINE_WINDOW = 4
-SHORT = 256
+EVEN = 256
 #: Window hashes that a sketch keeps.
 KEPT = 64
 #: Places of prefix hashes between a length and its double; up to twice as many characters each place has one.
@@ -192,13 +193,14 @@ def _shared(one: np.ndarray, two: np.ndarray) -> float:
 def likeness(one: Sketch, two: Sketch) -> float:
     """Estimated share of what two texts have in common, 0 to 1; two empty texts are alike.
 
-    The larger of two shares: of the characters, counted as far as the texts start alike, and of the windows,
-    the fine ones where either text is short.
+    The larger of two shares: of the characters, counted as far as the texts start alike, and of the windows, both
+    sketches weighed. The weight of the wide ones grows with the length of the shorter text, without a step.
     """
     common = one.common_start(two)
     if not one.length or not two.length or common == one.length == two.length:
         return float(one.length == two.length)
-    windows = _shared(one.fine, two.fine) if min(one.length, two.length) < SHORT else _shared(one.wide, two.wide)
+    shorter = min(one.length, two.length)
+    windows = (shorter * _shared(one.wide, two.wide) + EVEN * _shared(one.fine, two.fine)) / (shorter + EVEN)
     return max(windows, common / (one.length + two.length - common))
 
 

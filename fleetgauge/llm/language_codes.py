@@ -25,6 +25,8 @@ from fleetgauge.llm.batches import held_out, map_batches, text_slices, texts_of
 #: Documents that the classifiers are fitted on at most, for each language and in all.
 SAMPLE_PER_LANGUAGE = 300
 SAMPLE = 1_500
+#: Groups of each language that a sample is first taken of.
+SALTS = 16
 BUCKETS = 1 << 13
 N_GRAMS = (1, 2, 3)
 #: Up to so many languages have the exhaustive code; more get a random one with bits for each doubling.
@@ -211,9 +213,11 @@ def fit_languages(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, in_a
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang"))
     rows = rows.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"), 4))
-    # The limit of each language is taken in every task first, so a language with most rows is never sorted whole.
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = rows.select("lang", "doc_id").distinct().withColumn("place", place).where(F.col("place") <= per_language)
+    # Limits are taken in every task, then by salt, then by language: one with most rows is never sorted whole.
+    chosen = rows.select("lang", "doc_id").distinct()
+    for groups in (["lang", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))], ["lang"]):
+        place = F.row_number().over(Window.partitionBy(*groups).orderBy(F.xxhash64("doc_id", F.lit(0)), "doc_id"))
+        chosen = chosen.withColumn("place", place).where(F.col("place") <= per_language)
     chosen = chosen.orderBy("place", "lang").limit(in_all).collect()
     if not chosen:
         return None

@@ -17,7 +17,8 @@ ODD = [
 CLASHES = {
     name: "x"
     for name in ("ids", "bucket", "score", "kept", "set_key", "component_id", "split", "rank", "length", "held_out",
-                 "text_hash", "block", "word", "quality", "toxic", "label_id", "first", "n_tokens", "sequence_id")
+                 "text_hash", "block", "word", "quality", "toxic", "label_id", "first", "n_tokens", "sequence_id",
+                 "judged_id", "judged_hash", "stays", "rows", "row_hash", "shingles", "lang_pred", "place")
 }
 
 

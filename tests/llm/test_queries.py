@@ -19,6 +19,9 @@ COLUMNS = {
     8: "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next",
     9: "doc_id piece start length ids_crc32 sequence_id offset",
     10: "doc_id n_tokens",
+    11: "doc_id held_out lang_pred score",
+    12: "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
+    13: "item_id rank doc_id score",
 }
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables")

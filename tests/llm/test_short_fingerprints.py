@@ -47,3 +47,13 @@ def test_short_documents_are_near_their_edits(spark):
     rows = [(0, "short text one"), (1, "ANOTHER QUITE DIFFERENT ONE"), (2, "0123"), (3, "ßßßßßßßß")]
     found = {r.doc_id: r for r in fingerprint_documents(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()}
     assert all(r.near_edited >= 0.55 and r.near_next == 0.0 for r in found.values())
+
+
+def test_likeness_has_no_step():
+    """A text that grows by a character each time, against one with the same middle."""
+    random.seed(8)
+    letters = "abcdefghijklmnopqrst"
+    text, tail = ("".join(random.choices(letters, k=500)) for _ in range(2))
+    other = tail[:60] + text[60:]
+    found = [likeness(fingerprint(text[:n])[1], fingerprint(other[:n])[1]) for n in range(150, 400)]
+    assert max(abs(a - b) for a, b in zip(found, found[1:], strict=False)) < 0.06
