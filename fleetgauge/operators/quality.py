@@ -184,9 +184,13 @@ def feed_quality_summary(
     return summarize_keys(snapshot_keys(vehicles, trip_updates, trips), max_gap_minutes=max_gap_minutes)
 
 
-def summarize_keys(keys: DataFrame, *, max_gap_minutes: float = L.SNAPSHOT_GAP_MINUTES) -> DataFrame:
+def summarize_keys(
+    keys: DataFrame, *, max_gap_minutes: float = L.SNAPSHOT_GAP_MINUTES, known: DataFrame | None = None
+) -> DataFrame:
     """The snapshot summary out of ``snapshot_keys``.
 
+    ``known`` (snapshot_folder, snapshot_timestamp_utc) are snapshots that are in the order of times and not in the result.
+
     Both feeds of a snapshot share one capture time. Should they differ, the snapshot has a row
     for each time, as the set union of the two feeds' snapshots has.
     """
@@ -214,13 +218,16 @@ def summarize_keys(keys: DataFrame, *, max_gap_minutes: float = L.SNAPSHOT_GAP_M
             F.when(F.col("trip_update_record_count") > 0, F.array("updates_taken_at")).otherwise(F.array()),
         )
     )
-    timed = counts.select("*", F.explode("times.time").alias("snapshot_time"))
+    timed = counts.select("*", F.explode("times.time").alias("snapshot_time"), F.lit(False).alias("is_known"))
+    if known is not None:
+        others = known.select("snapshot_folder", F.col("snapshot_timestamp_utc").alias("snapshot_time"), F.lit(True).alias("is_known"))
+        timed = timed.unionByName(others, allowMissingColumns=True)
     previous = F.col("previous_time")
     gap = seconds_between(previous, F.col("snapshot_time")) / F.lit(60.0).cast("double")
     late = F.col("snapshot_gap_minutes") > max_gap_minutes
     freshness = F.when(previous.isNull(), L.FIRST_SNAPSHOT).when(late, L.LATE).otherwise(L.WITHIN_INTERVAL)
     fresh = previous_time(timed, "snapshot_time", "previous_time", tie_break="snapshot_folder")
-    fresh = fresh.withColumn("snapshot_gap_minutes", gap).withColumn("freshness_status", freshness)
+    fresh = fresh.where(~F.col("is_known")).withColumn("snapshot_gap_minutes", gap).withColumn("freshness_status", freshness)
     issues = (
         "null_gps_count",
         "duplicate_vehicle_entity_count",

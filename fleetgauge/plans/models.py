@@ -22,12 +22,14 @@ class Models:
 
     ``raw`` maps the names of the raw tables to DataFrames, or to functions that give them when a
     model asks. ``trip_update_stops`` may hold the stop updates apart from the trip updates; by
-    default the trip updates carry them.
+    default the trip updates carry them. ``known_snapshots`` (snapshot_folder, snapshot_timestamp_utc) are further
+    snapshots, none of the raw tables, that the gaps of these are counted from.
     """
 
     raw: Mapping[str, DataFrame | Callable[[], DataFrame]]
     max_gap_minutes: float = L.SNAPSHOT_GAP_MINUTES
     service_day: str = "calendar"
+    known_snapshots: DataFrame | None = None
     stored: dict[str, DataFrame] = field(default_factory=dict, repr=False)
     measured: dict[str, dict[str, int]] = field(default_factory=dict, repr=False)
     _opened: dict[str, DataFrame] = field(default_factory=dict, repr=False)
@@ -120,7 +122,9 @@ class Models:
 
     @property
     def feed_quality_summary(self) -> DataFrame:
-        return quality.summarize_keys(self._snapshot_keys, max_gap_minutes=self.max_gap_minutes)
+        return quality.summarize_keys(
+            self._snapshot_keys, max_gap_minutes=self.max_gap_minutes, known=self.known_snapshots
+        )
 
     @property
     def dim_route(self) -> DataFrame:

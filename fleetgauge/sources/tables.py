@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from fleetgauge.labels import SNAPSHOT_PREFIX
+
 
 def replace_sink(
     df: DataFrame,
@@ -20,7 +22,7 @@ def replace_sink(
     partition_by: Sequence[str] = (),
     only_touched_partitions: bool = False,
     metrics: Mapping[str, Column] | None = None,
-    measured: dict[str, int] | None = None,
+    measured: dict[str, object] | None = None,
 ) -> int:
     """Create or replace ``target`` (a table name, or a parquet folder) and return its new rows.
 
@@ -117,3 +119,42 @@ def replace_days(df: DataFrame, path: str, days: Iterable[str], **options) -> in
         nothing = df.sparkSession.createDataFrame([], df.drop("snapshot_date").schema)
         nothing.write.mode("overwrite").parquet(f"{path}/snapshot_date={day}")
     return written
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def child_names(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """What follows ``prefix`` in the names right below ``path``; one listing, nothing deeper is looked at."""
+    files, place = _file_system(spark, path)
+    if not files.exists(place):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(place)]
+    return [unquote(name.removeprefix(prefix)) for name in names if name.startswith(prefix)]
+
+
+def replace_snapshots(df: DataFrame, path: str, snapshots: Iterable[str]) -> int:
+    """Replace the given snapshots of a table stored by ``snapshot_date`` and ``snapshot_folder``.
+
+    One without rows is removed, others stay and are not listed. Returns the rows written. ``df`` holds rows of
+    these snapshots alone, which are few: their names come to the driver.
+    """
+    chosen = df.where(F.col("snapshot_folder").isin(*snapshots))
+    found: dict = {}
+    names = F.array_join(F.sort_array(F.collect_set("snapshot_folder")), ",")
+    written = replace_sink(
+        chosen,
+        path,
+        as_path=True,
+        partition_by=("snapshot_date", "snapshot_folder"),
+        only_touched_partitions=True,
+        metrics={"names": names},
+        measured=found,
+    )
+    for snapshot in set(snapshots) - set((found["names"] or "").split(",")):
+        day = snapshot.removeprefix(SNAPSHOT_PREFIX)[:8]
+        files, place = _file_system(df.sparkSession, f"{path}/snapshot_date={day}/snapshot_folder={snapshot}")
+        files.delete(place, True)
+    return written

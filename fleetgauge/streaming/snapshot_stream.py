@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
+from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -17,15 +18,18 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetgauge import labels as L
+from fleetgauge.operators.assertions import row_metrics
+from fleetgauge.plans.checks import CHECKS
 from fleetgauge.plans.load import with_date
 from fleetgauge.plans.models import Models
+from fleetgauge.sources.schedule import path_exists
 from fleetgauge.sources.snapshots import (
     RAW_SCHEMAS,
     empty_source_schema,
     parse_snapshot_files,
     with_snapshot_date,
 )
-from fleetgauge.sources.tables import replace_days, replace_sink, stored_days
+from fleetgauge.sources.tables import child_names, replace_sink, replace_snapshots
 
 # Findings read the two marts before them.
 STREAMED_MARTS = (
@@ -37,6 +41,26 @@ STREAMED_MARTS = (
 )
 
 
+# The small table of stored snapshots.
+_STATE = "snapshots"
+_STATE_SCHEMA = (
+    T.StructType()
+    .add("snapshot_folder", "string")
+    .add("snapshot_timestamp_utc", "timestamp")
+    .add("batch_id", "long")
+    .add("snapshot_date", "string")
+)
+_SEEN = "snapshots of the batch"
+
+
+def _day(snapshot: str) -> str:
+    return snapshot.removeprefix(L.SNAPSHOT_PREFIX)[:8]
+
+
+def _place(snapshot: str) -> str:
+    return f"snapshot_date={_day(snapshot)}/snapshot_folder={snapshot}"
+
+
 # Both feeds of a snapshot as the capture leaves them.
 CAPTURE_PATTERN = f"{L.SNAPSHOT_PREFIX}*/{{{L.VEHICLE_FEED},{L.TRIP_UPDATE_FEED}}}.json"
 
@@ -84,80 +108,126 @@ def windowed_record_counts(
 
 @dataclass
 class SnapshotStore:
-    """Raw records and marts of the snapshots seen so far, as parquet below ``folder``."""
+    """Raw records and marts of the snapshots seen so far, as parquet below ``folder``.
+
+    Everything is partitioned by day and snapshot. Beside it stands a small table, ``snapshots``, of each stored
+    snapshot's feeds and capture times, a file a day. It tells a batch which snapshots come before and after
+    its own, so neither records nor file names of any others are looked at.
+    """
 
     spark: SparkSession
     folder: str
     schedule: Mapping[str, DataFrame | Callable[[], DataFrame]]
     options: Mapping[str, object] = field(default_factory=dict)
+    #: Of the last batch, by feed: rows that violate the declared checks, counted while they were stored.
+    violations: dict[str, dict[str, int]] = field(default_factory=dict)
 
     def _path(self, name: str) -> str:
         return f"{self.folder.rstrip('/')}/{name}"
 
-    def records(self, feed: str) -> DataFrame:
-        """Stored raw records with their ``snapshot_date``."""
-        schema = with_date(RAW_SCHEMAS[feed]).add("batch_id", "long")
-        stored = self._read(feed, schema)
-        return with_snapshot_date(empty_source_schema(self.spark, feed)) if stored is None else stored.drop("batch_id")
-
-    def mart(self, name: str) -> DataFrame:
-        """A mart as far as it is built; without any row, or any batch yet, an empty table."""
-        columns = Models({**self.schedule, **{feed: self.records(feed) for feed in RAW_SCHEMAS}}, **self.options)
+    def records(self, feed: str, snapshots: Iterable[str] | None = None) -> DataFrame:
+        """Stored raw records with their ``snapshot_date``, of all snapshots or of some."""
+        columns = with_date(RAW_SCHEMAS[feed])
+        stored = self._read(feed, columns.add("batch_id", "long"), snapshots)
+        if stored is None:
+            return with_snapshot_date(empty_source_schema(self.spark, feed))
+        return stored.select(*RAW_SCHEMAS[feed].names, "snapshot_date")
+
+    def mart(self, name: str, snapshots: Iterable[str] | None = None) -> DataFrame:
+        """A mart as far as it is built, whole or of some snapshots; without any row an empty table."""
+        columns = Models({**self.schedule, **{feed: empty_source_schema(self.spark, feed) for feed in RAW_SCHEMAS}}, **self.options)
         fields = [f for f in columns[name].schema.fields if f.name != "snapshot_date"]
         schema = T.StructType(fields).add("snapshot_date", "string")
-        stored = self._read(name, schema)
-        return self.spark.createDataFrame([], schema) if stored is None else stored
-
-    def _read(self, name: str, schema: T.StructType) -> DataFrame | None:
+        stored = self._read(name, schema, snapshots)
+        return self.spark.createDataFrame([], schema) if stored is None else stored.select(*schema.names)
+
+    def _read(self, name: str, schema: T.StructType, snapshots: Iterable[str] | None) -> DataFrame | None:
+        reader, path = self.spark.read.schema(schema), self._path(name)
+        if snapshots is not None:
+            # Naming the folders spares the listing of all others.
+            paths = [f"{path}/{place}" for place in sorted(map(_place, snapshots))]
+            paths = [place for place in paths if path_exists(self.spark, place)]
+            return reader.option("basePath", path).parquet(*paths) if paths else None
         try:
-            return self.spark.read.schema(schema).parquet(self._path(name))
+            return reader.parquet(path)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return None
 
-    def _stored_days(self, name: str, batch_id: int | None = None) -> set[str]:
-        """Days that have files, of one batch if it is given."""
-        days = stored_days(self.spark, self._path(name))
-        mark = "" if batch_id is None else f"/batch_id={batch_id}/"
-        return {day for day, files in days.items() if any(mark in file for file in files)}
+    def _known(self, days: Iterable[str]) -> set[tuple]:
+        """(day, snapshot, capture time or None, batch) of the stored snapshots of some days."""
+        path = self._path(_STATE)
+        paths = [f"{path}/snapshot_date={day}" for day in sorted(days)]
+        paths = [place for place in paths if path_exists(self.spark, place)]
+        if not paths:
+            return set()
+        rows = self.spark.read.schema(_STATE_SCHEMA).option("basePath", path).parquet(*paths).collect()
+        return {(row.snapshot_date, row.snapshot_folder, row.snapshot_timestamp_utc, row.batch_id) for row in rows}
 
     def add(self, files: DataFrame, batch_id: int) -> None:
-        """Store one batch of snapshot files and refresh the days it touches."""
-        touched: set[str] = set()
+        """Store one batch of snapshot files and refresh the marts of the snapshots it touches."""
+        added: set[tuple] = set()
         for feed in RAW_SCHEMAS:
             records = with_snapshot_date(parse_snapshot_files(_of_feed(files, feed), feed))
             numbered = records.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            path = self._path(feed)
+            # A batch has a bounded number of files, and so of snapshots, each with few capture times.
+            seen = F.collect_set(F.concat_ws("|", "snapshot_date", "snapshot_folder", "snapshot_timestamp_utc"))
+            checks = row_metrics(CHECKS[feed])
+            found: dict = {}
             replace_sink(
                 numbered,
-                path,
+                self._path(feed),
                 as_path=True,
-                partition_by=("snapshot_date", "batch_id"),
+                partition_by=("snapshot_date", "snapshot_folder", "batch_id"),
                 only_touched_partitions=True,
+                metrics={**checks, _SEEN: F.array_join(F.sort_array(seen), ",")},
+                measured=found,
             )
-            touched |= self._stored_days(feed, batch_id)
-        if touched:
-            self.refresh(touched)
-
-    def refresh(self, days: Iterable[str]) -> None:
-        """Rebuild the marts of ``days`` and of the next stored day after each.
-
-        The gap of a day's first snapshot ends at the last one of the day before, so a snapshot
-        that arrives late changes the day after its own; for the same reason the day before is
-        read along, though not rebuilt.
+            snapshots = found.pop(_SEEN)
+            self.violations[feed] = found
+            added |= {tuple((text + "|").split("|")[:3]) for text in (snapshots or "").split(",") if text}
+        if added:
+            self._remember(added, batch_id)
+            self.refresh({snapshot for _, snapshot, _ in added})
+
+    def _remember(self, added: set[tuple], batch_id: int) -> None:
+        """Add the snapshots of a batch to the small table; a batch that runs again replaces its rows."""
+        days = {day for day, _, _ in added}
+        kept = [row for row in self._known(days) if row[3] != batch_id]
+        new = self.spark.createDataFrame(
+            [(snapshot, time or None, batch_id, day) for day, snapshot, time in sorted(added)],
+            "snapshot_folder string, taken string, batch_id bigint, snapshot_date string",
+        ).withColumn("snapshot_timestamp_utc", F.col("taken").try_cast("timestamp"))
+        new = new.select(*_STATE_SCHEMA.names)
+        old = self.spark.createDataFrame([(folder, time, batch, day) for day, folder, time, batch in kept], _STATE_SCHEMA)
+        rows = old.union(new).coalesce(1)
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("snapshot_date").parquet(self._path(_STATE))
+
+    def refresh(self, snapshots: Iterable[str]) -> None:
+        """Rebuild the marts of ``snapshots`` and of the stored snapshot after each.
+
+        A snapshot's gap ends at the one before it, so one that arrives late changes its successor. The times of
+        those before come from the small table; only the records of the rebuilt ones are read.
         """
-        stored = sorted(set().union(*map(self._stored_days, RAW_SCHEMAS)))
-        position = {day: i for i, day in enumerate(stored)}
-        rebuilt = {stored[i] for day in days for i in (position[day], position[day] + 1) if i < len(stored)}
-        read = rebuilt | {stored[position[day] - 1] for day in rebuilt if position[day] > 0}
-
-        raw = {feed: self.records(feed).where(F.col("snapshot_date").isin(*read)) for feed in RAW_SCHEMAS}
-        models = Models({**self.schedule, **raw}, **self.options)
+        touched = set(snapshots)
+        days = sorted(child_names(self.spark, self._path(_STATE), "snapshot_date="))
+        place = {day: at for at, day in enumerate(days)}
+        near = {days[at] for day in map(_day, touched) for at in range(place[day] - 1, place[day] + 2) if 0 <= at < len(days)}
+        times = {(time, snapshot) for _, snapshot, time, _ in self._known(near)}
+        in_order = sorted(times, key=lambda row: (row[0] is None, row[0] or datetime.min, row[1]))
+        after = {late[1] for early, late in zip(in_order, in_order[1:], strict=False) if early[1] in touched}
+        rebuilt = touched | after
+
+        others = [(snapshot, time) for time, snapshot in in_order if snapshot not in rebuilt]
+        known = self.spark.createDataFrame(others, "snapshot_folder string, snapshot_timestamp_utc timestamp")
+        raw = {feed: self.records(feed, rebuilt) for feed in RAW_SCHEMAS}
+        models = Models({**self.schedule, **raw}, **self.options, known_snapshots=known)
         for name in STREAMED_MARTS:
             rows = with_snapshot_date(models[name])
-            replace_days(rows, self._path(name), rebuilt)
-            models.stored[name] = self.mart(name).where(F.col("snapshot_date").isin(*rebuilt))
+            replace_snapshots(rows, self._path(name), rebuilt)
+            models.stored[name] = self.mart(name, rebuilt)
 
     def follow(
         self,

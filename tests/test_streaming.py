@@ -138,3 +138,46 @@ def test_windowed_counts(spark, tmp_path, write_snapshot):
     # The last window stays open: no later record has closed it.
     assert [(r.window_start.minute, r.record_count) for r in found] == [(0, 4), (10, 2)]
     assert spark.table("window_counts").where(F.col("feed_type") != L.VEHICLE_FEED).isEmpty()
+
+
+def test_a_batch_reads_its_snapshots_and_their_successors_only(spark, rows, tmp_path, write_snapshot, monkeypatch):
+    root, static = tmp_path / "capture", schedule(rows)
+    store = SnapshotStore(spark, str(tmp_path / "store"), static)
+
+    def add(batch_id, day, time):
+        snapshot(write_snapshot, root, day, time)
+        folder = f"snapshot_202401{day:02d}_{time}"
+        store.add(spark.read.text(f"{root}/{folder}/*.json", wholetext=True).select("value", "_metadata"), batch_id)
+        return folder
+
+    times = [(1, "120000"), (1, "121000"), (2, "000500"), (2, "120000"), (4, "120000")]
+    for batch_id, (day, time) in enumerate(times):
+        add(batch_id, day, time)
+    opened = set()
+    read = SnapshotStore._read
+
+    def spied(self, name, schema, snapshots):
+        found = read(self, name, schema, snapshots)
+        if found is not None and self is store:
+            opened.update(part for file in found.inputFiles() for part in file.split("/") if part.startswith("snapshot_folder="))
+        return found
+
+    monkeypatch.setattr(SnapshotStore, "_read", spied)
+    late = add(9, 1, "235500")
+    assert opened == {f"snapshot_folder={late}", "snapshot_folder=snapshot_20240102_000500"}
+    monkeypatch.undo()
+    batch = Models({**static, **{feed: scan_snapshots(spark, str(root), feed) for feed in
+                                 (L.VEHICLE_FEED, L.TRIP_UPDATE_FEED)}})
+    for name in STREAMED_MARTS:
+        assert same(store.mart(name), batch[name]), name
+    gaps = {r.snapshot_folder: r.snapshot_gap_minutes for r in store.mart("fct_feed_quality").collect()}
+    assert gaps["snapshot_20240102_000500"] == 10.0 and gaps[late] == 705.0
+
+
+def test_a_batch_counts_what_violates_the_checks(spark, rows, tmp_path, write_snapshot):
+    root = tmp_path / "capture"
+    write_snapshot(root, "snapshot_20240101_120000", **{L.VEHICLE_FEED: [{"entity_id": None}, {"entity_id": "a"}]})
+    store = SnapshotStore(spark, str(tmp_path / "store"), schedule(rows))
+    store.add(spark.read.text(f"{root}/*/*.json", wholetext=True).select("value", "_metadata"), 0)
+    assert store.violations[L.VEHICLE_FEED] == {"not_null(snapshot_timestamp_utc)": 2, "not_null(entity_id)": 1}
+    assert store.records(L.VEHICLE_FEED).count() == 2 and store.mart("fct_feed_quality").count() == 1
