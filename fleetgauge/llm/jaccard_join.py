@@ -237,6 +237,7 @@ def _dealt_documents(docs: DataFrame, words: int, percent: int, parts: int) -> D
                     # Sets are sorted by hash, the order that is common to all.
                     yield from chunk.add(key, len(shingles), shingles[: -(-percent_dealt * len(shingles) // 100)].copy())
         yield from chunk.deal()
+        _hashes.clear()  # a worker goes on with other stages
 
     return map_batches(docs.withColumn("text_hash", F.xxhash64("text")), run, _DEALT)
 
@@ -311,6 +312,7 @@ def _made_again(docs: DataFrame, words: int, packed, n_bits: int) -> DataFrame:
                     ],
                     ["row_hash", "set_key", "shingles"],
                 )
+        _hashes.clear()
 
     rows = docs.select(F.xxhash64("doc_id", F.xxhash64("text")).alias("row_hash"), "text")
     return map_batches(rows, run, "row_hash long, set_key binary, shingles binary").where("set_key is not null")

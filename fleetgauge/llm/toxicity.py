@@ -105,31 +105,54 @@ class _Contributions(dict):
             self.update(zip(part, (sums + 1j * numbers).tolist(), strict=True))
 
 
-def _segment_sums(values: np.ndarray, owners: np.ndarray, n: int) -> np.ndarray:
-    """Row sums by owner; owners ascend."""
-    sums = np.zeros((n, values.shape[1]), values.dtype)
-    starts = np.flatnonzero(np.r_[True, owners[1:] != owners[:-1]]) if len(owners) else []
-    if len(starts):
-        sums[owners[starts]] = np.add.reduceat(values, starts, axis=0)
-    return sums
-
-
-def gram_shares(bags: list[Counter]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each bag of words, none of them empty, its distinct buckets and their shares of all its n-grams."""
+def gram_counts(bags: list[Counter]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each bag of words, none of them empty, its distinct buckets and how many of its n-grams are in each."""
     vocabulary = sorted(set().union(*bags))
     number = {word: at for at, word in enumerate(vocabulary)}
     buckets, owners = subwords(vocabulary)
     buckets = buckets[np.argsort(owners, kind="stable")].astype(np.int32)
     ends = np.cumsum(np.bincount(owners, minlength=len(vocabulary)))
     spans = np.split(buckets, ends[:-1])
-    shares = []
+    counted = []
     for bag in bags:
         own = [spans[number[word]] for word in bag]
         weights = np.repeat(np.array([*bag.values()], np.float64), [len(span) for span in own])
         found, inverse = np.unique(np.concatenate(own), return_inverse=True)
-        sums = np.bincount(inverse, weights)
-        shares.append((found, (sums / (sums.sum() + FEW_GRAMS)).astype(np.float32)))
-    return shares
+        counted.append((found, np.bincount(inverse, weights)))
+    return counted
+
+
+def _shares(counts: np.ndarray) -> np.ndarray:
+    return (counts / (counts.sum() + FEW_GRAMS)).astype(np.float32)
+
+
+def gram_shares(bags: list[Counter]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each bag of words, none of them empty, its distinct buckets and their shares of all its n-grams."""
+    return [(found, _shares(counts)) for found, counts in gram_counts(bags)]
+
+
+_BLOCKS = np.arange(0, BUCKETS, 1 << 16)
+
+
+def pack(found: np.ndarray, counts: np.ndarray) -> bytes:
+    """Distinct ascending buckets and their counts, as a rule in four bytes for each."""
+    width = np.uint16 if counts.max(initial=0) < 1 << 16 else np.uint64
+    head = np.r_[np.dtype(width).itemsize, np.searchsorted(found, _BLOCKS)].astype(np.uint32)
+    return head.tobytes() + (found & 0xFFFF).astype(np.uint16).tobytes() + counts.astype(width).tobytes()
+
+
+class PackedShares(bytes):
+    """What ``pack`` gives; as a pair it is the buckets and their shares."""
+
+    def __iter__(self) -> Iterator[np.ndarray]:
+        head = np.frombuffer(self, np.uint32, 1 + len(_BLOCKS))
+        width = int(head[0])
+        n = (len(self) - head.nbytes) // (2 + width)
+        low = np.frombuffer(self, np.uint16, n, head.nbytes).astype(np.int32)
+        # Counts need not lie at a multiple of their width.
+        counts = np.frombuffer(self[head.nbytes + 2 * n :], f"u{width}")
+        block = np.searchsorted(head[1:], np.arange(n), side="right") - 1
+        return iter((low + (block << 16).astype(np.int32), _shares(counts.astype(np.float64))))
 
 
 def train(
@@ -138,7 +161,7 @@ def train(
     epochs: int = 12,
     rate: float = 0.5,
     decay: float = 1e-4,
-    batch: int = 64,
+    batch: int = 64,  # 256 at most
     toxic_weight: float = 0.3,
     seed: int = 7,
 ) -> SubwordModel:
@@ -166,30 +189,31 @@ def train(
     for start in range(0, n_docs, batch):
         part = shares[start : start + batch]
         part = [(compact[found[learnt[found]]], share[learnt[found]]) for found, share in part]
-        row = np.repeat(np.arange(len(part), dtype=np.int32), [len(found) for found, _ in part])
+        row = np.repeat(np.arange(len(part), dtype=np.uint8), [len(found) for found, _ in part])
         column = np.concatenate([found for found, _ in part])
-        cell = np.concatenate([share for _, share in part]) / spread[column]
+        order = np.argsort(column, kind="stable")
+        column, row = column[order], row[order]
+        cell = np.concatenate([share for _, share in part])[order] / spread[column]
         shares[start : start + batch] = [None] * len(part)
-        batches.append((slice(start, start + len(part)), row, column, cell, np.argsort(column, kind="stable").astype(np.int32)))
+        batches.append((slice(start, start + len(part)), row, column, cell))
     embedding = np.zeros((width, DIMENSIONS), np.float32)
     softmax = random.normal(0, 1, (DIMENSIONS, 2)).astype(np.float32)
     bias = np.zeros(2, np.float32)
     steps, step = epochs * len(batches), 0
     for _ in range(epochs):
-        for docs, row, column, cell, by_column in batches:
+        for docs, row, column, cell in batches:
             n = docs.stop - docs.start
-            hidden = _segment_sums(cell[:, None] * embedding[column], row, n)
+            hidden = np.stack([np.bincount(row, cell * side[column], n) for side in embedding.T], axis=1).astype(np.float32)
             logits = hidden @ softmax + bias
             p = np.exp(logits - logits.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
             error = ((p - wanted[docs]) * weight[docs, None] / n).astype(np.float32)
             back = error @ softmax.T
             pace = np.float32(rate * (1 - step / steps))
-            values = (cell[:, None] * back[row])[by_column]
-            ordered = column[by_column]
-            starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(ordered) else ordered
+            values = cell[:, None] * back[row]
+            starts = np.flatnonzero(np.r_[True, column[1:] != column[:-1]]) if len(column) else column
             if len(starts):
-                touched = ordered[starts]
+                touched = column[starts]
                 embedding[touched] *= 1 - pace * np.float32(decay)
                 embedding[touched] -= pace * np.add.reduceat(values, starts, axis=0)
             softmax -= pace * (hidden.T @ error + np.float32(decay) * softmax)
@@ -212,12 +236,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: dict[int, int] =
         for batch in text_slices(batches):
             found = zip(batch.column("toxic").to_pylist(), texts_of(batch), strict=True)
             bags = [(toxic, bag) for toxic, text in found if (bag := Counter(words_of(text)))]
-            shares = gram_shares([bag for _, bag in bags]) if bags else []
-            columns = [[toxic for toxic, _ in bags], *([values.tobytes() for values in side] for side in zip(*shares, strict=True))]
-            kinds = ("int32", "binary", "binary")
-            columns = columns if bags else [[], [], []]
+            counted = gram_counts([bag for _, bag in bags]) if bags else []
             yield pa.RecordBatch.from_arrays(
-                [pa.array(values, kind) for values, kind in zip(columns, kinds, strict=True)], ["toxic", "buckets", "shares"]
+                [pa.array([toxic for toxic, _ in bags], "int32"), pa.array([pack(*pair) for pair in counted], "binary")],
+                ["toxic", "counts"],
             )
 
     chosen = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"), 4))
@@ -227,12 +249,14 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: dict[int, int] =
         for kind in (0, 1)
     ]
     sample = classes[0].union(classes[1])
-    rows = map_batches(one_text_each(docs, sample, "toxic"), run, "toxic int, buckets binary, shares binary").collect()
-    rows.sort()
-    targets = np.array([row.toxic for row in rows])
+    rows = map_batches(one_text_each(docs, sample, "toxic"), run, "toxic int, counts binary").collect()
+    rows = sorted((row.toxic, bytes(row.counts)) for row in rows)
+    targets = np.array([toxic for toxic, _ in rows])
     if len(np.unique(targets)) < 2:
         return None
-    return train([(np.frombuffer(row.buckets, np.int32), np.frombuffer(row.shares, np.float32)) for row in rows], targets)
+    shares = [PackedShares(counts) for _, counts in rows]
+    del rows
+    return train(shares, targets)
 
 
 def _score(texts: list[str], model: SubwordModel | None) -> np.ndarray:

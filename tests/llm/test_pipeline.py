@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from fleetgauge.llm.quality_trees import FEATURES, base_failed, fit_trees, statistics
-from fleetgauge.llm.toxicity import gram_shares, train, words_of
+from fleetgauge.llm.toxicity import gram_counts, gram_shares, pack, train, words_of
 from test_jaccard_join import brute_force
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -58,8 +58,9 @@ def plainly(rows, labels, path, capacity):
     rows = [row for row, p, f in zip(rows, poor, failed, strict=True) if p < 0.5 and not f]
 
     sample = [row for row in rows if row[0] in toxic and zlib.crc32(str(row[0]).encode()) % 4 != 2]
-    shares = gram_shares([Counter(words_of(row[1])) for row in sample])
-    order = sorted(range(len(sample)), key=lambda at: (toxic[sample[at][0]], shares[at][0].tobytes(), shares[at][1].tobytes()))
+    bags = [Counter(words_of(row[1])) for row in sample]
+    shares, packed = gram_shares(bags), [pack(*pair) for pair in gram_counts(bags)]
+    order = sorted(range(len(sample)), key=lambda at: (toxic[sample[at][0]], packed[at]))
     model = train([shares[at] for at in order], np.array([toxic[sample[at][0]] for at in order]))
     scores = model.score([row[1] for row in rows])
     rows = [row for row, score in zip(rows, scores, strict=True) if score < 0.3]
