@@ -17,7 +17,7 @@ from fleetgauge.plans.load import load_raw, open_days, open_rejects, open_stop_u
 from fleetgauge.plans.models import Models, materialize_layers
 from fleetgauge.session import configure, new_scratch_path
 from fleetgauge.sources import entities, schedule, snapshots, star_tables
-from fleetgauge.sources.tables import replace_sink, stored_days
+from fleetgauge.sources.tables import read_days, replace_sink, stored_days
 from fleetgauge.streaming.snapshot_stream import SnapshotStore, windowed_record_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -289,8 +289,8 @@ def _(spark, folder):
     for half in (days[len(days) // 2 :], days[: len(days) // 2]):
         models = Models(open_days(spark, root, half), max_gap_minutes=HOURLY_GAP_MINUTES)
         materialize_layers(models, marts, ["fct_feed_quality"], days=half, register_views=False)
-    schema = models["fct_feed_quality"].schema
-    return spark.read.schema(schema).parquet(f"{marts}/fct_feed_quality").drop("snapshot_date")
+    schema = T.StructType([*models["fct_feed_quality"].schema.fields]).add("snapshot_date", "string")
+    return read_days(spark, f"{marts}/fct_feed_quality", schema).drop("snapshot_date")
 
 
 def _streamed(spark: SparkSession, folder: str, **options) -> SnapshotStore:

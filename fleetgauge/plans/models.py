@@ -7,13 +7,12 @@ from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from fleetgauge import labels as L
 from fleetgauge.operators import activity, anomaly, delay, evaluation, quality, staging
 from fleetgauge.operators.assertions import Check, row_metrics
 from fleetgauge.sources.snapshots import with_snapshot_date
-from fleetgauge.sources.tables import replace_days, replace_sink
+from fleetgauge.sources.tables import read_days, replace_days, replace_sink
 
 
 @dataclass
@@ -238,8 +237,8 @@ def materialize_layers(
     Snapshot tables are partitioned by day, so that a range of snapshots opens only its days.
     Each written table then stands in for its plan, which later models would else repeat.
 
-    With ``days`` only these days of the snapshot tables are replaced and all others stay, so that a
-    long capture is built piece by piece. The gap of a day's first snapshot ends at the last one of the day
+    With ``days`` only these days of the snapshot tables are replaced, each table at once, and all others stay, so that a
+    long capture is built piece by piece; ``read_days`` reads such tables. The gap of a day's first snapshot ends at the last one of the day
     before: let ``models`` cover that day too, as ``open_days`` reads it. Tables without snapshots
     are replaced by what ``models`` has.
 
@@ -262,9 +261,10 @@ def materialize_layers(
             counts[name] = replace_days(df, path, days, **observed)
         else:
             counts[name] = replace_sink(df, path, as_path=True, partition_by=partition_by, **observed)
-        stored = df.sparkSession.read.schema(df.schema).parquet(path)
         if partition_by and days is not None:
-            stored = stored.where(F.col("snapshot_date").isin(*days))
+            stored = read_days(df.sparkSession, path, df.schema, days)
+        else:
+            stored = df.sparkSession.read.schema(df.schema).parquet(path)
         models.stored[name] = stored.drop("snapshot_date")
     if register_views:
         for name in (*VIEWS, *counts):

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import re
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
@@ -95,32 +98,89 @@ def stored_days(spark: SparkSession, path: str) -> dict[str, list[str]]:
     return days
 
 
+#: Below a table that is replaced by days: its rows, a folder a version and day, and what says which of them count.
+_ROWS, _LISTS = "_rows", "_lists"
+
+
 def replace_days(df: DataFrame, path: str, days: Iterable[str], **options) -> int:
-    """Replace the given days of a table stored by ``snapshot_date``; a day without rows is emptied.
+    """Replace the given days of a table by ``snapshot_date``, all at once; a day without rows is emptied.
 
-    Rows of other days are not written, other stored days stay. Returns the rows written; ``options`` are those of
-    ``replace_sink``.
+    Rows go into folders of their own. Then a new list of days, which names each day's folder, is put in place
+    by one rename: until then, or if anything fails before, ``read_days`` gives the old state. Rows of other days are not
+    written, other stored days stay. What no list but the last two names is removed. One writer at a time.
+    Returns the rows written; ``options`` are those of ``replace_sink``.
     """
-    days = sorted(set(days))
-    before = stored_days(df.sparkSession, path)
-    has_rows = Observation()
+    spark, days = df.sparkSession, sorted(set(days))
+    number, before = _last_list(spark, path)
+    version = f"v={uuid.uuid4().hex}"
+    target = f"{path}/{_ROWS}/{version}"
     chosen = df.where(F.col("snapshot_date").isin(*days))
-    marks = [F.max(F.col("snapshot_date") == day).alias(day) for day in days] or [F.count("*").alias("none")]
-    written = replace_sink(
-        chosen.observe(has_rows, *marks),
-        path,
-        as_path=True,
-        partition_by=("snapshot_date",),
-        only_touched_partitions=True,
-        **options,
-    )
-    # A day that lost its last row has no partition to replace the old one with.
-    for day in (day for day in days if day in before and not has_rows.get[day]):
-        nothing = df.sparkSession.createDataFrame([], df.drop("snapshot_date").schema)
-        nothing.write.mode("overwrite").parquet(f"{path}/snapshot_date={day}")
+    written = replace_sink(chosen, target, as_path=True, partition_by=("snapshot_date",), **options)
+    found = set(child_names(spark, target, "snapshot_date="))
+    kept = {day: place for day, place in before.items() if day not in days}
+    _put_list(spark, path, number + 1, kept | {day: f"{_ROWS}/{version}" for day in days if day in found})
+    _remove_unlisted(spark, path)
     return written
 
 
+def read_days(spark: SparkSession, path: str, schema: StructType, days: Iterable[str] | None = None) -> DataFrame:
+    """A table that ``replace_days`` keeps, whole or of some days; only their folders are opened.
+
+    ``schema`` includes ``snapshot_date``.
+    """
+    _, listed = _last_list(spark, path)
+    wanted = set(listed) if days is None else set(days) & set(listed)
+    places: dict[str, list[str]] = {}
+    for day in sorted(wanted):
+        places.setdefault(f"{path}/{listed[day]}".rstrip("/"), []).append(f"snapshot_date={day}")
+    parts = [
+        spark.read.schema(schema).option("basePath", base).parquet(*(f"{base}/{name}" for name in names))
+        for base, names in places.items()
+    ]
+    return reduce(DataFrame.union, parts) if parts else spark.createDataFrame([], schema)
+
+
+def _lists(spark: SparkSession, path: str) -> list[int]:
+    return sorted(int(name) for name in child_names(spark, f"{path}/{_LISTS}", "list-"))
+
+
+def _list_of(spark: SparkSession, path: str, number: int) -> dict[str, str]:
+    row = spark.read.text(f"{path}/{_LISTS}/list-{number:010d}", wholetext=True).first()
+    return json.loads(row.value)
+
+
+def _last_list(spark: SparkSession, path: str) -> tuple[int, dict[str, str]]:
+    """Number and content of the list in force; a table written without one has its days right below it."""
+    if numbers := _lists(spark, path):
+        return numbers[-1], _list_of(spark, path, numbers[-1])
+    return 0, dict.fromkeys(child_names(spark, path, "snapshot_date="), "")
+
+
+def _put_list(spark: SparkSession, path: str, number: int, days: Mapping[str, str]) -> None:
+    files, staged = _file_system(spark, f"{path}/{_LISTS}/.next-{uuid.uuid4().hex}")
+    _, final = _file_system(spark, f"{path}/{_LISTS}/list-{number:010d}")
+    out = files.create(staged, True)
+    out.write(bytearray(json.dumps(dict(days), sort_keys=True).encode()))
+    out.close()
+    if files.exists(final) or not files.rename(staged, final):
+        files.delete(staged, False)
+        raise RuntimeError(f"another writer has replaced days of {path}")
+
+
+def _remove_unlisted(spark: SparkSession, path: str) -> None:
+    """Remove older lists than the last two, and the folders that only they name."""
+    numbers = _lists(spark, path)
+    old, last = numbers[:-2], numbers[-2:]
+    named = {(place, day) for number in last for day, place in _list_of(spark, path, number).items()}
+    for number in old:
+        for day, place in _list_of(spark, path, number).items():
+            if (place, day) not in named:
+                files, folder = _file_system(spark, f"{path}/{place}/snapshot_date={day}")
+                files.delete(folder, True)
+        files, listed = _file_system(spark, f"{path}/{_LISTS}/list-{number:010d}")
+        files.delete(listed, False)
+
+
 def _file_system(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
