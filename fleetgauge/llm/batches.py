@@ -58,6 +58,24 @@ def text_slices(
             start = stop
 
 
+class Remembered(dict):
+    """Values of ``find`` by text: what is met again is looked up.
+
+    Bounded in bytes: a key longer than ``longest`` is found anew each time, and at ``most`` keys all are forgotten.
+    """
+
+    def __init__(self, find: Callable, most: int, longest: int = 256):
+        self.find, self.most, self.longest = find, most, longest
+
+    def __missing__(self, key):
+        value = self.find(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.most:
+                self.clear()
+            self[key] = value
+        return value
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [text or "" for text in batch.column(column).to_pylist()]
 

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetgauge.llm.batches import map_batches, text_slices, texts_of
+from fleetgauge.llm.batches import Remembered, map_batches, text_slices, texts_of
 from fleetgauge.llm.components import connected
 from fleetgauge.session import new_scratch_path
 
@@ -60,15 +60,7 @@ LONGEST_REMEMBERED = 64
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= LONGEST_REMEMBERED:
-            self[word] = value
-        return value
-
-
-_hashes = WordHashes()
+_hashes = Remembered(xxhash.xxh3_64_intdigest, REMEMBERED, LONGEST_REMEMBERED)
 
 
 def shingle_set(text: str, words: int = SHINGLE_WORDS) -> np.ndarray:
@@ -79,8 +71,6 @@ def shingle_set(text: str, words: int = SHINGLE_WORDS) -> np.ndarray:
     found = text.encode().lower().split()  # bytes: A to Z, and white space as the ASCII has it
     if not found:
         return np.empty(0, np.uint64)
-    if len(_hashes) > REMEMBERED:
-        _hashes.clear()
     hashed = np.fromiter(map(_hashes.__getitem__, found), np.uint64, len(found))
     length = min(words, len(found))
     value = hashed[: len(found) - length + 1] + np.uint64(length)

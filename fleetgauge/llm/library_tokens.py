@@ -13,6 +13,7 @@ from unicodedata import is_normalized
 
 import numpy as np
 
+from fleetgauge.llm.batches import Remembered
 from fleetgauge.llm.bpe_stream import LATIN, byte_characters
 
 #: Chunks a task remembers at most; then it starts afresh.
@@ -37,7 +38,6 @@ class LibraryEncoder:
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
         self.dtype = dtype
-        self.remembered = remembered
         added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.marked = re.compile("|".join(map(re.escape, added)) or r"(?!)", re.IGNORECASE)
         self.bytes_as = byte_characters()
@@ -51,7 +51,7 @@ class LibraryEncoder:
             and "behavior=Removed, invert=True" in splitter
             and not any(re.search(r"\s", mark) for mark in added)
         )
-        self.ids = _Remembered(self._ids_of)
+        self.ids = Remembered(self._ids_of, remembered)
 
     def _chunks(self, text: str) -> list[str]:
         if self.drops_spaces:
@@ -81,25 +81,12 @@ class LibraryEncoder:
         return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.ids) > self.remembered:
-            self.ids.clear()
         ids_of = self.ids.__getitem__
         if self.drops_spaces or self.keeps_spaces:
             return [b"".join(map(ids_of, self._chunks(text))) for text in texts]
         return [self._ids_of(text) for text in texts]
 
 
-class _Remembered(dict):
-    """Ids of chunks; those of a chunk that is met first are found by ``find``."""
-
-    def __init__(self, find):
-        self.find = find
-
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self[chunk] = self.find(chunk)
-        return ids
-
-
 _encoders: dict[tuple[str, str], LibraryEncoder] = {}
 
 

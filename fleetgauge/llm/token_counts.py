@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetgauge.llm.batches import map_batches, text_slices, texts_of
+from fleetgauge.llm.batches import Remembered, map_batches, text_slices, texts_of
 
 #: The mark of a word's start in the vocabulary. A fixed value.
 WORD_START = "▁"
@@ -24,6 +24,8 @@ _SPACE = re.compile(r"[ \t-\r]+")
 _RARE_SPACE = re.compile(r"[\t\x0b-\r]")
 #: Nodes that a trie may grow to before a task starts afresh.
 MOST_NODES = 1_000_000
+#: Characters of a word that is put into the trie at most.
+LONGEST_IN_TRIE = 1_024
 
 
 @lru_cache(maxsize=2)
@@ -72,36 +74,46 @@ class CountingTrie:
 
     def _add(self, word: str, end: int, path: list[int]) -> None:
         """Append the node of ``word[:end]``; ``path`` has the nodes of all shorter prefixes."""
-        scores, best, pieces = self.scores, self.best, self.pieces
+        top, fewest = self._step(word, end, lambda start: (self.best[path[start]], self.pieces[path[start]]))
+        self.best.append(top)
+        self.pieces.append(fewest)
+
+    def _step(self, word: str, end: int, state) -> tuple[float, int]:
+        """Best score and fewest pieces of ``word[:end]``; ``state`` gives those of shorter prefixes."""
         spelt = len(word[end - 1].encode("utf-8", "surrogatepass"))
-        top = best[path[end - 1]] + spelt * self.byte_score
-        fewest = pieces[path[end - 1]] + spelt
+        top, fewest = state(end - 1)
+        top, fewest = top + spelt * self.byte_score, fewest + spelt
         for start in range(max(0, end - self.longest), end):
-            score = scores.get(word[start:end])
+            score = self.scores.get(word[start:end])
             if score is not None:
-                whole = best[path[start]] + score
-                number = pieces[path[start]] + 1
-                if (whole, -number) > (top, -fewest):
-                    top, fewest = whole, number
-        best.append(top)
-        pieces.append(fewest)
+                whole, number = state(start)
+                if (whole + score, -number - 1) > (top, -fewest):
+                    top, fewest = whole + score, number + 1
+        return top, fewest
+
+    def count_alone(self, word: str) -> int:
+        """``count`` without a node: only the last prefixes are kept, as many as the longest piece has characters."""
+        size = self.longest + 1
+        last = [(0.0, 0)] * size
+        for end in range(1, len(word) + 1):
+            last[end % size] = self._step(word, end, lambda start: last[start % size])
+        return last[len(word) % size][1]
 
 
-class _Counts(dict):
-    """Pieces of each word met so far."""
+class _Counts(Remembered):
+    """Pieces of each word met so far. A very long word gets no nodes, and a full trie makes way for a new one."""
 
     def __init__(self, path: str):
-        self.path = path
+        super().__init__(self._count, MOST_NODES, LONGEST_IN_TRIE)
         self.trie = CountingTrie(piece_scores(path))
 
-    def __missing__(self, word: str) -> int:
-        count = self[word] = self.trie.count(WORD_START + word)
-        return count
-
-    def refresh(self) -> None:
+    def _count(self, word: str) -> int:
+        if len(word) > LONGEST_IN_TRIE:
+            return self.trie.count_alone(WORD_START + word)
         if len(self.trie.best) > MOST_NODES:
             self.clear()
-            self.trie = CountingTrie(piece_scores(self.path))
+            self.trie = CountingTrie(self.trie.scores)
+        return self.trie.count(WORD_START + word)
 
 
 @lru_cache(maxsize=2)
@@ -121,7 +133,6 @@ def count_tokens(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = _counts(vocabulary_path)
         for batch in text_slices(batches):
-            counts.refresh()
             words, tokens = [], []
             for text in texts_of(batch):
                 found = _SPACE.split(text) if _RARE_SPACE.search(text) else text.replace("\n", " ").split(" ")

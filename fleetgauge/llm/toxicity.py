@@ -32,6 +32,7 @@ LEAST_DOCUMENTS = 8
 FEW_GRAMS = 100
 #: Words a task remembers the contributions of.
 REMEMBERED = 500_000
+LONGEST_REMEMBERED = 64
 
 _WORD = re.compile(r"\w\S*\w|\w")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -76,8 +77,11 @@ class SubwordModel:
         found = [words_of(text) for text in texts]
         if len(known) > REMEMBERED:
             known.clear()
-        known.learn(list(set().union(*found).difference(known)))
+        new = list(set().union(*found).difference(known))
+        known.learn(new)
         sums = [sum(map(known.__getitem__, words), 0j) for words in found]
+        for word in [word for word in new if len(word) > LONGEST_REMEMBERED]:
+            del known[word]
         sums = np.array(sums, complex)
         logits = self.bias + sums.real / (sums.imag + FEW_GRAMS)
         return 1 / (1 + np.exp(-np.clip(logits, -500, 500)))
