@@ -32,8 +32,6 @@ _SHARD = "first_doc_id long, n_docs long, n_ids long, name string"
 _PLACED = _SHARD + ", place int"
 _MANIFEST = _SHARD + ", docs_before long, ids_before long, dtype string"
 _MISSING_ID = -(1 << 63)
-#: Characters of a text by which rows that repeat an id are dealt into ranges.
-DEALT_BY = 256
 
 
 def _file_system(uri: str) -> tuple[fs.FileSystem, str]:
@@ -75,17 +73,19 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
 
     ``folder`` must be on storage that all executors reach. Other columns are ignored. A NULL text is
     empty, an empty text has only the end id. A NULL doc_id stands before all others; rows that
-    repeat a doc_id are all kept, in the order of their texts. An empty table gives an empty store.
-    Ranges are cut by id and the start of the text, so the rows of one id go to several shards if they are many
-    and their texts start differently. One row per shard passes the driver, nothing that grows with a shard.
+    repeat a doc_id are all kept, in the order of ``xxhash64`` of their texts. An empty table gives an empty store.
+    Ranges are cut by id and that hash, so the rows of one id go to several shards if they are many and
+    their texts differ. One row per shard passes the driver, nothing that grows with a shard.
     """
     spark = docs.sparkSession
     store, path = _file_system(folder)
     store.create_dir(path, recursive=True)
     ordered = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .repartitionByRange(F.col("doc_id").asc_nulls_first(), F.substring("text", 1, DEALT_BY).asc_nulls_first())
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
+        .withColumn("text_hash", F.xxhash64("text"))
+        .repartitionByRange(F.col("doc_id").asc_nulls_first(), "text_hash")
+        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text_hash", F.col("text").asc_nulls_first())
+        .drop("text_hash")
     )
     shards = map_batches(
         ordered, lambda batches: _write_shard(batches, folder, tokenizer_path, end_id, dtype), _PLACED

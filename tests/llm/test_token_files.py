@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from fleetgauge.llm.library_tokens import LibraryEncoder
@@ -29,10 +30,8 @@ def test_files_hold_all_documents_in_order(spark, odd, vocabulary, tmp_path):
     library = Tokenizer.from_file(path)
     manifest = write_token_files(odd, f"file://{tmp_path}/store", path, END)
     found = read_token_files(spark, f"file://{tmp_path}/store").orderBy("start").collect()
-    order = sorted(
-        ((row.doc_id, row.text) for row in odd.collect()),
-        key=lambda row: (row[0] is not None, row[0] or 0, row[1] is not None, row[1] or ""),
-    )
+    order = odd.orderBy(F.asc_nulls_first("doc_id"), F.xxhash64("text"), F.asc_nulls_first("text"))
+    order = [(row.doc_id, row.text) for row in order.select("doc_id", "text").collect()]
     start = 0
     for row, (doc, text) in zip(found, order, strict=True):
         ids = library.encode(text or "", add_special_tokens=False).ids + [END]
@@ -48,3 +47,20 @@ def test_files_hold_all_documents_in_order(spark, odd, vocabulary, tmp_path):
 def test_empty_table(spark, odd, vocabulary, tmp_path):
     write_token_files(odd.limit(0), str(tmp_path / "none"), vocabulary("word_bpe_49k.json"), END)
     assert read_token_files(spark, str(tmp_path / "none")).isEmpty()
+
+
+def test_long_chunks_are_not_remembered(vocabulary):
+    own = LibraryEncoder(vocabulary("word_bpe_49k.json"))
+    text = "ab " * 10 + "x" * 100_000 + " é" + "ß" * 5_000
+    own.encode([text])
+    assert max(map(len, own.ids)) <= own.ids.longest and "ab" in own.ids
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_a_million_letters_without_white_space(spark, vocabulary, tmp_path, name):
+    path, text = vocabulary(name), "abcdefghij" * 100_000
+    docs = spark.createDataFrame([(1, text), (2, "b")], "doc_id long, text string")
+    write_token_files(docs, str(tmp_path / "store"), path, END, "<u4")
+    found = {row.doc_id: row for row in read_token_files(spark, str(tmp_path / "store")).collect()}
+    ids = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids + [END]
+    assert found[1].n_tokens == len(ids) and found[1].ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
