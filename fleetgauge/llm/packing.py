@@ -24,6 +24,8 @@ from fleetgauge.llm.library_tokens import encoder
 from fleetgauge.session import new_scratch_path
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, split int, rank long"
+#: Rows of a plan that is sent to all tasks at most, of 48 bytes each.
+MOST_SENT = 200_000
 _PLAN = "length long, rank_from long, rank_to long, first_sequence long, per_bin long, filled long"
 
 
@@ -160,7 +162,10 @@ def pack(
     ahead = Window.partitionBy("length").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     bases = in_split.withColumn("base", F.coalesce(F.sum("pieces").over(ahead), F.lit(0))).drop("pieces")
     lengths = in_split.groupBy("length").agg(F.sum("pieces").alias("pieces")).collect()
-    plan = spark.createDataFrame(best_fit_plan(lengths, capacity), _PLAN)
+    rows = best_fit_plan(lengths, capacity)
+    plan = spark.createDataFrame(rows, _PLAN)
+    # A plan has a few rows for each length, whatever the corpus; sent along, it spares the pieces a shuffle by length.
+    plan = F.broadcast(plan) if len(rows) <= MOST_SENT else plan
     ranked = pieces.join(bases, ["length", "split"]).withColumn("rank", F.col("base") + F.col("rank"))
     nth = F.col("rank") - F.col("rank_from")
     placed = ranked.join(plan.withColumnRenamed("length", "plan_length"),
