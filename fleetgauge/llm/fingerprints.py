@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -221,14 +222,14 @@ _RESULT_ARROW = pa.schema(
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Results of each document, from rows in order of (bucket, only_next, doc_id, text)."""
+    """Results of each document, from rows in order of (bucket, only_next, doc_id, hash, text)."""
     before = None
     for batch in text_slices(batches):
         found = []
         columns = [batch.column(name).to_pylist() for name in ("bucket", "only_next", "doc_id", "text")]
         for bucket, only_next, doc, text in zip(*columns, strict=True):
             text = text or ""
-            own = fingerprint(text)
+            own = before[4] if before and before[3] == text else fingerprint(text)
             if before and before[0] == bucket and not before[1]:
                 _, _, left_doc, left_text, left = before
                 edited = edited_text(left_text, text)
@@ -249,40 +250,64 @@ def fingerprint_documents(docs: DataFrame, buckets: int | None = None) -> DataFr
     near_edited, near_next.
 
     The next document is that with the next larger doc_id, after the last the first. A NULL text is empty.
-    NULL ids come first; rows that repeat an id follow one another in the order of their texts; a
+    NULL ids come first; rows that repeat an id follow one another in the order of ``xxhash64`` of their texts; a
     single row is its own next. An empty table gives no rows. Other columns are ignored.
 
-    Documents are dealt into ranges of ids by quantiles; the first document of a range goes along to
-    the range before it. One id per range comes to the driver and goes back to the tasks.
+    Documents are dealt into ranges of ids by quantiles. An id that fills several of them, and the rows without
+    one, are dealt further by their texts' hash. The first document of a range goes along to the range before
+    it; of each range one id and hash come to the driver, and one row is copied.
     """
     spark = docs.sparkSession
     ship_package(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("text_hash", F.xxhash64("text"))
     tasks = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    shares = [at / (2 * tasks) for at in range(1, 2 * tasks)]
-    cuts = docs.agg(F.percentile_approx("doc_id", shares, 100 * tasks)).first()[0] or []
-    bounds = np.array(sorted(set(cuts)), np.int64)
+    ranges = 2 * tasks
+    shares = [at / ranges for at in range(1, ranges)]
+    cuts, rows, ids = docs.agg(
+        F.percentile_approx("doc_id", shares, 100 * tasks), F.count(F.lit(1)), F.count("doc_id")
+    ).first()
+    without_id = 1 + (rows - ids) * ranges // max(rows, 1)
+    edges, groups = _segments(cuts or [], without_id)
 
     @F.pandas_udf("int")
-    def bucket_of(ids: pd.Series) -> pd.Series:
-        missing = ids.isna()
-        found = np.searchsorted(bounds, ids.fillna(0).astype(np.int64), side="right")
-        return pd.Series(np.where(missing, -1, found))
-
-    firsts = docs.select("doc_id", bucket_of("doc_id").alias("bucket")).groupBy("bucket").agg(F.min("doc_id").alias("first"))
-    firsts = sorted((row.bucket, row.first) for row in firsts.collect())
-    to_left = [(first, firsts[at - 1][0]) for at, (_, first) in enumerate(firsts)]
-    extra = F.broadcast(spark.createDataFrame(to_left, "first_id long, to_bucket int"))
-    places = F.array(
-        F.struct(bucket_of("doc_id").alias("bucket"), F.lit(False).alias("only_next")),
-        F.struct(F.col("to_bucket").alias("bucket"), F.lit(True).alias("only_next")),
-    )
+    def bucket_of(ids: pd.Series, hashes: pd.Series) -> pd.Series:
+        segment = np.searchsorted(edges, ids.fillna(0).astype(np.int64), side="right") + 1
+        segment = np.where(ids.isna(), 0, segment)
+        # The upper half of the hash, as a number from 0, times the groups.
+        upper = (hashes.to_numpy(np.int64) >> 32) + (1 << 31)
+        return pd.Series((np.cumsum(groups) - groups)[segment] + (upper * groups[segment] >> 32))
+
+    dealt = docs.withColumn("bucket", bucket_of("doc_id", "text_hash"))
+    firsts = dealt.groupBy("bucket").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
+    firsts = sorted((row.bucket, row.first.doc_id, row.first.text_hash) for row in firsts.collect())
+    to_left = [(doc, text_hash, firsts[at - 1][0]) for at, (_, doc, text_hash) in enumerate(firsts)]
+    wanted = F.broadcast(spark.createDataFrame(to_left, "first_id long, first_hash long, to_bucket int"))
+    copied = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash")))
+    # Of equal rows one is copied; which is of no account.
+    copied = copied.groupBy("to_bucket", "doc_id", "text_hash").agg(F.min("text").alias("text"))
+    columns = ["bucket", "only_next", "doc_id", "text_hash", "text"]
     dealt = (
-        docs.join(extra, F.col("doc_id").eqNullSafe(F.col("first_id")), "left")
-        .select("doc_id", "text", "first_id", "to_bucket", F.explode(places).alias("place"))
-        .select("place.bucket", "place.only_next", "doc_id", "text")
-        .where("bucket is not null")
+        dealt.withColumn("only_next", F.lit(False))
+        .select(*columns)
+        .union(copied.withColumn("only_next", F.lit(True)).withColumnRenamed("to_bucket", "bucket").select(*columns))
         .repartition(tasks, "bucket")
-        .sortWithinPartitions("bucket", "only_next", F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
+        .sortWithinPartitions("bucket", "only_next", F.col("doc_id").asc_nulls_first(), "text_hash", F.col("text").asc_nulls_first())
     )
-    return map_batches(dealt, _pairs, _RESULT)
+    return map_batches(dealt.drop("text_hash"), _pairs, _RESULT)
+
+
+def _segments(cuts: list[int], without_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of segments of ids, and each segment's number of groups; the first one is of the rows without an id.
+
+    An id that is a quantile several times is a segment of its own, with as many groups.
+    """
+    edges, groups = [], [without_id, 1]
+    for cut, times in sorted(Counter(cuts).items()):
+        edges.append(cut)
+        groups.append(times)
+        if times > 1 and cut < np.iinfo(np.int64).max:
+            edges.append(cut + 1)
+            groups.append(1)
+    # Where a segment of one id is followed by the next id's, the edge between them stands twice.
+    kept = [at for at, edge in enumerate(edges) if at + 1 == len(edges) or edges[at + 1] != edge]
+    return np.array([edges[at] for at in kept], np.int64), np.array([*groups[:2], *(groups[at + 2] for at in kept)], np.int64)

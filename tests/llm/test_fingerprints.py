@@ -3,6 +3,7 @@ import random
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from fleetgauge.llm.fingerprints import (
     PRIME,
@@ -57,10 +58,8 @@ def test_next_documents_across_ranges(spark, odd):
     random.shuffle(rows)
     plain = spark.createDataFrame(rows, "doc_id long, text string")
     for table, buckets in ((plain, 7), (odd, 3), (plain.limit(1), 4)):
-        order = sorted(
-            ((r.doc_id, r.text) for r in table.collect()),
-            key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""),
-        )
+        order = table.orderBy(F.asc_nulls_first("doc_id"), F.xxhash64("text"), F.asc_nulls_first("text"))
+        order = [(r.doc_id, r.text) for r in order.select("doc_id", "text").collect()]
         wanted = []
         for at, (doc, text) in enumerate(order):
             text, following = text or "", order[(at + 1) % len(order)][1] or ""
