@@ -188,7 +188,9 @@ def pack(
 def sequences(placed: DataFrame) -> DataFrame:
     """The packed sequences themselves: sequence_id, length, ids (little-endian 32-bit integers).
 
-    ``placed`` is the result of ``pack(..., with_ids=True)``. A sequence has at most ``capacity`` ids.
+    ``placed`` is the result of ``pack(..., with_ids=True)``. A sequence has at most ``capacity`` ids. Pieces of
+    one sequence lie at different offsets, so there are no ties; those of an empty text are its end id, and no
+    pieces give no sequences. Other columns are ignored.
     """
     parts = F.array_sort(F.collect_list(F.struct("offset", "ids")))
     joined = F.aggregate(parts, F.lit(b""), lambda done, part: F.concat(done, part["ids"]))

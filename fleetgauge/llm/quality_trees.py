@@ -277,7 +277,11 @@ def score_quality(docs: DataFrame, trees: Trees | None, threshold: float = 0.5)
 
 
 def keep_quality(docs: DataFrame, trees: Trees | None, threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs``, all columns, that ``score_quality`` keeps."""
+    """The rows of ``docs``, all columns, that ``score_quality`` keeps.
+
+    Rows are judged one by one by their text: repeated ones stay or go together, whatever their ids. NULL, empty and
+    blank texts have too few words and go; without trees the base rule alone decides. Columns may have any name.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):

@@ -293,7 +293,11 @@ def score_toxicity(docs: DataFrame, model: SubwordModel | None, threshold: float
 
 
 def drop_toxic(docs: DataFrame, model: SubwordModel | None, threshold: float = 0.3) -> DataFrame:
-    """The rows of ``docs``, all columns, that score below ``threshold``."""
+    """The rows of ``docs``, all columns, that score below ``threshold``.
+
+    Rows are judged one by one by their text: repeated ones stay or go together, whatever their ids. NULL, empty and
+    blank texts have the score of the bias alone; without a model, or rows, all stay. Columns may have any name.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
