@@ -17,6 +17,7 @@ that is for the pieces alone, whose number the file fixes.
 from __future__ import annotations
 
 import copy
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +39,10 @@ MATRIX_CELLS = 200_000
 
 _K = np.uint64(0x9E3779B97F4A7C15)
 _SLOTS = 1 << 20
+#: Words of more characters go through the recursions one by one, some 5 microseconds a character and pass.
+LONG_WORD = 256
+#: Places of such a word that are unpacked at once.
+UNPACKED = 1 << 12
 _LOG10 = float(np.log(10))
 
 
@@ -106,6 +111,15 @@ def _matrices(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         at = stop
 
 
+def _apart(places: np.ndarray, chars: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Long words one by one, others as they come."""
+    if chars.shape[1] <= LONG_WORD:
+        yield places, chars
+        return
+    for at in range(len(places)):
+        yield places[at : at + 1], chars[at : at + 1]
+
+
 def _arcs(chars: np.ndarray, pieces: Pieces) -> tuple[list[np.ndarray], np.ndarray]:
     """Piece numbers of all spans, by length less one, and for each character the score of its bytes."""
     found = []
@@ -134,12 +148,78 @@ def _forward(found: list[np.ndarray], spelt: np.ndarray, pieces: Pieces) -> np.n
     return alpha
 
 
+def _ways(found: list[np.ndarray], spelt: np.ndarray, pieces: Pieces) -> Iterator[list[tuple[int, int, float]]]:
+    """For each place of a single word, from the first on: (size, piece, score) of the arcs that start there.
+
+    A byte spelling comes last, with no piece. Arrays are unpacked a stretch at a time.
+    """
+    length = spelt.shape[1]
+    for first in range(0, length, UNPACKED):
+        last = min(first + UNPACKED, length)
+        arcs = [row[0, first:last].tolist() for row in found]
+        scores = [pieces.scores[row[0, first:last]].tolist() for row in found]
+        bytes_of = spelt[0, first:last].tolist()
+        for at in range(last - first):
+            here = [
+                (size, own[at], score[at])
+                for size, (own, score) in enumerate(zip(arcs, scores, strict=True), 1)
+                if at < len(own) and score[at] > -math.inf
+            ]
+            if bytes_of[at] > -math.inf:
+                here.append((1, -1, bytes_of[at]))
+            yield here
+
+
+def _log_sum(values: list[float]) -> float:
+    most = max(values, default=-math.inf)
+    return most + math.log(sum(math.exp(value - most) for value in values)) if most > -math.inf else most
+
+
+def _forward_alone(found: list[np.ndarray], spelt: np.ndarray, pieces: Pieces) -> np.ndarray:
+    """``_forward`` of a single word by a plain loop: its arrays are too narrow for it to pay there."""
+    length = spelt.shape[1]
+    alpha = np.full((1, length + 1), -np.inf)
+    alpha[0, 0] = 0
+    # Ways into the next places, as far as the longest piece reaches.
+    ahead: list[list[float]] = [[] for _ in range(len(found) + 1)]
+    now = 0.0
+    for at, arcs in enumerate(_ways(found, spelt, pieces)):
+        for size, _, score in arcs:
+            ahead[(at + size) % len(ahead)].append(now + score)
+        into = ahead[(at + 1) % len(ahead)]
+        now = alpha[0, at + 1] = _log_sum(into)
+        into.clear()
+    return alpha
+
+
+def _expected_alone(
+    found: list[np.ndarray], spelt: np.ndarray, chars: np.ndarray, pieces: Pieces, times: float, sums: np.ndarray
+) -> None:
+    """Add what ``expected_counts`` finds for a single word, by plain loops."""
+    length = spelt.shape[1]
+    alpha = _forward_alone(found, spelt, pieces)[0]
+    # Read from its end, an arc of some size starts where it ended: the same recursion gives the way back.
+    beta = _forward_alone([row[:, ::-1] for row in found], spelt[:, ::-1], pieces)[0, ::-1]
+    whole = float(alpha[length])
+    for at, arcs in enumerate(_ways(found, spelt, pieces)):
+        before = float(alpha[at]) - whole
+        for size, piece, score in arcs:
+            share = math.exp(before + score + float(beta[at + size])) * times
+            if piece >= 0:
+                sums[piece] += share
+            else:
+                for byte in chr(chars[0, at]).encode("utf-8", "surrogatepass"):
+                    sums[pieces.count + byte] += share
+
+
 def log_probabilities(words: list[str], pieces: Pieces) -> np.ndarray:
     """Natural log of the marginal probability of each word, over all its cuts; words are not empty."""
     result = np.zeros(len(words))
     for places, chars in _matrices(words):
-        found, spelt = _arcs(chars, pieces)
-        result[places] = _forward(found, spelt, pieces)[:, -1]
+        for own, part in _apart(places, chars):
+            found, spelt = _arcs(part, pieces)
+            forward = _forward_alone if part.shape[1] > LONG_WORD else _forward
+            result[own] = forward(found, spelt, pieces)[:, -1]
     return result
 
 
@@ -147,6 +227,10 @@ def expected_counts(words: list[str], counts: np.ndarray, pieces: Pieces) -> np.
     """How often each piece and byte is expected in ``counts`` times each word."""
     sums = np.zeros(pieces.end + 2)
     for places, chars in _matrices(words):
+        if chars.shape[1] > LONG_WORD:
+            for own, part in _apart(places, chars):
+                _expected_alone(*_arcs(part, pieces), part, pieces, float(counts[own][0]), sums)
+            continue
         found, spelt = _arcs(chars, pieces)
         alpha = _forward(found, spelt, pieces)
         n, length = spelt.shape

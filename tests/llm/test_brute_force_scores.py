@@ -1,0 +1,88 @@
+"""Document scores of the language model, and tree walks, against plain computations."""
+
+import math
+import random
+import time
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from fleetgauge.llm import lattice
+from fleetgauge.llm.lattice import Pieces, expected_counts, log_probabilities, score_documents
+from fleetgauge.llm.quality_trees import fit_trees
+from fleetgauge.llm.token_counts import WORD_START, piece_scores
+from test_models import SCORES, fold
+
+
+@pytest.mark.parametrize("words", [["▁" + "ab" * 40, "▁é" + "aba" * 25], ["▁" + "abaé中" * 30]])
+def test_long_words_give_what_matrices_give(monkeypatch, words):
+    pieces = Pieces(SCORES)
+    times = np.arange(2.0, 2.0 + len(words))
+    wanted = log_probabilities(words, pieces), expected_counts(words, times, pieces)
+    monkeypatch.setattr(lattice, "LONG_WORD", 4)
+    monkeypatch.setattr(lattice, "UNPACKED", 7)
+    assert np.allclose(log_probabilities(words, pieces), wanted[0])
+    assert np.allclose(expected_counts(words, times, pieces), wanted[1])
+
+
+def test_a_hundred_thousand_letters(vocabulary):
+    pieces = Pieces(piece_scores(vocabulary("piece_bpe_32k.model")))
+    start = time.perf_counter()
+    found = log_probabilities([WORD_START + "abcdefghij" * 10_000], pieces)
+    assert math.isfinite(found[0]) and time.perf_counter() - start < 10
+
+
+def marginal(word, pieces, names):
+    """Probability of a word: the sum over all ways to cut it, by the last piece."""
+    ways = [1.0]
+    for end in range(1, len(word) + 1):
+        total = sum(
+            ways[start] * math.exp(pieces.scores[names[word[start:end]]])
+            for start in range(max(0, end - pieces.longest), end) if word[start:end] in names
+        )
+        if word[end - 1] not in names:
+            total += ways[end - 1] * math.exp(sum(pieces.scores[pieces.count + b] for b in word[end - 1].encode()))
+        ways.append(total)
+    return ways[-1]
+
+
+def test_document_scores_equal_a_plain_computation(spark, vocabulary):
+    path = vocabulary("piece_bpe_32k.model")
+    random.seed(5)
+    texts = {i: " ".join(random.choices(["The", "cat", "sat", "straße", "x9", "中é", "Mat,"], k=random.randint(0, 9))) for i in range(60)}
+    texts[60] = "unseen wordings " + "z" * 300
+    rows = list(texts.items())
+    found = {r.doc_id: r.score for r in score_documents(spark.createDataFrame(rows, "doc_id long, text string"), path, rounds=0).collect()}
+    scores = piece_scores(path)
+    pieces, names = Pieces(scores), {piece: at for at, piece in enumerate(scores)}
+    split = lambda text: [w.decode() for w in text.encode().lower().split()]
+    trained = Counter(w for doc, text in rows if not fold(doc, 7) for w in split(text))
+    ends = sum(not fold(doc, 7) for doc, _ in rows)
+    n = trained.total() + ends
+    new = (sum(c == 1 for c in trained.values()) + 1) / (n + 2)
+    for doc, text in rows:
+        if doc == 60:
+            continue
+        wanted = math.log10((1 - new) * ends / n)
+        for word in split(text):
+            wanted += math.log10(new * marginal(WORD_START + word, pieces, names) + (1 - new) * trained[word] / n)
+        assert found[doc] == pytest.approx(wanted, abs=1e-6)
+    assert math.isfinite(found[60])
+
+
+def test_probabilities_equal_a_plain_walk():
+    random_ = np.random.default_rng(3)
+    inputs = random_.normal(size=(300, 4)).round(1)
+    targets = ((inputs[:, 0] > 0) ^ (inputs[:, 1] > 0.5)).astype(float)
+    trees = fit_trees(inputs, targets, np.array([0, 0, 1, -1]))
+    new = random_.normal(size=(100, 4)).round(1)
+    for row, probability in zip(new, trees.probability(new), strict=True):
+        logit = trees.base
+        for root in trees.roots.tolist():
+            at = root
+            while trees.left[at] != at:
+                at = int(trees.left[at] if row[trees.feature[at]] <= trees.threshold[at] else trees.right[at])
+            logit += trees.value[at]
+        assert probability == pytest.approx(1 / (1 + math.exp(-logit)))
+    assert ((trees.probability(inputs) > 0.5) == targets).mean() > 0.9

@@ -70,3 +70,33 @@ def test_next_documents_across_ranges(spark, odd):
         found = [tuple(r) for r in fingerprint_documents(table, buckets).collect()]
         assert sorted(found, key=str) == sorted(wanted, key=str)
     assert fingerprint_documents(odd.limit(0)).isEmpty()
+
+
+def plain_fingerprint(text):
+    """A fingerprint by the letter of its definition, in whole numbers."""
+    from fleetgauge.llm.fingerprints import FINE_WINDOW, KEPT, WINDOW, places_upto
+
+    mix, mask = 0x9E3779B97F4A7C15, (1 << 64) - 1
+
+    def prefix(base, n):
+        return sum((ord(c) + 1) * pow(base, at, PRIME) for at, c in enumerate(text[:n])) % PRIME
+
+    def windows(size):
+        found = set()
+        size = min(size, len(text))
+        for at in range(len(text) - size + 1) if text else ():
+            value = sum((ord(c) + 1) * pow(BASES[0], i, PRIME) for i, c in enumerate(text[at : at + size])) % PRIME
+            value = (value + size) * mix & mask
+            value ^= value >> 29
+            found.add((value * mix & mask) >> 32)
+        return sorted(found)[:KEPT]
+
+    hashes = [[prefix(BASES[0], n) for n in places_upto(len(text)).tolist()], windows(WINDOW), windows(FINE_WINDOW)]
+    whole = "".join(f"{prefix(base, len(text)):08x}" for base in BASES)
+    return "-".join((f"{len(text):x}", whole, *("".join(f"{h:08x}" for h in part) for part in hashes)))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text("abc \U0001f600", max_size=120))
+def test_fingerprints_equal_their_definition(text):
+    assert fingerprint(text)[0] == plain_fingerprint(text)
