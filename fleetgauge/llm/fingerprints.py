@@ -185,10 +185,14 @@ def sketch_of(fingerprint_text: str) -> Sketch:
 
 
 def _shared(one: np.ndarray, two: np.ndarray) -> float:
-    union = np.union1d(one, two)
+    """Share of common values among the least of both, which ascend and are distinct."""
+    merged = np.concatenate((one, two))
+    merged.sort()
+    again = merged[1:] == merged[:-1]
+    first = np.flatnonzero(np.concatenate(([True], ~again)))
     if len(one) == KEPT or len(two) == KEPT:
-        union = union[:KEPT]
-    return float(np.isin(union, one).__and__(np.isin(union, two)).sum()) / len(union)
+        first = first[:KEPT]
+    return int(np.append(again, False)[first].sum()) / len(first)
 
 
 def likeness(one: Sketch, two: Sketch) -> float:
