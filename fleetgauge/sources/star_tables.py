@@ -26,6 +26,10 @@ _SCHEMAS = {
 }
 
 
+# Lines of an order that are gathered into one captured trip update at most.
+LINES_OF_A_RECORD = 10_000
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
@@ -155,7 +159,10 @@ def raw_trip_updates(spark: SparkSession, folder: str, *, iso_text: bool = False
 
 
 def _stop_parts(spark: SparkSession, folder: str, updates: DataFrame, *, native: bool) -> DataFrame:
-    """``updates`` with the ``stop_time_updates`` of one line of the order with the event's number a row."""
+    """``updates`` with the ``stop_time_updates`` of one line of the order with the event's number a row.
+
+    ``part`` numbers runs of lines; without a line it is NULL.
+    """
     lines = (
         read_table(spark, folder, "lineitem")
         .selectExpr("l_orderkey AS event_id", "* EXCEPT (l_orderkey)")
@@ -190,6 +197,7 @@ def _stop_parts(spark: SparkSession, folder: str, updates: DataFrame, *, native:
         )
         .selectExpr(
             *columns,
+            f"l_linenumber div {LINES_OF_A_RECORD} AS part",
             f"CASE WHEN l_linenumber IS NOT NULL THEN {value} WHEN event_id % 2 = 0 THEN {empty} END "
             "AS stop_time_updates",
         )
@@ -211,16 +219,17 @@ def raw_trip_update_stops(spark: SparkSession, folder: str, *, native: bool = Fa
 
 
 def raw_trip_updates_with_stops(spark: SparkSession, folder: str, *, iso_text: bool = False) -> DataFrame:
-    """The rows of ``raw_trip_updates``, each with all its stop updates in one native array.
+    """The rows of ``raw_trip_updates``, each with its stop updates in one native array.
 
-    A captured trip update is one record of a file, so the lines of an order do become one row here.
+    A captured trip update is one record of a file, so the lines of an order do become one row here; an
+    order with more than ``LINES_OF_A_RECORD`` lines becomes several records.
     """
     event = ["event_id", "event_type", "user_id", "second", "taken_at"]
     updates = _reports(spark, folder).where("event_id % 3 = 0").groupBy(*event).agg(F.count("*").alias("copies"))
     stops = F.sort_array(F.flatten(F.collect_list("stop_time_updates")))
     whole = (
         _stop_parts(spark, folder, updates, native=True)
-        .groupBy(*event, "copies")
+        .groupBy(*event, "copies", "part")
         .agg(F.when(F.count("stop_time_updates") > 0, stops).alias("stop_time_updates"))
         .selectExpr("*", "explode(sequence(1L, copies)) AS copy")
     )

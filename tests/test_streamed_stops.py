@@ -37,3 +37,14 @@ def test_captured_stop_updates_are_those_of_the_batch(spark):
     streamed = realtime_stop_time_updates(captured).select(names)
     batch = realtime_stop_time_updates(star_tables.raw_trip_update_stops(spark, FOLDER)).select(names)
     assert streamed.exceptAll(batch).isEmpty() and batch.exceptAll(streamed).isEmpty()
+
+
+def test_an_order_with_very_many_lines_becomes_several_records(spark, tmp_path):
+    for name in ("events", "lineitem"):
+        spark.read.parquet(f"{FOLDER}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    lines = spark.read.parquet(f"{FOLDER}/lineitem.parquet")
+    many = spark.range(1, 25_001).selectExpr("int(id) AS l_linenumber").crossJoin(lines.where("l_orderkey = 3").limit(1).drop("l_linenumber"))
+    lines.where("l_orderkey <> 3").unionByName(many.select(lines.columns)).write.mode("overwrite").parquet(f"{tmp_path}/lineitem.parquet")
+    sizes = star_tables.raw_trip_updates_with_stops(spark, str(tmp_path)).selectExpr("trip_id", "size(stop_time_updates) AS n")
+    found = sorted(r.n for r in sizes.where("trip_id = 'T3'").collect())
+    assert len(found) == 3 and max(found) <= 2 * star_tables.LINES_OF_A_RECORD and sum(found) >= 25_000
