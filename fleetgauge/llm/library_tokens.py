@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 from unicodedata import is_normalized
 
 import numpy as np
@@ -19,6 +21,7 @@ from fleetgauge.llm.bpe_stream import LATIN, byte_characters
 #: Chunks a task remembers at most; then it starts afresh.
 REMEMBERED = 600_000
 
+_CODES = {"<u2": "H", "<u4": "I"}
 _ODD_SPACE = re.compile(r"[^\S \n]")
 _SPACED_CHUNK = re.compile(r" ?[^ \n]+|[ \n]+(?![^ \n])|\n")
 
@@ -77,8 +80,14 @@ class LibraryEncoder:
             if word.isalpha() and (self.keeps_spaces or word.islower() and is_normalized("NFC", word)):
                 # A run of letters is one pre-token, so the model can be asked at once.
                 pre_token = "".join(map(self.bytes_as.__getitem__, chunk.encode()))
-                return np.array([token.id for token in self.model.tokenize(pre_token)], self.dtype).tobytes()
-        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, self.dtype).tobytes()
+                return self._packed([token.id for token in self.model.tokenize(pre_token)])
+        return self._packed(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
+
+    def _packed(self, ids: list[int]) -> bytes:
+        # For a few ids an array of the standard library is made much faster; it has the machine's byte order.
+        if sys.byteorder == "little" and self.dtype in _CODES:
+            return array(_CODES[self.dtype], ids).tobytes()
+        return np.array(ids, self.dtype).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         ids_of = self.ids.__getitem__
