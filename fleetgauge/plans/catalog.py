@@ -304,14 +304,12 @@ def _streamed(spark: SparkSession, folder: str, **options) -> SnapshotStore:
         },
         {"max_gap_minutes": HOURLY_GAP_MINUTES},
     )
-    stream = store.follow(
+    store.catch_up(
         capture_files_folder(spark, folder),
         new_scratch_path(spark, "stream-checkpoint"),
         pattern=f"{{{L.VEHICLE_FEED},{L.TRIP_UPDATE_FEED}}}/*/*",
-        availableNow=True,
         **options,
     )
-    stream.awaitTermination()
     return store
 
 

@@ -122,19 +122,34 @@ def with_snapshot_date(df: DataFrame) -> DataFrame:
     return df.withColumn("snapshot_date", F.substring("snapshot_folder", len(SNAPSHOT_PREFIX) + 1, 8))
 
 
+#: Consecutive rows that are dealt to snapshots together when files are written.
+RUN_ROWS = 1 << 16
+
+
+def _even_slices(array: Column, most: int) -> Column:
+    """An array that is not empty cut into the fewest slices of at most ``most`` elements, of nearly equal size."""
+    size = F.size(array)
+    number = F.ceil(size / F.lit(most)).cast("int")
+    begin = lambda at: F.floor(at.cast("bigint") * size / number).cast("int")
+    slices = F.transform(F.sequence(F.lit(0), number - 1), lambda at: F.slice(array, begin(at) + 1, begin(at + 1) - begin(at)))
+    return slices
+
+
 def write_snapshot_arrays(df: DataFrame, path: str, *, max_records: int = 1000) -> None:
     """Write records as JSON array files below ``path``, one folder per snapshot.
 
-    Rows are grouped by snapshot and by runs of at most ``max_records`` rows of one input
-    partition, so no group grows with the data and a large snapshot becomes many files.
+    Rows are grouped by snapshot and by runs of at most ``RUN_ROWS`` rows of one input partition, so no
+    group grows with the data. A group is cut evenly into files of at most ``max_records``, so a large snapshot becomes
+    many files, none of them small for the other snapshots in its run.
     """
-    run = F.floor(F.monotonically_increasing_id() / max_records)
+    run = F.floor(F.monotonically_increasing_id() / F.lit(RUN_ROWS))
     fields = [name for name in df.columns if name != "snapshot_folder"]
     record = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
     arrays = (
         df.select("snapshot_folder", run.alias("run"), record.alias("record"))
         .groupBy("snapshot_folder", "run")
         .agg(F.collect_list("record").alias("records"))
+        .select("snapshot_folder", F.explode(_even_slices(F.col("records"), max_records)).alias("records"))
         .select(
             "snapshot_folder",
             F.concat(F.lit("["), F.array_join("records", ","), F.lit("]")).alias("value"),

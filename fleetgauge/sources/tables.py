@@ -195,6 +195,11 @@ def child_names(spark: SparkSession, path: str, prefix: str) -> list[str]:
     return [unquote(name.removeprefix(prefix)) for name in names if name.startswith(prefix)]
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
+
+
 def replace_snapshots(df: DataFrame, path: str, snapshots: Iterable[str]) -> int:
     """Replace the given snapshots of a table stored by ``snapshot_date`` and ``snapshot_folder``.
 
@@ -215,6 +220,5 @@ def replace_snapshots(df: DataFrame, path: str, snapshots: Iterable[str]) -> int
     )
     for snapshot in set(snapshots) - set((found["names"] or "").split(",")):
         day = snapshot.removeprefix(SNAPSHOT_PREFIX)[:8]
-        files, place = _file_system(df.sparkSession, f"{path}/snapshot_date={day}/snapshot_folder={snapshot}")
-        files.delete(place, True)
+        remove_folder(df.sparkSession, f"{path}/snapshot_date={day}/snapshot_folder={snapshot}")
     return written

@@ -29,7 +29,7 @@ from fleetgauge.sources.snapshots import (
     parse_snapshot_files,
     with_snapshot_date,
 )
-from fleetgauge.sources.tables import child_names, replace_sink, replace_snapshots
+from fleetgauge.sources.tables import child_names, remove_folder, replace_sink, replace_snapshots
 
 # Findings read the two marts before them.
 STREAMED_MARTS = (
@@ -51,6 +51,10 @@ _STATE_SCHEMA = (
     .add("snapshot_date", "string")
 )
 _SEEN = "snapshots of the batch"
+# Below it, a folder a batch: the snapshots whose marts a catch-up has still to refresh.
+_PENDING = "pending"
+#: Snapshots that a catch-up refreshes at once.
+REFRESHED_AT_ONCE = 2_000
 
 
 def _day(snapshot: str) -> str:
@@ -165,8 +169,11 @@ class SnapshotStore:
         rows = self.spark.read.schema(_STATE_SCHEMA).option("basePath", path).parquet(*paths).collect()
         return {(row.snapshot_date, row.snapshot_folder, row.snapshot_timestamp_utc, row.batch_id) for row in rows}
 
-    def add(self, files: DataFrame, batch_id: int) -> None:
-        """Store one batch of snapshot files and refresh the marts of the snapshots it touches."""
+    def add(self, files: DataFrame, batch_id: int, *, refresh: bool = True) -> None:
+        """Store one batch of snapshot files and refresh the marts of the snapshots it touches.
+
+        Without ``refresh`` these are noted beside the records, for ``refresh_pending``.
+        """
         added: set[tuple] = set()
         for feed in RAW_SCHEMAS:
             records = with_snapshot_date(parse_snapshot_files(_of_feed(files, feed), feed))
@@ -189,7 +196,12 @@ class SnapshotStore:
             added |= {tuple((text + "|").split("|")[:3]) for text in (snapshots or "").split(",") if text}
         if added:
             self._remember(added, batch_id)
-            self.refresh({snapshot for _, snapshot, _ in added})
+            touched = {snapshot for _, snapshot, _ in added}
+            if refresh:
+                self.refresh(touched)
+            else:
+                noted = self.spark.createDataFrame([(snapshot,) for snapshot in sorted(touched)], "snapshot_folder string")
+                noted.coalesce(1).write.mode("overwrite").parquet(f"{self._path(_PENDING)}/batch_id={batch_id}")
 
     def _remember(self, added: set[tuple], batch_id: int) -> None:
         """Add the snapshots of a batch to the small table; a batch that runs again replaces its rows."""
@@ -229,6 +241,31 @@ class SnapshotStore:
             replace_snapshots(rows, self._path(name), rebuilt)
             models.stored[name] = self.mart(name, rebuilt)
 
+    def refresh_pending(self) -> None:
+        """Refresh the marts of all snapshots that were stored without it, in order of time.
+
+        Their notes go when the marts stand, so what a failure leaves undone is done by the next call.
+        """
+        path = self._path(_PENDING)
+        batches = child_names(self.spark, path, "batch_id=")
+        if not batches:
+            return
+        notes = self.spark.read.schema("snapshot_folder string").parquet(*(f"{path}/batch_id={batch}" for batch in batches))
+        touched = sorted(row.snapshot_folder for row in notes.distinct().collect())
+        for start in range(0, len(touched), REFRESHED_AT_ONCE):
+            self.refresh(touched[start : start + REFRESHED_AT_ONCE])
+        for batch in batches:
+            remove_folder(self.spark, f"{path}/batch_id={batch}")
+
+    def catch_up(self, root: str, checkpoint: str, **options) -> None:
+        """Store what has piled up in a capture folder, batch by batch, then refresh the marts of it once.
+
+        A refresh looks up the whole schedule and rebuilds each touched snapshot, which as a rule has files in several
+        batches of a backlog: one a batch would take the time of batches times schedule. ``options`` are those of ``follow``.
+        """
+        self.follow(root, checkpoint, refresh=False, availableNow=True, **options).awaitTermination()
+        self.refresh_pending()
+
     def follow(
         self,
         root: str,
@@ -236,12 +273,13 @@ class SnapshotStore:
         *,
         pattern: str = CAPTURE_PATTERN,
         max_files: int = 200,
+        refresh: bool = True,
         **trigger,
     ) -> StreamingQuery:
-        """Start following a capture folder; ``trigger`` as for a stream writer."""
+        """Start following a capture folder; ``trigger`` as for a stream writer, ``refresh`` as for ``add``."""
         files = snapshot_files(self.spark, root, pattern=pattern, max_files=max_files)
         return (
-            files.writeStream.foreachBatch(lambda files, batch_id: self.add(files, batch_id))
+            files.writeStream.foreachBatch(lambda files, batch_id: self.add(files, batch_id, refresh=refresh))
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True}))
             .start()

@@ -360,3 +360,18 @@ def test_load_to_marts_end_to_end(spark, tmp_path, write_snapshot):
     assert spark.table("quality_null_gps").count() == 1
     partitions = [p.name for p in (tmp_path / "marts" / "fct_feed_quality").iterdir() if p.is_dir()]
     assert partitions == ["snapshot_date=20231114"]
+
+
+def test_snapshots_that_share_a_partition_do_not_make_small_files(spark, tmp_path):
+    path = str(tmp_path / "mixed")
+    records = spark.range(0, 2_050, numPartitions=1).selectExpr(
+        "IF(id = 0, 'snapshot_20240101_230000', concat('snapshot_2024010', 1 + id % 5, '_000000')) AS snapshot_folder",
+        "'a' || id AS entity_id", "id % 3 AS n",
+    )
+    write_snapshot_arrays(records, path, max_records=100)
+    sizes = spark.read.text(path, wholetext=True).selectExpr("size(from_json(value, 'array<struct<entity_id string>>')) AS n")
+    found = sorted(row.n for row in sizes.collect())
+    # 409 or 410 records of each of five snapshots, one of a sixth.
+    assert sum(found) == 2_050 and len(found) == 26 and found[0] == 1 and set(found[1:]) <= {81, 82}
+    again = spark.read.text(path, wholetext=True).selectExpr("explode(from_json(value, 'array<struct<entity_id string>>')) AS r")
+    assert again.select("r.entity_id").distinct().count() == 2_050

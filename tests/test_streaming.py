@@ -181,3 +181,46 @@ def test_a_batch_counts_what_violates_the_checks(spark, rows, tmp_path, write_sn
     store.add(spark.read.text(f"{root}/*/*.json", wholetext=True).select("value", "_metadata"), 0)
     assert store.violations[L.VEHICLE_FEED] == {"not_null(snapshot_timestamp_utc)": 2, "not_null(entity_id)": 1}
     assert store.records(L.VEHICLE_FEED).count() == 2 and store.mart("fct_feed_quality").count() == 1
+
+
+def test_a_catch_up_refreshes_once_and_equals_batch(spark, rows, tmp_path, write_snapshot, monkeypatch):
+    root, static = tmp_path / "capture", schedule(rows)
+    for day in (1, 2, 3):
+        snapshot(write_snapshot, root, day, "120000")
+    store = SnapshotStore(spark, str(tmp_path / "store"), static)
+    calls, refresh = [], SnapshotStore.refresh
+
+    def failing(self, snapshots):
+        calls.append(sorted(snapshots))
+        if len(calls) == 1:
+            raise OSError("lost")
+        refresh(self, snapshots)
+
+    monkeypatch.setattr(SnapshotStore, "refresh", failing)
+    try:
+        store.catch_up(str(root), str(tmp_path / "checkpoint"), max_files=1)
+    except OSError:
+        pass
+    # Nothing new has come, but what was not refreshed is.
+    store.catch_up(str(root), str(tmp_path / "checkpoint"), max_files=1)
+    store.refresh_pending()
+    assert calls == [[f"snapshot_2024010{day}_120000" for day in (1, 2, 3)]] * 2
+    batch = Models({**static, **{feed: scan_snapshots(spark, str(root), feed) for feed in
+                                 (L.VEHICLE_FEED, L.TRIP_UPDATE_FEED)}})
+    for name in STREAMED_MARTS:
+        assert same(store.mart(name), batch[name]), name
+
+
+def test_a_catch_up_over_more_snapshots_than_it_refreshes_at_once(spark, rows, tmp_path, write_snapshot, monkeypatch):
+    from fleetgauge.streaming import snapshot_stream
+
+    monkeypatch.setattr(snapshot_stream, "REFRESHED_AT_ONCE", 2)
+    root, static = tmp_path / "capture", schedule(rows)
+    for day in (1, 2, 3):
+        snapshot(write_snapshot, root, day, "120000")
+    store = SnapshotStore(spark, str(tmp_path / "store"), static)
+    store.catch_up(str(root), str(tmp_path / "checkpoint"))
+    batch = Models({**static, **{feed: scan_snapshots(spark, str(root), feed) for feed in
+                                 (L.VEHICLE_FEED, L.TRIP_UPDATE_FEED)}})
+    for name in STREAMED_MARTS:
+        assert same(store.mart(name), batch[name]), name
