@@ -155,5 +155,6 @@ def write_snapshot_arrays(df: DataFrame, path: str, *, max_records: int = 1000)
             F.concat(F.lit("["), F.array_join("records", ","), F.lit("]")).alias("value"),
         )
     )
-    writer = arrays.write.option("maxRecordsPerFile", 1).partitionBy("snapshot_folder")
+    # A file is read whole in any case, so it may as well be compressed.
+    writer = arrays.write.options(maxRecordsPerFile=1, compression="gzip").partitionBy("snapshot_folder")
     writer.mode("overwrite").text(path)

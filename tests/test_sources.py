@@ -375,3 +375,12 @@ def test_snapshots_that_share_a_partition_do_not_make_small_files(spark, tmp_pat
     assert sum(found) == 2_050 and len(found) == 26 and found[0] == 1 and set(found[1:]) <= {81, 82}
     again = spark.read.text(path, wholetext=True).selectExpr("explode(from_json(value, 'array<struct<entity_id string>>')) AS r")
     assert again.select("r.entity_id").distinct().count() == 2_050
+
+
+def test_written_arrays_are_compressed(spark, tmp_path):
+    path = str(tmp_path / "out")
+    records = spark.range(500).selectExpr("'snapshot_20240101_000000' AS snapshot_folder", "concat('e', id) AS entity_id")
+    write_snapshot_arrays(records, path)
+    plain = spark.read.text(path, wholetext=True).selectExpr("sum(length(value))").first()[0]
+    stored = capture_files(spark, f"{path}/*/*").agg(F.sum("byte_count")).first()[0]
+    assert stored * 3 < plain and scan_snapshots(spark, path, L.VEHICLE_FEED, pattern="*/*").count() == 500
