@@ -47,30 +47,64 @@ def has_quoted_breaks(spark: SparkSession, paths: Sequence[str]) -> bool:
     return found.files > 0
 
 
+def _splits(lines: DataFrame) -> DataFrame:
+    """A row a split: a number for it and for its file, the odd lines of the file before it, and where its own are."""
+    odd_place = F.when(F.col("odd") == 1, F.col("place"))
+    counted = lines.groupBy(*_SPLIT).agg(
+        F.sum("odd").alias("odd_lines"),
+        F.min("place").alias("first_place"),
+        F.min(odd_place).alias("first_odd"),
+        F.max(odd_place).alias("last_odd"),
+    )
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = F.coalesce(F.sum("odd_lines").over(before), F.lit(0))
+    numbered = counted.withColumn("earlier", earlier).withColumn("split", F.monotonically_increasing_id())
+    return numbered.withColumn("file_number", F.min("split").over(Window.partitionBy("file")))
+
+
+def _records(spark: SparkSession, paths: Sequence[str], *kept: str) -> DataFrame:
+    """(record) for ``quoted_records``, with the columns ``kept`` of the splits.
+
+    Lines meet the few splits without a shuffle and leave their paths there, so that what is dealt and sorted is
+    little more than their text. It is dealt by split once, and records are put together there. Only the lines of a
+    record that goes over the end of a split are gathered by file; between the last odd line of a split and the first
+    of the next, they are known without an order.
+    """
+    lines = _lines(spark, paths)
+    splits = F.broadcast(_splits(lines))
+    begins_open, ends_open = F.col("earlier") % 2 == 1, (F.col("earlier") + F.col("odd_lines")) % 2 == 1
+    head = begins_open & (F.col("first_odd").isNull() | (F.col("place") <= F.col("first_odd")))
+    tail = ends_open & F.coalesce(F.col("place") >= F.col("last_odd"), F.lit(False))
+    is_header = (F.col("block") == 0) & (F.col("place") == F.col("first_place"))
+    placed = lines.join(splits, _SPLIT)
+
+    # A record over splits is known by the number of odd lines up to its first one.
+    goes_on = F.when(head, F.col("earlier")).otherwise(F.col("earlier") + F.col("odd_lines"))
+    over = placed.where((head | tail) & ~is_header).select("file_number", "split", "block", "place", "value", goes_on.alias("goes_on"), *kept)
+    text = F.array_join(F.sort_array(F.collect_list(F.struct("block", "place", "value"))).getField("value"), "\n")
+    over = over.groupBy("file_number", "goes_on", *kept).agg(text.alias("record"))
+
+    # All others begin and end in one split, whose first one begins outside of quotes.
+    dealt = placed.where(~(head | tail)).select("split", "place", (F.col("odd") + F.when(is_header, 2).otherwise(0)).alias("marks"), "value", *kept)
+    within = Window.partitionBy("split").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    odd = F.col("marks") % 2
+    inside = dealt.withColumn("so_far", F.sum(odd).over(within) - odd).where("marks < 2")
+    is_open, blank = F.col("so_far") % 2 == 1, F.trim(F.rtrim("value", F.lit("\r"))) == ""
+    number = F.when(is_open, F.col("so_far")).when(odd == 1, F.col("so_far") + 1).otherwise(-1 - F.col("place"))
+    whole = (
+        inside.where(is_open | ~blank)
+        .groupBy("split", number.alias("number"), *kept)
+        .agg(F.array_join(F.sort_array(F.collect_list(F.struct("place", "value"))).getField("value"), "\n").alias("record"))
+    )
+    return whole.select(*kept, "record").union(over.select(*kept, "record"))
+
+
 def quoted_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """(file, record): the records of CSV files without their header, line breaks within cells kept.
 
     The quotes of every file pair up, see ``has_quoted_breaks``. Blank lines between records are no records.
     """
-    lines = _lines(spark, paths)
-    in_order = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    begins = _quotes_of_splits(lines).select(*_SPLIT, F.coalesce(F.sum("odd_lines").over(in_order), F.lit(0)).alias("earlier"))
-    # The window works on the partitioning that the join leaves: lines are dealt by split once.
-    within = Window.partitionBy(*_SPLIT).orderBy("place")
-    before = F.sum("odd").over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("odd") + F.col("earlier")
-    numbered = lines.join(begins, _SPLIT).withColumns({"before": before, "number": F.row_number().over(within)})
-    # A record that goes on is known by the number of odd lines up to its first one.
-    is_open = F.col("before") % 2 == 1
-    numbered = numbered.where((F.col("block") > 0) | (F.col("number") > 1)).withColumn(
-        "goes_on", F.when(is_open, F.col("before")).when(F.col("odd") == 1, F.col("before") + 1)
-    )
-    whole = numbered.where(F.col("goes_on").isNull() & (F.trim(F.rtrim("value", F.lit("\r"))) != "")).select(
-        "file", F.col("value").alias("record")
-    )
-    joined = numbered.where(F.col("goes_on").isNotNull()).groupBy("file", "goes_on").agg(
-        F.array_join(F.sort_array(F.collect_list(F.struct("block", "place", "value"))).getField("value"), "\n").alias("record")
-    )
-    return whole.union(joined.select("file", "record"))
+    return _records(spark, paths, "file")
 
 
 def scan_quoted_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -87,7 +121,7 @@ def scan_quoted_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     schema = ", ".join(f"`{name.replace('`', '``')}` string" for name in names)
     record = F.rtrim("record", F.lit("\r"))
     parsed = F.from_csv(record, schema, {"escape": '"', "mode": "FAILFAST"})
-    return quoted_records(spark, paths).select(parsed.alias("cells")).select("cells.*").na.fill("")
+    return _records(spark, paths).select(parsed.alias("cells")).select("cells.*").na.fill("")
 
 
 def _first_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:

@@ -117,3 +117,20 @@ def test_lines_are_dealt_by_split_and_only_open_records_gathered(spark, tmp_path
     small_splits(500)
     plan = quoted_records(spark, [path])._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan and not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_a_record_over_many_splits_and_lines_dealt_without_their_paths(spark, tmp_path, small_splits):
+    rows = [("1", "a\n" * 400, "b"), ("2", "c", "d"), ("3", "\n", "e"), ("4", "plain", "f" * 300), ("5", "\n" * 90, "g")]
+    paths = []
+    for name, part in (("a", rows), ("b", rows[::-1])):
+        (tmp_path / name).mkdir()
+        paths.append(write(tmp_path / name / "stop_times.txt", part))
+    small_splits(64)
+    assert sorted(map(tuple, scan_quoted_csv(spark, paths).collect())) == sorted(rows * 2)
+    by_file = {}
+    for row in quoted_records(spark, paths).collect():
+        by_file.setdefault(row.file[-17:], []).append(next(csv.reader(io.StringIO(row.record, newline="")))[0])
+    assert {name: sorted(ids) for name, ids in by_file.items()} == {f"/{x}/stop_times.txt": list("12345") for x in "ab"}
+    plan = scan_quoted_csv(spark, paths)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"Exchange hashpartitioning\(split#", plan)
+    assert not re.search(r"Exchange hashpartitioning\(file#\w+, goes_on#", plan)
