@@ -113,7 +113,8 @@ def scheduled_stop_times_normalized(stop_times: DataFrame, stop_updates: DataFra
     """Schedule of the trips seen in realtime, with clock texts as seconds after midnight."""
     # Distinct before the semi join: one row per trip crosses the network, not one per stop update.
     seen = stop_updates.select("trip_id").where(F.col("trip_id").isNotNull()).distinct()
-    return _normalized(stop_times.join(seen, "trip_id", "left_semi"))
+    # A hash of these trips, dealt over the tasks: the whole schedule need not be sorted to find a few of its trips.
+    return _normalized(stop_times.join(seen.hint("shuffle_hash"), "trip_id", "left_semi"))
 
 
 def _estimated_minutes(side: str, **service_day) -> Column:

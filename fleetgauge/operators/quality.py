@@ -146,10 +146,10 @@ def snapshot_keys(vehicles: DataFrame, trip_updates: DataFrame, trips: DataFrame
             F.sum("no_position").alias("no_position"),
         )
     )
-    scheduled = trips.select(F.col("trip_id").alias("scheduled_trip")).distinct()
+    scheduled = trips.select(F.col("trip_id").alias("scheduled_trip"))
     # Entities meet the schedule by their ids too, which spreads them; the kind keeps them from matching.
-    met = distinct.join(scheduled, (F.col("key") == F.col("scheduled_trip")) & (F.col("kind") == "trip"), "left")
-    return met.where((F.col("kind") != "trip") | F.col("scheduled_trip").isNull()).drop("scheduled_trip")
+    in_schedule = (F.col("key") == F.col("scheduled_trip")) & (F.col("kind") == "trip")
+    return distinct.join(scheduled, in_schedule, "left_anti")
 
 
 def key_issues(keys: DataFrame) -> DataFrame:
@@ -200,7 +200,8 @@ def summarize_keys(
     def total(when: Column, value: Column) -> Column:
         return F.coalesce(F.sum(F.when(when, value)), F.lit(0))
 
-    counts = keys.groupBy("snapshot_folder").agg(
+    # Sums and minima alone in the pass over the keys: a set of times there would have them sorted by snapshot.
+    summed = keys.groupBy("snapshot_folder", time.alias("is_time"), "time").agg(
         total(entity & vehicle, F.col("records")).alias("vehicle_record_count"),
         total(entity & ~vehicle, F.col("records")).alias("trip_update_record_count"),
         total(entity, F.col("no_position")).alias("null_gps_count"),
@@ -209,8 +210,13 @@ def summarize_keys(
         F.count_if(trip).alias("unmatched_realtime_trip_count"),
         F.min(F.when(entity & vehicle, F.col("first_time"))).alias("vehicles_taken_at"),
         F.min(F.when(entity & ~vehicle, F.col("first_time"))).alias("updates_taken_at"),
+    )
+    sums, firsts = summed.columns[3:9], summed.columns[9:]
+    counts = summed.groupBy("snapshot_folder").agg(
+        *[F.sum(name).alias(name) for name in sums],
+        *[F.min(name).alias(name) for name in firsts],
         # As a rule one time; an unknown one is a time of its own.
-        F.collect_set(F.when(time, F.struct("time"))).alias("times"),
+        F.collect_set(F.when(F.col("is_time"), F.struct("time"))).alias("times"),
     )
     taken_at = F.array_distinct(
         F.concat(

@@ -122,7 +122,7 @@ class Models:
     @property
     def feed_quality_summary(self) -> DataFrame:
         return quality.summarize_keys(
-            self._snapshot_keys, max_gap_minutes=self.max_gap_minutes, known=self.known_snapshots
+            self["_snapshot_keys"], max_gap_minutes=self.max_gap_minutes, known=self.known_snapshots
         )
 
     @property
@@ -153,7 +153,7 @@ class Models:
 
     @property
     def fct_anomaly_findings(self) -> DataFrame:
-        on_keys = quality.key_issues(self._snapshot_keys)
+        on_keys = quality.key_issues(self["_snapshot_keys"])
         return anomaly.fct_anomaly_findings(
             self.stg_vehicle_positions,
             on_keys,
@@ -223,6 +223,17 @@ _WITHOUT_SNAPSHOT = (
 )
 
 
+# Two marts read the keys of the snapshots; both written in one run, they share one pass over the feeds.
+_READ_KEYS = {"fct_feed_quality", "fct_anomaly_findings"}
+
+
+def _store_keys(models: Models, folder: str) -> None:
+    """The keys as an unlisted table below ``folder``, which no mart name can take."""
+    keys, path = models._snapshot_keys, f"{folder}/_snapshot_keys"
+    replace_sink(keys, path, as_path=True)
+    models.stored["_snapshot_keys"] = keys.sparkSession.read.schema(keys.schema).parquet(path)
+
+
 def materialize_layers(
     models: Models,
     folder: str,
@@ -251,6 +262,8 @@ def materialize_layers(
     for name in TABLES:
         if name not in wanted:
             continue
+        if name in _READ_KEYS and _READ_KEYS <= wanted and not _READ_KEYS & counts.keys():
+            _store_keys(models, folder.rstrip("/"))
         df, partition_by = models[name], ()
         if name not in _WITHOUT_SNAPSHOT:
             df, partition_by = with_snapshot_date(df), ("snapshot_date",)

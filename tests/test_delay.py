@@ -195,3 +195,13 @@ def test_stop_updates_and_rejects_come_from_one_parse(spark, rows, tmp_path):
     assert rejects == {"t3": texts[3], "t4": texts[4], "t6": ""}
     unreadable = delay.unreadable_stop_updates(updates).collect()
     assert {r.trip_id for r in unreadable} == set(rejects)
+
+
+def test_the_schedule_is_not_sorted_to_find_the_trips_of_realtime(rows):
+    times = rows("source_feed string, trip_id string, arrival_time string, departure_time string, stop_id string, stop_sequence int",
+                 *[("f", trip, "08:00:00", "08:01:00", "p", 1) for trip in ("hot", "hot", "other", None)])
+    updates = rows("trip_id string", ("hot",), ("hot",), (None,), ("unknown",))
+    found = delay.scheduled_stop_times_normalized(times, updates)
+    assert [(r.trip_id, r.arrival_seconds_after_midnight) for r in found.collect()] == [("hot", 28_800)] * 2
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=shuffle_hash" in plan and "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()

@@ -125,3 +125,22 @@ def test_feeds_that_disagree_on_the_time_give_a_row_each(rows):
     summary = quality.feed_quality_summary(vehicles, updates, rows("trip_id string", ("t",))).collect()
     assert len({r.snapshot_timestamp_utc for r in summary}) == 2
     assert {r.vehicle_record_count for r in summary} == {1}
+
+
+def test_times_of_a_snapshot_are_gathered_after_its_keys_are_summed(rows):
+    """A set within the pass over all keys would have every key sorted by its snapshot."""
+    late = T0 + timedelta(minutes=1)
+    vehicles = rows(VEHICLES, vehicle("s", T0, "a", "t"), vehicle("s", T0, "a", "x", lat=None), vehicle("s", late, "b"),
+                    vehicle("r", None, "t", "t"), vehicle(None, T0, None, "x"))
+    updates = rows(UPDATES, ("s", late, "u", "t"), ("s", late, "u", "x"), ("s", T0, "t", None))
+    # The schedule repeats a trip and has one without an id; entities named like a trip are not looked up.
+    keys = quality.snapshot_keys(vehicles, updates, rows("trip_id string", ("t",), ("t",), (None,)))
+    summary = quality.summarize_keys(keys)
+    found = {(r.snapshot_folder, r.previous) for r in summary.selectExpr("snapshot_folder", "snapshot_gap_minutes AS previous").collect()}
+    assert found == {("s", None), (None, 0.0), ("s", 1.0), ("r", None)}
+    one = by_folder(summary)["s"]
+    assert (one.vehicle_record_count, one.trip_update_record_count, one.null_gps_count) == (3, 3, 1)
+    assert (one.duplicate_vehicle_entity_count, one.duplicate_trip_update_entity_count, one.unmatched_realtime_trip_count) == (1, 1, 2)
+    plan = summary._jdf.queryExecution().executedPlan().toString()
+    sets = [line for line in plan.splitlines() if "collect_set(" in line]
+    assert sets and not any("kind" in line for line in sets)
