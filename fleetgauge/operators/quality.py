@@ -259,6 +259,26 @@ def summarize_keys(
     )
 
 
+_SUMMARY = (
+    "snapshot_folder",
+    "snapshot_timestamp_utc",
+    "vehicle_record_count",
+    "trip_update_record_count",
+    "null_gps_count",
+    "duplicate_vehicle_entity_count",
+    "duplicate_trip_update_entity_count",
+    "unmatched_realtime_trip_count",
+    "snapshot_gap_minutes",
+    "freshness_status",
+    "feed_quality_status",
+)
+
+
+def summary_of_mart(mart: DataFrame) -> DataFrame:
+    """The summary that ``fct_feed_quality`` was made of, whose rows and columns it all keeps."""
+    return mart.select(*_SUMMARY)
+
+
 def fct_feed_quality(summary: DataFrame) -> DataFrame:
     """The summary with totals, rates and the completeness proxy."""
     total = F.col("vehicle_record_count") + F.col("trip_update_record_count")

@@ -279,6 +279,9 @@ def materialize_layers(
         else:
             stored = df.sparkSession.read.schema(df.schema).parquet(path)
         models.stored[name] = stored.drop("snapshot_date")
+        if name == "fct_feed_quality" and days is None:
+            # The mart keeps the summary as it is; the view need not go over both feeds again.
+            models.stored["feed_quality_summary"] = quality.summary_of_mart(models.stored[name])
     if register_views:
         for name in (*VIEWS, *counts):
             models[name].createOrReplaceTempView(name)

@@ -362,6 +362,53 @@ def test_load_to_marts_end_to_end(spark, tmp_path, write_snapshot):
     assert partitions == ["snapshot_date=20231114"]
 
 
+def small_feeds(spark):
+    """A schedule, and three hourly snapshots on two days with a repeated entity and a trip that is not scheduled."""
+    taken = "timestamp '2024-01-01 22:00:00' + make_dt_interval(0, id div 4) AS snapshot_timestamp_utc"
+    folder = "date_format(snapshot_timestamp_utc, \"'snapshot_'yyyyMMdd_HHmmss\") AS snapshot_folder"
+    both = spark.range(12).selectExpr("id", taken).selectExpr("*", folder).selectExpr(
+        "*", "'E' || id % 3 AS entity_id", "'t' || id % 3 AS trip_id", "'r' AS route_id", "'b' || id AS vehicle_id", "id * 60 AS timestamp")
+    place = ["IF(id = 5, NULL, 40.5D) AS latitude", "-74D AS longitude", "0D AS bearing", "1D AS speed",
+             "1L AS current_stop_sequence", "'STOPPED_AT' AS current_status"]
+    stops = """'[{"stop_id":"p","stop_sequence":1,"arrival_delay":' || id * 600 || '}]' AS stop_time_updates"""
+    one = spark.range(2)
+    return {
+        "routes": spark.range(1).selectExpr("'f' AS source_feed", "'r' AS route_id", "'a' AS agency_id", "'R' AS route_short_name",
+                                            "'R' AS route_long_name", "'3' AS route_type"),
+        "trips": one.selectExpr("'r' AS route_id", "'w' AS service_id", "'t' || id AS trip_id", "'h' AS trip_headsign",
+                                "'0' AS direction_id", "'s' AS shape_id"),
+        "stops": spark.range(1).selectExpr("'f' AS source_feed", "'p' AS stop_id", "'P' AS stop_name", "40.5D AS stop_lat", "-74D AS stop_lon"),
+        "stop_times": one.selectExpr("'f' AS source_feed", "'t' || id AS trip_id", "'18:00:00' AS arrival_time", "'18:01:00' AS departure_time",
+                                     "'p' AS stop_id", "'1' AS stop_sequence", "'0' AS pickup_type", "'0' AS drop_off_type", "'1' AS timepoint"),
+        L.VEHICLE_FEED: both.selectExpr("*", *place),
+        L.TRIP_UPDATE_FEED: both.selectExpr("*", stops),
+    }
+
+
+def test_marts_of_one_run_share_the_pass_over_the_feeds(spark, tmp_path):
+    def built(folder, **options):
+        models = Models(small_feeds(spark))
+        materialize_layers(models, str(tmp_path / folder), register_views=False, **options)
+        return models
+
+    def reads(df, table):
+        return any(f"/{table}/" in file for file in df.inputFiles())
+
+    models, composed = built("whole"), Models(small_feeds(spark))
+    # The keys of the snapshots are written once and read by the findings; the view reads the mart that keeps its rows.
+    assert reads(models.fct_anomaly_findings, "whole/_snapshot_keys")
+    assert reads(models["feed_quality_summary"], "whole/fct_feed_quality")
+    for name, rows in (("feed_quality_summary", 3), ("fct_feed_quality", 3), ("fct_anomaly_findings", None)):
+        mine, own = models[name], composed[name]
+        assert mine.schema.simpleString() == own.schema.simpleString()
+        assert mine.count() == own.count() == (rows or own.count()) > 0
+        assert mine.exceptAll(own).isEmpty()
+    # Marts of some days alone do not stand for the summary of all that was opened.
+    some = built("days", days=["20240102"])
+    assert not reads(some["feed_quality_summary"], "fct_feed_quality")
+    assert (some["feed_quality_summary"].count(), some["fct_feed_quality"].count()) == (3, 1)
+
+
 def test_snapshots_that_share_a_partition_do_not_make_small_files(spark, tmp_path):
     path = str(tmp_path / "mixed")
     records = spark.range(0, 2_050, numPartitions=1).selectExpr(
