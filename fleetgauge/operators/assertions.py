@@ -158,6 +158,12 @@ def violations(df: DataFrame, check: Check) -> DataFrame:
     return assert_unique_key(df, check.columns)
 
 
+def _inlined(counts: Mapping[str, Column]) -> Column:
+    """A row (check_name, violation_count) for each of the counts."""
+    pairs = [F.struct(F.lit(name).alias("check_name"), n.alias("violation_count")) for name, n in counts.items()]
+    return F.inline(F.array(*pairs))
+
+
 def check_table(
     df: DataFrame, model: str, checks: Iterable[Check], measured: Mapping[str, int] | None = None
 ) -> DataFrame:
@@ -172,17 +178,12 @@ def check_table(
     keyed = [c for c in checks if c.kind not in ROW_WISE]
     results = []
     if row_wise and measured is not None:
-        known = [(name, measured[name]) for name in row_wise]
-        results.append(df.sparkSession.createDataFrame(known, "check_name string, violation_count bigint"))
+        # Rows of one task: a local list would be dealt over all cores, table by table.
+        known = {name: F.lit(measured[name]).cast("bigint") for name in row_wise}
+        results.append(df.sparkSession.range(0, 1, 1, 1).select(_inlined(known)))
     elif row_wise:
         counts = df.agg(*[metric.alias(name) for name, metric in row_wise.items()])
-        pairs = F.array(
-            *[
-                F.struct(F.lit(name).alias("check_name"), F.col(f"`{name}`").alias("violation_count"))
-                for name in row_wise
-            ]
-        )
-        results.append(counts.select(F.inline(pairs)))
+        results.append(counts.select(_inlined({name: F.col(f"`{name}`") for name in row_wise})))
     results += [
         violations(df, c).agg(F.count(F.lit(1)).alias("violation_count")).select(
             F.lit(c.name).alias("check_name"), "violation_count"

@@ -85,3 +85,12 @@ def test_top_lists_are_complete_and_stable(spark):
     assert reports.top_delayed_routes(df).count() == 0
     top = reports.top_delayed_routes(df, min_trips=2).collect()
     assert [r.route_id for r in top] == sorted((str(i) for i in range(30)))[:25]
+
+
+def test_measured_counts_are_rows_of_one_task(rows):
+    df = rows("k string, v string", ("a", "x"))
+    checks = A.not_null("k", "v") + A.accepted("v", "it's", "x")
+    measured = {"not_null(k)": 3, "not_null(v)": 0, "accepted_values(v)": 1 << 40}
+    found = A.check_table(df, "m", checks, measured)
+    assert {r.check_name: r.violation_count for r in found.collect()} == measured
+    assert found.rdd.getNumPartitions() == 1
