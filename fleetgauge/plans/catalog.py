@@ -307,7 +307,8 @@ def _streamed(spark: SparkSession, folder: str, **options) -> SnapshotStore:
     store.catch_up(
         capture_files_folder(spark, folder),
         new_scratch_path(spark, "stream-checkpoint"),
-        pattern=f"{{{L.VEHICLE_FEED},{L.TRIP_UPDATE_FEED}}}/*/*",
+        # Folders, of which each is listed once; a pattern of files would be listed file by file.
+        pattern=f"{{{L.VEHICLE_FEED},{L.TRIP_UPDATE_FEED}}}/*",
         **options,
     )
     return store

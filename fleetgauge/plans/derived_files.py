@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetgauge.labels import REQUIRED_TABLES, TRIP_UPDATE_FEED, VEHICLE_FEED
-from fleetgauge.session import new_scratch_path
+from fleetgauge.session import new_scratch_path, together
 from fleetgauge.sources import star_tables
 from fleetgauge.sources.snapshots import write_snapshot_arrays
 
@@ -86,7 +86,11 @@ def capture_files_folder(spark: SparkSession, folder: str) -> str:
     def write(root: str) -> None:
         vehicles = star_tables.raw_vehicle_positions(spark, folder, iso_text=True)
         updates = star_tables.raw_trip_updates_with_stops(spark, folder, iso_text=True)
-        write_snapshot_arrays(daily(vehicles), f"{root}/{VEHICLE_FEED}")
-        write_snapshot_arrays(daily(updates), f"{root}/{TRIP_UPDATE_FEED}")
+        # Writing files waits more than it computes, so both feeds are written at once.
+        together(
+            spark,
+            lambda: write_snapshot_arrays(daily(vehicles), f"{root}/{VEHICLE_FEED}"),
+            lambda: write_snapshot_arrays(daily(updates), f"{root}/{TRIP_UPDATE_FEED}"),
+        )
 
     return _once(spark, folder, "capture", write)

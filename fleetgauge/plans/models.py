@@ -227,7 +227,7 @@ _WITHOUT_SNAPSHOT = (
 _READ_KEYS = {"fct_feed_quality", "fct_anomaly_findings"}
 
 
-def _store_keys(models: Models, folder: str) -> None:
+def store_keys(models: Models, folder: str) -> None:
     """The keys as an unlisted table below ``folder``, which no mart name can take."""
     keys, path = models._snapshot_keys, f"{folder}/_snapshot_keys"
     replace_sink(keys, path, as_path=True)
@@ -263,7 +263,7 @@ def materialize_layers(
         if name not in wanted:
             continue
         if name in _READ_KEYS and _READ_KEYS <= wanted and not _READ_KEYS & counts.keys():
-            _store_keys(models, folder.rstrip("/"))
+            store_keys(models, folder.rstrip("/"))
         df, partition_by = models[name], ()
         if name not in _WITHOUT_SNAPSHOT:
             df, partition_by = with_snapshot_date(df), ("snapshot_date",)

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # What results depend on.
@@ -71,3 +74,19 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def together(spark: SparkSession, *steps: Callable[[], object]) -> list:
+    """What the steps return. They run side by side, since the jobs of one alone leave cores idle at their ends.
+
+    Their jobs belong to whatever the caller's jobs belong to. All have ended when an error of one is raised.
+    """
+
+    def own(step: Callable[[], object]) -> Callable[[], object]:
+        # With a copy of the caller's properties for each; where threads are not pinned, the session itself comes back.
+        wrap = inheritable_thread_target(spark)
+        return step if wrap is spark else wrap(step)
+
+    with ThreadPoolExecutor(len(steps)) as pool:
+        begun = [pool.submit(own(step)) for step in steps]
+    return [step.result() for step in begun]

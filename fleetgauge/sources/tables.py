@@ -200,6 +200,19 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file from the driver, whole or not at all; one that is there already is replaced."""
+    folder, _, _ = path.rpartition("/")
+    files, staged = _file_system(spark, f"{folder}/.next-{uuid.uuid4().hex}")
+    _, final = _file_system(spark, path)
+    out = files.create(staged, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    files.delete(final, False)
+    if not files.rename(staged, final):
+        raise OSError(f"cannot write {path}")
+
+
 def replace_snapshots(df: DataFrame, path: str, snapshots: Iterable[str]) -> int:
     """Replace the given snapshots of a table stored by ``snapshot_date`` and ``snapshot_folder``.
 

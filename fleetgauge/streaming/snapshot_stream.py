@@ -7,9 +7,11 @@ deduplicated: repeated entities are a signal the marts count.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +23,8 @@ from fleetgauge import labels as L
 from fleetgauge.operators.assertions import row_metrics
 from fleetgauge.plans.checks import CHECKS
 from fleetgauge.plans.load import with_date
-from fleetgauge.plans.models import Models
+from fleetgauge.plans.models import Models, store_keys
+from fleetgauge.session import together
 from fleetgauge.sources.schedule import path_exists
 from fleetgauge.sources.snapshots import (
     RAW_SCHEMAS,
@@ -29,7 +32,7 @@ from fleetgauge.sources.snapshots import (
     parse_snapshot_files,
     with_snapshot_date,
 )
-from fleetgauge.sources.tables import child_names, remove_folder, replace_sink, replace_snapshots
+from fleetgauge.sources.tables import child_names, put_text, remove_folder, replace_sink, replace_snapshots
 
 # Findings read the two marts before them.
 STREAMED_MARTS = (
@@ -51,8 +54,12 @@ _STATE_SCHEMA = (
     .add("snapshot_date", "string")
 )
 _SEEN = "snapshots of the batch"
-# Below it, a folder a batch: the snapshots whose marts a catch-up has still to refresh.
+_LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+# Below it, a file a batch: the snapshots whose marts a catch-up has still to refresh, with their capture times.
 _PENDING = "pending"
+_NOTE = {"snapshot_date": "string", "snapshot_folder": "string", "taken": "string", "batch_id": "bigint"}
+# Below it, what the marts of one refresh share; it goes with the refresh.
+_KEYS = "keys"
 #: Snapshots that a catch-up refreshes at once.
 REFRESHED_AT_ONCE = 2_000
 
@@ -174,41 +181,44 @@ class SnapshotStore:
 
         Without ``refresh`` these are noted beside the records, for ``refresh_pending``.
         """
-        added: set[tuple] = set()
-        for feed in RAW_SCHEMAS:
-            records = with_snapshot_date(parse_snapshot_files(_of_feed(files, feed), feed))
-            numbered = records.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            # A batch has a bounded number of files, and so of snapshots, each with few capture times.
-            seen = F.collect_set(F.concat_ws("|", "snapshot_date", "snapshot_folder", "snapshot_timestamp_utc"))
-            checks = row_metrics(CHECKS[feed])
-            found: dict = {}
-            replace_sink(
-                numbered,
-                self._path(feed),
-                as_path=True,
-                partition_by=("snapshot_date", "snapshot_folder", "batch_id"),
-                only_touched_partitions=True,
-                metrics={**checks, _SEEN: F.array_join(F.sort_array(seen), ",")},
-                measured=found,
-            )
-            snapshots = found.pop(_SEEN)
-            self.violations[feed] = found
-            added |= {tuple((text + "|").split("|")[:3]) for text in (snapshots or "").split(",") if text}
-        if added:
-            self._remember(added, batch_id)
-            touched = {snapshot for _, snapshot, _ in added}
-            if refresh:
-                self.refresh(touched)
-            else:
-                noted = self.spark.createDataFrame([(snapshot,) for snapshot in sorted(touched)], "snapshot_folder string")
-                noted.coalesce(1).write.mode("overwrite").parquet(f"{self._path(_PENDING)}/batch_id={batch_id}")
-
-    def _remember(self, added: set[tuple], batch_id: int) -> None:
-        """Add the snapshots of a batch to the small table; a batch that runs again replaces its rows."""
-        days = {day for day, _, _ in added}
-        kept = [row for row in self._known(days) if row[3] != batch_id]
+        # Each feed's tasks are few and short, and a capture as a rule leaves files of one feed at a time.
+        stored = together(self.spark, *(partial(self._store, files, feed, batch_id) for feed in RAW_SCHEMAS))
+        added = set().union(*stored)
+        if added and refresh:
+            self._remember(added)
+            self.refresh({snapshot for _, snapshot, _, _ in added})
+        elif added:
+            notes = [json.dumps(dict(zip(_NOTE, row, strict=True))) for row in sorted(added)]
+            put_text(self.spark, f"{self._path(_PENDING)}/batch-{batch_id}", "\n".join(notes))
+
+    def _store(self, files: DataFrame, feed: str, batch_id: int) -> set[tuple]:
+        """Store one feed of a batch; returns (day, snapshot, capture time as text, batch) of what it holds."""
+        records = with_snapshot_date(parse_snapshot_files(_of_feed(files, feed), feed))
+        # As text, which generated code does not contain: a number in it would have every batch compile its code again.
+        numbered = records.withColumn("batch_id", F.lit(str(batch_id)))
+        # A batch has a bounded number of files, and so of snapshots, each with few capture times.
+        seen = F.collect_set(F.concat_ws("|", "snapshot_date", "snapshot_folder", "snapshot_timestamp_utc"))
+        checks = row_metrics(CHECKS[feed])
+        found: dict = {}
+        replace_sink(
+            numbered,
+            self._path(feed),
+            as_path=True,
+            partition_by=("snapshot_date", "snapshot_folder", "batch_id"),
+            only_touched_partitions=True,
+            metrics={**checks, _SEEN: F.array_join(F.sort_array(seen), ",")},
+            measured=found,
+        )
+        snapshots = found.pop(_SEEN)
+        self.violations[feed] = found
+        return {(*(text + "|").split("|")[:3], batch_id) for text in (snapshots or "").split(",") if text}
+
+    def _remember(self, added: Iterable[tuple]) -> None:
+        """Add the snapshots of batches to the small table; a batch that runs again replaces its rows."""
+        days, batches = {day for day, _, _, _ in added}, {batch for _, _, _, batch in added}
+        kept = [row for row in self._known(days) if row[3] not in batches]
         new = self.spark.createDataFrame(
-            [(snapshot, time or None, batch_id, day) for day, snapshot, time in sorted(added)],
+            [(snapshot, time or None, batch, day) for day, snapshot, time, batch in sorted(added)],
             "snapshot_folder string, taken string, batch_id bigint, snapshot_date string",
         ).withColumn("snapshot_timestamp_utc", F.col("taken").try_cast("timestamp"))
         new = new.select(*_STATE_SCHEMA.names)
@@ -217,6 +227,15 @@ class SnapshotStore:
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy("snapshot_date").parquet(self._path(_STATE))
 
+    def _noted(self) -> tuple[list[str], set[tuple]]:
+        """The files of the notes, and their rows as ``_remember`` takes them."""
+        path = self._path(_PENDING)
+        notes = [f"{path}/batch-{batch}" for batch in child_names(self.spark, path, "batch-")]
+        if not notes:
+            return [], set()
+        schema = ", ".join(f"{name} {kind}" for name, kind in _NOTE.items())
+        return notes, {tuple(row) for row in self.spark.read.schema(schema).json(notes).collect()}
+
     def refresh(self, snapshots: Iterable[str]) -> None:
         """Rebuild the marts of ``snapshots`` and of the stored snapshot after each.
 
@@ -224,6 +243,10 @@ class SnapshotStore:
         those before come from the small table; only the records of the rebuilt ones are read.
         """
         touched = set(snapshots)
+        # Those that a catch-up has stored are in the order of times, also while their own marts are to come.
+        _, noted = self._noted()
+        if noted:
+            self._remember(noted)
         days = sorted(child_names(self.spark, self._path(_STATE), "snapshot_date="))
         place = {day: at for at, day in enumerate(days)}
         near = {days[at] for day in map(_day, touched) for at in range(place[day] - 1, place[day] + 2) if 0 <= at < len(days)}
@@ -236,26 +259,35 @@ class SnapshotStore:
         known = self.spark.createDataFrame(others, "snapshot_folder string, snapshot_timestamp_utc timestamp")
         raw = {feed: self.records(feed, rebuilt) for feed in RAW_SCHEMAS}
         models = Models({**self.schedule, **raw}, **self.options, known_snapshots=known)
-        for name in STREAMED_MARTS:
-            rows = with_snapshot_date(models[name])
-            replace_snapshots(rows, self._path(name), rebuilt)
-            models.stored[name] = self.mart(name, rebuilt)
+
+        def rebuild(*names: str) -> None:
+            for name in names:
+                rows = with_snapshot_date(models[name])
+                replace_snapshots(rows, self._path(name), rebuilt)
+                models.stored[name] = self.mart(name, rebuilt)
+
+        def rebuild_quality() -> None:
+            # The findings read the keys too: both marts share one pass over the feeds.
+            store_keys(models, keys)
+            rebuild("fct_feed_quality")
+
+        keys = self._path(_KEYS)
+        on_time = partial(rebuild, "fct_on_time_performance")
+        together(self.spark, on_time, rebuild_quality, partial(rebuild, "fct_route_realtime_activity", "fct_headway"))
+        rebuild("fct_anomaly_findings")
+        remove_folder(self.spark, keys)
 
     def refresh_pending(self) -> None:
         """Refresh the marts of all snapshots that were stored without it, in order of time.
 
         Their notes go when the marts stand, so what a failure leaves undone is done by the next call.
         """
-        path = self._path(_PENDING)
-        batches = child_names(self.spark, path, "batch_id=")
-        if not batches:
-            return
-        notes = self.spark.read.schema("snapshot_folder string").parquet(*(f"{path}/batch_id={batch}" for batch in batches))
-        touched = sorted(row.snapshot_folder for row in notes.distinct().collect())
+        notes, rows = self._noted()
+        touched = sorted({snapshot for _, snapshot, _, _ in rows})
         for start in range(0, len(touched), REFRESHED_AT_ONCE):
             self.refresh(touched[start : start + REFRESHED_AT_ONCE])
-        for batch in batches:
-            remove_folder(self.spark, f"{path}/batch_id={batch}")
+        for note in notes:
+            remove_folder(self.spark, note)
 
     def catch_up(self, root: str, checkpoint: str, **options) -> None:
         """Store what has piled up in a capture folder, batch by batch, then refresh the marts of it once.
@@ -263,7 +295,13 @@ class SnapshotStore:
         A refresh looks up the whole schedule and rebuilds each touched snapshot, which as a rule has files in several
         batches of a backlog: one a batch would take the time of batches times schedule. ``options`` are those of ``follow``.
         """
-        self.follow(root, checkpoint, refresh=False, availableNow=True, **options).awaitTermination()
+        # By default a batch starts a task for each of its files to list it; one a core does.
+        before, cores = self.spark.conf.get(_LISTING_TASKS), self.spark.sparkContext.defaultParallelism
+        self.spark.conf.set(_LISTING_TASKS, min(int(before), cores))
+        try:
+            self.follow(root, checkpoint, refresh=False, availableNow=True, **options).awaitTermination()
+        finally:
+            self.spark.conf.set(_LISTING_TASKS, before)
         self.refresh_pending()
 
     def follow(

@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from fleetgauge import labels as L
 from fleetgauge.plans.models import Models
+from fleetgauge.session import together
 from fleetgauge.sources.snapshots import empty_source_schema, scan_snapshots
 from fleetgauge.streaming.snapshot_stream import (
     STREAMED_MARTS,
@@ -224,3 +225,95 @@ def test_a_catch_up_over_more_snapshots_than_it_refreshes_at_once(spark, rows, t
                                  (L.VEHICLE_FEED, L.TRIP_UPDATE_FEED)}})
     for name in STREAMED_MARTS:
         assert same(store.mart(name), batch[name]), name
+
+
+def test_a_catch_up_writes_the_table_of_snapshots_once(spark, rows, tmp_path, write_snapshot, monkeypatch):
+    root, static = tmp_path / "capture", schedule(rows)
+    for day in (1, 2, 3):
+        snapshot(write_snapshot, root, day, "120000")
+    store = SnapshotStore(spark, str(tmp_path / "store"), static)
+    written, remember = [], SnapshotStore._remember
+
+    def counted(self, added):
+        written.append(len(added))
+        remember(self, added)
+
+    monkeypatch.setattr(SnapshotStore, "_remember", counted)
+    store.catch_up(str(root), str(tmp_path / "checkpoint"), max_files=1)
+    # Six batches, each of one snapshot of one feed.
+    assert written == [6]
+    known = store._known({f"2024010{day}" for day in (1, 2, 3)})
+    assert sorted(batch for _, _, _, batch in known) == list(range(6)) and None not in {time for _, _, time, _ in known}
+    assert [path.name for path in (tmp_path / "store" / "pending").iterdir() if not path.name.startswith(".")] == []
+    assert not (tmp_path / "store" / "keys").exists()
+
+
+def test_a_batch_after_a_lost_refresh_knows_the_snapshots_before_it(spark, rows, tmp_path, write_snapshot, monkeypatch):
+    root, static = tmp_path / "capture", schedule(rows)
+    for day in (1, 2):
+        snapshot(write_snapshot, root, day, "120000")
+    store = SnapshotStore(spark, str(tmp_path / "store"), static)
+    with monkeypatch.context() as lost:
+        lost.setattr(SnapshotStore, "refresh_pending", lambda self: None)
+        store.catch_up(str(root), str(tmp_path / "checkpoint"), max_files=1)
+    snapshot(write_snapshot, root, 2, "123000")
+    store.add(spark.read.text(f"{root}/snapshot_20240102_123000/*.json", wholetext=True).select("value", "_metadata"), 99)
+    assert [row.snapshot_gap_minutes for row in store.mart("fct_feed_quality").collect()] == [30.0]
+    store.refresh_pending()
+    batch = Models({**static, **{feed: scan_snapshots(spark, str(root), feed) for feed in
+                                 (L.VEHICLE_FEED, L.TRIP_UPDATE_FEED)}})
+    for name in STREAMED_MARTS:
+        assert same(store.mart(name), batch[name]), name
+
+
+def test_findings_of_a_refresh_read_the_keys_that_feed_quality_read(spark, rows, tmp_path, write_snapshot, monkeypatch):
+    from fleetgauge.streaming import snapshot_stream
+
+    root, opened = tmp_path / "capture", {}
+    snapshot(write_snapshot, root, 1, "120000")
+    replace = snapshot_stream.replace_snapshots
+
+    def spied(df, path, snapshots):
+        opened[path.rpartition("/")[2]] = " ".join(df.inputFiles())
+        return replace(df, path, snapshots)
+
+    monkeypatch.setattr(snapshot_stream, "replace_snapshots", spied)
+    store = SnapshotStore(spark, str(tmp_path / "store"), schedule(rows))
+    store.add(spark.read.text(f"{root}/*/*.json", wholetext=True).select("value", "_metadata"), 0)
+    for name in ("fct_feed_quality", "fct_anomaly_findings"):
+        assert "/store/keys/" in opened[name] and f"/store/{L.TRIP_UPDATE_FEED}/" not in opened[name], name
+
+
+def test_a_catch_up_lists_its_files_by_a_task_a_core(spark, rows, tmp_path, write_snapshot, monkeypatch):
+    root, setting = tmp_path / "capture", "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    snapshot(write_snapshot, root, 1, "120000")
+    before, during, follow = spark.conf.get(setting), [], SnapshotStore.follow
+
+    def spied(self, *place, **options):
+        during.append(int(spark.conf.get(setting)))
+        return follow(self, *place, **options)
+
+    monkeypatch.setattr(SnapshotStore, "follow", spied)
+    SnapshotStore(spark, str(tmp_path / "store"), schedule(rows)).catch_up(str(root), str(tmp_path / "checkpoint"))
+    assert during == [spark.sparkContext.defaultParallelism] and spark.conf.get(setting) == before
+
+
+def test_steps_side_by_side_belong_to_the_caller_and_end_before_an_error_shows(spark):
+    def group():
+        return spark.sparkContext.getLocalProperty("spark.jobGroup.id")
+
+    done = []
+
+    def failing():
+        raise OSError("lost")
+
+    spark.sparkContext.setJobGroup("of the caller", "")
+    try:
+        assert together(spark, group, lambda: spark.range(3).count()) == ["of the caller", 3]
+        try:
+            together(spark, failing, lambda: done.append(spark.range(5).count()))
+        except OSError:
+            done.append("error")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert done == [5, "error"]
